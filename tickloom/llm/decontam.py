@@ -30,13 +30,19 @@ BLOCK = 8
 #: Items of an index part, and bytes of an item's text, at most: bounds what is broadcast to 64 MB.
 PART_ITEMS, ITEM_BYTES = 4_096, 16_384
 _SENTENCE = re.compile(rb"(?<=[.!?])\s+")
+#: Signs at a word's ends, which may come from its surroundings in either text.
+_EDGE = b".,;:!?*#$%&|<>()[]{}\"'"
+
+
+def bare_words(text: str | None) -> list[bytes]:
+    return [w for x in words_of(text) if (w := x.strip(_EDGE))]
 
 
 def split_item(text: str) -> tuple[list[bytes], int]:
     """The words of an item and where its answer begins: with its last sentence; with one sentence, its last third."""
-    words = words_of(text)
-    sentences = [s for s in _SENTENCE.split(text.encode("utf-8", "surrogatepass").lower()) if s.split()]
-    answer = len(sentences[-1].split()) if len(sentences) > 1 else max(1, len(words) // 3)
+    words = bare_words(text)
+    sentences = [s for s in _SENTENCE.split(text.encode("utf-8", "surrogatepass").lower()) if s.strip(_EDGE + b" ")]
+    answer = len(bare_words(sentences[-1].decode("utf-8", "surrogatepass"))) if len(sentences) > 1 else max(1, len(words) // 3)
     return words, max(len(words) - answer, 0)
 
 
@@ -158,7 +164,7 @@ def _part(docs: DataFrame, items: list[tuple[int | None, str]], retrieve: float,
         for batch in batches:
             rows, hits = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                words = words_of(text)
+                words = bare_words(text)
                 if found := own.retrieve(words, retrieve):
                     for hit in own.verify(words, found, seen):
                         if min(hit[2:]) >= overlap:
@@ -207,7 +213,7 @@ def _clean(index: Broadcast, retrieve: float, overlap: float):  # noqa: ANN202
     def clean(texts: pd.Series) -> pd.Series:
         seen, own, out = WordHashes(), index.value, []
         for text in texts:
-            words = words_of(text)
+            words = bare_words(text)
             found = own.retrieve(words, retrieve)
             out.append(not found or all(min(h[2:]) < overlap for h in own.verify(words, found, seen)))
         return pd.Series(out, dtype=bool)
