@@ -13,6 +13,7 @@ checksums. The index is a Parquet table beside the shards: one row for each reco
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -28,8 +29,9 @@ from .common import col, durable, scratch_path
 
 #: Appended to each document.
 END_ID = 1
-#: Distinct white-space-delimited pieces whose ids a task remembers.
-CACHED = 300_000
+#: Distinct white-space-delimited pieces whose ids a worker remembers.
+CACHED = 500_000
+_SIGNS = ".,;:!?*#$%&|"
 INDEX = "shard int, place long, doc_id long, offset long, bytes long, n_tokens long, width int"
 
 
@@ -56,34 +58,88 @@ def unframe(data: bytes, at: int = 0) -> tuple[bytes, int]:
 
 
 class PieceEncoder:
-    """Encodes a text with a ``tokenizers`` file. Where the tokenizer drops white space and never joins across it, each piece between
-    white space is encoded once and remembered; for other tokenizers the text is encoded whole."""
+    """Encodes a text with a ``tokenizers`` file to the bytes of its ids.
 
-    def __init__(self, path: str, by_piece: bool) -> None:
-        from tokenizers import Tokenizer
+    Where the tokenizer drops white space and never joins across it, each piece between white space is encoded once and remembered. Of
+    most pieces the letters are one token of the pre-tokenizer, which the file's model encodes alone, and the signs after them another;
+    other pieces, and texts for other tokenizers, are encoded whole.
+    """
 
-        self.tokenizer, self.by_piece, self.seen = Tokenizer.from_file(path), by_piece, {}
+    def __init__(self, path: str, by_piece: bool, kind: str) -> None:
+        from tokenizers import Tokenizer
 
-    def __call__(self, text: str) -> list[int]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+        self.tokenizer, self.by_piece, self.kind = Tokenizer.from_file(path), by_piece, kind
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def piece(self, piece: str) -> bytes:
+        word = piece.rstrip(_SIGNS)
+        if not (word.isalpha() and (word.isascii() or (max(word) < "\u0180" and "\u0130" not in word))):
+            return self.whole(piece)
+        low = word.lower()
+        if (ids := self.words.get(low)) is None:
+            mapped = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
+            ids = self.words[low] = self.packed([t.id for t in self.model.tokenize(mapped)])
+        return ids + self.known(piece[len(word) :]) if len(word) < len(piece) else ids
+
+    def known(self, signs: str) -> bytes:
+        if (ids := self.pieces.get(signs)) is None:
+            ids = self.pieces[signs] = self.whole(signs)
+        return ids
+
+    def __call__(self, text: str) -> bytes:
         if not self.by_piece:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        seen, out, pieces = self.seen, [], text.split(" ") if "\n" not in text and "\t" not in text else text.replace("\n", " ").replace("\t", " ").split(" ")
-        missing = [p for p in dict.fromkeys(pieces) if p not in seen]
-        if missing:
-            if len(seen) > CACHED:
-                seen.clear()
-                missing = list(dict.fromkeys(pieces))
-            for i in range(0, len(missing), 4096):
-                part = missing[i : i + 4096]
-                seen.update(zip(part, (e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)), strict=True))
+            return self.whole(text)
+        if "\n" in text or "\t" in text:
+            text = text.replace("\n", " ").replace("\t", " ")
+        pieces, seen = text.split(" "), self.pieces
+        try:
+            return b"".join([seen[p] for p in pieces])
+        except KeyError:
+            pass
+        if len(seen) > CACHED or len(self.words) > CACHED:
+            seen.clear()
+            self.words.clear()
         for p in pieces:
-            out += seen[p]
-        return out
+            if p not in seen:
+                seen[p] = self.piece(p)
+        return b"".join([seen[p] for p in pieces])
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable in Latin-1, else from U+0100 on in order."""
+    out, more = [], 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b:
+            out.append(chr(b))
+        else:
+            out.append(chr(more))
+            more += 1
+    return out
+
+
+#: Encoders of this worker process, so that the next task finds what the last one has remembered.
+_ENCODERS: dict[tuple[str, bool, str], PieceEncoder] = {}
+
+
+def encoder(path: str, by_piece: bool, kind: str) -> PieceEncoder:
+    key = (path, by_piece, kind)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PieceEncoder(*key)
+    return _ENCODERS[key]
 
 
 def splits_at_spaces(path: str) -> bool:
     """Whether pieces between spaces, tabs and newlines can be encoded on their own: the tokenizer turns white space into single spaces,
-    matches no white space as part of a token, and has no added token that holds or strips any."""
+    matches no white space as part of a token, takes letters in a row as one token, and has no added token that holds or strips any."""
     import json
 
     with open(path, encoding="utf-8") as f:
@@ -91,7 +147,13 @@ def splits_at_spaces(path: str) -> bool:
     added = all(not (t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \t\n")) for t in spec.get("added_tokens", []))
     norm, pre = json.dumps(spec.get("normalizer")), json.dumps(spec.get("pre_tokenizer"))
     removed = '"Removed"' in pre and '"ByteLevel"' in pre and '"add_prefix_space": false' in pre
-    return bool(added and removed and spec["model"].get("end_of_word_suffix") and "\\\\s+" in norm)
+    return bool(added and removed and "[\\\\p{L}]+" in pre and spec["model"].get("end_of_word_suffix") and "\\\\s+" in norm)
+
+
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
 
 
 def _store(uri: str):
@@ -114,10 +176,13 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
     rows = docs.select(col(docs, "doc_id", "long").alias("doc_id"), F.coalesce(col(docs, "text", "string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").withColumn("shard", F.spark_partition_id())
 
+    vocabulary = max(vocabulary_size(tokenizer), end_id + 1)
+    width = 2 if vocabulary <= 1 << 16 else 4
+    kind = f"<u{width}"
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = PieceEncoder(tokenizer, by_piece)
-        width = 2 if max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        kind = "<u2" if width == 2 else "<u4"
+        encode = encoder(tokenizer, by_piece, kind)
+        end = np.array([end_id], kind).tobytes()
         out = target = None
         at = place = 0
         for batch in batches:
@@ -132,11 +197,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
                 out = store.open_output_stream(temp)
             index = []
             for text in batch.column("text").to_pylist():
-                ids = encode(text)
-                ids.append(end_id)
-                record = frame(np.array(ids, kind).tobytes())
+                payload = encode(text) + end
+                record = frame(payload)
                 out.write(record)
-                index.append((shard, place, at, len(record), len(ids), width))
+                index.append((shard, place, at, len(record), len(payload) // width, width))
                 at += len(record)
                 place += 1
             cols = dict(zip(("shard", "place", "offset", "bytes", "n_tokens", "width"), zip(*index, strict=True), strict=True))
