@@ -7,7 +7,8 @@ below 2 * 0.4375 ** SIDE, about 4e-6 for 16.
 Texts with equal shingle sets are one class from the start. Half keys that no other class has are dropped before tables are formed,
 and buckets with the same members count once. Within buckets no group of pairs is formed: rounds compare each class with one pivot of
 its bucket, and only what is still in another component than the pivot; components are contracted between rounds. What rounds can't
-settle (buckets that hold unlinked classes) is compared class by class across components, so that no link is lost.
+settle (buckets that hold unlinked classes) is compared class by class across components, so that no link is lost, but for pairs that
+their rare shingles rule out.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ _XOR = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64)
 _ODD = (_RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 #: Of the 64 two-bit digests of minima so many agree for a similar pair but once in 10 million: at 0.75, 52 do, with a deviation of 3.1.
 AGREE = 36
+#: Classes, of those compared last, that have a rare shingle at most.
+RARE = 8
 #: Rounds with pivots, at most; then the rest is compared directly.
 ROUNDS = 8
 _ROW = "doc_id long, n long, f1 long, f2 long, half array<long>, s1 long, s2 long"
@@ -90,9 +93,44 @@ def table_rows(classes: DataFrame) -> DataFrame:
     return keyed.join(once, "key").join(classes.select("node", "n", "s1", "s2"), "node")
 
 
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """``(h, node)``: the shingles of each text of ``texts`` (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = WordHashes()
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                h = shingles(text, seen)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), node, np.int64))], ["h", "node"])
+
+    return texts.select("node", "text").mapInArrow(run, "h long, node long")
+
+
+def last_pairs(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(a, b)``: every pair of classes that share a bucket, are in two components, and may be similar.
+
+    Shingles that at most RARE of these classes have are rare. Pairs that share a rare one are read from its short list; for all others
+    neither's rare shingles are in the intersection, and the union has all of both, which leaves few of a large group of loose copies.
+    """
+    nodes = open_.select("node", "comp", "n", "s1", "s2").distinct()
+    rows = durable(shingle_rows(texts.join(nodes.select("node"), "node", "left_semi")), "shingles")
+    few = rows.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    rare = durable(rows.join(few, "h"), "rare")
+    counts = rare.groupBy("node").agg(F.count("*").alias("u"))
+    lists = rare.where("c > 1").groupBy("h").agg(F.array_sort(F.collect_list("node")).alias("ns")).select("ns").distinct()  # at most RARE in each
+    listed = lists.select(F.explode("ns").alias("a"), "ns").select("a", F.explode("ns").alias("b")).where("a < b").distinct()
+    side = lambda x: nodes.select(F.col("node").alias(x), F.struct("comp", "n", F.lit(0).alias("u"), "s1", "s2").alias(f"_{x}"))
+    listed = listed.join(side("a"), "a").join(side("b"), "b").where((F.col("_a.comp") != F.col("_b.comp")) & comparable(F.col("_a"), F.col("_b"))).select("a", "b")
+    known = open_.join(counts, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).where((F.col("n") - F.col("u")) * SIMILAR[1] >= F.col("n") * SIMILAR[0])
+    a, b = known.alias("a"), known.alias("b")
+    near = comparable(F.struct("a.n", "a.u", "a.s1", "a.s2"), F.struct("b.n", "b.u", "b.s1", "b.s2"))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & near)
+    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).unionByName(listed).distinct()
+
+
 def comparable(a: Column, b: Column) -> Column:
-    """Whether sizes and two-bit digests of the minima leave room for a similarity of 0.75."""
-    low, high = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
+    """Whether sizes and two-bit digests of the minima leave room for a similarity of 0.75; ``u`` counts shingles that are not in the other."""
+    low, high = F.least(a["n"] - a["u"], b["n"] - b["u"]), F.greatest(a["n"] + b["u"], b["n"] + a["u"])
     differ = F.bit_count(a["s1"].bitwiseXOR(b["s1"]).bitwiseOR(a["s2"].bitwiseXOR(b["s2"])))
     return (low * SIMILAR[1] >= high * SIMILAR[0]) & (F.lit(64) - differ >= AGREE)
 
@@ -154,10 +192,12 @@ def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def link_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
     """``(node, comp)`` for the classes of ``members`` (key, node, n, s1, s2): connected components of the confirmed links."""
-    labels = durable(members.select("node").distinct().select("node", F.col("node").alias("comp")), "comps")
+    counts = members.groupBy("node").agg(F.count("*").alias("tables"))
+    labels = durable(counts.select("node", F.col("node").alias("comp")), "comps")
+    members = durable(members.join(counts, "node"), "counted")
     tested: DataFrame | None = None
     before = None
-    me = F.struct("n", "s1", "s2")
+    me = F.struct("n", F.lit(0).alias("u"), "s1", "s2")
     for turn in range(ROUNDS + 1):
         rows = members.join(labels, "node")
         sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
@@ -169,13 +209,11 @@ def link_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
         last = turn == ROUNDS or total.pairs <= 2 * total.rows or (before is not None and total.pairs > 0.7 * before)
         before = total.pairs
         if last:
-            a, b = open_.alias("a"), open_.alias("b")
-            near = comparable(F.struct("a.n", "a.s1", "a.s2"), F.struct("b.n", "b.s1", "b.s2"))
-            met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & near)
-            pairs = met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+            pairs = last_pairs(open_, texts)
         else:
-            order = F.xxhash64("node", F.lit(turn))
-            pivot = open_.groupBy("key").agg(F.min_by(F.struct("node", "comp", "n", "s1", "s2"), order).alias("pivot"))
+            # first the class that is in most buckets, as what lies in the middle of a group is; then any
+            order = F.struct("tables", F.xxhash64("node")) if not turn else F.xxhash64("node", F.lit(turn))
+            pivot = open_.groupBy("key").agg(F.max_by(F.struct("node", "comp", "n", F.lit(0).alias("u"), "s1", "s2"), order).alias("pivot"))
             met = open_.join(pivot, "key").where((F.col("comp") != F.col("pivot.comp")) & comparable(me, F.col("pivot")))
             pairs = met.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
         if tested is not None:
