@@ -72,5 +72,53 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+MIX_SQL = rf"""
+WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS BIGINT) AS size FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS t FROM sized GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][t % 3 + 1] AS DOUBLE) AS weight, source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS budget FROM per),
+l AS (SELECT *, (budget - coalesce(sum(cap) OVER above, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER above, 0)) AS level
+      FROM w WINDOW above AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, CASE WHEN cap <= level * weight THEN cap
+      ELSE weight * first_value(CASE WHEN cap > level * weight THEN level END IGNORE NULLS) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END AS target FROM l),
+r AS (SELECT s.doc_id, s.size, t.source_size, t.target, coalesce(t.target / nullif(t.source_size, 0), 0) AS rate,
+      CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u FROM sized s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
+"""
+
+NEAR_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, w.doc_id = m.c AS kept FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN (SELECT a, min(b) AS c FROM r GROUP BY 1) m ON m.a = w.doc_id
+"""
+
+CHAT_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')) + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')) + 24 AS chars FROM t),
+g AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS every,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars FROM e GROUP BY conv_id)
+SELECT conv_id, CAST(n AS BIGINT) AS n_turns, sha256(every) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g
+"""
+
+RADIX_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+w AS (SELECT rid, p, md5(substr(hx, 2 * p + 1, 400)) AS h FROM (SELECT rid, hx, unnest(generate_series(0, length(hx) // 2 - 200)) AS p FROM d WHERE length(hx) >= 400)),
+s AS (SELECT rid, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+o AS (SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + 200 THEN 0 ELSE 1 END AS fresh FROM s),
+i AS (SELECT rid, min(p) AS a, max(p) + 200 AS b FROM (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS g FROM o) GROUP BY rid, g),
+k AS (SELECT i.rid, count(*) AS n, sum(b - a) AS gone, string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS pieces, max(b) AS last
+      FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM i) i JOIN d ON d.rid = i.rid GROUP BY 1)
+SELECT doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(pieces || substr(hx, 2 * last + 1), hx))) AS kept_sha256 FROM d LEFT JOIN k ON k.rid = d.rid
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the others SQL lacks the tokenizer, the models or the index; tests/llm holds them against brute force, round trips or held-out labels."""
+    return {"op1_mix_sources": MIX_SQL, "op4_minhash_near_dedup": NEAR_SQL, "op5_chat_format": CHAT_SQL, "op10_radix_substrings": RADIX_SQL}
