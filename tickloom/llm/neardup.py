@@ -266,6 +266,9 @@ def class_texts(rows: DataFrame, need: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component of ``docs``, all columns: that of the kept document. Of rows that repeat a kept id, one stays."""
-    verdict = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(verdict, col(docs, "doc_id", "long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else kept
+    verdict = near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("n"))
+    verdict = durable(verdict, "kept")
+    kept = docs.join(verdict.select("_kept_id"), col(docs, "doc_id", "long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    if "doc_id" not in docs.columns or verdict.where("n > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates(["doc_id"])

@@ -108,8 +108,8 @@ SELECT conv_id, CAST(n AS BIGINT) AS n_turns, sha256(every) AS turns_sha256, CAS
 
 RADIX_SQL = """
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
-w AS (SELECT rid, p, md5(substr(hx, 2 * p + 1, 400)) AS h FROM (SELECT rid, hx, unnest(generate_series(0, length(hx) // 2 - 200)) AS p FROM d WHERE length(hx) >= 400)),
-s AS (SELECT rid, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+w AS MATERIALIZED (SELECT rid, p, md5(substr(hx, 2 * p + 1, 400)) AS h FROM (SELECT rid, hx, unnest(generate_series(0, length(hx) // 2 - 200)) AS p FROM d WHERE length(hx) >= 400)),
+s AS MATERIALIZED (SELECT rid, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
 o AS (SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + 200 THEN 0 ELSE 1 END AS fresh FROM s),
 i AS (SELECT rid, min(p) AS a, max(p) + 200 AS b FROM (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS g FROM o) GROUP BY rid, g),
 k AS (SELECT i.rid, count(*) AS n, sum(b - a) AS gone, string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS pieces, max(b) AS last
