@@ -61,7 +61,7 @@ def word_count(text: Column) -> Column:
 class WordHashes(dict):
     """64-bit hashes of byte words, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 150_000) -> None:
         super().__init__()
         self.limit = limit
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,43 +137,40 @@ def comparable(a: Column, b: Column) -> Column:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of classes whose full shingle sets have ``100 * |intersection| >= 75 * |union|``."""
 
-    @F.pandas_udf("boolean")
-    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
-        seen, out, last, own = WordHashes(), [], None, None
-        for x, y in zip(left, right, strict=True):
-            if y != last:
-                last, own = y, shingles(y, seen)
-            other = shingles(x, seen)
-            both = len(np.intersect1d(other, own, assume_unique=True))
-            out.append(SIMILAR[1] * both >= SIMILAR[0] * (len(other) + len(own) - both))
-        return pd.Series(out, dtype=bool)
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, last, own = WordHashes(), None, None
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
+                if y != last:
+                    last, own = y, shingles(y, seen)
+                other = shingles(x, seen)
+                both = len(np.intersect1d(other, own, assume_unique=True))
+                keep.append(SIMILAR[1] * both >= SIMILAR[0] * (len(other) + len(own) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     t = texts.select("node", "text")
     left = pairs.join(t.withColumnRenamed("node", "a").withColumnRenamed("text", "ta"), "a")
     both = left.join(t.withColumnRenamed("node", "b").withColumnRenamed("text", "tb"), "b")
-    return both.where(linked("ta", "tb")).select("a", "b")
+    return both.select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long")
 
 
 def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
     """New ``(node, comp)``: components joined by ``links`` (a, b) between nodes, each named by its smallest member's name.
 
-    Works on the graph of components that links join, which shrinks by each round of taking the smallest neighbour and jumping along it.
+    Works on the graph of components that links join. In each round a vertex goes to its smallest neighbour's smallest neighbour, if that
+    is smaller, and edges are renamed; a component has one name when none is left.
     """
     la, lb = labels.withColumnRenamed("node", "a").withColumnRenamed("comp", "ca"), labels.withColumnRenamed("node", "b").withColumnRenamed("comp", "cb")
     edges = links.join(la, "a").join(lb, "b").where("ca <> cb").select(F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")).distinct()
     edges = durable(edges, "edges")
     moved: DataFrame | None = None
     while not edges.isEmpty():
-        # every vertex to its smallest neighbour, if smaller than itself; then each of those trees to its root
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parent = durable(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")), "parent")
-        while True:
-            up = parent.select(F.col("u").alias("p"), F.col("p").alias("q"))
-            jumped = durable(parent.join(up, "p").select("u", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("moved")), "jump")
-            parent = jumped.select("u", "p")
-            if jumped.where("moved").isEmpty():
-                break
-        to = parent.select(F.col("u").alias("was"), F.col("p").alias("now"))
+        parent = both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p"))
+        parent = durable(parent, "parent")
+        up = parent.select(F.col("u").alias("p"), F.col("p").alias("now"))
+        to = durable(parent.join(up, "p").select(F.col("u").alias("was"), "now"), "jump")
         if moved is None:
             moved = to
         else:
@@ -206,7 +202,7 @@ def link_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
         total = per.agg(F.sum((F.col("c") * F.col("c") - F.col("same")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not total.rows:
             break
-        last = turn == ROUNDS or total.pairs <= 2 * total.rows or (before is not None and total.pairs > 0.7 * before)
+        last = turn == ROUNDS or total.pairs <= 2 * total.rows or (before is not None and total.pairs > 0.5 * before)
         before = total.pairs
         if last:
             pairs = last_pairs(open_, texts)
