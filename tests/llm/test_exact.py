@@ -244,7 +244,7 @@ def test_wand_finds_all_above_the_threshold(docs):
 
 
 def test_sentence_spans_by_hand(spark):
-    a, b, c = passage(40, 27), passage(41, 27), passage(42, 27)
+    a, b, c = passage(40, 25), passage(41, 25), passage(42, 25)
     rows = [(1, f"{a}\n{b}"), (2, f"{c}\n{a}"), (3, f"{b} {b}"), (4, c)]
     out = {r.doc_id: r for r in sentencespans.deduplicate_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[1].n_removed == 0 and out[2].kept_text.strip() == c and out[3].kept_text.strip() == "" and out[4].kept_text.strip() == ""
