@@ -140,10 +140,9 @@ def conversation_records(rows: DataFrame) -> DataFrame:
     conv_id form one conversation. A conversation is one record of the output, so its rows meet in one row here as well.
     """
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content"))
-    ordered = F.transform(F.array_sort(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return rows.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(
-        F.to_json(F.struct(F.transform(F.array_sort(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))).alias("record")
-    )
+    ordered = F.transform(F.array_sort(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    rows = rows.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t"))
+    return rows.groupBy("conv_id").agg(F.to_json(F.struct(ordered.alias("messages"))).alias("record"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
