@@ -184,12 +184,12 @@ def market_map(perf: DataFrame, sectors: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(scale))  # one row
 
 
-def unusual_turnover(bars: DataFrame, perf: DataFrame, code: str = "1w", base_days: int = 90, n: int = 10) -> DataFrame:
+def unusual_turnover(bars: DataFrame, perf: DataFrame, code: str = "1w", base_days: int = 90, n: int = 10, least_base: float = BASE_TURNOVER) -> DataFrame:
     """Mean daily turnover of the period over that of the days before it, where the base is large enough; the ``n`` largest."""
     bounds = F.broadcast(period_bounds(bars, code))  # one row
     own = bars.join(bounds, F.col("date").between(F.date_sub("start", base_days), F.col("end")))
     means = own.groupBy("ticker").agg(F.avg(F.when(F.col("date") >= F.col("start"), F.col("value_rub"))).alias("now"), F.avg(F.when(F.col("date") < F.col("start"), F.col("value_rub"))).alias("base"))
-    busy = means.where(F.col("base") > BASE_TURNOVER).withColumn("times", F.col("now") / F.col("base")).where("times is not null")
+    busy = means.where(F.col("base") > least_base).withColumn("times", F.col("now") / F.col("base")).where("times is not null")
     return busy.join(perf.select("ticker", "price_pct"), "ticker").orderBy(F.desc("times"), "ticker").limit(n)
 
 

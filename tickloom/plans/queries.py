@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import core
@@ -24,6 +23,7 @@ from .oracle import sql
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: The trailing period and the anchor of the market queries; the parts of the SQL hold the same.
 PERIOD, ANCHOR = "3m", "1999-12-30"
 
 
@@ -382,16 +382,10 @@ def _(spark, d):
     return pf.market_map(_perf(spark, d), sy.sectors(spark, d)).select("sector", "ticker", *r6s("cap", "pct"))
 
 
-@query("k21_unusual_turnover", f"""SELECT ticker, {R('now / base')} AS times FROM (SELECT b.ticker, avg(CASE WHEN date >= s THEN value_rub END) AS now, avg(CASE WHEN date < s THEN value_rub END) AS base FROM bars b, (SELECT max(date) - 30 AS s FROM bars) WHERE date >= s - 90 GROUP BY 1) JOIN perf USING (ticker)
+@query("k21_unusual_turnover", f"""SELECT ticker, {R('now / base')} AS times FROM (SELECT b.ticker, avg(CASE WHEN date >= s THEN value_rub END) AS now, avg(CASE WHEN date < s THEN value_rub END) AS base FROM bars b, (SELECT CAST(max(date) - INTERVAL 1 MONTH AS DATE) AS s FROM bars) WHERE date >= s - 90 GROUP BY 1) JOIN perf USING (ticker)
        WHERE base > 1000 AND now IS NOT NULL ORDER BY now / base DESC, ticker LIMIT 10""")
 def _(spark, d):
-    bars = sy.bars(spark, d)
-    before, pf.PERIODS["30d"] = pf.BASE_TURNOVER, "30 days"
-    pf.BASE_TURNOVER = 1000
-    try:
-        return pf.unusual_turnover(bars, _perf(spark, d), "30d").select("ticker", r6("times", "times"))
-    finally:
-        pf.BASE_TURNOVER = before
+    return pf.unusual_turnover(sy.bars(spark, d), _perf(spark, d), "1m", least_base=1000).select("ticker", r6("times", "times"))
 
 
 @query("k22_unusual_moves", f"SELECT ticker, {R('sigma_move')} AS sigma_move FROM enriched WHERE abs(sigma_move) >= 0.2 ORDER BY abs(sigma_move) DESC, ticker LIMIT 10")
