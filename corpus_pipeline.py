@@ -10,27 +10,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom import ship
 from tickloom.llm import decontam, mixing, neardup, qualityforest, queries, records
 from tickloom.llm.common import durable, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return qualityforest.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return mixing.mix_sources(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return records.encode_table(docs, queries.tokenizer_path())
 
 
