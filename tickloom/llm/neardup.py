@@ -105,11 +105,13 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "h long, node long")
 
 
-def last_pairs(open_: DataFrame, texts: DataFrame) -> DataFrame:
+def last_pairs(open_: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """``(a, b)``: every pair of classes that share a bucket, are in two components, and may be similar.
 
     Shingles that at most RARE of these classes have are rare. Pairs that share a rare one are read from its short list; for all others
     neither's rare shingles are in the intersection, and the union has all of both, which leaves few of a large group of loose copies.
+    Classes share a table if they agree in a half key of either collection; they meet in the first of one that they agree in, so each pair
+    comes once.
     """
     nodes = open_.select("node", "comp", "n", "s1", "s2").distinct()
     rows = durable(shingle_rows(texts.join(nodes.select("node"), "node", "left_semi")), "shingles")
@@ -120,10 +122,17 @@ def last_pairs(open_: DataFrame, texts: DataFrame) -> DataFrame:
     listed = lists.select(F.explode("ns").alias("a"), "ns").select("a", F.explode("ns").alias("b")).where("a < b").distinct()
     side = lambda x: nodes.select(F.col("node").alias(x), F.struct("comp", "n", F.lit(0).alias("u"), "s1", "s2").alias(f"_{x}"))
     listed = listed.join(side("a"), "a").join(side("b"), "b").where((F.col("_a.comp") != F.col("_b.comp")) & comparable(F.col("_a"), F.col("_b"))).select("a", "b")
-    known = open_.join(counts, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).where((F.col("n") - F.col("u")) * SIMILAR[1] >= F.col("n") * SIMILAR[0])
-    a, b = known.alias("a"), known.alias("b")
+    known = nodes.join(counts, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).where((F.col("n") - F.col("u")) * SIMILAR[1] >= F.col("n") * SIMILAR[0])
+    known = known.join(classes.select("node", F.slice("half", 1, SIDE).alias("first"), F.slice("half", SIDE + 1, SIDE).alias("second")), "node")
+    flat = durable(known.select("*", F.posexplode("first").alias("i", "k")), "last")
+    shared = flat.groupBy("i", "k").agg(F.count("*").alias("c")).where("c > 1").select("i", "k")
+    flat = flat.join(shared, ["i", "k"])
+    a, b = flat.alias("a"), flat.alias("b")
     near = comparable(F.struct("a.n", "a.u", "a.s1", "a.s2"), F.struct("b.n", "b.u", "b.s1", "b.s2"))
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & near)
+    agree = lambda c: F.zip_with(f"a.{c}", f"b.{c}", lambda x, y: x == y)
+    once = (F.array_position(agree("first"), True) == F.col("a.i") + 1) & F.exists(agree("second"), lambda x: x)
+    same = (F.col("a.i") == F.col("b.i")) & (F.col("a.k") == F.col("b.k"))
+    met = a.join(b, same & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & near & once)
     return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).unionByName(listed).distinct()
 
 
@@ -186,7 +195,7 @@ def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
     return durable(labels.join(moved, labels["comp"] == moved["was"], "left").select("node", F.coalesce("now", "comp").alias("comp")), "comps")
 
 
-def link_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
+def link_classes(members: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """``(node, comp)`` for the classes of ``members`` (key, node, n, s1, s2): connected components of the confirmed links."""
     counts = members.groupBy("node").agg(F.count("*").alias("tables"))
     labels = durable(counts.select("node", F.col("node").alias("comp")), "comps")
@@ -205,7 +214,7 @@ def link_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
         last = turn == ROUNDS or total.pairs <= 2 * total.rows or (before is not None and total.pairs > 0.5 * before)
         before = total.pairs
         if last:
-            pairs = last_pairs(open_, texts)
+            pairs = last_pairs(open_, texts, classes)
         else:
             # first the class that is in most buckets, as what lies in the middle of a group is; then any
             order = F.struct("tables", F.xxhash64("node")) if not turn else F.xxhash64("node", F.lit(turn))
@@ -238,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = durable(table_rows(classes), "members")
     need = members.select("node").distinct().join(classes.select("node", "rep", "f1", "f2"), "node")
     texts = durable(class_texts(rows, need), "texts")
-    labels = link_classes(members, texts)
+    labels = link_classes(members, texts, classes)
     named = classes.join(labels, "node", "left").select("f1", "f2", "rep", F.coalesce("comp", "node").alias("comp"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     by_set = named.join(least, "comp").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "component_id")
