@@ -261,6 +261,43 @@ def test_spans_against_brute_force(spark, docs):
     assert got == want
 
 
+def test_planted_passages_are_cut(spark):
+    """51 words that stand in two texts, at any offset and however punctuated, lose the middle of every 50 words; nothing else goes."""
+    r, rows, planted = random.Random(11), [], {}
+
+    def prose(k, style):
+        words = ["".join(r.choice("bdfgklmnprst") + r.choice("aeiou") for _ in range(4)) for _ in range(k)]
+        for i in range(k):
+            if style == "tiny" and r.random() < 0.6:
+                words[i] += r.choice("!.\n")
+            elif style == "long" and i % 23 == 22:
+                words[i] += "."
+        return words
+
+    for k in range(240):
+        style = ("tiny", "long", "plain", "every")[k % 4]
+        same = prose(51, style)
+        if style == "every":
+            same = [w + "!" for w in same]
+        for d in (k, 1000 + k):
+            a = prose(r.randint(0, 60), r.choice(("tiny", "long", "plain")))
+            rows.append((d, " ".join([*a, *same, *prose(r.randint(0, 60), r.choice(("tiny", "long", "plain")))])))
+            planted[d] = (len(a), {w.strip() for w in same})
+    windows = collections.defaultdict(set)
+    for d, text in rows:
+        w = text.lower().split()
+        for i in range(len(w) - 49):
+            windows[tuple(w[i : i + 50])].add(d)
+    got = {x.doc_id: x for x in sentencespans.deduplicate_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows:
+        w = text.split()
+        gone = {x for a, b in got[d].removed for x in text[a:b].split()}
+        assert gone <= planted[d][1] and (d >= 1000 or not gone)
+        for i in range(len(w) - 49):
+            if min(windows[tuple(x.lower() for x in w[i : i + 50])]) < d:
+                assert set(w[i + 15 : i + 35]) <= gone
+
+
 def test_deobfuscation():
     words = "this is a stupid idiot and the others are moron losers with trash in it they said that".split()
     counts = collections.Counter()

@@ -7,67 +7,97 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, durable, runs
+from .common import WordHashes, col, durable, mix, word_hashes
 
-#: Sentences of a span, and the words that it needs at least: runs of a few tiny sentences meet by chance.
+#: Sentences of a span, and the words that it has at least: runs of a few tiny sentences meet by chance, so a span goes on until it has them.
 SENTENCES, WORDS = 3, 12
-#: A sentence of more words is cut after words whose hash is 0 modulo CUT, so that equal passages are cut alike wherever they begin.
-LONG, CUT = 24, 8
+#: Of every so many word ends in a row without a sentence's end, one is a cut (the least hash), so that equal passages are cut alike wherever
+#: they begin: but for WINDOW - 1 words at its ends, a passage is cut by its own words, and 50 words hold a whole span at least.
+WINDOW = 8
 _END = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|\s*\n\s*")
 _TOKEN = re.compile(r"\S+")
 _LAST = (1 << 63) - 1
+#: Base of the polynomial that hashes runs of words, and its inverse modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """Character ranges of the sentences: up to ``.``, ``!`` or ``?`` before white space, or to a line's end; long ones are cut by content."""
-    out, at = [], 0
+def _sentence_words(text: str) -> tuple[list[str], list[int]]:
+    """The lower-case words of a text and how many come up to each sentence's end: ``.``, ``!`` or ``?`` before white space, or a line's end."""
+    words, ends, at, text = [], [], 0, text.lower()
     for m in [*_END.finditer(text), None]:
-        end = m.start() if m else len(text)
-        if text[at:end].strip():
-            out += _pieces(text, at, end)
-        at = m.end() if m else end
-    return out
-
-
-def _pieces(text: str, at: int, end: int) -> list[tuple[int, int]]:
-    if text.count(" ", at, end) < LONG:
-        return [(at, end)]
-    out, start = [], at
-    for m in _TOKEN.finditer(text, at, end):
-        if xxhash.xxh32_intdigest(m.group().lower()) % CUT == 0:
-            out.append((start, m.end()))
-            start = m.end()
-    if text[start:end].strip():
-        out.append((start, end))
-    return out
-
-
-def spans(text: str, n: int = SENTENCES, words: int = WORDS) -> tuple[list[tuple[int, int]], np.ndarray, int]:
-    """Sentences, the hash of the span that begins at each (0: too few words), and a span's length; a text with fewer sentences is one span."""
-    parts = sentences(text)
-    tokens = [text[a:b].lower().split() for a, b in parts]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(t)) for t in tokens), np.uint64, len(tokens))
-    m = min(n, len(parts))
-    out = runs(hashes, n)
-    if len(out):
-        total = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
-        out[total[m:] - total[:-m] < words] = 0
-    return parts, out.view(np.int64), m
+        words += text[at : m.start() if m else len(text)].split()
+        at = m.end() if m else at
+        if len(words) > (ends[-1] if ends else 0):
+            ends.append(len(words))
+    return words, ends
+
+
+def cuts(hashes: np.ndarray, ends: list[int], window: int = WINDOW) -> np.ndarray:
+    """Where units begin and end, as numbers of words before: at the sentences' ends, and inside them at the least hash of each ``window``."""
+    n = len(hashes)
+    h = hashes | np.uint64(1)
+    h[np.array(ends, np.int64) - 1] = 0
+    chosen = h == 0
+    if n >= window:
+        least = _filtered(h, window, np.minimum)
+        padded = np.concatenate([np.zeros(window - 1, np.uint64), least, np.zeros(window - 1, np.uint64)])
+        # a word end is the least of a window if and only if the largest of its windows' least hashes is its own
+        chosen |= _filtered(padded, window, np.maximum) == h
+    return np.concatenate([[0], np.flatnonzero(chosen) + 1])
+
+
+def _filtered(x: np.ndarray, window: int, best: np.ufunc) -> np.ndarray:
+    """``best`` of every ``window`` values in a row."""
+    width = 1
+    while width < window:
+        step = min(width, window - width)
+        x = best(x[:-step], x[step:])
+        width += step
+    return x
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = np.full((2, n), np.array([[_BASE], [_INVERSE]], np.uint64))
+    out[:, 0] = 1
+    return tuple(np.cumprod(out, axis=1))
+
+
+def spans(text: str, n: int = SENTENCES, words: int = WORDS, seen: WordHashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where units begin and end (numbers of words before), and of each span its hash, its first unit and the unit after it.
+
+    From each unit and up to each unit goes the shortest run of ``n`` units and ``words`` words; a text of fewer units is one span.
+    """
+    tokens, ends = _sentence_words(text)
+    if len(tokens) < words:
+        return np.array([0, *ends]), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = word_hashes(tokens, WordHashes() if seen is None else seen)
+    at = cuts(hashes, ends)
+    k = len(at) - 1
+    n = min(n, k)
+    i = np.arange(k + 1)
+    to = np.maximum(i + n, np.searchsorted(at, at + words))
+    since = np.minimum(i - n, np.searchsorted(at, at - words, side="right") - 1)
+    pairs = np.unique(np.concatenate([(i * (k + 1) + to)[to <= k], (since * (k + 1) + i)[since >= 0]]))
+    first, last = pairs // (k + 1), pairs % (k + 1)
+    powers, inverse = _powers(len(tokens) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])])
+    found = mix((sums[at[last]] - sums[at[first]]) * inverse[at[first]] + (at[last] - at[first]).astype(np.uint64))
+    return at, found.view(np.int64), first, last
 
 
 def span_rows(docs: DataFrame) -> DataFrame:
     """``(h, d)``: each span of a document once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = WordHashes()
         for batch in batches:
             hashes, counts = [], []
             for text in batch.column("text").to_pylist():
-                h = np.unique(spans(text or "")[1])
-                h = h[h != 0]
+                h = np.unique(spans(text or "", seen=seen)[1])
                 hashes.append(h)
                 counts.append(len(h))
             ids = batch.column("d").to_numpy(zero_copy_only=False)
@@ -77,25 +107,27 @@ def span_rows(docs: DataFrame) -> DataFrame:
     return docs.select("d", "text").mapInArrow(run, "h long, d long")
 
 
-def cut_text(text: str | None, repeated: set[int]) -> tuple[str, list[tuple[int, int]], int]:
-    """The text without the sentences of spans that are in ``repeated`` or occur before in the text; their ranges; the number of sentences."""
+def cut_text(text: str | None, repeated: set[int], words: WordHashes | None = None) -> tuple[str, list[tuple[int, int]], int]:
+    """The text without the units of spans that are in ``repeated`` or occur before in the text; their ranges; the number of units."""
     text = text or ""
-    parts, hashes, m = spans(text)
-    gone, seen = np.zeros(len(parts), bool), set()
-    for i, h in enumerate(hashes.tolist()):
-        if h and (h in repeated or h in seen):
-            gone[i : i + m] = True
+    at, hashes, first, last = spans(text, seen=words)
+    n, seen = len(at) - 1, set()
+    gone = np.zeros(n, bool)
+    for h, i, j in zip(hashes.tolist(), first.tolist(), last.tolist(), strict=True):
+        if h in repeated or h in seen:
+            gone[i:j] = True
         seen.add(h)
     if not gone.any():
-        return text, [], len(parts)
-    ranges, kept, at = [], [], 0
+        return text, [], n
+    starts = [m.start() for m in _TOKEN.finditer(text)]
+    ranges, kept, done = [], [], 0
     for i in np.flatnonzero(gone).tolist():
-        start, end = parts[i][0], parts[i + 1][0] if i + 1 < len(parts) else len(text)
-        kept.append(text[at:start])
-        at = end
+        start, end = starts[at[i]], starts[at[i + 1]] if i + 1 < n else len(text)
+        kept.append(text[done:start])
+        done = end
         ranges.append((start, end))
-    kept.append(text[at:])
-    return "".join(kept), ranges, len(parts)
+    kept.append(text[done:])
+    return "".join(kept), ranges, n
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -109,15 +141,16 @@ def deduplicate_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, n_sentences, n_removed, n_removed_chars, removed, kept_text`` for every row of ``docs`` (doc_id, text).
 
     A span stays in the document with the smallest id that holds it, and there where it occurs first; null ids come last. Rows that share
-    an id count as one document. Null and empty texts have no sentences. ``removed`` has the character ranges that go, each sentence with
+    an id count as one document. Null and empty texts have no sentences. ``removed`` has the character ranges that go, each unit with
     the white space after it. An empty table gives an empty result.
     """
     rows = docs.select(col(docs, "doc_id", "long").alias("doc_id"), col(docs, "text", "string").alias("text")).withColumn("d", F.coalesce("doc_id", F.lit(_LAST)))
     marks = durable(repeated_spans(rows), "repeated").withColumnRenamed("d", "of")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
         for batch in batches:
-            found = [cut_text(t, set(hs or ())) for t, hs in zip(batch.column("text").to_pylist(), batch.column("hs").to_pylist(), strict=True)]
+            found = [cut_text(t, set(hs or ()), words) for t, hs in zip(batch.column("text").to_pylist(), batch.column("hs").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
