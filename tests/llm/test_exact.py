@@ -243,6 +243,21 @@ def test_wand_finds_all_above_the_threshold(docs):
         assert set(got) == set(want) and all(abs(got[i] - want[i]) < 1e-6 for i in want)
 
 
+@pytest.mark.parametrize("part", [4_096, 7])
+def test_long_items_are_found(spark, part, monkeypatch):
+    """Items of 20 to 3,000 words, verbatim in a document at any offset, are found; near the end of a part, too."""
+    monkeypatch.setattr(decontam, "PART_ITEMS", part)
+    r = random.Random(8)
+    sizes = (20, 64, 65, 129, 300, 3000) if part > 7 else (20, 65, 300)
+    items = [(n, passage(700 + n, n - 9) + ". " + passage(900 + n, 9)) for n in sizes]
+    docs = [(n, f"{passage(n, r.randint(0, 99))} {text} {passage(n + 1, r.randint(0, 99))}") for n, text in items]
+    docs += [(-n, " ".join(text.split()[: n // 2])) for n, text in items]  # half an item is none
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in decontam.contaminated(d, b).collect()} == {(n, n) for n in sizes}
+    assert {x.doc_id for x in decontam.drop_contaminated(d, b).collect()} == {-n for n in sizes}
+
+
 def test_sentence_spans_by_hand(spark):
     a, b, c = passage(40, 25), passage(41, 25), passage(42, 25)
     rows = [(1, f"{a}\n{b}"), (2, f"{c}\n{a}"), (3, f"{b} {b}"), (4, c)]

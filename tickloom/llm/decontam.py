@@ -1,7 +1,8 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items by block-max WAND; hits are verified.
 
-The index holds the test items, not the corpus. Items are dealt to index parts of at most ``PART_ITEMS``; each part is sent to all tasks
-and scans the corpus once, so what is sent is bounded whatever the size of the benchmark.
+The index holds the test items, not the corpus. An item of more words than a passage is indexed by overlapping pieces, each of which lies
+wholly in a passage wherever it begins; it is verified as a whole. Pieces are dealt to index parts of at most ``PART_ITEMS``; each part is
+sent to all tasks and scans the corpus once.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from pyspark.sql import functions as F
 
 from .common import SHINGLE, WordHashes, col, runs, word_hashes, words_of
 
-#: Words of a passage; passages start every half of it.
-PASSAGE = 64
-#: A passage is retrieved from this share of an item's own BM25 score on; a hit is contaminated if of the item's question and of its
+#: Words of a passage; passages start every half of it. Words of a longer item's pieces, which start every half of it.
+PASSAGE, PIECE = 64, 32
+#: A passage is retrieved from this share of an item's (or piece's) own BM25 score on; a hit is contaminated if of the item's question and of its
 #: answer this share of 5-word shingles is in the document.
 RETRIEVE, OVERLAP = 0.5, 0.75
 K1, B = 1.2, 0.75
 BLOCK = 8
-#: Items of an index part, and bytes of an item's text, at most: bounds what is broadcast to 64 MB.
-PART_ITEMS, ITEM_BYTES = 4_096, 16_384
+#: Items (or pieces of longer items) of an index part, at most.
+PART_ITEMS = 4_096
 _SENTENCE = re.compile(rb"(?<=[.!?])\s+")
 #: Signs at a word's ends, which may come from its surroundings in either text.
 _EDGE = b".,;:!?*#$%&|<>()[]{}\"'"
@@ -46,24 +47,34 @@ def split_item(text: str) -> tuple[list[bytes], int]:
     return words, max(len(words) - answer, 0)
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """What an item of ``n`` words is indexed by: all of it, or ``PIECE`` words every half of it."""
+    if n <= PASSAGE:
+        return [(0, n)]
+    return [(at, at + PIECE) for at in [*range(0, n - PIECE, PIECE // 2), n - PIECE]]
+
+
 class ItemIndex:
-    """Postings by term with BM25 impacts divided by the item's own score, so that an item scores 1 on itself; items lie in blocks of
-    ``BLOCK``, and each term knows its largest impact in each block."""
+    """Postings by term with BM25 impacts divided by the piece's own score, so that a piece scores 1 on itself; pieces lie in blocks of
+    ``BLOCK``, and each term knows its largest impact in each block. An item is ``(id, text)``, or ``(id, text, i, j)`` for its pieces i to j - 1."""
 
-    def __init__(self, items: list[tuple[int | None, str]]) -> None:
-        parsed = sorted(((i, *split_item(t or "")) for i, t in items), key=lambda x: (sorted(set(x[1]))[-3:], x[1]))
+    def __init__(self, items: list[tuple]) -> None:
+        parsed = sorted(((i, *split_item(t or ""), cut) for i, t, *cut in items), key=lambda x: (sorted(set(x[1]))[-3:], x[1]))
         parsed = [p for p in parsed if p[1]]
         self.ids = [p[0] for p in parsed]
         self.words = [p[1] for p in parsed]
         self.answer_at = [p[2] for p in parsed]
-        df = Counter(w for ws in self.words for w in set(ws))
-        n, mean = max(len(parsed), 1), sum(map(len, self.words)) / max(len(parsed), 1) or 1.0
+        indexed = [(at, ws[a:b]) for at, (_, ws, _, cut) in enumerate(parsed) for a, b in pieces(len(ws))[slice(*cut) if cut else slice(None)]]
+        #: The item of each piece.
+        self.item_of = [at for at, _ in indexed]
+        df = Counter(w for _, ws in indexed for w in set(ws))
+        n, mean = max(len(indexed), 1), sum(len(ws) for _, ws in indexed) / max(len(indexed), 1) or 1.0
         idf = {w: np.log1p((n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
         self.terms = {w: k for k, w in enumerate(df)}
-        self.blocks = -(-len(parsed) // BLOCK)
+        self.blocks = -(-len(indexed) // BLOCK)
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         self.block_max = np.zeros((len(self.terms), max(self.blocks, 1)), np.float32)
-        for at, ws in enumerate(self.words):
+        for at, (_, ws) in enumerate(indexed):
             tf = Counter(ws)
             own = {w: idf[w] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean)) for w, c in tf.items()}
             total = sum(own.values())
@@ -79,7 +90,7 @@ class ItemIndex:
             self.parts.append((np.unique(h[ends <= answer]), np.unique(h[ends > answer]), min(SHINGLE, len(ws))))
 
     def wand(self, terms: list[int], blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
-        """Items that score ``least`` or more on the distinct ``terms``, in document-at-a-time order; only ``blocks`` can hold them."""
+        """Pieces that score ``least`` or more on the distinct ``terms``, in document-at-a-time order; only ``blocks`` can hold them."""
         cursors = [[self.postings[t], 0, self.block_max[t]] for t in terms]
         out = []
         for block in blocks:
@@ -123,7 +134,7 @@ class ItemIndex:
         return out
 
     def retrieve(self, words: list[bytes], least: float = RETRIEVE, passage: int = PASSAGE) -> dict[int, float]:
-        """Best score by item over all passages of a text. Halves of passages are bounded by block maxima first: a passage without a block
+        """Best score by item of its pieces over all passages of a text. Halves of passages are bounded by block maxima first: a passage without a block
         that can reach ``least`` is never scored."""
         get, v, half = self.terms.get, len(self.terms), passage // 2
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
@@ -140,7 +151,8 @@ class ItemIndex:
         # the last half on its own is part of the passage before, unless it is the only one
         for h in np.flatnonzero((both >= least - 1e-6).any(axis=1)):
             own = np.unique(terms[(halves == h) | (halves == h + 1)])
-            for item, score in self.wand(own.tolist(), np.flatnonzero(both[h] >= least - 1e-6), least - 1e-9):
+            for at, score in self.wand(own.tolist(), np.flatnonzero(both[h] >= least - 1e-6), least - 1e-9):
+                item = self.item_of[at]
                 found[item] = max(found.get(item, 0.0), score)
         return found
 
@@ -156,7 +168,7 @@ class ItemIndex:
         return out
 
 
-def _part(docs: DataFrame, items: list[tuple[int | None, str]], retrieve: float, overlap: float) -> DataFrame:
+def _part(docs: DataFrame, items: list[tuple], retrieve: float, overlap: float) -> DataFrame:
     index = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,20 +189,25 @@ def _part(docs: DataFrame, items: list[tuple[int | None, str]], retrieve: float,
     return docs.mapInArrow(run, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
 
 
-def item_parts(benchmark: DataFrame) -> list[list[tuple[int | None, str]]]:
-    """The distinct test items, in parts of bounded size. A longer item than ITEM_BYTES stands for itself by consecutive pieces."""
+def item_parts(benchmark: DataFrame) -> list[list[tuple]]:
+    """The distinct test items, in parts of at most ``PART_ITEMS`` pieces. Pieces of one item may lie in several parts; each knows the whole item."""
     rows = benchmark.select(col(benchmark, "item_id", "long").alias("item_id"), F.trim(col(benchmark, "text", "string")).alias("text")).where("length(text) > 0").distinct()
-    parts: list[list[tuple[int | None, str]]] = [[]]
+    parts, left = [[]], PART_ITEMS
     for r in rows.orderBy("item_id", "text").toLocalIterator():
-        for at in range(0, len(r.text), ITEM_BYTES):
-            if len(parts[-1]) >= PART_ITEMS:
+        at, n = 0, len(pieces(len(bare_words(r.text))))
+        while at < n:
+            if not left:
                 parts.append([])
-            parts[-1].append((r.item_id, r.text[at : at + ITEM_BYTES]))
+                left = PART_ITEMS
+            take = min(left, n - at)
+            parts[-1].append((r.item_id, r.text, at, at + take))
+            at, left = at + take, left - take
     return parts
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
-    """``doc_id, item_id, score, question_overlap, answer_overlap`` for each document and test item found in it.
+    """``doc_id, item_id, score, question_overlap, answer_overlap`` for each document and test item found in it; the score is that of the
+    item's best piece.
 
     Null and empty texts and items match nothing; repeated rows give repeated results; empty tables give an empty result.
     """
