@@ -5,8 +5,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tickloom.plans import queries as market
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,6 +39,18 @@ def test_against_sql(spark, con, name):
     assert plain(map(tuple, df.select(cols).collect())) == plain(rel.project(order).fetchall())
 
 
+def test_no_brand_order_or_forecast_is_left_out(spark):
+    """k57 takes every ticker with a full history, k66 all 15 orders, k68 the last fifth of the returns."""
+    sf, q = "/root/testdata/sf0.1", entry.queries()  # smaller tables have no date with all brands
+    full = {r.ticker for r in q["b8_complete_history"](spark, sf).collect()}
+    assert len(full) > 3 and {r.a for r in q["k57_ledoit_wolf"](spark, sf).collect()} == full
+    orders = [(r.ticker, r.p, r.q) for r in q["k66_arma_orders"](spark, SF).collect()]
+    assert orders and max(p for _, p, _ in orders) == max(q for _, _, q in orders) == 3
+    n = {r.ticker: r.n for r in market._lret(spark, SF).groupBy("ticker").agg(F.count("*").alias("n")).collect()}
+    errors = {r.ticker: r.n for r in q["k68_forecast_errors"](spark, SF).collect()}
+    assert errors and all(abs(errors[t] - 0.2 * n[t]) <= 2 for t in errors)
+
+
 def test_flagship_has_rows(spark):
     assert entry.entry(spark).count() > 0
 

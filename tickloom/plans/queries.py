@@ -627,7 +627,8 @@ def _(spark, d):
 
 @query("k57_ledoit_wolf")
 def _(spark, d):
-    return po.ledoit_wolf(_three(spark, d)).select("a", "b", *r6s("cov", "shrinkage"))
+    rets = po.panel_returns(po.complete_case(rk.complete_tickers(sy.bars(spark, d), "1995-01-01")))
+    return po.ledoit_wolf(rets).select("a", "b", *r6s("cov", "shrinkage"))
 
 
 @query("k58_frontier_scan")
@@ -688,7 +689,7 @@ def _(spark, d):
 
 @query("k66_arma_orders")
 def _(spark, d):
-    return ts.arma_grid(_lret(spark, d), 2).select("ticker", *big("p", "q"), *r6s("aic", "bic"), *big("rank"))
+    return ts.arma_grid(_lret(spark, d)).select("ticker", *big("p", "q"), *r6s("aic", "bic"), *big("rank"))
 
 
 @query("k67_garch")
@@ -702,7 +703,7 @@ def _(spark, d):
 
 
 def _forecasts(spark, d):
-    return ts.walk_forward_forecast(_lret(spark, d), train=0.9)
+    return ts.walk_forward_forecast(_lret(spark, d))
 
 
 @query("k68_forecast_errors")
