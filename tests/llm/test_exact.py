@@ -324,6 +324,20 @@ def test_deobfuscation():
     assert "idiot" in toxicity.restore_text("you i d i o t there", model)
 
 
+def test_long_digit_rich_and_spaced_disguises():
+    words = "this is a stupid idiot and the others are moron losers with trash in it they said that you are today asshole shit".split()
+    counts = collections.Counter()
+    for w in words * 20:
+        w = f"^^{w}$"
+        counts.update(w[i : i + 3] for i in range(len(w) - 2))
+    model = toxicity.CharModel(dict(counts))
+    tokens = ("1d10t", "455h0le", "5h17", "st" + "u" * 40 + "pid", "2024", "12,345")
+    assert [toxicity.restored(w, model) for w in tokens] == ["idiot", "asshole", "shit", "stupid", "2024", "12,345"]
+    assert toxicity.spaced_words("you are a m o r o n today", model) == ["a", "moron"]
+    assert toxicity.spaced_words("m o r o n l o s e r s", model) == ["moron", "losers"]
+    assert toxicity.spaced_words(" ".join("moronlosers" * 9), model) == ["moron", "losers"] * 9
+
+
 def test_toxicity_held_out(spark):
     t = pq.read_table("/root/testdata/sf0.01/labels.parquet")
     toxic = dict(zip(t.column("doc_id").to_pylist(), t.column("toxic").to_pylist(), strict=True))

@@ -35,7 +35,6 @@ _EDGE = ".,;:!?\"'()[]{}<>#$%&*|/\\-_=+~`"
 _LETTERS = re.compile(r"[^\W\d_]+$")
 _DISGUISED = re.compile(r"[^\W\d_].*[\d@$!|+*#€.\-_]|[\d@$!|+*#€].*[^\W\d_]|([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?:(?<=\s)|^)(?:[^\W_][ .\-_*]){2,}[^\W_](?=[\s.,;:!?]|$)")
-_LONGEST = 24
 
 
 @dataclass
@@ -88,8 +87,8 @@ def readings(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: CharModel) -> str:
-    """The likeliest reading of a token by a Viterbi search over the last two letters."""
+def decode(token: str, model: CharModel, breaks: bool = False) -> str:
+    """The likeliest reading of a token by a Viterbi search over the last two letters; with ``breaks``, as words with a space between them."""
     paths: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
     for arcs in readings(token):
         step: dict[str, tuple[float, str]] = {}
@@ -101,6 +100,10 @@ def decode(token: str, model: CharModel) -> str:
                     state = state[1] + c
                 if state not in step or q > step[state][0]:
                     step[state] = (q, word + text)
+        if breaks:
+            q, word = max((p + model.log(two, "$"), word) for two, (p, word) in step.items())
+            if "^^" not in step or q > step["^^"][0]:
+                step["^^"] = (q, word + " ")
         paths = step
     return max(((p + model.log(two, "$"), word) for two, (p, word) in paths.items()), default=(0, token))[1]
 
@@ -112,14 +115,14 @@ def restored(token: str, model: CharModel) -> str:
     if _LETTERS.match(bare) and not _DISGUISED.search(bare):
         return bare
     inner = token.strip(".,;:?\"'()[]{}<>")
-    if "=" in inner or len(inner) > _LONGEST or sum(map(str.isdigit, inner)) * 2 > len(inner) or not _DISGUISED.search(inner):
+    if "=" in inner or not _DISGUISED.search(inner):
         return bare
     return decode(inner, model)
 
 
 def spaced_words(text: str, model: CharModel) -> list[str]:
-    """Words written as single letters in a row."""
-    return [decode(re.sub(r"[ .\-_*]", "", m.group()).lower(), model) for m in _SPACED.finditer(text) if len(m.group()) <= 4 * _LONGEST]
+    """Words written as single letters in a row; the model finds where one ends and the next begins."""
+    return [w for m in _SPACED.finditer(text) for w in decode(re.sub(r"[ .\-_*]", "", m.group()).lower(), model, True).split()]
 
 
 def _words(text: str, model: CharModel, seen: dict[str, str], limit: int = 300_000) -> Iterator[str]:
