@@ -338,6 +338,14 @@ def test_long_digit_rich_and_spaced_disguises():
     assert toxicity.spaced_words(" ".join("moronlosers" * 9), model) == ["moron", "losers"] * 9
 
 
+def test_no_trigram_is_cut(spark):
+    r = random.Random(2)
+    words = ["".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(3)) for _ in range(40_000)]
+    want = collections.Counter(w[i : i + 3] for w in (f"^^{w}$" for w in words) for i in range(4))
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 1000])) for i in range(0, 40_000, 1000)], "doc_id long, text string")
+    assert len(want) > 100_000 and toxicity.char_model(docs).counts == want
+
+
 def test_toxicity_held_out(spark):
     t = pq.read_table("/root/testdata/sf0.01/labels.parquet")
     toxic = dict(zip(t.column("doc_id").to_pylist(), t.column("toxic").to_pylist(), strict=True))

@@ -23,8 +23,8 @@ from .common import col
 
 #: Labelled rows of each class that the classifier is fitted on, at most; those with the lowest hash.
 FIT_ROWS = 10_000
-#: Trigrams that the language model keeps, most frequent first; word features that the classifier keeps, strongest first.
-LM_GRAMS, FEATURES = 100_000, 100_000
+#: Word features that the classifier keeps, strongest first.
+FEATURES = 100_000
 #: Documents that a feature must occur in.
 SUPPORT = 6
 #: What a sign may stand for.
@@ -169,9 +169,9 @@ def char_counts(docs: DataFrame) -> DataFrame:
     return docs.select(col(docs, "text", "string").alias("text")).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def char_model(docs: DataFrame, grams: int = LM_GRAMS) -> CharModel:
-    rows = char_counts(docs).orderBy(F.desc("n"), "gram").limit(grams).collect()
-    return CharModel({r.gram: r.n for r in rows})
+def char_model(docs: DataFrame) -> CharModel:
+    """The model of all trigrams that occur; it grows with the scripts of the corpus."""
+    return CharModel({r.gram: r.n for r in char_counts(docs).orderBy("gram").toLocalIterator()})
 
 
 def held_out(doc_id: Column) -> Column:
@@ -296,7 +296,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     empty result. Columns other than doc_id and text are not looked at.
     """
     model = fit_model(docs, labels, **how)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LM_GRAMS and FEATURES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # all trigrams that occur, and FEATURES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, float] = {}
