@@ -36,7 +36,7 @@ def test_streamed_upserts_keep_the_correction(spark, tmp_path):
         df.coalesce(1).write.mode("append").parquet(landed)
         stream = spark.readStream.schema(schema).parquet(landed)
         stream_upsert(stream, out, str(tmp_path / "cp"), schema).awaitTermination()
-        assert spark.read.schema(schema).parquet(f"{out}/v={i}").count() == (4, 5)[i]
-    rows = {str(r.date): r.close for r in spark.read.schema(schema).parquet(f"{out}/v=1").collect()}
+        assert spark.read.schema(schema).parquet(f"{out}/table").count() == (4, 5)[i]
+    rows = {str(r.date): r.close for r in spark.read.schema(schema).parquet(f"{out}/table").collect()}
     assert rows["2024-01-03"] == 999.0
     assert len(upsert(first, fix).collect()) == 5

@@ -15,6 +15,7 @@ from pyspark.sql.window import WindowSpec
 
 from ..functions.core import dense_grid, drawdown, ewma, growth, pct_rank_avg, ratio, rolling
 from ..schemas import DAYS, MONTHS
+from ..scratch import durable
 from .performance import by_date, dense_closes, with_returns
 
 
@@ -148,10 +149,13 @@ def equity_curve(rets: DataFrame, value: str = "ret_net", by: Sequence[str] = ()
 
 
 def perf_stats(rets: DataFrame, bench: DataFrame | None = None, rf: DataFrame | None = None, value: str = "ret_net", by: Sequence[str] = ()) -> DataFrame:
-    """CAGR, volatility, Sharpe over the policy rate, deepest drawdown, months; against a benchmark: tracking error and information ratio."""
+    """CAGR, volatility, Sharpe over the policy rate, deepest drawdown, months; against a benchmark: tracking error and information ratio. ``bench`` and ``rf`` may be columns of ``rets``."""
     rows = equity_curve(rets.where(F.col(value).isNotNull()), value, by)
-    rows = rows.join(F.broadcast(bench.select("month", "bench")), "month", "left") if bench is not None else rows.withColumn("bench", F.lit(None).cast("double"))
-    rows = rows.join(F.broadcast(rf.select("month", "rf")), "month", "left") if rf is not None else rows.withColumn("rf", F.lit(None).cast("double"))
+    for name, own in (("bench", bench), ("rf", rf)):  # a row a month
+        if own is not None:
+            rows = rows.drop(name).join(F.broadcast(own.select("month", name)), "month", "left")
+        elif name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("double"))
     excess, active = F.col(value) - F.coalesce("rf", F.lit(0.0)), F.col(value) - F.col("bench")
     out = rows.groupBy(*by).agg(
         F.count("*").alias("n_months"), F.max_by("equity", "month").alias("final"), F.stddev_pop(value).alias("sd"), F.avg(excess).alias("mean_excess"), F.stddev_pop(excess).alias("sd_excess"), F.min("drawdown").alias("max_dd"),
@@ -202,19 +206,36 @@ def grid_returns(panel: DataFrame, grid: DataFrame, tc_bps: float = 10.0, top_n:
     return rets.join(F.broadcast(warm), "config").where("ord > _warm").drop("_warm")
 
 
-def walk_forward(panel: DataFrame, bench: DataFrame, grid: DataFrame, train: float = 0.6, objective: str = "sharpe", tc_bps: float = 10.0, rf: DataFrame | None = None) -> DataFrame:
-    """Every configuration's statistics before and after the split of the common months, with ``chosen``: the first best in training."""
-    rets = grid_returns(panel, grid, tc_bps)
-    common = rets.select("month").distinct().join(bench.where("bench is not null").select("month"), "month").withColumn("at", F.row_number().over(W.orderBy("month"))).withColumn("n", F.count("*").over(W.partitionBy()))
-    parts = rets.join(F.broadcast(common), "month").withColumn("part", F.when(F.col("at") <= F.floor(F.col("n") * train), "train").otherwise("test"))
-    stats = perf_stats(parts, bench, rf, by=["config", "part"])
+def grid_parts(panel: DataFrame, bench: DataFrame, grid: DataFrame, train: float = 0.6, tc_bps: float = 10.0, rf: DataFrame | None = None) -> DataFrame:
+    """``grid_returns`` with ``bench``, ``rf`` and ``part``: ``train`` up to the split of the months that all have in common, ``test`` after it.
+
+    A table of configurations by months, written once: what is asked of it reads it again, not the panel.
+    """
+    rets = durable(grid_returns(panel, grid, tc_bps), "grid-returns")
+    common = rets.select("month").distinct().join(bench.where("bench is not null").select("month", "bench"), "month")  # a row a month
+    common = common.withColumn("_at", F.row_number().over(W.orderBy("month"))).withColumn("_n", F.count("*").over(W.partitionBy()))
+    common = common.join(rf.select("month", "rf"), "month", "left") if rf is not None else common.withColumn("rf", F.lit(None).cast("double"))
+    common = common.withColumn("part", F.when(F.col("_at") <= F.floor(F.col("_n") * train), "train").otherwise("test")).drop("_at", "_n")
+    return durable(rets.join(F.broadcast(common), "month"), "grid-parts")
+
+
+def walk_forward(parts: DataFrame, grid: DataFrame, objective: str = "sharpe") -> DataFrame:
+    """Every configuration's statistics in both ``parts``, with ``chosen``: the first best in training."""
+    stats = perf_stats(parts, by=["config", "part"])
     figures = ("cagr", "vol", "sharpe", "max_dd", "n_months", "te", "ir")
-    side = lambda p: stats.where(F.col("part") == p).select("config", *[F.col(c).alias(f"{p}_{c}") for c in figures])
-    out = grid.join(side("train"), "config").join(side("test"), "config", "left")
+    sides = stats.groupBy("config").agg(F.count_if(F.col("part") == "train").alias("_trained"), *[F.max(F.when(F.col("part") == p, F.col(c))).alias(f"{p}_{c}") for p in ("train", "test") for c in figures])
+    out = grid.join(sides.where("_trained > 0").drop("_trained"), "config")
     best = F.row_number().over(W.orderBy(F.col(f"train_{objective}").desc_nulls_last(), "config")) == 1
     return out.withColumn("chosen", best)
 
 
+def out_of_sample(parts: DataFrame, walked: DataFrame) -> DataFrame:
+    """``month, equity, bench_equity`` of the chosen configuration after the split, both growing from 1."""
+    own = parts.where("part = 'test'").join(F.broadcast(walked.where("chosen").select("config")), "config")  # one row
+    w = W.orderBy("month")  # a row a month
+    return own.select("month", growth(F.col("ret_net"), w).alias("equity"), growth(F.col("bench"), w).alias("bench_equity"))
+
+
 def robustness(walked: DataFrame, holds: Sequence[int] = (1, 3, 6)) -> DataFrame:
     """Mean test Sharpe by lookback (rows) and holding period (columns)."""
     return walked.groupBy("lookback").pivot("hold", list(holds)).agg(F.avg("test_sharpe"))

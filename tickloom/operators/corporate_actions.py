@@ -37,11 +37,25 @@ def price_jumps(bars: DataFrame, events: DataFrame, price: str = "close") -> Dat
     return seen.select(*ev.columns, jump_matches(F.col("before"), F.col("after"), F.col("ratio")).alias("jump")).withColumnRenamed("event_date", "date")
 
 
+def factors_after(keys: DataFrame, events: DataFrame, on: str, value: str, name: str, *, inclusive: bool = False) -> DataFrame:
+    """Adds to each row of ``keys`` (ticker, date) ``name``: the product of ``value`` over its ticker's events after the date (or on it); 1 without any.
+
+    A ticker's events become intervals with the product of all events from their end on, so that a row meets one interval and not each
+    event: the work grows with rows and events, not with their product.
+    """
+    per = events.groupBy(F.col("ticker").alias("_t"), F.col(on).alias("_on")).agg(F.product(value).alias("_v"))
+    w = W.partitionBy("_t").orderBy("_on")
+    later = per.select("_t", F.lag("_on").over(w).alias("_after"), "_on", F.product("_v").over(w.rowsBetween(W.currentRow, W.unboundedFollowing)).alias("_p"))
+    since = F.col("_after").isNull() | (F.col("date") > F.col("_after") if inclusive else F.col("date") >= F.col("_after"))
+    until = F.col("date") <= F.col("_on") if inclusive else F.col("date") < F.col("_on")
+    met = keys.join(later, (F.col("ticker") == F.col("_t")) & since & until, "left")
+    return met.withColumn(name, F.coalesce("_p", F.lit(1.0))).drop("_t", "_after", "_on", "_p")
+
+
 def split_factors(bars: DataFrame, splits: DataFrame) -> DataFrame:
-    """``ticker, date, factor`` for the distinct bar keys that a later split changes: the product of the ratios of splits after the date."""
-    active = price_jumps(bars, splits.where("kind in ('price', 'auto')")).where("kind = 'price' or jump").select(F.col("ticker").alias("_t"), F.col("date").alias("event_date"), "ratio")
-    keys = bars.select("ticker", "date").distinct()
-    return keys.join(active, (F.col("ticker") == F.col("_t")) & (F.col("date") < F.col("event_date"))).groupBy("ticker", "date").agg(F.product("ratio").alias("factor"))
+    """``bars`` with ``factor``: the product of the ratios of the splits after each bar. ``auto`` splits count if the raw closes show the jump."""
+    active = price_jumps(bars, splits.where("kind in ('price', 'auto')")).where("kind = 'price' or jump")
+    return factors_after(bars, active, "date", "ratio", "factor")
 
 
 def adjust_for_splits(bars: DataFrame, splits: DataFrame) -> DataFrame:
@@ -49,18 +63,16 @@ def adjust_for_splits(bars: DataFrame, splits: DataFrame) -> DataFrame:
 
     ``auto`` splits count if the raw closes show the jump.
     """
-    out = bars.join(split_factors(bars, splits), ["ticker", "date"], "left")
-    factor = F.coalesce("factor", F.lit(1.0))
+    out, factor = split_factors(bars, splits), F.col("factor")
     changes = {c: F.col(c) / factor for c in PRICES if c in bars.columns} | ({"volume": F.col("volume") * factor} if "volume" in bars.columns else {})
     return out.withColumns(changes).select(*bars.columns)
 
 
-def rename_chains(renames: DataFrame, rounds: int = 6) -> DataFrame:
+def rename_chains(renames: DataFrame) -> DataFrame:
     """``old, final, cutoff``: each old ticker's last name and the date from which its rows are void. Links are followed while dates do not
-    go back; ``rounds`` doubles what a chain may hold (64 links)."""
-    # the registry is tiny, so a fixed number of self-joins resolves it
+    go back. Each round doubles what is followed; a chain can't have more links than there are names, so their number bounds the rounds."""
     chain = renames.select("old", F.col("new").alias("final"), F.col("date").alias("cutoff"), F.col("date").alias("until"))
-    for _ in range(rounds):
+    for _ in range(max(renames.count(), 1).bit_length()):
         link = chain.select(F.col("old").alias("o"), F.col("final").alias("f"), F.col("cutoff").alias("c"), F.col("until").alias("u"))
         chain = chain.join(link, (F.col("final") == F.col("o")) & (F.col("c") >= F.col("until")), "left").select("old", F.coalesce("f", "final").alias("final"), "cutoff", F.coalesce("u", "until").alias("until"))
     return chain.select("old", "final", "cutoff")
@@ -68,7 +80,7 @@ def rename_chains(renames: DataFrame, rounds: int = 6) -> DataFrame:
 
 def apply_renames(bars: DataFrame, renames: DataFrame) -> DataFrame:
     """Bars under their last names, with ``source_ticker``; rows of an old name from its change on are dropped."""
-    chains = F.broadcast(rename_chains(renames))  # a registry of a few dozen rows
+    chains = rename_chains(renames)
     out = bars.join(chains, bars["ticker"] == chains["old"], "left").where(F.col("cutoff").isNull() | (F.col("date") < F.col("cutoff")))
     return out.select(F.coalesce("final", "ticker").alias("ticker"), *[c for c in bars.columns if c != "ticker"], F.col("ticker").alias("source_ticker"))
 
@@ -78,15 +90,13 @@ def one_per_date(stitched: DataFrame) -> DataFrame:
     return keep_last(stitched, ["ticker", "date"], (F.col("source_ticker") == F.col("ticker")).desc(), F.desc("source_ticker"))
 
 
-def dividend_factors(bars: DataFrame, dividends: DataFrame, splits: DataFrame, *, inclusive: bool = True, band: tuple[float, float] | None = BAND) -> DataFrame:
+def dividend_factors(adjusted: DataFrame, dividends: DataFrame, *, inclusive: bool = True, band: tuple[float, float] | None = BAND) -> DataFrame:
     """``ticker, closing_date, factor``: 1 less the yield of each dividend on the last bar up to its date (before it, if not ``inclusive``).
 
-    The yield is taken on the raw close or, if that is outside the band, on the split-adjusted one; a dividend with neither is skipped.
-    Without a band only a positive price is asked for.
+    ``adjusted`` has ticker, date, the raw close and ``adj``, the split-adjusted one. The yield is taken on the raw close or, if that is
+    outside the band, on the adjusted one; a dividend with neither is skipped. Without a band only a positive price is asked for.
     """
-    adjusted = adjust_for_splits(bars.select("ticker", "date", "close"), splits).withColumnRenamed("close", "adj")
-    px = bars.select("ticker", "date", F.col("close").alias("raw")).join(adjusted, ["ticker", "date"])
-    base = asof_join(dividends, px, ["ticker"], "closing_date", "date", ["raw", "adj"], inclusive=inclusive)
+    base = asof_join(dividends, adjusted.select("ticker", "date", F.col("close").alias("raw"), "adj"), ["ticker"], "closing_date", "date", ["raw", "adj"], inclusive=inclusive)
     raw, adj = F.try_divide("dividend_value", "raw"), F.try_divide("dividend_value", "adj")
     if band is None:
         y = F.when(F.col("raw") > 0, raw)
@@ -97,12 +107,11 @@ def dividend_factors(bars: DataFrame, dividends: DataFrame, splits: DataFrame, *
 
 def adjusted_close(bars: DataFrame, dividends: DataFrame, splits: DataFrame, *, inclusive: bool = True, band: tuple[float, float] | None = BAND) -> DataFrame:
     """Adds ``adj_close``: the split-adjusted close times the factors of all dividends from the bar's date on (after it, if not ``inclusive``)."""
-    factors = dividend_factors(bars, dividends, splits, inclusive=inclusive, band=band).withColumnRenamed("ticker", "_t")
-    reach = F.col("date") <= F.col("closing_date") if inclusive else F.col("date") < F.col("closing_date")
-    per_bar = bars.select("ticker", "date").distinct().join(factors, (F.col("ticker") == F.col("_t")) & reach).groupBy("ticker", "date").agg(F.product("factor").alias("_div"))
-    base = adjust_for_splits(bars.select("ticker", "date", "close"), splits).select("ticker", "date", F.col("close").alias("_base"))
-    out = bars.join(base, ["ticker", "date"], "left").join(per_bar, ["ticker", "date"], "left")
-    return out.withColumn("adj_close", F.col("_base") * F.coalesce("_div", F.lit(1.0))).drop("_base", "_div")
+    cols = [c for c in bars.columns if c != "adj_close"]
+    adjusted = split_factors(bars.drop("adj_close"), splits).withColumn("adj", F.col("close") / F.col("factor"))
+    factors = dividend_factors(adjusted, dividends, inclusive=inclusive, band=band)
+    out = factors_after(adjusted, factors, "closing_date", "factor", "_div", inclusive=inclusive)
+    return out.select(*cols, (F.col("adj") * F.col("_div")).alias("adj_close"))
 
 
 def simple_adjusted_close(bars: DataFrame, dividends: DataFrame) -> DataFrame:
@@ -114,10 +123,9 @@ def simple_adjusted_close(bars: DataFrame, dividends: DataFrame) -> DataFrame:
 def adjusted_shares(bars: DataFrame, shares: DataFrame, splits: DataFrame) -> DataFrame:
     """Snapshots in the terms of the prices: those before a ``shares`` split divided by its ratio, before an ``auto`` one that prices don't show multiplied."""
     ev = price_jumps(bars, splits.where("kind in ('shares', 'auto')"))
-    ev = ev.select(F.col("ticker").alias("_t"), F.col("date").alias("event_date"), F.when(F.col("kind") == "shares", 1 / F.col("ratio")).when(~F.col("jump"), F.col("ratio")).alias("f")).where("f is not null")
+    ev = ev.select("ticker", F.col("date").alias("event_date"), F.when(F.col("kind") == "shares", 1 / F.col("ratio")).when(~F.col("jump"), F.col("ratio")).alias("f")).where("f is not null")
     once = keep_last(shares, ["ticker", "date"], F.desc("shares"))
-    factor = once.join(F.broadcast(ev), (F.col("ticker") == F.col("_t")) & (F.col("date") < F.col("event_date"))).groupBy("ticker", "date").agg(F.product("f").alias("f"))
-    return once.join(factor, ["ticker", "date"], "left").select("ticker", "date", (F.col("shares") * F.coalesce("f", F.lit(1.0))).alias("shares"))
+    return factors_after(once, ev, "event_date", "f", "_f").select("ticker", "date", (F.col("shares") * F.col("_f")).alias("shares"))
 
 
 def market_cap(bars: DataFrame, shares: DataFrame, splits: DataFrame, price: str = "close") -> DataFrame:

@@ -140,6 +140,12 @@ def return_stats(bars: DataFrame, rf: float = 0.0, price: str = "close") -> Data
     return out.select("ticker", "n", cagr.alias("cagr"), "vol", ratio(cagr - rf, F.nullif(F.col("vol"), F.lit(0.0))).alias("sharpe"))
 
 
+def growth_of_both(bars: DataFrame, price: str = "close", total: str = "adj_close") -> DataFrame:
+    """Growth and volatility from log returns of the price and of the total return, and the difference: the dividend yield they imply."""
+    own, full = (return_stats(bars, price=c).select("ticker", F.col("n").alias(f"n_{k}"), F.col("cagr").alias(f"{k}_cagr"), F.col("vol").alias(f"{k}_vol")) for c, k in ((price, "price"), (total, "total")))
+    return own.join(full, "ticker").withColumn("dividend_yield", F.col("total_cagr") - F.col("price_cagr"))
+
+
 def stats_summary(stats: DataFrame) -> DataFrame:
     """Means, medians and extremes of the growth figures; one row."""
     return stats.agg(

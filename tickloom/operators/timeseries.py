@@ -144,38 +144,49 @@ def hannan_rissanen(x: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarr
     return _ols(np.column_stack([np.ones(len(x) - start), _lagged(x, p, start), _lagged(e, q, start)]), x[start:])
 
 
-def arma_grid(returns: DataFrame, most: int = 3, by: str = "ticker", time: str = "date") -> DataFrame:
-    """``by, p, q, aic, bic, rank``: orders up to ``most``, one grouped map for each (ticker, order); approximate. (0, 0) is left out."""
-    orders = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in range(most + 1) for q in range(most + 1) if p + q]))
+def arma_grid(returns: DataFrame, most: int = 3, differences: tuple[int, ...] = (0, 1), by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, p, d, q, aic, bic, rank``: orders up to ``most`` of the series differenced ``d`` times, one grouped map for each (ticker, order);
+    approximate. (0, d, 0) is left out."""
+    orders = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q")) for p in range(most + 1) for d in differences for q in range(most + 1) if p + q]))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(time)["ret"].to_numpy(float)
-        p, q = int(key[1]), int(key[2])
+        p, d, q = (int(k) for k in key[1:4])
         if len(x) <= LEAST_GRID:
-            return pd.DataFrame([], columns=[by, "p", "q", "aic", "bic"])
-        _, e = hannan_rissanen(x, p, q)
+            return pd.DataFrame([], columns=[by, "p", "d", "q", "aic", "bic"])
+        _, e = hannan_rissanen(np.diff(x, d), p, q)
         ll = len(e) * math.log(max(e @ e / len(e), 1e-300))
-        return pd.DataFrame([[key[0], p, q, ll + 2 * (p + q + 1), ll + math.log(len(e)) * (p + q + 1)]], columns=[by, "p", "q", "aic", "bic"])
+        return pd.DataFrame([[key[0], p, d, q, ll + 2 * (p + q + 1), ll + math.log(len(e)) * (p + q + 1)]], columns=[by, "p", "d", "q", "aic", "bic"])
 
-    out = returns.select(by, time, "ret", orders.alias("o")).select(by, time, "ret", "o.*").groupBy(by, "p", "q").applyInPandas(run, f"{by} string, p int, q int, aic double, bic double")
-    return out.withColumn("rank", F.row_number().over(W.partitionBy(by).orderBy("aic", "p", "q")))
+    out = returns.select(by, time, "ret", orders.alias("o")).select(by, time, "ret", "o.*").groupBy(by, "p", "d", "q").applyInPandas(run, f"{by} string, p int, d int, q int, aic double, bic double")
+    return out.withColumn("rank", F.row_number().over(W.partitionBy(by).orderBy("aic", "p", "d", "q")))
 
 
-def garch_grid(returns: DataFrame, by: str = "ticker", time: str = "date") -> DataFrame:
-    """``by, date, alpha, beta, cond_vol, std_resid``: the GARCH(1,1) of the best likelihood among a grid of parameters, its variance
-    targeted to the sample's; one pass over time for all candidates at once; approximate."""
+def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, date, alpha, beta, cond_vol, std_resid``: the GARCH(p, q) of the best likelihood among a grid of parameters, its variance
+    targeted to the sample's; one pass over time for all candidates at once; approximate.
+
+    ``alpha`` and ``beta`` are the sums over the ``p`` lags of squares and the ``q`` of variances; each lag has half the weight of the one
+    before. Needs more than 60 values.
+    """
     grid = np.array([(a, b) for a in (0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.3) for b in (0.3, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.94) if a + b < 0.999])
+    halves = lambda n: 0.5 ** np.arange(n) / (0.5 ** np.arange(n)).sum()
+    on_squares, on_variances = halves(p), halves(q)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(time)
+        if len(pdf) <= LEAST_GRID:
+            return pd.DataFrame([], columns=[by, time, "alpha", "beta", "cond_vol", "std_resid"])
         e = (pdf["ret"].to_numpy(float) - pdf["ret"].mean()) * 100
         v = max(e.var(), 1e-12)
         omega = v * (1 - grid.sum(1))
-        h, path, ll = np.full(len(grid), v), np.empty((len(e), len(grid))), np.zeros(len(grid))
+        squares, variances = np.full(p, v), np.full((q, len(grid)), v)  # the last ones, newest first
+        path, ll = np.empty((len(e), len(grid))), np.zeros(len(grid))
         for i, x in enumerate(e):
+            h = omega + grid[:, 0] * (on_squares @ squares) + grid[:, 1] * (on_variances @ variances) if i else np.full(len(grid), v)
             path[i] = h
             ll -= 0.5 * (np.log(h) + x * x / h)
-            h = omega + grid[:, 0] * x * x + grid[:, 1] * h
+            squares, variances = np.append(x * x, squares[:-1]), np.vstack([h, variances[:-1]])
         k = int(ll.argmax())
         sd = np.sqrt(path[:, k])
         return pd.DataFrame({by: pdf[by], time: pdf[time], "alpha": grid[k, 0], "beta": grid[k, 1], "cond_vol": sd, "std_resid": e / sd})
@@ -265,7 +276,7 @@ def forecast_steps(returns: DataFrame, horizon: int = 10, p: int = 1, q: int = 1
     return returns.select(by, time, "ret").groupBy(by).applyInPandas(run, f"{by} string, step int, forecast double, half_width double")
 
 
-def residual_diagnostics(returns: DataFrame) -> DataFrame:
+def residual_diagnostics(returns: DataFrame, p: int = 1, q: int = 1) -> DataFrame:
     """GARCH residuals with the squares whose autocorrelation tells whether clustering is left, and their rolling deviation."""
-    g = garch_grid(returns)
+    g = garch_grid(returns, p, q)
     return g.withColumn("squared", F.pow("std_resid", 2)).withColumn("rolling_sd", rolling(F.stddev_samp, "std_resid", 60, by_date()))

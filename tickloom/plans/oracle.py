@@ -6,8 +6,8 @@ from ..sources import synthetic as s
 
 
 def r6(x: str) -> str:
-    """Six decimals, by an expression that both engines evaluate alike."""
-    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
+    """Six decimals, ten digits of numbers from a million on (just more than half up), null for NaN: by expressions that both engines evaluate alike."""
+    return f"list_transform([CAST(({x}) AS DOUBLE)], lambda v: CASE WHEN isnan(v) THEN NULL WHEN abs(v) < 1e6 THEN floor(v * 1e6 + 0.5) / 1e6 ELSE CAST(format('{{:.9e}}', v * (1 + 2e-12)) AS DOUBLE) END)[1]"
 
 
 _BAR = "CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)"
@@ -72,15 +72,39 @@ PARTS = {
         JOIN (SELECT ticker, max(date) AS d, last(close ORDER BY date) AS now_px, last(market_cap ORDER BY date) AS now_cap FROM cap WHERE close > 0 GROUP BY 1) n ON t.ticker = n.ticker WHERE d >= (SELECT max(date) FROM cap) - 30""",
     "vret": "SELECT * FROM (SELECT ticker, date, ln(close / lag(close) OVER (PARTITION BY ticker ORDER BY date)) AS ret FROM bars JOIN (SELECT ticker AS t, median(close) AS mid FROM bars GROUP BY 1) ON ticker = t WHERE close > 0 AND close BETWEEN 0.01 * mid AND 1000 * mid) WHERE ret IS NOT NULL",
     "lret": "SELECT * FROM (SELECT ticker, date, ln(close / lag(close) OVER (PARTITION BY ticker ORDER BY date)) AS ret FROM bars WHERE close > 0) WHERE ret IS NOT NULL",
-    "xs": "SELECT *, sum(x * x) OVER (PARTITION BY ticker) AS ss FROM (SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, ret - avg(ret) OVER (PARTITION BY ticker) AS x FROM lret)",
-    "cc": "SELECT ticker, date, close FROM bars WHERE ticker IN ('Brand#11', 'Brand#12', 'Brand#13') AND date IN (SELECT date FROM bars WHERE ticker IN ('Brand#11', 'Brand#12', 'Brand#13') GROUP BY 1 HAVING count(*) = 3)",
+    "xs": "SELECT *, sum(x * x) OVER (PARTITION BY ticker) AS ss, count(*) OVER (PARTITION BY ticker) AS n FROM (SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, ret - avg(ret) OVER (PARTITION BY ticker) AS x FROM lret)",
+    "mc": "SELECT ticker, date, close FROM (SELECT ticker, last_day(date) AS date, last(close ORDER BY date) AS close FROM bars WHERE ticker IN (SELECT ticker FROM bars GROUP BY 1 HAVING min(date) <= DATE '1995-01-01' + 30 AND max(date) >= (SELECT max(date) FROM bars) - 30) GROUP BY 1, 2)",
+    "cc": "SELECT * FROM mc WHERE date IN (SELECT date FROM mc GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT ticker) FROM mc))",
     "cr": "SELECT * FROM (SELECT ticker, date, close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1 AS ret FROM cc) WHERE ret IS NOT NULL",
     "bonds": "SELECT 'B' || l_partkey AS secid, CAST(l_shipdate AS DATE) AS tradedate, 60 + (sum(l_quantity) % 80) AS close FROM lineitem GROUP BY 1, 2",
+    "acf": "SELECT a.ticker, k.lag, sum(a.x * b.x) / any_value(a.ss) AS acf, any_value(a.n) AS n FROM xs a CROSS JOIN (SELECT unnest(generate_series(1, 25)) AS lag) k JOIN xs b ON b.ticker = a.ticker AND b.i = a.i - k.lag GROUP BY 1, 2",
     "bparams": "SELECT 'B' || p_partkey AS secid, 1000.0::DOUBLE AS face, CAST(p_size % 13 AS DOUBLE) AS coupon, CASE WHEN p_size % 10 <> 0 THEN CAST(DATE '1998-01-01' + to_months(p_size * 2) AS DATE) END AS mat FROM part",
+    # bonds: the yield by halving, 50 times, and the duration at it
+    "byield": """SELECT secid, tradedate, close, years, face, c, n, CASE WHEN mat IS NULL THEN NULL WHEN n <= 0 THEN 0.0 WHEN px >= c * (1 - pow(0.75, -n)) / -0.25 + face * pow(0.75, -n) THEN -50.0 WHEN px <= c * (1 - pow(3.5, -n)) / 2.5 + face * pow(3.5, -n) THEN 500.0
+        ELSE 100 * list_reduce([-0.5] || list_transform(generate_series(1, 50), lambda k: 5.5 / pow(2.0, k)), lambda y, s: CASE WHEN c * CASE WHEN abs(y + s) < 1e-12 THEN n ELSE (1 - pow(1 + (y + s) / 2, -n)) / ((y + s) / 2) END + face * pow(1 + (y + s) / 2, -n) > px THEN y + s ELSE y END) END AS ytm
+        FROM (SELECT b.secid, b.tradedate, b.close, face, mat, b.close / 100 * face AS px, face * coupon / 100 / 2 AS c, date_diff('day', tradedate, mat) / 365.25 AS years, CAST(floor(date_diff('day', tradedate, mat) / 365.25 * 2) AS INT) AS n FROM bonds b LEFT JOIN bparams USING (secid))""",
+    # strategies with the trend gate and volatility scaling
+    "trend": """SELECT last_day(date) AS month, CAST(arg_max(f, date) > arg_max(s, date) AS DOUBLE) AS ewmac, CASE WHEN arg_max(ma, date) IS NOT NULL THEN CAST(last(close ORDER BY date) > arg_max(ma, date) AS DOUBLE) END AS above_ma
+        FROM (SELECT i.date, i.close, CASE WHEN count(*) OVER w >= 100 THEN avg(close) OVER w END AS ma, list_reduce(list(close) OVER u, lambda acc, x: acc * (1 - 2.0 / 17) + x * (2.0 / 17)) AS f, list_reduce(list(close) OVER u, lambda acc, x: acc * (1 - 2.0 / 65) + x * (2.0 / 65)) AS s FROM idx i WINDOW w AS (ORDER BY date ROWS 199 PRECEDING), u AS (ORDER BY date ROWS UNBOUNDED PRECEDING)) GROUP BY 1""",
+    "wgate": "SELECT w.ticker, w.ord, w.month, w.weight * coalesce(t.ewmac, 1.0) AS weight FROM whold w LEFT JOIN trend t ON t.month = w.month",
+    "ggross": "SELECT c.ord, coalesce(g, 0) AS g FROM mcal c LEFT JOIN (SELECT w.ord + 1 AS ord, sum(weight * CASE WHEN ret IS NULL OR ret <= -1 THEN 0 ELSE ret END) AS g FROM wgate w LEFT JOIN panel p ON p.ticker = w.ticker AND p.ord = w.ord + 1 WHERE weight <> 0 GROUP BY 1) x ON x.ord = c.ord",
+    "gscale": "SELECT ord, coalesce(least(0.15 / nullif(CASE WHEN count(g) OVER w >= 6 THEN stddev_pop(g) OVER w * sqrt(12.0) END, 0), 2.0), 1.0) AS s FROM ggross WINDOW w AS (ORDER BY ord ROWS 11 PRECEDING)",
+    "wscaled": "SELECT w.ticker, w.ord, w.weight * s AS weight FROM wgate w JOIN gscale g ON g.ord = w.ord WHERE w.weight * s <> 0",
+    # the grid
+    "cfg": "SELECT *, row_number() OVER (ORDER BY lookback, skip, hold, q, long_short) AS config FROM (SELECT unnest([3, 6, 9, 12]) AS lookback), (SELECT unnest([0, 1]) AS skip), (SELECT unnest([1, 3, 6]) AS hold), (SELECT unnest([CAST(0.2 AS DOUBLE), CAST(0.3 AS DOUBLE)]) AS q), (SELECT unnest([false, true]) AS long_short)",
+    "gsig": "SELECT * FROM (SELECT c.lookback, c.skip, p.ticker, p.month, p.ord, lag(px, c.skip) OVER w / lag(px, c.lookback + c.skip) OVER w - 1 AS mom FROM panel p, (SELECT DISTINCT lookback, skip FROM cfg) c WINDOW w AS (PARTITION BY c.lookback, c.skip, p.ticker ORDER BY p.ord)) WHERE mom IS NOT NULL",
+    "gw": """SELECT lookback, skip, q, long_short, ticker, ord, CASE WHEN long_short AND down <= k THEN -1.0 / k WHEN up <= k THEN 1.0 / k END AS weight FROM (SELECT *, greatest(1, floor(n * q)) AS k FROM (SELECT s.*, c.q, c.long_short, count(*) OVER m AS n, row_number() OVER (m ORDER BY mom DESC, ticker) AS up, row_number() OVER (m ORDER BY mom, ticker) AS down
+        FROM gsig s JOIN (SELECT DISTINCT lookback, skip, q, long_short FROM cfg) c ON c.lookback = s.lookback AND c.skip = s.skip WINDOW m AS (PARTITION BY s.lookback, s.skip, c.q, c.long_short, s.month)))""",
+    "gheld": "SELECT g.config, w.ticker, m.ord, sum(weight / g.hold) AS weight FROM gw w JOIN cfg g ON g.lookback = w.lookback AND g.skip = w.skip AND g.q = w.q AND g.long_short = w.long_short JOIN mcal m ON m.ord BETWEEN w.ord AND w.ord + g.hold - 1 WHERE weight IS NOT NULL GROUP BY 1, 2, 3",
+    "grets": """SELECT g.config, m.month, m.ord, coalesce(x.g, 0) - coalesce(t.t, 0) * 10 / 1e4 AS ret_net FROM cfg g CROSS JOIN mcal m LEFT JOIN (SELECT w.config, w.ord + 1 AS ord, sum(weight * CASE WHEN ret IS NULL OR ret <= -1 THEN 0 ELSE ret END) AS g FROM gheld w LEFT JOIN panel p ON p.ticker = w.ticker AND p.ord = w.ord + 1 WHERE weight <> 0 GROUP BY 1, 2) x ON x.config = g.config AND x.ord = m.ord
+        LEFT JOIN (SELECT config, ord, sum(abs(d)) / 2 AS t FROM (SELECT config, ticker, ord, sum(w) AS d FROM (SELECT config, ticker, ord, weight AS w FROM gheld UNION ALL SELECT config, ticker, ord + 1, -weight FROM gheld) GROUP BY 1, 2, 3) GROUP BY 1, 2) t ON t.config = g.config AND t.ord = m.ord WHERE m.ord > g.lookback + g.skip + 1""",
+    "gparts": "SELECT r.*, bench, coalesce(rf, 0) AS rf, CASE WHEN spot <= floor(n * CAST(0.6 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM grets r JOIN (SELECT month, bench, row_number() OVER (ORDER BY month) AS spot, count(*) OVER () AS n FROM bench WHERE bench IS NOT NULL AND month IN (SELECT month FROM grets)) c USING (month) LEFT JOIN rf USING (month)",
+    "gstats": "SELECT config, part, CASE WHEN product(1 + ret_net) > 0 THEN pow(product(1 + ret_net), 12.0 / count(*)) - 1 END AS cagr, avg(ret_net - rf) / nullif(stddev_pop(ret_net - rf), 0) * sqrt(12.0) AS sharpe FROM gparts GROUP BY 1, 2",
+    "walked": "SELECT c.*, a.sharpe AS train_sharpe, b.sharpe AS test_sharpe, a.cagr AS train_cagr, b.cagr AS test_cagr, row_number() OVER (ORDER BY a.sharpe DESC NULLS LAST, c.config) = 1 AS chosen FROM cfg c JOIN gstats a ON a.config = c.config AND a.part = 'train' LEFT JOIN gstats b ON b.config = c.config AND b.part = 'test'",
 }
 
 
-def used(body: str) -> list[str]:
+def used(body: str, parts: dict[str, str]) -> list[str]:
     """The parts that a text names, directly or through others, in order."""
     import re
 
@@ -88,14 +112,21 @@ def used(body: str) -> list[str]:
     todo = [body]
     while todo:
         text = todo.pop()
-        for name in PARTS:
+        for name in parts:
             if name not in need and re.search(rf"\b(FROM|JOIN|,)\s+\(?{name}\b", text):
                 need.add(name)
-                todo.append(PARTS[name])
-    return [n for n in PARTS if n in need]
+                todo.append(parts[name])
+    return [n for n in parts if n in need]
 
 
-def sql(body: str) -> str:
-    """``body`` with the WITH clause that it needs."""
-    parts = ", ".join(f"{n} AS ({PARTS[n]})" for n in used(body))
-    return f"WITH {parts} {body}" if parts else body
+def sql(body: str, **changed: str) -> str:
+    """``body`` with the WITH clause that it needs, some parts ``changed``."""
+    own = {}
+    for name, text in PARTS.items():
+        if name in changed:  # the original stays beside it
+            own[f"{name}_0"] = text
+        own[name] = changed.get(name, text)
+    parts = ", ".join(f"{n} AS MATERIALIZED ({own[n]})" for n in used(body, own))
+    if not parts:
+        return body
+    return body.replace("WITH RECURSIVE ", f"WITH RECURSIVE {parts}, ", 1) if body.startswith("WITH RECURSIVE ") else f"WITH {parts} {body}"

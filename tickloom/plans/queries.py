@@ -15,6 +15,8 @@ from ..operators import performance as pf
 from ..operators import portfolio as po
 from ..operators import risk as rk
 from ..operators import timeseries as ts
+from ..schemas import BOND_BARS, INDEX_BARS, MONTHS, RENAMES, SECTORS
+from ..scratch import durable, scratch_path
 from ..sources import market as mk
 from ..sources import synthetic as sy
 from .oracle import r6 as R
@@ -27,20 +29,21 @@ ORACLES: dict[str, str] = {}
 PERIOD, ANCHOR = "3m", "1999-12-30"
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, oracle: str | None = None, **parts: str) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
         QUERIES[name] = f
         if oracle:
-            ORACLES[name] = sql(oracle)
+            ORACLES[name] = sql(oracle, **parts)
         return f
 
     return register
 
 
 def r6(x: Column | str, name: str | None = None) -> Column:
-    """Six decimals, by an expression that both engines evaluate alike."""
-    x = F.col(x) if isinstance(x, str) else x
-    return (F.floor(x * 1e6 + 0.5) / 1e6).alias(name) if name else F.floor(x * 1e6 + 0.5) / 1e6
+    """Six decimals, ten digits of numbers from a million on (just more than half up), null for NaN: by expressions that both engines evaluate alike."""
+    x = F.nanvl((F.col(x) if isinstance(x, str) else x).cast("double"), F.lit(None).cast("double"))
+    out = F.when(F.abs(x) < 1e6, F.floor(x * 1e6 + 0.5) / 1e6).when(x.isNotNull(), F.format_string("%.9e", x * (1 + 2e-12)).cast("double"))
+    return out.alias(name) if name else out
 
 
 def r6s(*names: str) -> list[Column]:
@@ -58,15 +61,102 @@ def big(*names: str) -> list[Column]:
 # ---------------------------------------------------------------- sources
 
 
+_UPSERT = "SELECT ticker, date, close * 1.01 AS close FROM bars WHERE date >= DATE '2000-12-01' UNION ALL SELECT ticker, date, close FROM bars WHERE date < DATE '2000-12-01'"
+
+
+def _stored(spark, df, **how):
+    """A table of the engine's own, in the shared scratch folder."""
+    path = scratch_path(spark, "stored")
+    mk.write_bars(df, path, **how)
+    return path
+
+
+def _bar_columns(spark, d):
+    return sy.bars(spark, d).select("ticker", "date", F.lit(None).cast("double").alias("open"), "low", "high", "close", "waprice", "value_rub", "volume")
+
+
 @query("a1_read_bars", f"SELECT ticker, date, {Rs('close', 'value_rub')}, volume FROM bars WHERE ticker IN ('Brand#11', 'Brand#12') AND date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'")
 def _(spark, d):
-    rows = sy.bars(spark, d).where(F.col("ticker").isin("Brand#11", "Brand#12") & F.col("date").between(F.lit("1997-01-01").cast("date"), F.lit("1998-12-31").cast("date")))
+    rows = mk.read_bars(spark, _stored(spark, _bar_columns(spark, d)), ["Brand#11", "Brand#12"], "1997-01-01", "1998-12-31")
     return rows.select("ticker", "date", *r6s("close", "value_rub"), "volume")
 
 
-@query("a2_stored_bars_scan", "SELECT ticker, CAST(count(*) AS BIGINT) AS n, min(date) AS first_date, max(date) AS last_date FROM bars GROUP BY 1")
+@query("a2_stored_bars_scan", """SELECT CASE WHEN ticker IN ('Brand#21', 'Brand#22') THEN 'Brand#23' ELSE ticker END AS ticker, CAST(count(*) AS BIGINT) AS n, min(date) AS first_date, max(date) AS last_date FROM bars
+       WHERE NOT (ticker = 'Brand#21' AND date >= DATE '1998-01-02') AND NOT (ticker = 'Brand#22' AND date >= DATE '2000-01-03') GROUP BY 1""")
+def _(spark, d):
+    rows = mk.read_all(spark, _stored(spark, _bar_columns(spark, d)), sy.renames(spark))
+    return rows.groupBy("ticker").agg(F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query("a3_read_index", f"SELECT 'INDEX' AS ticker, date, {R('close')} AS close FROM idx")
+def _(spark, d):
+    return mk.read_one(spark, _stored(spark, sy.index_bars(spark, d)), "ticker", "INDEX", INDEX_BARS).select("ticker", "date", r6("close", "close"))
+
+
+@query("a4_read_bond", f"SELECT secid, tradedate, {R('close')} AS close FROM bonds WHERE secid = 'B1'")
+def _(spark, d):
+    path = _stored(spark, sy.bond_bars(spark, d).withColumn("waprice", F.col("close")), key="secid", date="tradedate")
+    return mk.read_one(spark, path, "secid", "B1", BOND_BARS).select("secid", "tradedate", r6("close", "close"))
+
+
+def _landed_csv(spark, df):
+    path = scratch_path(spark, "landed-csv")
+    mk.write_csv(df, path)
+    return path
+
+
+@query("a7_rename_registry", "SELECT r.old, r.new, r.date, CAST(count(b.date) AS BIGINT) AS bars_before FROM renames r LEFT JOIN bars b ON b.ticker = r.old AND b.date < r.date GROUP BY 1, 2, 3")
+def _(spark, d):
+    renames = mk.registry(spark, _landed_csv(spark, sy.renames(spark)), RENAMES)
+    px = sy.bars(spark, d).select(F.col("ticker").alias("t"), F.col("date").alias("b"))
+    return renames.join(px, (F.col("old") == F.col("t")) & (F.col("b") < F.col("date")), "left").groupBy("old", "new", "date").agg(F.count("b").alias("bars_before"))
+
+
+@query("a9_sector_map", "SELECT coalesce(sector, 'other') AS sector, CAST(count(*) AS BIGINT) AS bars FROM bars b LEFT JOIN sectors s ON s.ticker = b.ticker GROUP BY 1")
+def _(spark, d):
+    return pf.with_sector(sy.bars(spark, d), mk.registry(spark, _landed_csv(spark, sy.sectors(spark, d)), SECTORS)).groupBy("sector").agg(F.count("*").alias("bars"))
+
+
+@query("a15_bond_list", "SELECT 'B' || p_partkey AS secid, p_name AS shortname, 1000.0::DOUBLE AS facevalue, CAST(p_size % 13 AS DOUBLE) AS couponpercent, mat AS matdate FROM part JOIN bparams ON secid = 'B' || p_partkey WHERE p_size % 3 = 0")
+def _(spark, d):
+    return mk.bond_list(_bond_payloads(spark, d), "TQCB")
+
+
+@query("a15_bond_params", "SELECT secid, face AS facevalue, coupon AS couponpercent, mat AS matdate FROM bparams")
+def _(spark, d):
+    return mk.bond_params(_bond_payloads(spark, d))
+
+
+def _bond_payloads(spark, d):
+    """The bond table as the exchange sends it, a document for each group of bonds."""
+    names = sy.read(spark, d, "part").select(F.concat(F.lit("B"), F.col("p_partkey")).alias("secid"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 3 == 0, "TQCB").otherwise("TQOB").alias("board"))
+    text = sy.bond_params(spark, d).join(names, "secid").select("secid", F.array("secid", "name", "board", F.col("facevalue").cast("string"), F.col("couponpercent").cast("string"), F.col("matdate").cast("string")).alias("r"))
+    heads = F.array(*[F.lit(c) for c in ("SECID", "SHORTNAME", "BOARDID", "FACEVALUE", "COUPONPERCENT", "MATDATE")])
+    docs = text.groupBy(F.pmod(F.hash("secid"), F.lit(16))).agg(F.struct(heads.alias("columns"), F.collect_list("r").alias("data")).alias("securities"))
+    return docs.select(F.to_json(F.struct("securities")).alias("payload"))
+
+
+@query("a17_replace_table", f"SELECT ticker, date, {R('close')} AS close FROM ({_UPSERT})")
+def _(spark, d):
+    stored, landed = _stored_and_landed(spark, d)
+    path = _stored(spark, stored.select("ticker", "date", "close"))
+    before = mk.read_bars(spark, path, schema="ticker string, date date, close double")
+    mk.write_bars(mk.upsert(before, landed.select("ticker", "date", "close")), path)  # reads the table that it replaces
+    return mk.read_bars(spark, path, schema="ticker string, date date, close double").select("ticker", "date", r6("close", "close"))
+
+
+@query("a19_update_all", f"SELECT ticker, date, {R('close')} AS close FROM ({_UPSERT}) WHERE ticker <> 'Brand#13' UNION ALL SELECT ticker, date, {R('close')} FROM bars WHERE ticker = 'Brand#13' AND date <= DATE '2000-12-31'")
 def _(spark, d):
-    return sy.bars(spark, d).groupBy("ticker").agg(F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    stored, landed = _stored_and_landed(spark, d)
+    broken = (F.col("ticker") == "Brand#13") & (F.dayofmonth("date") == 5)
+    text = landed.select("ticker", F.col("date").cast("string").alias("date"), F.when(broken, "n/a").otherwise(F.col("close").cast("string")).alias("close"))
+    return mk.update_all(stored.select("ticker", "date", "close"), text)[0].select("ticker", "date", r6("close", "close"))
+
+
+@query("a22_csv_export", "SELECT ticker, CAST(count(*) AS BIGINT) AS n, min(date) AS first_date, max(date) AS last_date FROM bars GROUP BY 1")
+def _(spark, d):
+    path = _landed_csv(spark, sy.bars(spark, d).select("ticker", "date", "close"))
+    return mk.registry(spark, path, "ticker string, date date, close double").groupBy("ticker").agg(F.count("date").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
 @query("a5_shares_snapshots", "SELECT s.ticker, CAST(count(DISTINCT s.date) AS BIGINT) AS snapshots, CAST(count(b.date) AS BIGINT) AS bars_on_snapshot FROM shares s LEFT JOIN bars b ON b.ticker = s.ticker AND b.date = s.date GROUP BY 1")
@@ -121,7 +211,7 @@ def _candles(frequency: int, start: str) -> tuple[str, Query]:
     return body, run
 
 
-for _f, _start in ((10, "time_bucket(INTERVAL 10 MINUTE, ts)"), (60, "date_trunc('hour', ts)"), (24, "date_trunc('day', ts)"), (7, "date_trunc('week', ts)"), (31, "date_trunc('month', ts)"), (4, "date_trunc('quarter', ts)")):
+for _f, _start in ((1, "time_bucket(INTERVAL 1 MINUTE, ts)"), (10, "time_bucket(INTERVAL 10 MINUTE, ts)"), (60, "date_trunc('hour', ts)"), (24, "date_trunc('day', ts)"), (7, "date_trunc('week', ts)"), (31, "date_trunc('month', ts)"), (4, "date_trunc('quarter', ts)")):
     _body, _run = _candles(_f, _start)
     query(f"a13_candles_{_f}", _body)(_run)
 
@@ -139,7 +229,6 @@ def _(spark, d):
     return mk.bond_history(pages.withColumn("row_pos", F.lit(0)).withColumn("waprice", F.col("close"))).select("secid", "tradedate", "close")
 
 
-_UPSERT = "SELECT ticker, date, close * 1.01 AS close FROM bars WHERE date >= DATE '2000-12-01' UNION ALL SELECT ticker, date, close FROM bars WHERE date < DATE '2000-12-01'"
 
 
 def _stored_and_landed(spark, d):
@@ -162,7 +251,8 @@ def _(spark, d):
     return mk.list_tickers(sy.bars(spark, d), sy.renames(spark))
 
 
-@query("k72_refresh", None)
+@query("k72_refresh", f"SELECT c.ticker, c.date, {R('c.close')} AS close, {R('t.adj_close')} AS adj_close, {Rs('shares', 'market_cap')} FROM cap c JOIN tr t ON t.ticker = c.ticker AND t.date = c.date",
+       bars="SELECT * REPLACE (CASE WHEN date >= DATE '2000-12-01' THEN close * 1.01 ELSE close END AS close) FROM bars_0")
 def _(spark, d):
     stored, landed = _stored_and_landed(spark, d)
     out = mk.refresh(stored, landed, sy.splits(spark), sy.dividends(spark, d), sy.shares(spark, d))
@@ -388,9 +478,9 @@ def _(spark, d):
     return pf.unusual_turnover(sy.bars(spark, d), _perf(spark, d), "1m", least_base=1000).select("ticker", r6("times", "times"))
 
 
-@query("k22_unusual_moves", f"SELECT ticker, {R('sigma_move')} AS sigma_move FROM enriched WHERE abs(sigma_move) >= 0.2 ORDER BY abs(sigma_move) DESC, ticker LIMIT 10")
+@query("k22_unusual_moves", f"SELECT ticker, {R('sigma_move')} AS sigma_move FROM enriched WHERE abs(sigma_move) >= 0.02 ORDER BY abs(sigma_move) DESC, ticker LIMIT 10")
 def _(spark, d):
-    return pf.unusual_moves(_enriched(spark, d), 0.2).select("ticker", r6("sigma_move", "sigma_move"))
+    return pf.unusual_moves(_enriched(spark, d), 0.02).select("ticker", r6("sigma_move", "sigma_move"))
 
 
 @query("k23_structure", f"""SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(pct > 0) AS BIGINT) AS n_up, CAST(count_if(pct < 0) AS BIGINT) AS n_down, {R('median(pct)')} AS median_pct,
@@ -425,6 +515,26 @@ def _(spark, d):
     return rk.security_metrics(_total(spark, d), sy.index_bars(spark, d)).select("ticker", *r6s("price_return", "total_return", "vol", "var5", "skew", "kurt", "max_drawdown", "beta", "corr"))
 
 
+@query("b9_sign_flags", "SELECT ticker, CAST(CASE WHEN ret > 0.01 THEN 1 WHEN ret < -0.01 THEN -1 ELSE 0 END AS BIGINT) AS flag, CAST(count(*) AS BIGINT) AS n FROM lret GROUP BY 1, 2")
+def _(spark, d):
+    return _lret(spark, d).groupBy("ticker", pf.sign_flags(F.col("ret"), 0.01).cast("long").alias("flag")).agg(F.count("*").alias("n"))
+
+
+@query("b11_price_column", f"SELECT ticker, {R('avg(adj_close)')} AS mean_price FROM tr GROUP BY 1")
+def _(spark, d):
+    rows = _total(spark, d)
+    return rows.groupBy("ticker").agg(r6(F.avg(mk.price_column(rows, "adj_close", "close")), "mean_price"))
+
+
+@query("k27_benchmark", f"SELECT w, date, {R('close')} AS close FROM (SELECT 12 AS w, date, close FROM idx UNION ALL SELECT 2, date, close FROM idx WHERE date >= (SELECT max(date) - 5 FROM idx))")
+def _(spark, d):
+    price = sy.index_bars(spark, d)
+    last = price.agg(F.date_sub(F.max("date"), 5).alias("since"))
+    total = durable(price.join(F.broadcast(last), F.col("date") >= F.col("since")).select("date", "close"), "total-return-index")  # a few days: enough for 2 rows, not for 12
+    picked = [rk.choose_benchmark(total, price, least).select(F.lit(least).alias("w"), "date", r6("close", "close")) for least in (12, 2)]
+    return picked[0].unionByName(picked[1])
+
+
 @query("k28_relative_strength", f"SELECT ticker, date, {R('100 * q / first_value(q) OVER (PARTITION BY ticker ORDER BY date)')} AS rs FROM (SELECT b.ticker, b.date, b.close / i.close AS q FROM bars b JOIN idx i ON b.date = i.date)")
 def _(spark, d):
     return rk.relative_strength(sy.bars(spark, d), sy.index_bars(spark, d)).select("ticker", "date", r6("rs", "rs"))
@@ -456,7 +566,8 @@ def _(spark, d):
     return rk.worst_drawdown(sy.bars(spark, d)).select("ticker", r6("drawdown", "drawdown"), "date")
 
 
-@query("k31_qq_points", None)
+@query("k31_qq_points", f"""SELECT ticker, {Rs('sample', 'p')}, {R('CASE WHEN p < 0.5 THEN -z ELSE z END')} AS theory FROM (SELECT *, t - (2.515517 + 0.802853 * t + 0.010328 * t * t) / (1 + 1.432788 * t + 0.189269 * t * t + 0.001308 * t * t * t) AS z FROM (SELECT *, sqrt(-2 * ln(least(p, 1 - p))) AS t FROM
+       (SELECT ticker, ret AS sample, (row_number() OVER (PARTITION BY ticker ORDER BY ret) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY ticker) AS p FROM lret)))""")
 def _(spark, d):
     return rk.qq_points(ts.log_returns(sy.bars(spark, d)), "ret").select("ticker", *r6s("sample", "p", "theory"))
 
@@ -476,6 +587,12 @@ def _(spark, d):
     return rk.cagr_by_calendar(_total(spark, d), "1996-01-01").select("ticker", *r6s("years", "price_cagr", "total_cagr"))
 
 
+@query("k52_growth_of_both", f"""SELECT p.ticker, {R('pc')} AS price_cagr, {R('tc')} AS total_cagr, {R('tc - pc')} AS dividend_yield, {R('pv')} AS price_vol, {R('tv')} AS total_vol FROM (SELECT ticker, exp(sum(ret) / (count(ret) / 252.0)) - 1 AS pc, stddev_samp(ret) * sqrt(252.0) AS pv FROM vret GROUP BY 1 HAVING count(ret) > 1) p
+       JOIN (SELECT ticker, exp(sum(ret) / (count(ret) / 252.0)) - 1 AS tc, stddev_samp(ret) * sqrt(252.0) AS tv FROM (SELECT t.ticker, ln(adj_close / lag(adj_close) OVER (PARTITION BY t.ticker ORDER BY date)) AS ret FROM tr t JOIN (SELECT ticker, median(adj_close) AS mid FROM tr WHERE adj_close > 0 GROUP BY 1) m ON m.ticker = t.ticker WHERE adj_close > 0 AND adj_close BETWEEN 0.01 * mid AND 1000 * mid) GROUP BY 1 HAVING count(ret) > 1) t ON t.ticker = p.ticker""")
+def _(spark, d):
+    return rk.growth_of_both(durable(_total(spark, d), "total-return")).select("ticker", *r6s("price_cagr", "total_cagr", "dividend_yield", "price_vol", "total_vol"))
+
+
 @query("k53_index_yearly", f"SELECT {R('avg(r) * 250')} AS mean, {R('stddev_samp(r) * sqrt(250.0)')} AS sd FROM (SELECT ln(close / lag(close) OVER (ORDER BY date)) AS r FROM idx)")
 def _(spark, d):
     return rk.index_yearly(sy.index_bars(spark, d)).select(*r6s("mean", "sd"))
@@ -485,7 +602,8 @@ def _(spark, d):
 
 
 def _panel(spark, d):
-    return bt.monthly_panel(_total(spark, d), total="adj_close")
+    """A row for each ticker and month, read many times: written once."""
+    return durable(bt.monthly_panel(durable(_total(spark, d), "total-return"), total="adj_close"), "panel")
 
 
 def _months(panel):
@@ -497,9 +615,9 @@ def _(spark, d):
     return _panel(spark, d).select("ticker", "month", *big("ord"), *r6s("px", "turnover", "ret", "vol", "div"))
 
 
-@query("k33_benchmark", f"SELECT month, {R('bench')} AS bench FROM bench")
+@query("k33_benchmark", f"SELECT month, {R('bench')} AS bench, ewmac, above_ma FROM bench LEFT JOIN trend USING (month)")
 def _(spark, d):
-    return bt.benchmark_monthly(sy.index_bars(spark, d)).select("month", r6("bench", "bench"))
+    return bt.benchmark_monthly(sy.index_bars(spark, d)).select("month", r6("bench", "bench"), "ewmac", "above_ma")
 
 
 @query("k34_momentum", f"SELECT ticker, month, {R('mom')} AS mom FROM sig")
@@ -540,7 +658,8 @@ def _(spark, d):
     return bt.run_strategy(_panel(spark, d)).select("month", *r6s("ret_gross", "turnover", "tc", "ret_net"))
 
 
-@query("k40_gated_and_scaled", None)
+@query("k40_gated_and_scaled", f"""SELECT month, {R('coalesce(g, 0)')} AS ret_gross, {R('coalesce(t, 0)')} AS turnover, {R('coalesce(g, 0) - coalesce(t, 0) * 10 / 1e4')} AS ret_net FROM mcal c LEFT JOIN (SELECT w.ord + 1 AS ord, sum(weight * CASE WHEN ret IS NULL OR ret <= -1 THEN -1 ELSE ret END) AS g FROM wscaled w LEFT JOIN panel p ON p.ticker = w.ticker AND p.ord = w.ord + 1 GROUP BY 1) x ON x.ord = c.ord
+       LEFT JOIN (SELECT ord, sum(abs(d)) / 2 AS t FROM (SELECT ticker, ord, sum(w) AS d FROM (SELECT ticker, ord, weight AS w FROM wscaled UNION ALL SELECT ticker, ord + 1, -weight FROM wscaled) GROUP BY 1, 2) GROUP BY 1) y ON y.ord = c.ord WHERE c.ord > 8""")
 def _(spark, d):
     trend = bt.benchmark_monthly(sy.index_bars(spark, d))
     return bt.run_strategy(_panel(spark, d), trend=trend, target=0.15, missing="penalize").select("month", *r6s("ret_gross", "turnover", "ret_net"))
@@ -571,20 +690,31 @@ def _(spark, d):
     return bt.composition(held, panel, sy.sectors(spark, d), "1999-06-30").select("ticker", *r6s("weight", "mom"), "sector", r6("next_ret", "next_ret"))
 
 
-def _walked(spark, d):
-    panel = _panel(spark, d).persist()  # a row for each ticker and month, read by every configuration
+def _grid(spark, d):
+    panel = _panel(spark, d)
     rf = ca.risk_free_monthly(panel.select("month").distinct(), sy.key_rate(spark), "month")
-    return bt.walk_forward(panel, bt.benchmark_monthly(sy.index_bars(spark, d)), bt.parameter_grid(spark), rf=rf)
+    return bt.grid_parts(panel, bt.benchmark_monthly(sy.index_bars(spark, d)), bt.parameter_grid(spark), rf=rf)
 
 
-@query("k47_walk_forward", None)
+def _walked(spark, d):
+    return bt.walk_forward(_grid(spark, d), bt.parameter_grid(spark))
+
+
+@query("k47_walk_forward", f"SELECT CAST(config AS INT) AS config, lookback, skip, hold, q, long_short, {Rs('train_sharpe', 'test_sharpe', 'train_cagr', 'test_cagr')}, chosen FROM walked")
 def _(spark, d):
     return _walked(spark, d).select("config", "lookback", "skip", "hold", "q", "long_short", *r6s("train_sharpe", "test_sharpe", "train_cagr", "test_cagr"), "chosen")
 
 
-@query("k48_robustness", None)
+@query("k48_robustness", "SELECT lookback, " + ", ".join(f"{R(f'avg(CASE WHEN hold = {h} THEN test_sharpe END)')} AS hold_{h}" for h in (1, 3, 6)) + " FROM walked GROUP BY 1")
 def _(spark, d):
-    return bt.robustness(_walked(spark, d))
+    table = bt.robustness(_walked(spark, d))
+    return table.select("lookback", *[r6(F.col(str(h)), f"hold_{h}") for h in (1, 3, 6)])
+
+
+@query("k49_out_of_sample", f"SELECT month, {R('product(1 + ret_net) OVER w')} AS equity, {R('product(1 + bench) OVER w')} AS bench_equity FROM gparts WHERE part = 'test' AND config = (SELECT config FROM walked WHERE chosen) WINDOW w AS (ORDER BY month ROWS UNBOUNDED PRECEDING)")
+def _(spark, d):
+    parts = _grid(spark, d)
+    return bt.out_of_sample(parts, bt.walk_forward(parts, bt.parameter_grid(spark))).select("month", *r6s("equity", "bench_equity"))
 
 
 @query("k73_panel_status", "SELECT CAST(count(DISTINCT ticker) AS BIGINT) AS tickers, CAST(count(DISTINCT month) AS BIGINT) AS months, min(month) AS first_month, max(month) AS last_month, CAST(count_if(ret <= -1) AS BIGINT) AS wiped_out FROM panel")
@@ -600,16 +730,17 @@ def _(spark, d):
 
 # ---------------------------------------------------------------- portfolio, bonds
 
-_THREE = "('Brand#11', 'Brand#12', 'Brand#13')"
 
-
-def _three(spark, d):
-    return po.panel_returns(po.complete_case(sy.bars(spark, d).where(f"ticker IN {_THREE}")))
+def _complete(spark, d):
+    """Closes at the ends of months in which every security with a full history has one."""
+    own = rk.complete_tickers(sy.bars(spark, d), "1995-01-01")
+    closes = own.groupBy("ticker", F.last_day("date").alias("date")).agg(F.max_by("close", "date").alias("close"))
+    return po.complete_case(durable(closes, "month-ends"))
 
 
 @query("k54_complete_case", f"SELECT ticker, date, {R('close')} AS px FROM cc")
 def _(spark, d):
-    return po.complete_case(sy.bars(spark, d).where(f"ticker IN {_THREE}")).select("ticker", "date", r6("px", "px"))
+    return _complete(spark, d).select("ticker", "date", r6("px", "px"))
 
 
 @query("k55_correlations", f"SELECT x.ticker AS a, y.ticker AS b, {R('corr(x.ret, y.ret)')} AS corr, CAST(count(*) AS BIGINT) AS n FROM dret x JOIN dret y ON x.date = y.date AND x.ticker <= y.ticker WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY 1, 2")
@@ -618,17 +749,18 @@ def _(spark, d):
     return po.correlations(rets).select("a", "b", r6("corr", "corr"), "n")
 
 
-@query("k56_expected_and_covariance", f"SELECT x.ticker AS a, y.ticker AS b, {R('covar_samp(x.ret, y.ret) * 252')} AS cov, {R('any_value(mu)')} AS mu FROM cr x JOIN cr y ON x.date = y.date AND x.ticker <= y.ticker JOIN (SELECT ticker, pow(product(1 + ret), 252.0 / count(*)) - 1 AS mu FROM cr GROUP BY 1) m ON m.ticker = x.ticker GROUP BY 1, 2")
+@query("k56_expected_and_covariance", f"SELECT x.ticker AS a, y.ticker AS b, {R('covar_samp(x.ret, y.ret) * 12')} AS cov, {R('any_value(mu)')} AS mu FROM cr x JOIN cr y ON x.date = y.date AND x.ticker <= y.ticker JOIN (SELECT ticker, pow(product(1 + ret), 12.0 / count(*)) - 1 AS mu FROM cr GROUP BY 1) m ON m.ticker = x.ticker GROUP BY 1, 2")
 def _(spark, d):
-    rets = _three(spark, d)
-    cov, mu = po.covariances(rets), po.expected_returns(rets)
+    rets = po.panel_returns(_complete(spark, d))
+    cov, mu = po.covariances(rets, MONTHS), po.expected_returns(rets, MONTHS)
     return cov.join(mu, F.col("a") == F.col("ticker")).select("a", "b", *r6s("cov", "mu"))
 
 
-@query("k57_ledoit_wolf")
+@query("k57_ledoit_wolf", f"""SELECT a, b, {R('((1 - s) * c + CASE WHEN a = b THEN s * m ELSE 0 END) * 12')} AS cov, {R('s')} AS shrinkage FROM (SELECT a, b, c, m, coalesce(least(err / n, d2) / nullif(d2, 0), 0.0) AS s FROM (SELECT *, ss - p * m * m AS d2 FROM (SELECT *, trace / p AS m FROM
+       (SELECT *, count(CASE WHEN a = b THEN 1 END) OVER () AS p, sum(CASE WHEN a = b THEN c END) OVER () AS trace, sum(CASE WHEN a = b THEN 1 ELSE 2 END * c * c) OVER () AS ss, sum(CASE WHEN a = b THEN 1 ELSE 2 END * (q - c * c)) OVER () AS err FROM
+       (SELECT x.ticker AS a, y.ticker AS b, avg(x.e * y.e) AS c, avg(pow(x.e * y.e, 2)) AS q, count(*) AS n FROM (SELECT *, ret - avg(ret) OVER (PARTITION BY ticker) AS e FROM cr) x JOIN (SELECT *, ret - avg(ret) OVER (PARTITION BY ticker) AS e FROM cr) y ON x.date = y.date AND x.ticker <= y.ticker GROUP BY 1, 2)))))""")
 def _(spark, d):
-    rets = po.panel_returns(po.complete_case(rk.complete_tickers(sy.bars(spark, d), "1995-01-01")))
-    return po.ledoit_wolf(rets).select("a", "b", *r6s("cov", "shrinkage"))
+    return po.ledoit_wolf(po.panel_returns(_complete(spark, d)), MONTHS).select("a", "b", *r6s("cov", "shrinkage"))
 
 
 @query("k58_frontier_scan")
@@ -642,9 +774,10 @@ def _bonds(spark, d):
     return bd.bond_metrics(sy.bond_bars(spark, d), sy.bond_params(spark, d))
 
 
-@query("k59_bond_yields")
+@query("k59_bond_yields", f"""SELECT secid, tradedate, close, {R('years')} AS years_to_maturity, floor(ytm * 1e4 + 0.5) / 1e4 AS ytm, floor(1e4 * CASE WHEN n <= 0 THEN 0.0 ELSE list_sum(list_transform(generate_series(1, n), lambda t: t * (c + CASE WHEN t = n THEN face ELSE 0 END) / pow(1 + ytm / 200, t))) / list_sum(list_transform(generate_series(1, n), lambda t: (c + CASE WHEN t = n THEN face ELSE 0 END) / pow(1 + ytm / 200, t))) / 2 / (1 + ytm / 200) END + 0.5) / 1e4 AS duration FROM byield""")
 def _(spark, d):
-    return _bonds(spark, d).select("secid", "tradedate", "close", *r6s("years_to_maturity", "ytm", "duration"))
+    four = lambda c: (F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c)
+    return _bonds(spark, d).select("secid", "tradedate", "close", r6("years_to_maturity", "years_to_maturity"), four("ytm"), four("duration"))
 
 
 @query("k60_duration", f"""SELECT secid, tradedate, {R('CASE WHEN n <= 0 THEN 0.0 ELSE list_sum(list_transform(generate_series(1, n), lambda t: t * (c + CASE WHEN t = n THEN face ELSE 0 END) / pow(1.04, t))) / list_sum(list_transform(generate_series(1, n), lambda t: (c + CASE WHEN t = n THEN face ELSE 0 END) / pow(1.04, t))) / 2 / 1.04 END')} AS duration
@@ -667,12 +800,19 @@ def _(spark, d):
     return ts.acf(_lret(spark, d)).select("ticker", *big("lag"), r6("acf", "acf"))
 
 
-@query("k63_pacf")
+@query("k63_pacf", f"""WITH RECURSIVE r AS (SELECT ticker, list(acf ORDER BY lag) AS rho FROM acf WHERE acf IS NOT NULL AND lag < n GROUP BY 1),
+       d AS (SELECT ticker, rho, 1 AS k, [rho[1]] AS phi FROM r UNION ALL SELECT ticker, rho, k + 1, list_transform(list_zip(phi, list_reverse(phi)), lambda z: z[1] - l * z[2]) || [l] FROM
+       (SELECT *, (rho[k + 1] - list_dot_product(phi, list_reverse(rho[1:k]))) / (1 - list_dot_product(phi, rho[1:k])) AS l FROM d WHERE k < len(rho)))
+       SELECT ticker, CAST(k AS BIGINT) AS lag, {R('phi[k]')} AS pacf FROM d""")
 def _(spark, d):
     return ts.pacf(ts.acf(_lret(spark, d))).select("ticker", *big("lag"), r6("pacf", "pacf"))
 
 
-@query("k64_portmanteau")
+def _tail(x: str, df: int) -> str:
+    return f"exp(-({x}) / 2) * list_sum(list_transform(generate_series(0, {df // 2 - 1}), lambda k: pow(({x}) / 2, k) / gamma(k + 1.0)))"
+
+
+@query("k64_portmanteau", "SELECT ticker, CAST(m AS BIGINT) AS lags, " + f"{R('lb')} AS ljung_box, {R('CASE WHEN m = 10 THEN ' + _tail('lb', 10) + ' ELSE ' + _tail('lb', 20) + ' END')} AS ljung_box_p, {R('bp')} AS box_pierce, {R('CASE WHEN m = 10 THEN ' + _tail('bp', 10) + ' ELSE ' + _tail('bp', 20) + ' END')} AS box_pierce_p" + """ FROM (SELECT ticker, m, max(n) * (max(n) + 2) * sum(acf * acf / (n - lag)) AS lb, max(n) * sum(acf * acf) AS bp FROM acf, (SELECT unnest([10, 20]) AS m) WHERE lag <= m AND lag < n GROUP BY 1, 2)""")
 def _(spark, d):
     return ts.portmanteau(ts.acf(_lret(spark, d))).select("ticker", *big("lags"), *r6s("ljung_box", "ljung_box_p", "box_pierce", "box_pierce_p"))
 
@@ -689,7 +829,7 @@ def _(spark, d):
 
 @query("k66_arma_orders")
 def _(spark, d):
-    return ts.arma_grid(_lret(spark, d)).select("ticker", *big("p", "q"), *r6s("aic", "bic"), *big("rank"))
+    return ts.arma_grid(_lret(spark, d)).select("ticker", *big("p", "d", "q"), *r6s("aic", "bic"), *big("rank"))
 
 
 @query("k67_garch")
@@ -697,6 +837,11 @@ def _(spark, d):
     return ts.residual_diagnostics(_lret(spark, d)).select("ticker", "date", "alpha", "beta", *r6s("cond_vol", "std_resid"))
 
 
+@query("k67_garch_2_2")
+def _(spark, d):
+    return ts.residual_diagnostics(_lret(spark, d), 2, 2).select("ticker", "date", "alpha", "beta", *r6s("cond_vol", "std_resid"))
+
+
 @query("k71_residual_acf")
 def _(spark, d):
     return ts.acf(ts.residual_diagnostics(_lret(spark, d)), "squared").select("ticker", *big("lag"), r6("acf", "acf"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.core import keep_last
+from ..scratch import exists, remove
 
+#: The file that names a table's version in use. Spark's scans skip it.
+POINTER = "_current"
 #: Candle widths by frequency code: minutes, or the unit that a date is cut to.
 FREQUENCIES = {1: "1 minute", 10: "10 minutes", 60: "1 hour", 24: "day", 7: "week", 31: "month", 4: "quarter"}
 #: Days around an explicit split within which an imported one is the same event.
@@ -26,27 +30,45 @@ def check_dates(start: str, end: str) -> tuple[dt.date, dt.date]:
     return a, b
 
 
+def _folder(spark: SparkSession, path: str):  # noqa: ANN202
+    """A path of the store, and the store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Where the rows of the table at ``path`` are: in the version that its pointer names; in ``path`` itself if it has none."""
+    pointer, store = _folder(spark, f"{path}/{POINTER}")
+    if not store.exists(pointer):
+        return path
+    with_name = store.open(pointer)
+    try:
+        return f"{path}/{spark._jvm.org.apache.commons.io.IOUtils.toString(with_name, 'UTF-8')}"
+    finally:
+        with_name.close()
+
+
 def read_bars(spark: SparkSession, path: str, tickers: Sequence[str] | None = None, start: str | None = None, end: str | None = None, schema: str = schemas.BARS) -> DataFrame:
     """Stored bars. Ticker and date limits are predicates that Parquet files are skipped by."""
-    df = spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(schema).parquet(current(spark, path))
     if tickers:
-        df = df.where(F.col("ticker").isin([t.strip().upper() for t in tickers]))
+        df = df.where(F.col("ticker").isin([t.strip() for t in tickers] + [t.strip().upper() for t in tickers]))
     if start:
         df = df.where(F.col("date") >= F.lit(start).cast("date"))
     return df.where(F.col("date") <= F.lit(end).cast("date")) if end else df
 
 
 def read_one(spark: SparkSession, path: str, key: str, value: str, schema: str) -> DataFrame:
-    """The stored rows of one index or bond; FileNotFoundError if there are none."""
-    df = spark.read.schema(schema).parquet(path).where(F.col(key) == value)
-    if df.isEmpty():
+    """The stored rows of one index or bond; FileNotFoundError if there are none, or no table."""
+    df = spark.read.schema(schema).parquet(current(spark, path)).where(F.col(key) == value) if exists(spark, path) else None
+    if df is None or df.isEmpty():
         raise FileNotFoundError(f"no rows for {value} in {path}")
     return df
 
 
 def read_all(spark: SparkSession, path: str, renames: DataFrame | None = None, schema: str = schemas.BARS) -> DataFrame:
-    """All securities in one scan; unreadable files are skipped; ValueError if nothing is stored."""
-    df = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+    """All securities in one scan; ValueError if nothing is stored. Unreadable files are skipped; Spark logs a warning for each."""
+    df = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(current(spark, path))
     if df.isEmpty():
         raise ValueError(f"no bars in {path}")
     if renames is None:
@@ -146,6 +168,22 @@ def index_history(rows: DataFrame, ticker: str) -> DataFrame:
     return rows.select(F.lit(ticker).alias("ticker"), F.to_date(have["tradedate"]).alias("date"), F.col(have["close"]).cast("double").alias("close"), F.col(have["value"]).cast("double").alias("volume"))
 
 
+def bond_list(payloads: DataFrame, segment: str = "TQCB") -> DataFrame:
+    """``secid, shortname`` and the typed parameters of the bonds of one board, from landed payloads of any of the three shapes."""
+    rows = parse_tables(payloads, "securities", ["SECID", "SHORTNAME", "BOARDID", "FACEVALUE", "COUPONPERCENT", "MATDATE"])
+    return rows.where(F.col("boardid") == segment).select("secid", "shortname", *_bond_parameters())
+
+
+def bond_params(payloads: DataFrame) -> DataFrame:
+    """``secid, facevalue, couponpercent, matdate`` (BOND_PARAMS) of every bond in the payloads; what is missing or no number is null."""
+    rows = parse_tables(payloads, "securities", ["SECID", "FACEVALUE", "COUPONPERCENT", "MATDATE"])
+    return keep_last(rows.where("secid is not null"), ["secid"], F.col("matdate").desc_nulls_last(), F.col("facevalue"), F.col("couponpercent")).select("secid", *_bond_parameters())
+
+
+def _bond_parameters() -> list[Column]:
+    return [*[F.expr(f"try_cast({c} as double)").alias(c) for c in ("facevalue", "couponpercent")], F.expr("try_cast(matdate as date)").alias("matdate")]
+
+
 def bond_history(pages: DataFrame) -> DataFrame:
     """Bond prices from pages (secid, page_offset, row_pos, tradedate, close, waprice): the last row of each date."""
     typed = pages.select("secid", "page_offset", "row_pos", F.to_date("tradedate").alias("tradedate"), *[F.expr(f"try_cast({c} as double)").alias(c) for c in ("close", "waprice")])
@@ -165,15 +203,45 @@ def upsert(stored: DataFrame, new: DataFrame, keys: Sequence[str] = ("ticker", "
     return keep_last(both, list(keys), F.desc("_src"), *tie).drop("_src")
 
 
+def update_all(stored: DataFrame, landed: DataFrame, *, rebuild: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The stored table after an update of all securities, and ``ticker, failures, first_date`` of those that failed.
+
+    ``landed`` has the stored columns as text. A security fails if any of its rows has no date or a value that is no number; it keeps its
+    stored rows, and the others are updated, or with ``rebuild`` replaced by what landed.
+    """
+    kinds = dict(stored.dtypes)
+    own = [c for c in stored.columns if c in landed.columns]
+    typed = landed.select(*[F.expr(f"try_cast(`{c}` as {kinds[c]})").alias(c) for c in own], F.exists(F.array(*[F.col(f"`{c}`").isNotNull() & F.expr(f"try_cast(`{c}` as {kinds[c]}) is null") for c in own]), lambda bad: bad).alias("_bad"))
+    failed = typed.where(F.col("_bad") | F.col("date").isNull()).groupBy("ticker").agg(F.count("*").alias("failures"), F.min("date").alias("first_date"))
+    good = typed.drop("_bad").join(failed.select("ticker"), "ticker", "left_anti").select(*own)
+    before = stored.join(good.select("ticker").distinct(), "ticker", "left_anti") if rebuild else stored
+    return upsert(before, good), failed
+
+
 def write_bars(df: DataFrame, path: str, key: str = "ticker", date: str = "date", files: int | None = None) -> bool:
     """Replaces the table at ``path``, sorted within files by key and date so that scans skip row groups. Nothing is written if ``df`` is empty.
 
-    The job commits when all tasks have; readers never see half a table. ``df`` must not read ``path`` itself: write beside it and swap.
+    The rows go to a version of their own; then the pointer is renamed over the old one, in one step: a reader sees the old table or the
+    new one whole, and a job that fails changes nothing. So ``df`` may read ``path`` itself. The version before stays for readers that have begun.
     """
     if df.isEmpty():
         return False
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
     dealt = df.repartitionByRange(files, key, date) if files else df.repartitionByRange(key, date)
-    dealt.sortWithinPartitions(key, date).write.mode("overwrite").parquet(path)
+    dealt.sortWithinPartitions(key, date).write.parquet(f"{path}/{version}")
+    before = current(spark, path)
+    pointer, store = _folder(spark, f"{path}/{POINTER}")
+    draft, _ = _folder(spark, f"{path}/.{version}")
+    out = store.create(draft, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(draft, pointer, options)
+    kept = {version, before.rsplit("/", 1)[-1]}
+    remove(spark, *[f.getPath().toString() for f in store.listStatus(pointer.getParent()) if f.getPath().getName().startswith("v-") and f.getPath().getName() not in kept])
     return True
 
 
