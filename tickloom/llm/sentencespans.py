@@ -19,7 +19,6 @@ SENTENCES, WORDS = 3, 12
 WINDOW = 8
 _END = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|\s*\n\s*")
 _TOKEN = re.compile(r"\S+")
-_LAST = (1 << 63) - 1
 #: Base of the polynomial that hashes runs of words, and its inverse modulo 2 ** 64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -90,21 +89,16 @@ def spans(text: str, n: int = SENTENCES, words: int = WORDS, seen: WordHashes |
 
 
 def span_rows(docs: DataFrame) -> DataFrame:
-    """``(h, d)``: each span of a document once."""
+    """``(h, key)``: each span of a document once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
         for batch in batches:
-            hashes, counts = [], []
-            for text in batch.column("text").to_pylist():
-                h = np.unique(spans(text or "", seen=seen)[1])
-                hashes.append(h)
-                counts.append(len(h))
-            ids = batch.column("d").to_numpy(zero_copy_only=False)
-            flat = np.concatenate(hashes) if hashes else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), pa.array(np.repeat(ids, counts), pa.int64())], ["h", "d"])
+            hashes = [np.unique(spans(text or "", seen=seen)[1]) for text in batch.column("text").to_pylist()]
+            own = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *hashes])), batch.column("key").take(pa.array(own))], ["h", "key"])
 
-    return docs.select("d", "text").mapInArrow(run, "h long, d long")
+    return docs.select("key", "text").mapInArrow(run, f"h long, key {dict(docs.dtypes)['key']}")
 
 
 def cut_text(text: str | None, repeated: set[int], words: WordHashes | None = None) -> tuple[str, list[tuple[int, int]], int]:
@@ -131,37 +125,59 @@ def cut_text(text: str | None, repeated: set[int], words: WordHashes | None = No
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(d, hs)``: for each document the spans that a document with a smaller id holds too."""
+    """``(key, hs)``: for each document the spans that a document with a smaller key holds too."""
     every = durable(span_rows(docs), "spans")
-    first = every.groupBy("h").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last").select("h", "first")
-    return every.join(first, "h").where("d > first").groupBy("d").agg(F.collect_set("h").alias("hs"))
+    first = every.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("h", "first")
+    return every.join(first, "h").where("key > first").groupBy("key").agg(F.collect_set("h").alias("hs"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``(key, doc_id, text, times)``: documents by a key that has their order: id (null last), then text.
+
+    Where ids are unique the key is the id. Else it is the id followed by 62 bits of a hash of the text, so that rows that share an id, or have none,
+    are documents of their own; rows that repeat both are one with a number of ``times``.
+    """
+    rows = docs.select(col(docs, "doc_id", "long").alias("doc_id"), col(docs, "text", "string").alias("text"))
+    if rows.where("doc_id is null").isEmpty() and rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows.select(F.col("doc_id").alias("key"), "doc_id", "text", F.lit(1).cast("long").alias("times"))
+    wide = "decimal(38,0)"
+    # null as 2 ** 63, which follows all ids
+    key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)")).cast(wide) * F.lit(str(1 << 62)).cast("decimal(19,0)") + F.shiftrightunsigned(F.xxhash64("text"), 2).cast("decimal(19,0)")
+    return rows.withColumn("key", key.cast(wide)).groupBy("key").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), F.count("*").alias("times"))
 
 
 def deduplicate_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, n_sentences, n_removed, n_removed_chars, removed, kept_text`` for every row of ``docs`` (doc_id, text).
 
-    A span stays in the document with the smallest id that holds it, and there where it occurs first; null ids come last. Rows that share
-    an id count as one document. Null and empty texts have no sentences. ``removed`` has the character ranges that go, each unit with
-    the white space after it. An empty table gives an empty result.
+    A span stays in the first document that holds it, by id (null last) and then by a hash of the text, and there where it occurs first.
+    Of rows that repeat id and text one is judged so, and the others lose all their spans. Null and empty texts have no sentences.
+    ``removed`` has the character ranges that go, each unit with the white space after it. An empty table gives an empty result.
     """
-    rows = docs.select(col(docs, "doc_id", "long").alias("doc_id"), col(docs, "text", "string").alias("text")).withColumn("d", F.coalesce("doc_id", F.lit(_LAST)))
-    marks = durable(repeated_spans(rows), "repeated").withColumnRenamed("d", "of")
+    rows = keyed(docs)
+    marks = durable(repeated_spans(rows), "repeated").withColumnRenamed("key", "of")
+
+    def batch_of(ids: pa.Array, found: list[tuple[str, list[tuple[int, int]], int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                ids,
+                pa.array([n for _, _, n in found], pa.int64()),
+                pa.array([len(r) for _, r, _ in found], pa.int64()),
+                pa.array([sum(b - a for a, b in r) for _, r, _ in found], pa.int64()),
+                pa.array([[{"start": a, "end": b} for a, b in r] for _, r, _ in found], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                pa.array([k for k, _, _ in found], pa.string()),
+            ],
+            ["doc_id", "n_sentences", "n_removed", "n_removed_chars", "removed", "kept_text"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            found = [cut_text(t, set(hs or ()), words) for t, hs in zip(batch.column("text").to_pylist(), batch.column("hs").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([n for _, _, n in found], pa.int64()),
-                    pa.array([len(r) for _, r, _ in found], pa.int64()),
-                    pa.array([sum(b - a for a, b in r) for _, r, _ in found], pa.int64()),
-                    pa.array([[{"start": a, "end": b} for a, b in r] for _, r, _ in found], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array([k for k, _, _ in found], pa.string()),
-                ],
-                ["doc_id", "n_sentences", "n_removed", "n_removed_chars", "removed", "kept_text"],
-            )
-
-    met = rows.join(marks, F.col("d") == F.col("of"), "left").select("doc_id", "text", "hs")
+            texts, times = batch.column("text").to_pylist(), batch.column("times").to_pylist()
+            yield batch_of(batch.column("doc_id"), [cut_text(t, set(hs or ()), words) for t, hs in zip(texts, batch.column("hs").to_pylist(), strict=True)])
+            for i, more in enumerate(times):
+                for first in range(1, more, 1_000):  # a thousand copies at a time
+                    n = min(1_000, more - first)
+                    yield batch_of(batch.column("doc_id").take(pa.array([i] * n)), [cut_text(texts[i], set(spans(texts[i] or "", seen=words)[1].tolist()), words)] * n)
+
+    met = rows.join(marks, F.col("key") == F.col("of"), "left").select("doc_id", "text", "times", "hs")
     return met.mapInArrow(run, "doc_id long, n_sentences long, n_removed long, n_removed_chars long, removed array<struct<start:long,end:long>>, kept_text string")

@@ -23,8 +23,6 @@ from .common import col
 
 #: Labelled rows of each class that the classifier is fitted on, at most; those with the lowest hash.
 FIT_ROWS = 10_000
-#: Word features that the classifier keeps, strongest first.
-FEATURES = 100_000
 #: Documents that a feature must occur in.
 SUPPORT = 6
 #: What a sign may stand for.
@@ -33,7 +31,7 @@ READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 SWAP, REPEAT, DROP = -1.0, -0.5, -2.0
 _EDGE = ".,;:!?\"'()[]{}<>#$%&*|/\\-_=+~`"
 _LETTERS = re.compile(r"[^\W\d_]+$")
-_DISGUISED = re.compile(r"[^\W\d_].*[\d@$!|+*#€.\-_]|[\d@$!|+*#€].*[^\W\d_]|([^\W\d_])\1\1")
+_DISGUISED = re.compile(r"[^\W\d_].*[\d@$!|+*#€.\-_=]|[\d@$!|+*#€].*[^\W\d_]|([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?:(?<=\s)|^)(?:[^\W_][ .\-_*]){2,}[^\W_](?=[\s.,;:!?]|$)")
 
 
@@ -115,7 +113,7 @@ def restored(token: str, model: CharModel) -> str:
     if _LETTERS.match(bare) and not _DISGUISED.search(bare):
         return bare
     inner = token.strip(".,;:?\"'()[]{}<>")
-    if "=" in inner or not _DISGUISED.search(inner):
+    if not _DISGUISED.search(inner):
         return bare
     return decode(inner, model)
 
@@ -259,7 +257,7 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return w
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, features: int = FEATURES) -> ToxicModel:
+def fit_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> ToxicModel:
     """Character counts over all documents; word weights and the logistic model from the labelled rows that ``fit_labels`` allows.
 
     Without labelled rows of both classes nothing is known about words and every document scores 0.
@@ -274,9 +272,9 @@ def fit_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, features
         return nothing
     share = lambda n, of: F.log((F.col(n) + 0.5) / F.lit(of + 1.0))
     weight = (share("toxic", sizes.t) - share("clean", sizes.c)).alias("weight")
-    best = feature_counts(fit, chars).where(F.col("toxic") + F.col("clean") >= SUPPORT).select("feature", weight, (F.col("toxic") + F.col("clean")).alias("n"))
-    found = best.orderBy(F.desc(F.abs("weight") * F.log1p("n")), "feature").limit(features).collect()
-    model = ToxicModel(chars, {r.feature: r.weight for r in found}, nothing.logistic)
+    # all features with support; how many there can be is bounded by the labelled rows, of which there are at most 2 * rows
+    found = feature_counts(fit, chars).where(F.col("toxic") + F.col("clean") >= SUPPORT).select("feature", weight)
+    model = ToxicModel(chars, {r.feature: r.weight for r in found.toLocalIterator()}, nothing.logistic)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, float] = {}
@@ -296,7 +294,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     empty result. Columns other than doc_id and text are not looked at.
     """
     model = fit_model(docs, labels, **how)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # all trigrams that occur, and FEATURES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # all trigrams that occur, and the features of the labelled rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, float] = {}
