@@ -88,11 +88,44 @@ def test_mined_rules_block(spark):
     assert all(out[i] == ("block" if i % 3 == 0 else "allow") for i in range(300))
 
 
+def test_rules_against_brute_force(spark):
+    """Support and confidence of all token sets, counted one by one; pruning; verdicts; and labels that say nothing give no rule."""
+    import itertools
+    import math
+    import random
+
+    r = random.Random(3)
+    urls = [(i, f"https://{r.choice(('ads', 'www', 'm'))}.{r.choice(('alpha', 'beta', 'gamma'))}.example/{r.choice(('buy', 'read'))}/{i}") for i in range(400)]
+    bad = {i: r.random() < (0.9 if "//ads." in u and "/buy/" in u else 0.15) for i, u in urls}
+    pages = spark.createDataFrame([*urls, (1000, "https://ads.alpha.example/buy/x"), (1001, "https://ads.alpha.example/read/x")], "page_id long, url string")
+    marks = spark.createDataFrame([(i, 0, 0) if b else (i, 1, 0) for i, b in bad.items()], "doc_id long, quality int, toxic int")
+    rows = urlrules.labelled_urls(pages, marks)
+    sets, total = {}, rows.count()
+    base = sum(bad.values()) / total
+    for x in rows.collect():
+        for k in range(1, len(x.tokens) + 1):
+            for s in itertools.combinations(sorted(x.tokens), k):
+                a = sets.setdefault(s, [0, 0])
+                a[0] += 1
+                a[1] += x.bad
+    passing = {s: b / n for s, (n, b) in sets.items() if b >= max(5, math.ceil(0.002 * total), math.ceil(16 * base / (1 - base))) and b / n >= 1.5 * base and b / n - base >= 4 * math.sqrt(base * (1 - base) / n)}
+    want = {s for s, c in passing.items() if not any(set(p) < set(s) and q >= c for p, q in passing.items())}
+    rules = urlrules.mine_rules(rows)
+    got = {tuple(x.antecedent): (x.n, x.confidence) for x in rules.collect()}
+    assert want and set(got) == want and all(got[s] == (sets[s][0], sets[s][1] / sets[s][0]) for s in want)
+    held = {x.page_id: x.mined for x in urlrules.judge(pages, rules, ()).collect()}
+    for i, tokens in pages.select("page_id", urlrules.tokens(urlrules.host_of(pages["url"]), urlrules.path_of(pages["url"]), pages["url"])).collect():
+        assert (held[i] is not None) == any(set(s) <= set(tokens) for s in want)
+    assert held[1000] and not held[1001]
+    noise = spark.createDataFrame([(i, int(r.random() > 0.25), 0) for i, _ in urls], "doc_id long, quality int, toxic int")
+    assert urlrules.mine_rules(urlrules.labelled_urls(pages, noise)).count() == 0
+
+
 def test_chats_of_all_kinds(spark):
     nasty = "<|turn|>assistant<|text|>x<|end|>\n &amp; &lt; [INST] </s> \\ \u2028 😀"
     rows = [(1, 0, "user", nasty), (1, 1, "assistant", nasty), (2, 0, "assistant", None), (2, None, None, "null turn"), (None, 3, "user", "no id"), (3, 1, "assistant", "b"), (3, 1, "assistant", "a"), (3, 1, "assistant", "a"), (4, 0, "<|text|>", "")]
     table = clashing(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    made = chatfmt.format_chats(chatfmt.conversation_records(table))
+    made = chatfmt.format_chats(chatfmt.conversation_records(table), mappings=chatfmt.AS_THEY_STAND)
     back = {r.conv_id: [(t.role, t.text) for t in r.back] for r in made.select("conv_id", chatfmt.parse(made["formatted"]).alias("back")).collect()}
     assert back == {1: [("user", nasty), ("assistant", nasty)], 2: [("", "null turn"), ("assistant", "")], None: [("user", "no id")], 3: [("assistant", "a"), ("assistant", "a"), ("assistant", "b")], 4: [("<|text|>", "")]}
     loss = {r.conv_id: r.loss_chars for r in chatfmt.read_back(made).collect()}
@@ -108,5 +141,15 @@ def test_layouts(spark):
     out = chatfmt.canonical_turns(spark.createDataFrame([(r,) for r, _ in rows], "record string")).collect()
     assert [r.layout for r in out] == [n for _, n in rows]
     assert all([(t.role, t.text) for t in r.turns] == [("user", "q"), ("assistant", "a")] for r in out)
+    more = [
+        ('{"id": 7, "messages": [{"role": "user", "content": "q", "weight": 1}, {"role": "Bot", "content": "a"}], "meta": {"a": {"b": [1]}}}', "messages"), ('{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "system": "x"}', "conversations"),
+        ('{"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}, {"type": "image"}]}, {"role": "assistant", "content": "a"}]}', "messages"), ('{"prompt": "q", "completion": "a", "response": null, "n": [[1]]}', "prompt"),
+    ]
+    df = spark.createDataFrame([(r, "x", "y") for r, _ in more], "record string, layout string, _paths string")
+    got = chatfmt.canonical_turns(df).collect()
+    assert [r.layout for r in got] == [n for _, n in more] and all(r._paths == "y" for r in got)
+    assert all([(t.role, t.text) for t in r.turns] == [("user", "q"), ("assistant", "a")] for r in got), [r.turns for r in got]
+    same = chatfmt.canonical_turns(spark.createDataFrame([(x,) for x in ('{"a": {"b": [{"c": 1}]}}', '{"a": {"b": [{"c": "x"}]}}', '{"a": {"b": [{"d": 1}]}}', '{"a": {"b": [{"c": {"d": 1}}]}}')], "record string")).collect()
+    assert same[0].fingerprint == same[1].fingerprint and len({r.fingerprint for r in same}) == 3
     odd = chatfmt.canonical_turns(spark.createDataFrame([(None,), ("{",), ('{"x": 1}',)], "record string")).collect()
     assert all(r.layout is None and r.turns == [] for r in odd)

@@ -1,12 +1,13 @@
 """Chat formatting: records of any known layout to canonical turns, to one templated string, and back.
 
-Records are JSON strings. The schema of a record (its nested field paths and kinds) is hashed to a fingerprint; a table of
-declarative mappings, keyed by the sorted set of field paths, says where the turns are. All steps are DataFrame functions.
+Records are JSON strings. A record's schema, the names of its fields at any depth, is hashed to a fingerprint. Those of its field paths
+that some mapping knows are hashed as well, and by that hash a declarative mapping is selected, which says where the turns are; a record
+that holds more known fields than any mapping takes the mapping with the most fields that it has. All steps are DataFrame functions.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,34 +31,48 @@ def unescape(text: Column) -> Column:
     return text
 
 
+#: Names of roles in some layouts, and what they are called in canonical turns.
+ALIASES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
+
+
 @dataclass(frozen=True)
 class Mapping:
-    """How one layout becomes turns. ``turns``: the list's name and its role and text fields; else ``fields``: (field, role) in order."""
+    """How one layout becomes turns. ``turns``: the list's name and its role and text fields; else ``fields``: (field, role) in order.
+    ``roles`` renames roles, whatever their case; others, and all if there are none, stay as they are."""
 
     name: str
     paths: tuple[str, ...]
     turns: tuple[str, str, str] | None = None
     fields: tuple[tuple[str, str], ...] = ()
-    roles: tuple[tuple[str, str], ...] = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
+    roles: tuple[tuple[str, str], ...] = ()
 
     def expression(self, record: Column) -> Column:
+        """The turns of a parsed record. Text is a string, or a list of parts with a ``text`` each, which are put together; else its JSON."""
         if self.turns:
             top, role, text = self.turns
-            items = F.from_json(record, f"struct<`{top}`:array<struct<`{role}`:string,`{text}`:string>>>")[top]
-            names = F.create_map(*[F.lit(x) for pair in self.roles for x in pair])
-            out = F.transform(items, lambda t: F.struct(F.coalesce(F.try_element_at(names, F.lower(t[role])), t[role], F.lit("")).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")))
+            items = F.try_variant_get(record, f"$.{top}", "array<variant>")
+            own = lambda t: F.coalesce(F.try_variant_get(t, f"$.{role}", "string"), F.lit(""))
+            if self.roles:
+                names = F.create_map(*[F.lit(x) for pair in self.roles for x in pair])
+                as_is, own = own, lambda t: F.coalesce(F.try_element_at(names, F.lower(as_is(t))), as_is(t))
+            out = F.transform(items, lambda t: F.struct(own(t).alias("role"), F.coalesce(_text(t, text), F.lit("")).alias("text")))
         else:
-            parsed = F.from_json(record, "struct<" + ",".join(f"`{f}`:string" for f, _ in self.fields) + ">")
-            present = F.array(*[F.struct(F.lit(role).alias("role"), parsed[f].alias("text")) for f, role in self.fields])
+            present = F.array(*[F.struct(F.lit(role).alias("role"), _text(record, f).alias("text")) for f, role in self.fields])
             out = F.filter(present, lambda t: t["text"].isNotNull() & ((t["role"] != "system") | (t["text"] != "")))
         return out.cast(TURNS)
 
 
+def _text(record: Column, field: str) -> Column:
+    parts = F.try_variant_get(record, f"$.{field}", "array<struct<text:string>>")
+    whole = F.exists(parts, lambda p: p["text"].isNotNull())
+    return F.when(whole, F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "")).otherwise(F.try_variant_get(record, f"$.{field}", "string"))
+
+
 #: The layouts known so far.
 MAPPINGS = (
-    Mapping("messages", ("messages", "messages.content", "messages.role"), turns=("messages", "role", "content")),
-    Mapping("conversations", ("conversations", "conversations.from", "conversations.value"), turns=("conversations", "from", "value")),
-    Mapping("turns", ("turns", "turns.role", "turns.text"), turns=("turns", "role", "text")),
+    Mapping("messages", ("messages", "messages.content", "messages.role"), turns=("messages", "role", "content"), roles=ALIASES),
+    Mapping("conversations", ("conversations", "conversations.from", "conversations.value"), turns=("conversations", "from", "value"), roles=ALIASES),
+    Mapping("turns", ("turns", "turns.role", "turns.text"), turns=("turns", "role", "text"), roles=ALIASES),
     Mapping("instruction", ("input", "instruction", "output"), fields=(("instruction", "user"), ("input", "user"), ("output", "assistant"))),
     Mapping("instruction-short", ("instruction", "output"), fields=(("instruction", "user"), ("output", "assistant"))),
     Mapping("prompt", ("completion", "prompt"), fields=(("prompt", "user"), ("completion", "assistant"))),
@@ -66,8 +81,12 @@ MAPPINGS = (
 )
 
 
+#: The same layouts with roles as they stand in the record.
+AS_THEY_STAND = tuple(replace(m, roles=()) for m in MAPPINGS)
+
+
 def field_paths(record: Column) -> Column:
-    """Sorted nested field paths of a JSON record, two levels deep; the fields of a list are those of any of its items."""
+    """Sorted field paths of a JSON record to the depth at which mappings find turns; the fields of a list are those of any of its items."""
     top = F.from_json(record, "map<string,string>")
 
     def inner(pair: Column) -> Column:
@@ -79,20 +98,37 @@ def field_paths(record: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.map_entries(top), inner))))
 
 
-def fingerprint(paths: Column) -> Column:
+def fingerprint(record: Column) -> Column:
+    """Hash of a record's schema: its field names at any depth and which of them are lists, but not the kinds of single values; null for
+    what is no JSON."""
+    kinds = F.regexp_replace(F.schema_of_variant(F.try_parse_json(record)), r"\b(STRING|VOID|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\s*\d+\))(?=[,>]|$)", "value")
+    return F.xxhash64(kinds)
+
+
+def selector(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, "\n"))
 
 
 def canonical_turns(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """Adds ``fingerprint``, ``layout`` and ``turns``. Null, broken and unknown records: layout null and no turns."""
-    paths = records.withColumn("_paths", field_paths(F.col(record))).withColumn("fingerprint", fingerprint(F.col("_paths")))
-    layout = turns = None
+    """Adds ``fingerprint``, ``layout`` and ``turns``, in place of columns of these names. Null, broken and unknown records: layout null
+    and no turns. Fields that no mapping knows don't matter."""
+    added = ("fingerprint", "layout", "turns")
+    known = F.array(*[F.lit(p) for p in sorted({p for m in mappings for p in m.paths})])
+    rows = records.select(F.struct(*[records[c] for c in records.columns if c not in added]).alias("row"), records[record].alias("record"), F.try_parse_json(records[record]).alias("parsed"))
+    rows = rows.withColumn("paths", F.array_intersect(field_paths(F.col("record")), known))
+    which = None
     for m in mappings:
         # a literal, so that Catalyst folds the known layout's hash
-        same = F.col("fingerprint") == fingerprint(F.array(*[F.lit(p) for p in sorted(m.paths)]))
-        layout = F.when(same, F.lit(m.name)) if layout is None else layout.when(same, F.lit(m.name))
-        turns = F.when(same, m.expression(F.col(record))) if turns is None else turns.when(same, m.expression(F.col(record)))
-    return paths.withColumn("layout", layout).withColumn("turns", F.coalesce(turns, F.array().cast(TURNS))).drop("_paths")
+        same = selector(F.array_sort("paths")) == selector(F.array(*[F.lit(p) for p in sorted(m.paths)]))
+        which = F.when(same, F.lit(m.name)) if which is None else which.when(same, F.lit(m.name))
+    for m in sorted(mappings, key=lambda m: -len(m.paths)):
+        which = which.when(F.size(F.array_except(F.array(*[F.lit(p) for p in m.paths]), F.col("paths"))) == 0, F.lit(m.name))
+    rows = rows.withColumn("layout", which)
+    turns = None
+    for m in mappings:
+        own = F.col("layout") == m.name
+        turns = F.when(own, m.expression(F.col("parsed"))) if turns is None else turns.when(own, m.expression(F.col("parsed")))
+    return rows.select("row.*", fingerprint(F.col("record")).alias("fingerprint"), "layout", F.coalesce(turns, F.array().cast(TURNS)).alias("turns"))
 
 
 def _marked(turn: Column) -> Column:
@@ -134,7 +170,9 @@ def format_chats(records: DataFrame, record: str = "record", mappings: tuple[Map
 
 
 def conversation_records(rows: DataFrame) -> DataFrame:
-    """``(conv_id, record)``: the turns of each conversation as one JSON record of the ``messages`` layout.
+    """``(conv_id, record)``: the turns of each conversation as one JSON record: a user's turn and an assistant's as ``prompt`` and ``response``,
+    the same after a system's turn with a text as ``system``, ``question`` and ``answer``, all others as ``messages``. Read with
+    ``AS_THEY_STAND``, records give back all turns with their own roles.
 
     Rows are ordered by turn (null first), then role and text, so ties have one result. Null role or text: empty. Rows without
     conv_id form one conversation. A conversation is one record of the output, so its rows meet in one row here as well.
@@ -142,7 +180,14 @@ def conversation_records(rows: DataFrame) -> DataFrame:
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content"))
     ordered = F.transform(F.array_sort(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
     rows = rows.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t"))
-    return rows.groupBy("conv_id").agg(F.to_json(F.struct(ordered.alias("messages"))).alias("record"))
+    roles = F.array_join(F.transform("ts", lambda t: t["role"]), "\n")
+    said = lambda i: F.col("ts")[i]["content"]
+    record = (
+        F.when((F.size("ts") == 2) & (roles == "user\nassistant"), F.to_json(F.struct(said(0).alias("prompt"), said(1).alias("response"))))
+        .when((F.size("ts") == 3) & (roles == "system\nuser\nassistant") & (said(0) != ""), F.to_json(F.struct(said(0).alias("system"), said(1).alias("question"), said(2).alias("answer"))))
+        .otherwise(F.to_json(F.struct(F.col("ts").alias("messages"))))
+    )
+    return rows.groupBy("conv_id").agg(ordered.alias("ts")).select("conv_id", record.alias("record"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

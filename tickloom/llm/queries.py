@@ -37,7 +37,7 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chatfmt.read_back(chatfmt.format_chats(chatfmt.conversation_records(rows)))
+    return chatfmt.read_back(chatfmt.format_chats(chatfmt.conversation_records(rows), mappings=chatfmt.AS_THEY_STAND))
 
 
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

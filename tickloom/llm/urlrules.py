@@ -1,14 +1,18 @@
-"""URL filtering by association rules: FP-growth over the tokens of labelled urls, matched by an inverted index."""
+"""URL filtering by association rules: FP-growth over the tokens of labelled urls, matched by an inverted index.
+
+A mined rule says that urls with all of its tokens are bad more often than others: by a factor, and by more than chance explains. No rule
+is cut for its length or rank; an url table whose labels don't depend on the urls has no rules, and then the listed rules alone decide.
+"""
 
 from __future__ import annotations
 
-import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, durable, small
 
 
 @dataclass(frozen=True)
@@ -28,12 +32,11 @@ LISTED = (
     Listed("block", "example.net", "/de/8"),
     Listed("block", "org", "/es/"),
 )
-#: Of all labelled urls, and of those with the rule's tokens, the shares that a mined rule needs; the most tokens in a rule.
-SUPPORT, CONFIDENCE, LONGEST = 0.002, 0.6, 3
-#: Labelled urls that a frequent token set occurs in, at least, however few there are.
-LEAST_URLS = 20
-#: The most mined rules that are kept, best first. They are sent to all tasks as one literal, below 1 MB.
-MOST_RULES = 2_000
+#: The share of labelled urls that hold a rule's tokens and are bad, at least; how much oftener than all labelled urls those with its tokens
+#: are bad, at least; and by how many standard deviations of a binomial share.
+SUPPORT, LIFT, SIGMAS = 0.002, 1.5, 4.0
+#: Bad urls below which a binomial share is not close to normal.
+LEAST_BAD = 5
 
 
 def host_of(url: Column) -> Column:
@@ -65,26 +68,38 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
     return F.coalesce(F.array_distinct(every), F.array().cast("array<string>"))
 
 
-def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, longest: int = LONGEST, most: int = MOST_RULES) -> DataFrame:
-    """``(antecedent, confidence, support)`` from ``labelled`` (tokens, bad): token sets that imply a bad url.
+def mine_rules(labelled: DataFrame, support: float = SUPPORT, lift: float = LIFT, sigmas: float = SIGMAS) -> DataFrame:
+    """``(antecedent, confidence, support, n)`` from ``labelled`` (tokens, bad): token sets that imply a bad url; ``n`` labelled urls hold them.
 
-    FP-growth finds the frequent token sets of all labelled urls in which the label ``bad`` occurs; a rule is pruned if a part of it is
-    as confident. Fewer labelled rows than LEAST_URLS, or none bad: no rules.
+    FP-growth finds the frequent token sets of all labelled urls in which the label ``bad`` occurs. Of those, rules have a confidence of at
+    least ``lift`` times the share of bad urls, and ``sigmas`` deviations above it. A rule is pruned if a part of it is as confident.
+    A set with fewer bad urls than either measure could pass with isn't searched for. Null labels are none; nothing bad: no rules.
     """
     from pyspark.ml.fpm import FPGrowth
 
-    items = labelled.where(F.col("bad").isNotNull()).select(F.when(F.col("bad"), F.array_append("tokens", F.lit("label:bad"))).otherwise(F.col("tokens")).alias("items"))
-    n = items.count()
-    if n < LEAST_URLS:
-        return labelled.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    rules = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, LEAST_URLS / n)), minConfidence=confidence).fit(items).associationRules
-    found = rules.where((F.element_at("consequent", 1) == "label:bad") & (F.size("antecedent") <= longest)).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
-    best = found.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), "antecedent").limit(most)
-    part = best.select(F.col("antecedent").alias("part"), F.col("confidence").alias("part_confidence"))
+    known = durable(labelled.where(F.col("bad").isNotNull()), "labelled-urls")
+    sizes = known.agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).first()
+    if not sizes.bad:
+        return labelled.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double, n long")
+    n, base = sizes.n, sizes.bad / sizes.n
+    least = max(LEAST_BAD, math.ceil(support * n), math.ceil(sigmas**2 * base / (1 - base)) if base < 1 else n + 1)
+    items = known.select(F.when(F.col("bad"), F.array_append("tokens", F.lit("label:bad"))).otherwise(F.col("tokens")).alias("items"))
+    rules = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n), minConfidence=min(1.0, lift * base)).fit(items).associationRules
+    own = rules.where(F.element_at("consequent", 1) == "label:bad").select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support", F.round(F.col("support") * n / F.col("confidence")).cast("long").alias("n"))
+    found = durable(own.where(F.col("confidence") - base >= sigmas * F.sqrt(base * (1 - base) / F.col("n"))), "rules")
+    # a part is met by the token of its own that the fewest rules hold
+    part = with_key(found).select(F.col("antecedent").alias("part"), F.col("confidence").alias("part_confidence"), "token")
     redundant = (F.size("part") < F.size("antecedent")) & (F.size(F.array_except("part", "antecedent")) == 0) & (F.col("part_confidence") >= F.col("confidence"))
-    # both sides hold at most ``most`` rules; they meet on a token of the smaller rule
-    keyed = best.select("*", F.explode("antecedent").alias("token"))
-    return best.join(keyed.join(part.withColumn("token", F.element_at("part", 1)), "token").where(redundant).select("antecedent").distinct(), "antecedent", "left_anti")
+    pruned = found.select("antecedent", "confidence", F.explode("antecedent").alias("token")).join(part, "token").where(redundant).select("antecedent").distinct()
+    return durable(found.join(pruned, "antecedent", "left_anti"), "pruned-rules")
+
+
+def with_key(rules: DataFrame) -> DataFrame:
+    """Adds ``token``: that of a rule's tokens which the fewest rules hold."""
+    tokens_of = rules.select("antecedent", F.explode("antecedent").alias("token"))
+    counts = tokens_of.groupBy("token").agg(F.count("*").alias("held"))
+    keys = tokens_of.join(counts, "token").groupBy("antecedent").agg(F.min_by("token", F.struct("held", "token")).alias("token"))
+    return rules.join(keys, "antecedent")
 
 
 def listed_rule(host: Column, path: Column, listed: tuple[Listed, ...]) -> Column:
@@ -105,20 +120,12 @@ def listed_rule(host: Column, path: Column, listed: tuple[Listed, ...]) -> Colum
 def judge(pages: DataFrame, rules: DataFrame, listed: tuple[Listed, ...] = LISTED) -> DataFrame:
     """``page_id, host, path, rule, verdict, mined`` for every row of ``pages`` (page_id, url).
 
-    The longest listed rule decides; else a url is blocked if it holds all tokens of a mined rule. The mined rules, at most
-    ``MOST_RULES`` by construction, become an inverted index from one of their tokens, the longest, to the rule.
+    The longest listed rule decides; else a url is blocked if it holds all tokens of a mined rule (``mined``: the first of them).
     Null urls have empty host and path and are allowed unless a rule fits; repeated rows are each judged.
     """
     url = col(pages, "url", "string")
     base = pages.select(col(pages, "page_id", "long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), F.coalesce(url, F.lit("")).alias("url"))
-    by_token: dict[str, list[list[str]]] = {}
-    for r in rules.limit(MOST_RULES).collect():
-        by_token.setdefault(max(r.antecedent, key=lambda t: (len(t), t)), []).append(r.antecedent)
-    index = F.from_json(F.lit(json.dumps(by_token)), "map<string,array<array<string>>>")
-    rows = base.withColumn("tokens", tokens(F.col("host"), F.col("path"), F.col("url")))
-    candidates = F.flatten(F.filter(F.transform("tokens", lambda t: F.try_element_at(index, t)), lambda x: x.isNotNull()))
-    hit = F.filter(candidates, lambda r: F.size(F.array_except(r, F.col("tokens"))) == 0)
-    rows = rows.withColumn("hit", F.array_min(F.transform(hit, lambda r: F.array_join(r, " & ")))).withColumn("listed", listed_rule(F.col("host"), F.col("path"), listed))
+    rows = base.join(small(mined_hits(base, rules)), F.col("url") == F.col("_hit_url"), "left").withColumn("listed", listed_rule(F.col("host"), F.col("path"), listed))
     return rows.select(
         "page_id",
         "host",
@@ -129,6 +136,17 @@ def judge(pages: DataFrame, rules: DataFrame, listed: tuple[Listed, ...] = LISTE
     )
 
 
+def mined_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(_hit_url, hit)`` for the urls (host, path, url) that hold all tokens of a rule. The inverted index has a row for each rule, keyed by its
+    rarest token; a url looks up each of its tokens, and meets the few rules that are keyed by one of them."""
+    index = durable(with_key(rules).select("token", "antecedent"), "rule-index")
+    if index.isEmpty():
+        return durable(urls.limit(0).select(F.col("url").alias("_hit_url"), F.lit("").alias("hit")), "hits")
+    own = urls.select("url", tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens"))
+    met = own.select("url", "tokens", F.explode("tokens").alias("token")).join(small(index), "token").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    return durable(met.groupBy(F.col("url").alias("_hit_url")).agg(F.min(F.array_join("antecedent", " & ")).alias("hit")), "hits")
+
+
 def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """``(tokens, bad)`` of the urls whose document is labelled: a url's last number in its path is the id of the document it shows.
     Bad: quality 0 or toxic 1. Null labels are no labels."""
