@@ -142,6 +142,58 @@ def test_stored_table(spark, bars, tmp_path):
         mk.read_one(spark, path, "ticker", "Z", "ticker string, date date, close double")
 
 
+def test_a_replaced_table_can_be_read_meanwhile(spark, bars, tmp_path):
+    """The table may be read by the job that replaces it; a reader that has begun still finds its rows; a job that fails changes nothing."""
+    path = str(tmp_path / "bars")
+    mk.write_bars(bars([1, 2, 3]), path)
+    begun = mk.read_bars(spark, path)
+    mk.write_bars(mk.upsert(mk.read_bars(spark, path), bars([9], start=3)), path)
+    assert column(begun, "close") == [1, 2, 3] and column(mk.read_bars(spark, path), "close") == [1, 9, 3]
+    broken = mk.read_bars(spark, path).withColumn("close", F.when(F.col("close") > 0, F.raise_error(F.lit("broken"))).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        mk.write_bars(broken.where("close is null or close > -1"), path)
+    assert column(mk.read_bars(spark, path), "close") == [1, 9, 3]
+    mk.write_bars(bars([5]), path)
+    assert sorted(p.name[:2] for p in (tmp_path / "bars").iterdir() if p.is_dir()) == ["v-", "v-"]
+
+
+def test_a_failing_security_keeps_its_rows(spark, bars):
+    stored = bars([1, 2], "A").unionByName(bars([3, 4], "B")).drop("volume")
+    landed = spark.createDataFrame([("A", "2024-01-03", "n/a"), ("A", "2024-01-04", "7"), ("B", "2024-01-03", "9"), ("B", "2024-01-04", None), ("C", "2024-01-03", "5"), ("D", "x", "5")], "ticker string, date string, close string")
+    out, failed = mk.update_all(stored, landed)
+    rows = {(r.ticker, r.date.day): r.close for r in out.collect()}
+    assert rows == {("A", 2): 1, ("A", 3): 2, ("B", 2): 3, ("B", 3): 9, ("B", 4): None, ("C", 3): 5}
+    assert {r.ticker for r in failed.collect()} == {"A", "D"}
+    again = {(r.ticker, r.date.day): r.close for r in mk.update_all(stored, landed, rebuild=True)[0].collect()}
+    assert again == {("A", 2): 1, ("A", 3): 2, ("B", 3): 9, ("B", 4): None, ("C", 3): 5}
+
+
+def test_bond_payloads(spark):
+    docs = [('{"securities": {"columns": ["SECID", "SHORTNAME", "BOARDID", "FACEVALUE", "COUPONPERCENT", "MATDATE"], "data": [["a", "A", "TQCB", 1000, 7.5, "2030-01-31"], ["b", "B", "TQOB", "x", null, "0000-00-00"]]}}',), ('{"securities": [{"SECID": "c", "BOARDID": "TQCB"}]}',)]
+    payloads = spark.createDataFrame(docs, "payload string")
+    assert [(r.secid, r.facevalue, r.couponpercent, r.matdate) for r in mk.bond_params(payloads).orderBy("secid").collect()] == [("a", 1000.0, 7.5, dt.date(2030, 1, 31)), ("b", None, None, None), ("c", None, None, None)]
+    assert [(r.secid, r.shortname) for r in mk.bond_list(payloads).orderBy("secid").collect()] == [("a", "A"), ("c", None)]
+
+
+def test_yields_of_all_ways(spark):
+    """Steps as projections and as one expression agree, and discounting at the yield gives back the price."""
+    rows = [(p, c, y) for p in (5.0, 60.0, 99.0, 100.0, 140.0, 400.0) for c in (0.0, 0.5, 8.0, 30.0) for y in (0.4, 0.6, 3.2, 12.0, 40.0)]
+    df = spark.createDataFrame(rows, "p double, c double, y double").withColumn("f", F.lit(100.0))
+    out = bd.with_yield(df, "p", "f", "c", "y").withColumn("again", bd.ytm(F.col("p"), F.col("f"), F.col("c"), F.col("y"))).collect()
+    for r in out:
+        n, own = int(r.y * 2), r.c / 2
+        assert r.ytm == pytest.approx(r.again, abs=1e-9)
+        if n and -50 < r.ytm < 500:
+            assert sum(own / (1 + r.ytm / 200) ** t for t in range(1, n + 1)) + 100 / (1 + r.ytm / 200) ** n == pytest.approx(r.p, rel=1e-9)
+        elif n:
+            assert r.ytm in (-50.0, 500.0)
+
+
+def test_long_rename_chains(spark):
+    links = spark.createDataFrame([(f"T{i}", f"T{i + 1}", dt.date(2000, 1, 1) + dt.timedelta(i)) for i in range(90)], "old string, new string, date date")
+    assert {r.final for r in ca.rename_chains(links).collect()} == {"T90"}
+
+
 def test_missing_registry_is_empty(spark, tmp_path):
     assert mk.registry(spark, str(tmp_path / "none.csv"), "old string, new string, date date").count() == 0
 

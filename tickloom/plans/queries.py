@@ -349,7 +349,7 @@ def _(spark, d):
 
 @query("k2_split_adjusted", f"SELECT ticker, date, {Rs('close', 'volume')} FROM adj")
 def _(spark, d):
-    return ca.adjust_for_splits(sy.bars(spark, d), sy.splits(spark)).select("ticker", "date", *r6s("close", "volume"))
+    return ca.adjust_for_splits(_bars(spark, d), sy.splits(spark)).select("ticker", "date", *r6s("close", "volume"))
 
 
 @query("k3_renamed", f"""SELECT CASE WHEN ticker IN ('Brand#21', 'Brand#22') THEN 'Brand#23' ELSE ticker END AS ticker, ticker AS source_ticker, date, {R('close')} AS close FROM bars
@@ -365,7 +365,7 @@ def _(spark, d):
 
 @query("k5_total_return", f"SELECT ticker, date, {R('adj_close')} AS adj_close FROM tr")
 def _(spark, d):
-    return ca.adjusted_close(sy.bars(spark, d), sy.dividends(spark, d), sy.splits(spark)).select("ticker", "date", r6("adj_close", "adj_close"))
+    return ca.adjusted_close(_bars(spark, d), sy.dividends(spark, d), sy.splits(spark)).select("ticker", "date", r6("adj_close", "adj_close"))
 
 
 @query("k6_simple_dividends", f"""SELECT b.ticker, b.date, {R('b.close * coalesce(p, 1.0)')} AS adj_close FROM bars b LEFT JOIN (SELECT b.ticker, b.date, product(factor) AS p FROM bars b JOIN
@@ -389,8 +389,13 @@ def _(spark, d):
 # ---------------------------------------------------------------- market overview
 
 
+def _bars(spark, d):
+    """Bars that a query reads more than once: derived from the lines once."""
+    return durable(sy.bars(spark, d), "bars")
+
+
 def _capped(spark, d):
-    return ca.market_cap(sy.bars(spark, d), sy.shares(spark, d), sy.splits(spark))
+    return ca.market_cap(_bars(spark, d), sy.shares(spark, d), sy.splits(spark))
 
 
 def _perf(spark, d):
@@ -504,7 +509,7 @@ def _(spark, d):
 
 
 def _total(spark, d):
-    return ca.adjusted_close(sy.bars(spark, d), sy.dividends(spark, d), sy.splits(spark))
+    return ca.adjusted_close(_bars(spark, d), sy.dividends(spark, d), sy.splits(spark))
 
 
 @query("k26_security_metrics", f"""SELECT ticker, {R('(p1 / p0 - 1) * 100')} AS price_return, {R('(t1 / t0 - 1) * 100')} AS total_return, {R('sd * sqrt(252.0) * 100')} AS vol, {R('q * 100')} AS var5, {R('sk')} AS skew, {R('ku')} AS kurt, {R('mdd * 100')} AS max_drawdown,
