@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import durable, remove, scratch_path, small, store, workspace
+
+__all__ = ["durable", "remove", "scratch_path", "small", "store", "workspace"]
+
 #: A word, as the operators here take it: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
@@ -20,28 +21,13 @@ _U = np.uint64
 _MULT = (np.random.default_rng(20240117).integers(0, 2**63, 64, dtype=np.uint64) << _U(1)) | _U(1)
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``; set here only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-tickloom-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
-    return base.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
+def shared_store(uri: str):  # noqa: ANN201
+    """The store and the path in it of a folder that executors share: file, hdfs or an object store."""
+    from pyarrow import fs
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a table in the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if "://" not in uri and not uri.startswith("file:"):
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri if not uri.startswith("file:/") or uri.startswith("file://") else "file://" + uri[5:])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import col, word_count
+from .common import col, durable, small, word_count
 
 #: Weights of the sources in code point order, null last, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -57,6 +57,8 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
 
     Null text: size 0. Null source: a source of its own. Null or repeated ids: rows with equal ids share their draw. Sources without
     words get target 0 and their documents no copies, as do all in an all-empty table. Column names can't clash: they are in ``row``.
+    Targets have a row for each source and are sent to all tasks; where sources are too many for that, the join is by source and AQE
+    splits the frequent ones.
     """
     sized = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row") if docs.columns else F.struct().alias("row"),
@@ -64,11 +66,11 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
         col(docs, "source", "string").alias("source"),
         word_count(col(docs, "text", "string")).alias("size"),
     )
-    targets = source_targets(sized.select("source", "size"), weights, share, cap).withColumnRenamed("source", "of")
+    targets = durable(source_targets(sized.select("source", "size"), weights, share, cap).withColumnRenamed("source", "of"), "targets")
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     whole = F.floor(rate)
     return (
-        sized.join(targets, sized["source"].eqNullSafe(targets["of"]))
+        sized.join(small(targets), F.col("source").eqNullSafe(F.col("of")))
         .withColumn("copies", (whole + (draw(F.col("doc_id"), seed) < rate - whole).cast("long")).cast("long"))
         .select("row", "doc_id", "size", "source_size", "target", "copies")
     )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SIMILAR, WordHashes, col, durable, mix, shingles
+from .common import SIMILAR, WordHashes, col, durable, mix, shingles, small
 
 SIDE = 16
 MINIMA = 4 * SIDE
@@ -31,9 +31,11 @@ _ODD = (_RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) << np.uint64(1)) | np.u
 AGREE = 36
 #: Classes, of those compared last, that have a rare shingle at most.
 RARE = 8
+#: Classes of one half key, of those compared last, that one task compares with all others of it.
+TOGETHER = 256
 #: Rounds with pivots, at most; then the rest is compared directly.
 ROUNDS = 8
-_ROW = "doc_id long, n long, f1 long, f2 long, half array<long>, s1 long, s2 long"
+_ROW = "doc_id long, t long, n long, f1 long, f2 long, half array<long>, s1 long, s2 long"
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
@@ -57,7 +59,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """For each row of ``docs``: id, size and fingerprint of its shingle set, its half keys, and two bits of each minimum."""
+    """For each row of ``docs`` (doc_id, t, text): id, size and fingerprint of its shingle set, its half keys, and two bits of each minimum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
@@ -75,7 +77,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 rows.append((len(h), *fingerprint(h), half.tolist(), int(s1), int(s2)))
             c = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(c, kinds, strict=True))], ["doc_id", "n", "f1", "f2", "half", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), *(pa.array(x, k) for x, k in zip(c, kinds, strict=True))], ["doc_id", "t", "n", "f1", "f2", "half", "s1", "s2"])
 
     return docs.mapInArrow(run, _ROW)
 
@@ -111,7 +113,7 @@ def last_pairs(open_: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFr
     Shingles that at most RARE of these classes have are rare. Pairs that share a rare one are read from its short list; for all others
     neither's rare shingles are in the intersection, and the union has all of both, which leaves few of a large group of loose copies.
     Classes share a table if they agree in a half key of either collection; they meet in the first of one that they agree in, so each pair
-    comes once.
+    comes once. A half key that many classes have is dealt to several tasks: each takes some of the classes on one side, and all on the other.
     """
     nodes = open_.select("node", "comp", "n", "s1", "s2").distinct()
     rows = durable(shingle_rows(texts.join(nodes.select("node"), "node", "left_semi")), "shingles")
@@ -125,13 +127,14 @@ def last_pairs(open_: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFr
     known = nodes.join(counts, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).where((F.col("n") - F.col("u")) * SIMILAR[1] >= F.col("n") * SIMILAR[0])
     known = known.join(classes.select("node", F.slice("half", 1, SIDE).alias("first"), F.slice("half", SIDE + 1, SIDE).alias("second")), "node")
     flat = durable(known.select("*", F.posexplode("first").alias("i", "k")), "last")
-    shared = flat.groupBy("i", "k").agg(F.count("*").alias("c")).where("c > 1").select("i", "k")
-    flat = flat.join(shared, ["i", "k"])
-    a, b = flat.alias("a"), flat.alias("b")
+    shared = flat.groupBy("i", "k").agg(F.count("*").alias("c")).where("c > 1").select("i", "k", F.ceil(F.col("c") / TOGETHER).cast("int").alias("parts"))
+    flat = durable(flat.join(shared, ["i", "k"]), "last-shared")
+    a = flat.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).alias("a")
+    b = flat.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
     near = comparable(F.struct("a.n", "a.u", "a.s1", "a.s2"), F.struct("b.n", "b.u", "b.s1", "b.s2"))
     agree = lambda c: F.zip_with(f"a.{c}", f"b.{c}", lambda x, y: x == y)
     once = (F.array_position(agree("first"), True) == F.col("a.i") + 1) & F.exists(agree("second"), lambda x: x)
-    same = (F.col("a.i") == F.col("b.i")) & (F.col("a.k") == F.col("b.k"))
+    same = (F.col("a.i") == F.col("b.i")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.part") == F.col("b.part"))
     met = a.join(b, same & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & near & once)
     return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).unionByName(listed).distinct()
 
@@ -232,6 +235,28 @@ def link_classes(members: DataFrame, texts: DataFrame, classes: DataFrame) -> Da
     return labels
 
 
+def linked_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, t, n, f1, f2, comp`` for every row of ``docs``: ``t`` is a hash of its text, ``comp`` names its component (null: no words)."""
+    rows = _rows(docs)
+    sketched = durable(sketches(rows), "sketches")
+    found = sketched.where("n > 0")
+    classes = found.groupBy("f1", "f2", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("rep"), F.any_value("half").alias("half"), F.any_value("s1").alias("s1"), F.any_value("s2").alias("s2"))
+    classes = durable(classes.withColumn("node", F.xxhash64("f1", "f2", "n")).withColumn("rep", F.struct("rep.doc_id", "rep.t")), "classes")
+    members = durable(table_rows(classes), "members")
+    need = durable(members.select("node").distinct().join(classes.select("node", "rep.doc_id", "rep.t"), "node"), "needed")
+    texts = durable(class_texts(rows, need), "texts")
+    labels = link_classes(members, texts, classes)
+    named = classes.join(labels, "node", "left").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("comp", "node").alias("comp"))
+    cols = [c for c in sketched.columns if c not in ("half", "s1", "s2")]
+    joined = found.select(cols).join(named, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2"))).select(*cols, "comp")
+    return joined.unionByName(sketched.where("n = 0").select(*cols, F.lit(None).cast("long").alias("comp")))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    text = col(docs, "text", "string")
+    return docs.select(col(docs, "doc_id", "long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text).
 
@@ -239,41 +264,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing (its component is itself). Rows with equal sets, repeated rows among them, are one class. ``component_id`` is the smallest
     id of a component; null ids are only taken where a component has no other. Very long texts are read whole. Empty table: empty result.
     """
-    rows = docs.select(col(docs, "doc_id", "long").alias("doc_id"), col(docs, "text", "string").alias("text"))
-    sketched = durable(sketches(rows), "sketches")
-    found = sketched.where("n > 0")
-    classes = found.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("half").alias("half"), F.any_value("s1").alias("s1"), F.any_value("s2").alias("s2"))
-    classes = durable(classes.withColumn("node", F.xxhash64("f1", "f2", "n")), "classes")
-    members = durable(table_rows(classes), "members")
-    need = members.select("node").distinct().join(classes.select("node", "rep", "f1", "f2"), "node")
-    texts = durable(class_texts(rows, need), "texts")
-    labels = link_classes(members, texts, classes)
-    named = classes.join(labels, "node", "left").select("f1", "f2", "rep", F.coalesce("comp", "node").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    by_set = named.join(least, "comp").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "component_id")
-    out = found.join(by_set, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = sketched.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    rows = durable(linked_rows(docs), "linked")
+    least = rows.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    out = rows.where("n > 0").join(least, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def class_texts(rows: DataFrame, need: DataFrame) -> DataFrame:
-    """``(node, text)``, one text for each class of ``need`` (node, rep, f1, f2): of a row with its smallest id and, where ids repeat, its set."""
-    met = rows.join(need.withColumnRenamed("rep", "r"), F.col("doc_id").eqNullSafe(F.col("r"))).select("node", "f1", "f2", "text")
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = WordHashes()
-        for batch in batches:
-            same = [fingerprint(shingles(t, seen)) == (a, b) for t, a, b in zip(*(batch.column(c).to_pylist() for c in ("text", "f1", "f2")), strict=True)]
-            yield batch.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
-
-    return met.mapInArrow(own, "node long, text string").dropDuplicates(["node"])
+    """``(node, text)``, one text for each class of ``need`` (node, doc_id, t): of a row with its smallest id, null if it has no other, and that row's text."""
+    own = small(need.select("node", F.col("doc_id").alias("r"), F.col("t").alias("u")))
+    return rows.join(own, (F.col("t") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("r"))).select("node", "text").dropDuplicates(["node"])
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each component of ``docs``, all columns: that of the kept document. Of rows that repeat a kept id, one stays."""
-    verdict = near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("n"))
-    verdict = durable(verdict, "kept")
-    kept = docs.join(verdict.select("_kept_id"), col(docs, "doc_id", "long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    if "doc_id" not in docs.columns or verdict.where("n > 1").isEmpty():
+    """One row of each component of ``docs``, all columns: that with the smallest id (null last), then with the least hash of its text.
+
+    A row is told by its id and text, so rows that share an id, or have none, are judged each on its own; of rows that repeat both, one
+    stays. Rows without words all stay. The texts aren't shuffled while the rows that go are few enough to be sent to all tasks.
+    """
+    linked = durable(linked_rows(docs).where("n > 0").groupBy("comp", "doc_id", "t").agg(F.count("*").alias("times")), "linked")
+    first = linked.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("first"))
+    judged = linked.join(first, "comp").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("t") == F.col("first.t")))
+    gone = durable(judged.where("not stays or times > 1").select(F.col("doc_id").alias("_gone_id"), F.col("t").alias("_gone_t"), F.col("stays").alias("_again")), "gone")
+    same = col(docs, "doc_id", "long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(col(docs, "text", "string")) == F.col("_gone_t"))
+    kept = docs.join(small(gone), same, "left_anti")
+    again = gone.where("_again")
+    if again.isEmpty():
         return kept
-    return kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.join(small(again), same, "left_semi").dropDuplicates([c for c in ("doc_id", "text") if c in docs.columns]))

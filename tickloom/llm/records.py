@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import col, durable, scratch_path
+from .common import col, durable, scratch_path, shared_store, store
 
 #: Appended to each document.
 END_ID = 1
 #: Distinct white-space-delimited pieces whose ids a worker remembers.
-CACHED = 500_000
+CACHED = 200_000
 _SIGNS = ".,;:!?*#$%&|"
 INDEX = "shard int, place long, doc_id long, offset long, bytes long, n_tokens long, width int"
 
@@ -139,15 +139,16 @@ def encoder(path: str, by_piece: bool, kind: str) -> PieceEncoder:
 
 def splits_at_spaces(path: str) -> bool:
     """Whether pieces between spaces, tabs and newlines can be encoded on their own: the tokenizer turns white space into single spaces,
-    matches no white space as part of a token, takes letters in a row as one token, and has no added token that holds or strips any."""
+    matches no white space as part of a token, lower-cases, takes letters in a row as one token, and has no added token that holds or strips any."""
     import json
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     added = all(not (t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \t\n")) for t in spec.get("added_tokens", []))
     norm, pre = json.dumps(spec.get("normalizer")), json.dumps(spec.get("pre_tokenizer"))
+    lowers = '"Lowercase"' in norm and '"NFC"' in norm  # pieces are lower-cased here, and Latin letters are taken to be composed
     removed = '"Removed"' in pre and '"ByteLevel"' in pre and '"add_prefix_space": false' in pre
-    return bool(added and removed and "[\\\\p{L}]+" in pre and spec["model"].get("end_of_word_suffix") and "\\\\s+" in norm)
+    return bool(added and lowers and removed and "[\\\\p{L}]+" in pre and spec["model"].get("end_of_word_suffix") and "\\\\s+" in norm)
 
 
 def vocabulary_size(path: str) -> int:
@@ -156,15 +157,6 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size()
 
 
-def _store(uri: str):
-    """The store and the path in it of a folder that executors share: file, hdfs or an object store."""
-    from pyarrow import fs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri if not uri.startswith("file:/") or uri.startswith("file://") else "file://" + uri[5:])
-
-
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Encodes ``docs`` (doc_id, text) and writes them to ``folder`` in ascending doc_id order (null first, then text); returns the index.
 
@@ -189,12 +181,12 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             if not batch.num_rows:
                 continue
             if out is None:
-                store, base = _store(folder)
-                store.create_dir(base, recursive=True)
+                files, base = shared_store(folder)
+                files.create_dir(base, recursive=True)
                 shard = batch.column("shard")[0].as_py()
                 target = shard_file(base, shard)
                 temp = f"{target}.{uuid.uuid4().hex}"
-                out = store.open_output_stream(temp)
+                out = files.open_output_stream(temp)
             index = []
             for text in batch.column("text").to_pylist():
                 payload = encode(text) + end
@@ -210,11 +202,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             )
         if out is not None:
             out.close()
-            store.move(temp, target)
+            files.move(temp, target)
 
     index = ordered.select("shard", "doc_id", "text").mapInArrow(write, INDEX)
-    index.write.parquet(f"{folder}/index")
-    return docs.sparkSession.read.schema(index.schema).parquet(f"{folder}/index")
+    return store(index, f"{folder}/index")
 
 
 def shard_file(base: str, shard: int) -> str:
@@ -223,7 +214,7 @@ def shard_file(base: str, shard: int) -> str:
 
 def payloads(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """The ids of each row of an index, read at its offset and checked."""
-    store, base = _store(folder)
+    files, base = shared_store(folder)
     name = f = None
     try:
         for batch in batches:
@@ -232,7 +223,7 @@ def payloads(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[p
                 if shard != name:
                     if f is not None:
                         f.close()
-                    name, f = shard, store.open_input_file(shard_file(base, shard))
+                    name, f = shard, files.open_input_file(shard_file(base, shard))
                 f.seek(offset)
                 ids.append(np.frombuffer(unframe(f.read(size))[0], "<u2" if width == 2 else "<u4"))
             yield batch, ids
