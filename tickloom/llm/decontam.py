@@ -1,25 +1,26 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items by block-max WAND; hits are verified.
 
 The index holds the test items, not the corpus. An item of more words than a passage is indexed by overlapping pieces, each of which lies
-wholly in a passage wherever it begins; it is verified as a whole. Pieces are dealt to index parts of at most ``PART_ITEMS``; each part is
-sent to all tasks and scans the corpus once.
+wholly in a passage wherever it begins; it is verified as a whole. Document frequencies and the mean length are counted over all pieces;
+the index itself is built in parts by Spark, each from a bounded number of pieces, and lies in the shared folder as one file a part. A
+task looks at all parts for each batch of its rows, so the corpus is read once however many parts there are. No item passes the driver.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import Counter
+import uuid
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, WordHashes, col, runs, word_hashes, words_of
+from .common import SHINGLE, WordHashes, col, durable, runs, scratch_path, shared_store, word_hashes, words_of
 
 #: Words of a passage; passages start every half of it. Words of a longer item's pieces, which start every half of it.
 PASSAGE, PIECE = 64, 32
@@ -28,8 +29,10 @@ PASSAGE, PIECE = 64, 32
 RETRIEVE, OVERLAP = 0.5, 0.75
 K1, B = 1.2, 0.75
 BLOCK = 8
-#: Items (or pieces of longer items) of an index part, at most.
-PART_ITEMS = 4_096
+#: Pieces of an index part, on average, and of one item in a row of a part, at most.
+PART_PIECES = 4_096
+#: Bytes of index files that a worker keeps in memory; characters of texts whose words it holds; passages that are bounded at once.
+HELD, HELD_TEXT, AT_ONCE = 200 << 20, 1 << 20, 4_096
 _SENTENCE = re.compile(rb"(?<=[.!?])\s+")
 #: Signs at a word's ends, which may come from its surroundings in either text.
 _EDGE = b".,;:!?*#$%&|<>()[]{}\"'"
@@ -56,48 +59,52 @@ def pieces(n: int) -> list[tuple[int, int]]:
 
 class ItemIndex:
     """Postings by term with BM25 impacts divided by the piece's own score, so that a piece scores 1 on itself; pieces lie in blocks of
-    ``BLOCK``, and each term knows its largest impact in each block. An item is ``(id, text)``, or ``(id, text, i, j)`` for its pieces i to j - 1."""
+    ``BLOCK``, and each term knows its largest impact in each block where it occurs. An item is ``(id, text)``, or ``(id, text, i, j)`` for its
+    pieces i to j - 1. ``df``, ``n`` and ``mean`` are the counts over all parts; default: over this one."""
 
-    def __init__(self, items: list[tuple]) -> None:
-        parsed = sorted(((i, *split_item(t or ""), cut) for i, t, *cut in items), key=lambda x: (sorted(set(x[1]))[-3:], x[1]))
+    def __init__(self, items: list[tuple], df: dict[bytes, int] | None = None, n: int | None = None, mean: float | None = None) -> None:
+        parsed = sorted(((i, *split_item(t or ""), cut) for i, t, *cut in items), key=lambda x: (sorted(set(x[1]))[-3:], x[1], str(x[0]), x[3]))
         parsed = [p for p in parsed if p[1]]
         self.ids = [p[0] for p in parsed]
-        self.words = [p[1] for p in parsed]
-        self.answer_at = [p[2] for p in parsed]
         indexed = [(at, ws[a:b]) for at, (_, ws, _, cut) in enumerate(parsed) for a, b in pieces(len(ws))[slice(*cut) if cut else slice(None)]]
         #: The item of each piece.
         self.item_of = [at for at, _ in indexed]
-        df = Counter(w for _, ws in indexed for w in set(ws))
-        n, mean = max(len(indexed), 1), sum(len(ws) for _, ws in indexed) / max(len(indexed), 1) or 1.0
-        idf = {w: np.log1p((n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
-        self.terms = {w: k for k, w in enumerate(df)}
-        self.blocks = -(-len(indexed) // BLOCK)
-        self.postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        self.block_max = np.zeros((len(self.terms), max(self.blocks, 1)), np.float32)
+        if df is None:
+            df, n, mean = piece_counts([ws for _, ws in indexed])
+        found: dict[bytes, list[tuple[int, float]]] = {}
         for at, (_, ws) in enumerate(indexed):
-            tf = Counter(ws)
-            own = {w: idf[w] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean)) for w, c in tf.items()}
+            own = {w: np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean)) for w, c in Counter(ws).items()}
             total = sum(own.values())
             for w, v in own.items():
-                k, impact = self.terms[w], v / total
-                self.postings[k].append((at, impact))
-                self.block_max[k, at // BLOCK] = max(self.block_max[k, at // BLOCK], impact)
+                found.setdefault(w, []).append((at, v / total))
+        self.terms = {w: k for k, w in enumerate(found)}
+        self.postings = list(found.values())
+        self.blocks = -(-len(indexed) // BLOCK)
+        # by term: the blocks that it occurs in, and its largest impact in each
+        most = [{} for _ in found]
+        for own, p in zip(most, self.postings, strict=True):
+            for at, v in p:
+                own[at // BLOCK] = max(own.get(at // BLOCK, 0.0), v)
+        self.block_at = np.concatenate([[0], np.cumsum([len(x) for x in most], dtype=np.int64)]).astype(np.int64)
+        self.block_of = np.fromiter((b for x in most for b in x), np.int64, int(self.block_at[-1]))
+        self.block_max = np.fromiter((v for x in most for v in x.values()), np.float64, int(self.block_at[-1]))
+        self.most = most
         seen = WordHashes()
         self.parts = []
-        for ws, answer in zip(self.words, self.answer_at, strict=True):
+        for _, ws, answer, _ in parsed:
             h = runs(word_hashes(ws, seen), SHINGLE)
             ends = np.arange(len(h)) + min(SHINGLE, len(ws))
             self.parts.append((np.unique(h[ends <= answer]), np.unique(h[ends > answer]), min(SHINGLE, len(ws))))
 
     def wand(self, terms: list[int], blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
         """Pieces that score ``least`` or more on the distinct ``terms``, in document-at-a-time order; only ``blocks`` can hold them."""
-        cursors = [[self.postings[t], 0, self.block_max[t]] for t in terms]
+        cursors = [[self.postings[t], 0, self.most[t]] for t in terms]
         out = []
-        for block in blocks:
+        for block in blocks.tolist():
             low, high = block * BLOCK, block * BLOCK + BLOCK
             live = []
             for c in cursors:
-                if c[2][block] > 0:
+                if block in c[2]:
                     p, i = c[0], c[1]
                     while i < len(p) and p[i][0] < low:
                         i += 1
@@ -134,26 +141,30 @@ class ItemIndex:
         return out
 
     def retrieve(self, words: list[bytes], least: float = RETRIEVE, passage: int = PASSAGE) -> dict[int, float]:
-        """Best score by item of its pieces over all passages of a text. Halves of passages are bounded by block maxima first: a passage without a block
+        """Best score by item of its pieces over all passages of a text. Passages are bounded by block maxima first: one without a block
         that can reach ``least`` is never scored."""
         get, v, half = self.terms.get, len(self.terms), passage // 2
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
         pos = np.flatnonzero(ids >= 0)
+        found: dict[int, float] = {}
         if not len(pos):
-            return {}
+            return found
         keys = np.unique(pos // half * v + ids[pos])
         halves, terms = keys // v, keys % v
-        starts = np.flatnonzero(np.diff(halves, prepend=-1))
-        bounds = np.zeros((halves[-1] + 2, self.block_max.shape[1]), np.float32)
-        bounds[halves[starts]] = np.add.reduceat(self.block_max[terms], starts, axis=0)
-        both = bounds[:-1] + bounds[1:]
-        found: dict[int, float] = {}
-        # the last half on its own is part of the passage before, unless it is the only one
-        for h in np.flatnonzero((both >= least - 1e-6).any(axis=1)):
-            own = np.unique(terms[(halves == h) | (halves == h + 1)])
-            for at, score in self.wand(own.tolist(), np.flatnonzero(both[h] >= least - 1e-6), least - 1e-9):
-                item = self.item_of[at]
-                found[item] = max(found.get(item, 0.0), score)
+        # a run of halves at a time, each with the one after it; the last half of a text is part of the passage before, unless it is the only one
+        for first in range(int(halves[0]), int(halves[-1]) + 1, AT_ONCE):
+            a, b = np.searchsorted(halves, [first, first + AT_ONCE + 1])
+            h, t = halves[a:b] - first, terms[a:b]
+            n = self.block_at[t + 1] - self.block_at[t]
+            entry = np.repeat(self.block_at[t] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            rows = min(AT_ONCE, int(halves[-1]) - first + 1) + 1
+            bounds = np.bincount(np.repeat(h, n) * self.blocks + self.block_of[entry], self.block_max[entry], rows * self.blocks).reshape(-1, self.blocks)[:rows]
+            both = bounds[:-1] + bounds[1:]
+            for at in np.flatnonzero((both >= least - 1e-6).any(axis=1)).tolist():
+                own = np.unique(t[(h == at) | (h == at + 1)])
+                for piece, score in self.wand(own.tolist(), np.flatnonzero(both[at] >= least - 1e-6), least - 1e-9):
+                    item = self.item_of[piece]
+                    found[item] = max(found.get(item, 0.0), score)
         return found
 
     def verify(self, words: list[bytes], items: dict[int, float], seen: WordHashes) -> list[tuple[int | None, float, float, float]]:
@@ -168,41 +179,106 @@ class ItemIndex:
         return out
 
 
-def _part(docs: DataFrame, items: list[tuple], retrieve: float, overlap: float) -> DataFrame:
-    index = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
+def piece_counts(found: list[list[bytes]]) -> tuple[Counter, int, float]:
+    """In how many pieces each word occurs, how many pieces there are, and their mean length."""
+    return Counter(w for ws in found for w in set(ws)), max(len(found), 1), sum(map(len, found)) / max(len(found), 1) or 1.0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, own = WordHashes(), index.value
+
+def build_index(benchmark: DataFrame) -> tuple[str, int]:
+    """Writes the index of ``benchmark`` (item_id, text) to a folder of the shared store; returns it and the number of parts.
+
+    Rows of at most PART_PIECES pieces of one item are dealt to parts by hash; with each part go the document frequencies of its words.
+    """
+    spark = benchmark.sparkSession
+    folder = scratch_path(spark, "items")
+    items = benchmark.select(col(benchmark, "item_id", "long").alias("item_id"), F.trim(col(benchmark, "text", "string")).alias("text")).where("length(text) > 0").distinct()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hits = [], []
+            rows = []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                words = bare_words(text)
-                if found := own.retrieve(words, retrieve):
-                    for hit in own.verify(words, found, seen):
-                        if min(hit[2:]) >= overlap:
-                            rows.append(i)
-                            hits.append(hit)
+                own = pieces(len(bare_words(text)))
+                rows += [(i, at, min(at + PART_PIECES, len(own)), sum(b - a for a, b in own[at : at + PART_PIECES])) for at in range(0, len(own), PART_PIECES) if own[-1][1]]
             if rows:
-                a = list(zip(*hits, strict=True))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array(a[0], pa.int64()), *(pa.array(x, pa.float64()) for x in a[1:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-
-    return docs.mapInArrow(run, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
+                i, a, b, n = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(i)) for c in ("item_id", "text")), *(pa.array(x, pa.int64()) for x in (a, b, n))], ["item_id", "text", "a", "b", "n_words"])
 
+    rows = durable(items.mapInArrow(cut, "item_id long, text string, a long, b long, n_words long"), "item-rows")
+    total = rows.agg(F.sum(F.col("b") - F.col("a")).alias("n"), F.sum("n_words").alias("words")).first()
+    if not total.n:
+        return folder, 0
+    n, mean, parts = total.n, total.words / total.n, -(-total.n // PART_PIECES)
+    dealt = rows.select(F.pmod(F.xxhash64("item_id", "text", "a"), F.lit(parts)).alias("part"), "item_id", "text", "a", "b")
 
-def item_parts(benchmark: DataFrame) -> list[list[tuple]]:
-    """The distinct test items, in parts of at most ``PART_ITEMS`` pieces. Pieces of one item may lie in several parts; each knows the whole item."""
-    rows = benchmark.select(col(benchmark, "item_id", "long").alias("item_id"), F.trim(col(benchmark, "text", "string")).alias("text")).where("length(text) > 0").distinct()
-    parts, left = [[]], PART_ITEMS
-    for r in rows.orderBy("item_id", "text").toLocalIterator():
-        at, n = 0, len(pieces(len(bare_words(r.text))))
-        while at < n:
-            if not left:
-                parts.append([])
-                left = PART_ITEMS
-            take = min(left, n - at)
-            parts[-1].append((r.item_id, r.text, at, at + take))
-            at, left = at + take, left - take
-    return parts
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, text, a, b in zip(*(batch.column(c).to_pylist() for c in ("part", "text", "a", "b")), strict=True):
+                words = bare_words(text)
+                df = piece_counts([words[x:y] for x, y in pieces(len(words))[a:b]])[0]
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(df), pa.int64()), pa.array(list(df), pa.binary()), pa.array(list(df.values()), pa.int64())], ["part", "word", "n"])
+
+    counts = durable(dealt.mapInArrow(count, "part long, word binary, n long").groupBy("part", "word").agg(F.sum("n").alias("n")), "item-words")
+    df = counts.groupBy("word").agg(F.sum("n").alias("df"))
+    known = counts.select("part", "word").join(df, "word")
+
+    def build(key: tuple, own: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        files, base = shared_store(folder)
+        files.create_dir(base, recursive=True)
+        index = ItemIndex([(None if i is None else int(i), t, int(a), int(b)) for i, t, a, b in zip(own["item_id"], own["text"], own["a"], own["b"], strict=True)], dict(zip(words["word"], words["df"], strict=True)), n, mean)
+        target = part_file(base, int(key[0]))
+        temp = f"{target}.{uuid.uuid4().hex}"
+        with files.open_output_stream(temp) as out:
+            out.write(pickle.dumps(index, protocol=5))
+        files.move(temp, target)
+        return pd.DataFrame({"part": [int(key[0])]})
+
+    # as text: beside a null, pandas makes a float of an id, which rounds large ones
+    exact = dealt.withColumn("item_id", F.col("item_id").cast("string"))
+    built = exact.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(build, "part long")
+    return folder, durable(built, "item-parts").count() and parts
+
+
+def part_file(base: str, part: int) -> str:
+    return f"{base}/part-{part:06d}.index"
+
+
+#: Index parts that this worker process holds, the last used last, and their bytes.
+_LOADED: OrderedDict[str, tuple[ItemIndex, int]] = OrderedDict()
+
+
+def load_part(folder: str, part: int) -> ItemIndex | None:
+    files, base = shared_store(folder)
+    path = part_file(base, part)
+    if path in _LOADED:
+        _LOADED.move_to_end(path)
+        return _LOADED[path][0]
+    if not files.get_file_info(path).is_file:  # no row was dealt to it
+        return None
+    with files.open_input_file(path) as f:
+        data = f.read()
+    _LOADED[path] = (pickle.loads(data), len(data))
+    while len(_LOADED) > 1 and sum(n for _, n in _LOADED.values()) > HELD:
+        _LOADED.popitem(last=False)
+    return _LOADED[path][0]
+
+
+def hits(texts: list[str | None], folder: str, parts: int, retrieve: float, overlap: float, seen: WordHashes) -> Iterator[tuple[int, tuple]]:
+    """``(place of the text, (item_id, score, question overlap, answer overlap))`` of all verified hits of a batch."""
+    first = 0
+    while first < len(texts):
+        # the words of a few texts at a time are held while all parts are looked at
+        words, size = [], 0
+        while first + len(words) < len(texts) and size < HELD_TEXT:
+            text = texts[first + len(words)]
+            words.append(bare_words(text))
+            size += len(text or "")
+        for part in range(parts):
+            if (index := load_part(folder, part)) is None:
+                continue
+            for i, own in enumerate(words, first):
+                if found := index.retrieve(own, retrieve):
+                    yield from ((i, hit) for hit in index.verify(own, found, seen) if min(hit[2:]) >= overlap)
+        first += len(words)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
@@ -212,27 +288,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIE
     Null and empty texts and items match nothing; repeated rows give repeated results; empty tables give an empty result.
     """
     texts = docs.select(col(docs, "doc_id", "long").alias("doc_id"), col(docs, "text", "string").alias("text"))
-    found = [_part(texts, part, retrieve, overlap) for part in item_parts(benchmark)]
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")))
+    folder, parts = build_index(benchmark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = WordHashes()
+        for batch in batches:
+            found = list(hits(batch.column("text").to_pylist(), folder, parts, retrieve, overlap, seen))
+            if found:
+                a = list(zip(*(hit for _, hit in found), strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array([i for i, _ in found])), pa.array(a[0], pa.int64()), *(pa.array(x, pa.float64()) for x in a[1:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+
+    found = texts.mapInArrow(run, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
+    return found.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no test item. Texts aren't shuffled: each task judges its own rows."""
-    for part in item_parts(benchmark):
-        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(ItemIndex(part)), retrieve, overlap)(col(docs, "text", "string")))
-    return docs
-
-
-def _clean(index: Broadcast, retrieve: float, overlap: float):  # noqa: ANN202
-    """A function of a text: whether it holds none of the items of ``index``."""
+    folder, parts = build_index(benchmark)
 
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
-        seen, own, out = WordHashes(), index.value, []
-        for text in texts:
-            words = bare_words(text)
-            found = own.retrieve(words, retrieve)
-            out.append(not found or all(min(h[2:]) < overlap for h in own.verify(words, found, seen)))
-        return pd.Series(out, dtype=bool)
-
-    return clean
+        out = np.ones(len(texts), bool)
+        for i, _ in hits(texts.tolist(), folder, parts, retrieve, overlap, WordHashes()):
+            out[i] = False
+        return pd.Series(out)
+
+    return docs.where(clean(col(docs, "text", "string")))
