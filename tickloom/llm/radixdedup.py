@@ -2,9 +2,11 @@
 
 The suffixes of interest are those with ``WINDOW`` bytes left in their text. The first digit is the hash of the window's anchor, the
 ``GRAM`` bytes with the smallest hash in it: equal windows have equal anchors at equal offsets, and consecutive windows share theirs, so
-one row stands for a run of suffixes. The second digit is the whole run. Runs that are equal are repeated as a whole; runs that share
-the first digit alone are read again, their suffixes are sorted by the remaining bytes, eight at a time, and suffixes that are alone in
-their group leave. Groups of two or more after the last digit are exactly the repeated windows.
+one row stands for a run of suffixes. Runs that are equal are repeated as a whole (first digit and hash of the run: 128 bits); runs that
+share the first digit alone are read again, and their suffixes are put in order eight bytes at a time: a pass sorts the members of each
+group by their next digit, and those that are alone leave. Groups of two or more after the last digit are exactly the repeated windows.
+Groups of more runs than a task sorts at once are settled by the shuffle: there one digit is the hash of the whole window, which has 128
+bits together with the first.
 """
 
 from __future__ import annotations
@@ -17,20 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, durable, mix
+from .common import col, durable, mix, small
 
 WINDOW, GRAM = 200, 24
 #: Runs of one first digit that one task sorts; larger groups go through the shuffle, suffix by suffix.
 IN_TASK = 4_000
 #: Suffixes that are sorted at once in a task.
 AT_ONCE = 4_000_000
+#: Rows of a first digit from which it is joined by a broadcast, so that its rows stay where they are.
+HOT = 10_000
 _U = np.uint64
 _B = _U(0x9E3779B97F4A7C15)
 
 
 def eights(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each position on as one number."""
-    return np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,)) if len(data) >= 8 else np.empty(0, np.uint64)
+    """The eight bytes from each position on as one number, which has their order."""
+    return np.ndarray((len(data) - 7,), ">u8", np.ascontiguousarray(data), strides=(1,)) if len(data) >= 8 else np.empty(0, np.uint64)
 
 
 def anchors(data: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -38,7 +42,7 @@ def anchors(data: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndar
     n = len(data) - window + 1
     if n < 1:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    e = eights(data)
+    e = eights(data).astype(np.uint64)
     h = np.zeros(len(data) - GRAM + 1, np.uint64)
     for i in range(0, GRAM, 8):
         h = mix(h * _B + e[i : i + len(h)])
@@ -77,28 +81,28 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def run_rows(docs: DataFrame) -> DataFrame:
-    """``(g, c, k, lo, hi, at)``: each run of each text; ``g`` and ``c`` are its digits, ``k`` its text's key. A text that repeats in a task is
+    """``(g, c, k, j, lo, hi, at)``: each run of each text; ``g`` and ``c`` are its digits, ``k, j`` its text's key. A text that repeats in a task is
     sent once more only, which is all that counting needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        times: dict[int, int] = {}
+        times: dict[tuple[int, int], int] = {}
         for batch in batches:
             out: list[tuple[np.ndarray, ...]] = []
-            for key, text in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if (seen := times.get(key, 0)) > 1:
+            for k, j, text in zip(*(batch.column(x).to_pylist() for x in ("k", "j", "text")), strict=True):
+                if (seen := times.get((k, j), 0)) > 1:
                     continue
                 if len(times) > 500_000:
                     times.clear()
-                times[key] = seen + 1
+                times[k, j] = seen + 1
                 data = _bytes(text)
                 lo, hi, at, g = anchors(data)
                 if len(lo):
                     c = mix(range_hashes(data, lo, hi + WINDOW) ^ g * _B ^ (at - lo).astype(np.uint64))
-                    out.append((g.view(np.int64), c.view(np.int64), np.full(len(lo), key, np.int64), *(x.astype(np.int32) for x in (lo, hi, at))))
+                    out.append((g.view(np.int64), c.view(np.int64), np.full(len(lo), k, np.int64), *(x.astype(np.int32) for x in (np.full(len(lo), j), lo, hi, at))))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["g", "c", "k", "lo", "hi", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["g", "c", "k", "j", "lo", "hi", "at"])
 
-    return docs.select("k", "text").mapInArrow(run, "g long, c long, k long, lo int, hi int, at int")
+    return docs.select("k", "j", "text").mapInArrow(run, "g long, c long, k long, j int, lo int, hi int, at int")
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -106,8 +110,8 @@ def _bytes(text: str | None) -> np.ndarray:
 
 
 def run_bytes(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """``(g, c, o, bytes)`` for the runs of ``need`` (g, c, k, lo, hi, at, rep), read from the texts; ``o`` is the anchor's offset in the run."""
-    by_text = need.groupBy(F.col("k").alias("of"), "rep").agg(F.collect_list(F.struct("g", "c", "lo", "hi", "at")).alias("runs"))
+    """``(g, c, o, bytes)`` for the runs of ``need`` (g, c, k, j, lo, hi, at, rep), read from the texts; ``o`` is the anchor's offset in the run."""
+    by_text = need.groupBy(F.col("k").alias("of"), F.col("j").alias("of2"), "rep").agg(F.collect_list(F.struct("g", "c", "lo", "hi", "at")).alias("runs"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,28 +122,35 @@ def run_bytes(docs: DataFrame, need: DataFrame) -> DataFrame:
                     ["g", "c", "o", "bytes"],
                 )
 
-    met = docs.join(by_text, (F.col("k") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "runs")
+    met = docs.join(by_text, (F.col("k") == F.col("of")) & (F.col("j") == F.col("of2")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "runs")
     return met.mapInArrow(read, "g long, c long, o int, bytes binary")
 
 
 def radix(first: np.ndarray, digits: np.ndarray, starts: np.ndarray, passes: int) -> np.ndarray:
     """Which of the suffixes at ``starts`` share their first digit and all ``passes`` more digits of eight bytes with another one.
 
-    After the first pass, and then after twice as many, suffixes alone in their group leave.
+    ``alive`` is kept in order: each pass sorts by the next digit within the groups whose members differ in it. Suffixes alone in their
+    group leave before the next pass.
     """
-    alive, state, check = np.arange(len(starts)), first, 1
-    for i in range(passes):
-        state = mix(state * _B + digits[starts[alive] + 8 * i])
-        if i + 1 in (check, passes):
-            check *= 2
-            order = np.argsort(state)
-            same = np.zeros(len(order) + 1, bool)
-            same[1:-1] = state[order[1:]] == state[order[:-1]]
-            stay = np.sort(order[same[1:] | same[:-1]])
-            alive, state = alive[stay], state[stay]
-            if not len(alive):
-                break
-    return alive
+    alive = np.argsort(first, kind="stable")
+    fresh = np.diff(first[alive], prepend=first[alive[:1]]) != 0  # where a group begins
+    fresh[:1] = True
+    for i in range(passes + 1):
+        together = ~(fresh & np.append(fresh[1:], True))
+        alive, fresh = alive[together], fresh[together]
+        if i == passes or not len(alive):
+            break
+        d = digits[starts[alive] + 8 * i].astype(np.uint64)
+        differs = np.append(False, d[1:] != d[:-1]) & ~fresh
+        if differs.any():
+            group = np.cumsum(fresh) - 1
+            mixed = np.zeros(group[-1] + 1, bool)
+            mixed[group[differs]] = True
+            at = np.flatnonzero(mixed[group])
+            order = at[np.lexsort((d[at], group[at]))]
+            alive[at], d[at] = alive[order], d[order]
+            fresh |= np.append(False, d[1:] != d[:-1])
+    return np.sort(alive)
 
 
 def suffixes(offsets: np.ndarray, sizes: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -203,7 +214,7 @@ def sort_groups(rows: DataFrame) -> DataFrame:
 
 
 def sort_by_shuffle(rows: DataFrame) -> DataFrame:
-    """The same for groups of any size: the suffixes themselves go through the shuffle, as a hash of their bytes and first digit."""
+    """The same for groups of any size: the suffixes themselves go through the shuffle, as their first digit and a hash of their bytes."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,32 +226,42 @@ def sort_by_shuffle(rows: DataFrame) -> DataFrame:
 
     every = rows.dropDuplicates(["g", "c"]).mapInArrow(spread, "s long, g long, c long, r int")
     every = durable(every, "suffixes")
-    twice = every.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s")
-    return every.join(twice, "s").select("g", "c", F.col("r").alias("r0"), F.col("r").alias("r1"))
+    twice = every.groupBy("g", "s").agg(F.count("*").alias("n")).where("n > 1").select("g", "s")
+    return every.join(twice, ["g", "s"]).select("g", "c", F.col("r").alias("r0"), F.col("r").alias("r1"))
+
+
+def with_counts(rows: DataFrame, counts: DataFrame, n: str) -> DataFrame:
+    """``rows`` joined to the written table ``counts`` (g, ``n``) by g. Rows of a digit with more than HOT rows meet it by a broadcast: there is at
+    most one such digit for every HOT rows, and they are counted before they are sent."""
+    hot = durable(counts.where(F.col(n) > HOT), "hot")
+    if hot.isEmpty():
+        return rows.join(counts, "g")
+    cold = rows.join(small(hot.select("g")), "g", "left_anti").join(counts.where(F.col(n) <= HOT), "g")
+    return cold.unionByName(rows.join(small(hot), "g"))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """``(of, spans)``: for each text key the ranges ``(first, last)`` of starts of windows that occur elsewhere. ``docs`` has doc_id, text, k."""
+    """``(of, of2, spans)``: for each text key the ranges ``(first, last)`` of starts of windows that occur elsewhere. ``docs`` has doc_id, text, k, j."""
     every = durable(run_rows(docs), "runs")
-    shared = every.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    kept = durable(every.join(shared, "g"), "shared-runs")
-    equal = kept.groupBy("g", "c").agg(F.count("*").alias("n"), *(F.any_value(x).alias(x) for x in ("k", "lo", "hi", "at")))
+    shared = durable(every.groupBy("g").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    kept = durable(with_counts(every, shared, "n").drop("n"), "shared-runs")
+    equal = kept.groupBy("g", "c").agg(F.count("*").alias("n"), *(F.any_value(x).alias(x) for x in ("k", "j", "lo", "hi", "at")))
     equal = durable(equal, "equal-runs")
-    groups = equal.groupBy("g").agg(F.count("*").alias("classes")).where("classes > 1")
-    reps = docs.groupBy("k").agg(F.min("doc_id").alias("rep"))
-    need = equal.join(groups, "g").join(reps, "k").select("g", "c", "k", "lo", "hi", "at", "rep", "classes")
+    groups = durable(equal.groupBy("g").agg(F.count("*").alias("classes")).where("classes > 1"), "groups")
+    reps = docs.groupBy("k", "j").agg(F.min("doc_id").alias("rep"))
+    need = with_counts(equal.drop("n"), groups, "classes").join(reps, ["k", "j"]).select("g", "c", "k", "j", "lo", "hi", "at", "rep", "classes")
     need = durable(need, "needed-runs")
     parts = [equal.where("n > 1").select("g", "c", F.lit(0).alias("r0"), (F.col("hi") - F.col("lo")).alias("r1"))]
-    small, large = need.where(F.col("classes") <= IN_TASK), need.where(F.col("classes") > IN_TASK)
-    parts.append(sort_groups(run_bytes(docs, small).repartition("g").sortWithinPartitions("g")))
-    if not large.isEmpty():
-        parts.append(sort_by_shuffle(run_bytes(docs, large)))
+    few, many = need.where(F.col("classes") <= IN_TASK), need.where(F.col("classes") > IN_TASK)
+    parts.append(sort_groups(run_bytes(docs, few).repartition("g").sortWithinPartitions("g")))
+    if not many.isEmpty():
+        parts.append(sort_by_shuffle(run_bytes(docs, many)))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
     found = durable(found, "repeated")
-    spans = kept.join(found, ["g", "c"]).select("k", F.struct((F.col("lo") + F.col("r0")).alias("first"), (F.col("lo") + F.col("r1")).alias("last")).alias("span"))
-    return spans.groupBy(F.col("k").alias("of")).agg(F.collect_set("span").alias("spans"))
+    spans = kept.join(found, ["g", "c"]).select("k", "j", F.struct((F.col("lo") + F.col("r0")).alias("first"), (F.col("lo") + F.col("r1")).alias("last")).alias("span"))
+    return spans.groupBy(F.col("k").alias("of"), F.col("j").alias("of2")).agg(F.collect_set("span").alias("spans"))
 
 
 def covered(n: int, spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -262,7 +283,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``removed`` has the byte ranges. An empty table gives an empty result.
     """
     rows = docs.select(col(docs, "doc_id", "long").alias("doc_id"), F.coalesce(col(docs, "text", "string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("k", F.xxhash64("text"))
+    rows = rows.withColumns({"k": F.xxhash64("text"), "j": F.hash("text")})  # 96 bits that stand for a text
     spans = durable(repeated_windows(rows.where(F.octet_length("text") >= WINDOW)), "removed")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,5 +302,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(c, kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
-    met = rows.join(spans, F.col("k") == F.col("of"), "left").select("doc_id", "text", "spans")
+    met = rows.join(spans, (F.col("k") == F.col("of")) & (F.col("j") == F.col("of2")), "left").select("doc_id", "text", "spans")
     return met.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")
