@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.core import ratio
 from ..schemas import DAYS
+from ..scratch import durable
 from .performance import with_returns
 
+#: Tickers of a block and days of a chunk: matrices of at most about a megabyte.
+BLOCK, CHUNK = 256, 512
+
 
 def complete_case(bars: DataFrame, tickers: DataFrame | None = None, price: str = "close") -> DataFrame:
     """``ticker, date, px`` on the dates on which every ticker of the universe has a price."""
@@ -24,14 +32,52 @@ def panel_returns(complete: DataFrame) -> DataFrame:
     return with_returns(complete, "px").where("ret is not null").select("ticker", "date", "ret")
 
 
-def pairs(returns: DataFrame) -> DataFrame:
-    """``a, b, date, x, y`` for each pair of tickers (a <= b) and date: an equi-join on the date."""
-    a, b = returns.select("date", F.col("ticker").alias("a"), F.col("ret").alias("x")), returns.select("date", F.col("ticker").alias("b"), F.col("ret").alias("y"))
-    return a.join(b, "date").where("a <= b")
+def pair_sums(returns: DataFrame, block: int = BLOCK, days: int = CHUNK) -> DataFrame:
+    """``a, b, n, sx, sy, sxx, syy, sxy, sq`` for each pair of tickers (a <= b) with dates in common: sums over these of the returns, of their
+    products, and of the products' squares. A ticker has one return a date; returns are centred by ticker, so that sums of squares don't cancel.
+
+    Tickers are dealt to blocks and dates to chunks; two blocks meet in each chunk as two matrices, whose products are the sums. No pair of
+    returns becomes a row: a ticker's returns are sent once to each block.
+    """
+    own = returns.where("ret is not null").select("ticker", "date", (F.col("ret") - F.avg("ret").over(W.partitionBy("ticker"))).alias("ret"))
+    blocks = max(-(-own.select("ticker").distinct().count() // block), 1)
+    day = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    cells = own.select("ticker", "ret", F.pmod(F.xxhash64("ticker"), F.lit(blocks)).alias("block"), F.floor(day / days).alias("chunk"), F.pmod(day, F.lit(days)).alias("day"))
+    side = lambda x: cells.groupBy("chunk", F.col("block").alias(f"block_{x}")).agg(*[F.collect_list(c).alias(f"{c}_{x}") for c in ("ticker", "day", "ret")])
+    met = side("a").join(side("b"), "chunk").where("block_a <= block_b")
+
+    def matrix(tickers: np.ndarray, day: np.ndarray, ret: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        names, row = np.unique(np.asarray(tickers, object).astype(str), return_inverse=True)
+        x, known = np.zeros((len(names), days)), np.zeros((len(names), days))
+        x[row, day], known[row, day] = ret, 1.0
+        return names, x, known
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                a, x, mx = matrix(r.ticker_a, r.day_a, r.ret_a)
+                b, y, my = matrix(r.ticker_b, r.day_b, r.ret_b)
+                sums = {"n": mx @ my.T, "sx": x @ my.T, "sy": mx @ y.T, "sxx": (x * x) @ my.T, "syy": mx @ (y * y).T, "sxy": x @ y.T, "sq": (x * x) @ (y * y).T}
+                i, j = np.nonzero((sums["n"] > 0) & ((a[:, None] <= b[None, :]) | (r.block_a < r.block_b)))
+                out = pd.DataFrame({"a": a[i], "b": b[j], **{k: v[i, j] for k, v in sums.items()}})
+                turned = out["a"] > out["b"]
+                for one, two in (("a", "b"), ("sx", "sy"), ("sxx", "syy")):
+                    out.loc[turned, [one, two]] = out.loc[turned, [two, one]].to_numpy()
+                yield out.astype({"n": "int64"})
+
+    names = ("sx", "sy", "sxx", "syy", "sxy", "sq")
+    sums = met.mapInPandas(run, "a string, b string, n long, " + ", ".join(f"{c} double" for c in names))
+    return sums.groupBy("a", "b").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names])
+
+
+def _moment(x: str, y: str) -> Column:
+    """The sum of products of deviations from the means over the dates in common."""
+    return F.col(f"s{min(x, y)}{max(x, y)}") - F.col(f"s{x}") * F.col(f"s{y}") / F.col("n")
 
 
 def correlations(returns: DataFrame) -> DataFrame:
-    return pairs(returns).groupBy("a", "b").agg(F.corr("x", "y").alias("corr"), F.count("*").alias("n"))
+    corr = ratio(_moment("x", "y"), F.nullif(F.sqrt(_moment("x", "x") * _moment("y", "y")), F.lit(0.0)))
+    return pair_sums(returns).select("a", "b", corr.alias("corr"), "n")
 
 
 def expected_returns(returns: DataFrame, days: int = DAYS) -> DataFrame:
@@ -41,17 +87,16 @@ def expected_returns(returns: DataFrame, days: int = DAYS) -> DataFrame:
 
 def covariances(returns: DataFrame, days: int = DAYS) -> DataFrame:
     """``a, b, cov``: sample covariances of a year, a <= b."""
-    return pairs(returns).groupBy("a", "b").agg((F.covar_samp("x", "y") * days).alias("cov"))
+    return pair_sums(returns).select("a", "b", (ratio(_moment("x", "y"), F.nullif(F.col("n") - 1, F.lit(0)).cast("double")) * days).alias("cov"))
 
 
 def ledoit_wolf(returns: DataFrame, days: int = DAYS) -> DataFrame:
     """``a, b, cov, shrinkage``: covariances shrunk to a multiple of the identity by the published Ledoit-Wolf intensity.
 
-    Needs a complete panel. All sums are over pairs: S from second moments, the error of S from fourth.
+    Needs a complete panel, whose centred returns sum to 0. All sums are over pairs: S from second moments, the error of S from fourth.
     """
-    mean = returns.groupBy("ticker").agg(F.avg("ret").alias("_m"))
-    centred = returns.join(F.broadcast(mean), "ticker").select("ticker", "date", (F.col("ret") - F.col("_m")).alias("ret"))
-    per = pairs(centred).groupBy("a", "b").agg(F.avg(F.col("x") * F.col("y")).alias("s"), F.avg(F.pow(F.col("x") * F.col("y"), 2)).alias("q"), F.count("*").alias("n"))
+    n = F.col("n")
+    per = durable(pair_sums(returns).select("a", "b", (F.col("sxy") / n).alias("s"), (F.col("sq") / n).alias("q"), "n"), "pair-moments")
     both = F.when(F.col("a") == F.col("b"), 1.0).otherwise(2.0)  # each pair stands for both orders
     diagonal = F.when(F.col("a") == F.col("b"), F.col("s"))
     sums = per.agg(F.count(diagonal).alias("p"), F.sum(diagonal).alias("trace"), F.sum(both * F.col("s") * F.col("s")).alias("ss"), F.sum(both * (F.col("q") - F.col("s") * F.col("s"))).alias("err"), F.max("n").alias("_n"))
@@ -66,7 +111,7 @@ def ledoit_wolf(returns: DataFrame, days: int = DAYS) -> DataFrame:
 def candidate_portfolios(tickers: DataFrame, n: int = 2_000, cap: float = 0.3, seed: int = 11) -> DataFrame:
     """``portfolio, ticker, w``: long-only weights from hashed exponentials, capped by handing the excess on once, summing to 1."""
     ids = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    u = (F.abs(F.xxhash64(F.lit(seed), "portfolio", "ticker") % 1_000_003) + 1) / 1_000_005
+    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("portfolio").cast("string"), "ticker")), 1, 8), 16, 10).cast("double") + 0.5) / 2.0**32
     raw = tickers.select("ticker").distinct().select("ticker", ids.alias("portfolio")).withColumn("e", F.pow(-F.ln(u), 2))
     part = W.partitionBy("portfolio")
     w = raw.withColumn("w", F.col("e") / F.sum("e").over(part))
@@ -78,7 +123,7 @@ def candidate_portfolios(tickers: DataFrame, n: int = 2_000, cap: float = 0.3, s
 
 def evaluate(portfolios: DataFrame, mu: DataFrame, cov: DataFrame, rf: float = 0.0) -> DataFrame:
     """``portfolio, ret, vol, sharpe``: sums over holdings and over pairs of holdings, joined through the covariance table."""
-    ret = portfolios.join(F.broadcast(mu), "ticker").groupBy("portfolio").agg(F.sum(F.col("w") * F.col("mu")).alias("ret"))
+    ret = portfolios.join(mu, "ticker").groupBy("portfolio").agg(F.sum(F.col("w") * F.col("mu")).alias("ret"))
     a = portfolios.select("portfolio", F.col("ticker").alias("a"), F.col("w").alias("wa"))
     b = portfolios.select("portfolio", F.col("ticker").alias("b"), F.col("w").alias("wb"))
     twice = F.when(F.col("a") == F.col("b"), 1.0).otherwise(2.0)

@@ -30,7 +30,7 @@ def security_metrics(bars: DataFrame, benchmark: DataFrame, price: str = "close"
     both = F.col("ret").isNotNull() & F.col("idx").isNotNull()
     x, y = F.when(both, F.col("ret")), F.when(both, F.col("idx"))
     end = F.max("date")
-    out = rows.join(F.broadcast(rows.groupBy("ticker").agg(end.alias("last_date"))), "ticker").groupBy("ticker").agg(
+    out = rows.withColumn("last_date", F.max("date").over(W.partitionBy("ticker"))).groupBy("ticker").agg(
         F.min("date").alias("first_date"), end.alias("end_date"), F.min_by("px", "date").alias("px0"), F.max_by("px", "date").alias("px1"), F.min_by("tr", "date").alias("tr0"), F.max_by("tr", "date").alias("tr1"),
         F.stddev_samp("ret").alias("sd"), F.stddev_samp(F.when(F.col("ret") < 0, F.col("ret"))).alias("sd_down"), F.avg("ret").alias("mean"), F.percentile("ret", 0.05).alias("var5"),
         skew_adjusted(F.col("ret")).alias("skew"), kurtosis_adjusted(F.col("ret")).alias("kurt"), F.min("dd").alias("max_dd"), F.max_by("dd", "date").alias("dd_now"),

@@ -768,10 +768,20 @@ def _(spark, d):
     return po.ledoit_wolf(po.panel_returns(_complete(spark, d)), MONTHS).select("a", "b", *r6s("cov", "shrinkage"))
 
 
-@query("k58_frontier_scan")
+@query("k58_frontier_scan", f"""WITH RECURSIVE m AS MATERIALIZED (SELECT ticker, pow(product(1 + ret), 252.0 / count(*)) - 1 AS mu FROM dret WHERE ret IS NOT NULL GROUP BY 1),
+       v AS MATERIALIZED (SELECT x.ticker AS a, y.ticker AS b, covar_samp(x.ret, y.ret) * 252 AS cov FROM dret x JOIN dret y ON x.date = y.date AND x.ticker <= y.ticker WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY 1, 2),
+       e AS (SELECT portfolio, ticker, pow(-ln((CAST('0x' || substr(md5('11:' || portfolio || ':' || ticker), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE), 2) AS e FROM m, (SELECT unnest(generate_series(0, 1999)) AS portfolio)),
+       w AS (SELECT *, greatest(0.3::DOUBLE - w, 0) AS room, sum(greatest(w - 0.3::DOUBLE, 0)) OVER (PARTITION BY portfolio) AS over FROM (SELECT *, e / sum(e) OVER (PARTITION BY portfolio) AS w FROM e)),
+       h AS MATERIALIZED (SELECT portfolio, ticker, least(w, 0.3::DOUBLE) + coalesce(over * room / nullif(sum(room) OVER (PARTITION BY portfolio), 0), 0) AS w FROM w),
+       s AS MATERIALIZED (SELECT r.portfolio, ret, sqrt(greatest(var, 0)) AS vol, ret / nullif(sqrt(greatest(var, 0)), 0) AS sharpe FROM (SELECT portfolio, sum(w * mu) AS ret FROM h JOIN m USING (ticker) GROUP BY 1) r
+         JOIN (SELECT x.portfolio, sum(CASE WHEN a = b THEN 1 ELSE 2 END * x.w * y.w * cov) AS var FROM h x JOIN v ON v.a = x.ticker JOIN h y ON y.portfolio = x.portfolio AND y.ticker = v.b GROUP BY 1) z ON z.portfolio = r.portfolio),
+       k AS (SELECT 'bucket-' || CAST(least(floor((ret - lo) / nullif(hi - lo, 0) * 20), 19) AS INT) AS kind, s.*, row_number() OVER (PARTITION BY least(floor((ret - lo) / nullif(hi - lo, 0) * 20), 19) ORDER BY vol, portfolio) AS rn FROM s, (SELECT min(ret) AS lo, max(ret) AS hi FROM s)
+         UNION ALL SELECT 'max-sharpe', *, row_number() OVER (ORDER BY sharpe DESC NULLS LAST, portfolio DESC) FROM s UNION ALL SELECT 'min-vol', *, row_number() OVER (ORDER BY vol, portfolio) FROM s)
+       SELECT kind, CAST(portfolio AS INT) AS portfolio, {Rs('ret', 'vol', 'sharpe')} FROM k WHERE rn = 1""")
 def _(spark, d):
     rets = pf.with_returns(pf.dense_closes(sy.bars(spark, d))).where("ret is not null").select("ticker", "date", "ret")
-    scan = po.evaluate(po.candidate_portfolios(rets.select("ticker")), po.expected_returns(rets), po.covariances(rets))
+    rets = durable(rets, "returns")
+    scan = durable(po.evaluate(po.candidate_portfolios(rets.select("ticker")), po.expected_returns(rets), po.covariances(rets)), "evaluated")
     return po.frontier_scan(scan).select("kind", "portfolio", *r6s("ret", "vol", "sharpe"))
 
 
