@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -71,8 +72,25 @@ def store(df: DataFrame, path: str) -> DataFrame:
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a table in the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
-    return store(df, scratch_path(df.sparkSession, name))
+    """Write ``df`` to a table in the shared folder and read it back: lineage ends there, and a lost executor loses nothing.
+
+    The table is deleted when the program ends with its session still running, if ``remove`` has not freed it before.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return store(df, path)
+
+
+#: Intermediate tables by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+@atexit.register
+def _free() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        remove(spark, *_WRITTEN.pop(spark.sparkContext.applicationId, []))
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
