@@ -89,16 +89,27 @@ def spans(text: str, n: int = SENTENCES, words: int = WORDS, seen: WordHashes |
 
 
 def span_rows(docs: DataFrame) -> DataFrame:
-    """``(h, key)``: each span of a document once."""
+    """``(h, key, n, again)``: each span of a document once; and a row without ``h`` for each document, with its number of units and whether
+    a span occurs again in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
         for batch in batches:
-            hashes = [np.unique(spans(text or "", seen=seen)[1]) for text in batch.column("text").to_pylist()]
-            own = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *hashes])), batch.column("key").take(pa.array(own))], ["h", "key"])
-
-    return docs.select("key", "text").mapInArrow(run, f"h long, key {dict(docs.dtypes)['key']}")
+            hashes, units, again = [], [], []
+            for text in batch.column("text").to_pylist():
+                at, found, _, _ = spans(text or "", seen=seen)
+                hashes.append(np.unique(found))
+                units.append(len(at) - 1)
+                again.append(len(hashes[-1]) < len(found))
+            docs = np.arange(len(hashes))
+            own = np.repeat(docs, [len(h) for h in hashes])
+            flat = np.concatenate([np.empty(0, np.int64), *hashes])
+            below = lambda values, kind: pa.concat_arrays([pa.nulls(len(flat), kind), pa.array(values, kind)])  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([pa.array(flat), pa.nulls(len(docs), pa.int64())]), batch.column("key").take(pa.array(np.concatenate([own, docs]))), below(units, pa.int64()), below(again, pa.bool_())], ["h", "key", "n", "again"]
+            )
+
+    return docs.select("key", "text").mapInArrow(run, f"h long, key {dict(docs.dtypes)['key']}, n long, again boolean")
 
 
 def cut_text(text: str | None, repeated: set[int], words: WordHashes | None = None) -> tuple[str, list[tuple[int, int]], int]:
@@ -124,9 +135,9 @@ def cut_text(text: str | None, repeated: set[int], words: WordHashes | None = No
     return "".join(kept), ranges, n
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(every: DataFrame) -> DataFrame:
     """``(key, hs)``: for each document the spans that a document with a smaller key holds too."""
-    every = durable(span_rows(docs), "spans")
+    every = every.where("h is not null").select("h", "key")
     first = every.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("h", "first")
     return every.join(first, "h").where("key > first").groupBy("key").agg(F.collect_set("h").alias("hs"))
 
@@ -154,7 +165,8 @@ def deduplicate_spans(docs: DataFrame) -> DataFrame:
     ``removed`` has the character ranges that go, each unit with the white space after it. An empty table gives an empty result.
     """
     rows = keyed(docs)
-    marks = durable(repeated_spans(rows), "repeated").withColumnRenamed("key", "of")
+    every = durable(span_rows(rows), "spans")
+    marks = every.where("h is null").select("key", "n", "again").join(durable(repeated_spans(every), "repeated"), "key", "left").withColumnRenamed("key", "of")
 
     def batch_of(ids: pa.Array, found: list[tuple[str, list[tuple[int, int]], int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -172,12 +184,13 @@ def deduplicate_spans(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            texts, times = batch.column("text").to_pylist(), batch.column("times").to_pylist()
-            yield batch_of(batch.column("doc_id"), [cut_text(t, set(hs or ()), words) for t, hs in zip(texts, batch.column("hs").to_pylist(), strict=True)])
+            texts, times, marked, n, again = (batch.column(c).to_pylist() for c in ("text", "times", "hs", "n", "again"))
+            # a text without repeated spans stays as it is
+            yield batch_of(batch.column("doc_id"), [cut_text(t, set(hs or ()), words) if hs or twice else (t or "", [], k) for t, hs, k, twice in zip(texts, marked, n, again, strict=True)])
             for i, more in enumerate(times):
                 for first in range(1, more, 1_000):  # a thousand copies at a time
                     n = min(1_000, more - first)
                     yield batch_of(batch.column("doc_id").take(pa.array([i] * n)), [cut_text(texts[i], set(spans(texts[i] or "", seen=words)[1].tolist()), words)] * n)
 
-    met = rows.join(marks, F.col("key") == F.col("of"), "left").select("doc_id", "text", "times", "hs")
+    met = rows.join(marks, F.col("key") == F.col("of"), "left").select("doc_id", "text", "times", "hs", "n", "again")
     return met.mapInArrow(run, "doc_id long, n_sentences long, n_removed long, n_removed_chars long, removed array<struct<start:long,end:long>>, kept_text string")
