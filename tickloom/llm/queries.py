@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatfmt, decontam, mixing, neardup, qualityforest, radixdedup, records, sentencespans, toxicity, urlrules
+from . import chatfmt, decontam, licensescan, mixing, neardup, qualityforest, radixdedup, records, sentencespans, toxicity, urlrules
 from .common import table
 
 
@@ -61,6 +61,10 @@ def op10_radix_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radixdedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licensescan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +72,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op2_token_records, op3_toxicity, op4_minhash_near_dedup, op5_chat_format, op6_url_rules, op7_quality_forest, op8_sentence_spans, op9_bm25_decontamination, op10_radix_substrings)
+    own = (op1_mix_sources, op2_token_records, op3_toxicity, op4_minhash_near_dedup, op5_chat_format, op6_url_rules, op7_quality_forest, op8_sentence_spans, op9_bm25_decontamination, op10_radix_substrings, op12_license_scan)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
