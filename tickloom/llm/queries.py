@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatfmt, decontam, licensescan, mixing, neardup, qualityforest, radixdedup, records, sentencespans, toxicity, urlrules
+from . import chatfmt, decontam, licensescan, mixing, neardup, qualityforest, radixdedup, records, sentencespans, sourceaudit, toxicity, urlrules
 from .common import table
 
 
@@ -61,6 +61,10 @@ def op10_radix_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radixdedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sourceaudit.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licensescan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -72,7 +76,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op2_token_records, op3_toxicity, op4_minhash_near_dedup, op5_chat_format, op6_url_rules, op7_quality_forest, op8_sentence_spans, op9_bm25_decontamination, op10_radix_substrings, op12_license_scan)
+    own = (op1_mix_sources, op2_token_records, op3_toxicity, op4_minhash_near_dedup, op5_chat_format, op6_url_rules, op7_quality_forest, op8_sentence_spans, op9_bm25_decontamination, op10_radix_substrings, op11_source_audit, op12_license_scan)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
@@ -122,7 +126,29 @@ SELECT doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0
        sha256(unhex(coalesce(pieces || substr(hx, 2 * last + 1), hx))) AS kept_sha256 FROM d LEFT JOIN k ON k.rid = d.rid
 """
 
+AUDIT_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY 1, 2 HAVING count(DISTINCT rid) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS c FROM w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY 1, 2, 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT g.lang, g.source, coalesce(sum(c.c), 0) AS n FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY 1, 2),
+p AS (SELECT n.lang, n.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (n.n + 5 * v.v) AS p
+      FROM n JOIN k ON k.lang = n.lang JOIN v ON v.lang = n.lang LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.term = k.term),
+lc AS (SELECT k.lang, k.term, sum(c.c) AS c FROM k JOIN c ON c.lang = k.lang AND c.term = k.term GROUP BY 1, 2),
+q AS (SELECT lc.lang, lc.term, 1 + (1000000000::HUGEINT * (lc.c + 5)) // (t.n + 5 * v.v) AS q FROM lc JOIN v ON v.lang = lc.lang JOIN (SELECT lang, sum(c) AS n FROM lc GROUP BY 1) t ON t.lang = lc.lang),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT y.lang, y.source, z.source AS item, sum(abs(y.p - z.p)) AS value FROM p y JOIN p z ON y.lang = z.lang AND y.term = z.term AND y.source <> z.source GROUP BY 1, 2, 3) x
+          ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.c > 0 AND p.p > q.q),
+r AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For the others SQL lacks the tokenizer, the models or the index; tests/llm holds them against brute force, round trips or held-out labels."""
-    return {"op1_mix_sources": MIX_SQL, "op4_minhash_near_dedup": NEAR_SQL, "op5_chat_format": CHAT_SQL, "op10_radix_substrings": RADIX_SQL}
+    return {"op1_mix_sources": MIX_SQL, "op4_minhash_near_dedup": NEAR_SQL, "op5_chat_format": CHAT_SQL, "op10_radix_substrings": RADIX_SQL, "op11_source_audit": AUDIT_SQL}
