@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatfmt, decontam, licensescan, mixing, neardup, qualityforest, radixdedup, records, sentencespans, sourceaudit, toxicity, urlrules
+from . import chatfmt, decontam, lexsearch, licensescan, mixing, neardup, qualityforest, radixdedup, records, sentencespans, sourceaudit, toxicity, urlrules
 from .common import table
 
 
@@ -69,6 +69,10 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licensescan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op2_token_records, op3_toxicity, op4_minhash_near_dedup, op5_chat_format, op6_url_rules, op7_quality_forest, op8_sentence_spans, op9_bm25_decontamination, op10_radix_substrings, op11_source_audit, op12_license_scan)
+    own = (op1_mix_sources, op2_token_records, op3_toxicity, op4_minhash_near_dedup, op5_chat_format, op6_url_rules, op7_quality_forest, op8_sentence_spans, op9_bm25_decontamination, op10_radix_substrings, op11_source_audit, op12_license_scan, op13_lexical_search)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
@@ -148,7 +152,20 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) WHERE part = 'pair' OR rank <= 50
 """
 
+SEARCH_SQL = r"""
+WITH i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS ts FROM documents),
+a AS (SELECT count(*) AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+t AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY 1, 2),
+w AS (SELECT term, floor(1000 * ln((2 * (SELECT n FROM a) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t GROUP BY 1),
+m AS (SELECT rid, doc_id, 100 - 50 + (50 * len(ts) * a.n) // a.l AS m FROM d, a WHERE len(ts) > 0),
+s AS (SELECT i.item_id, m.rid, m.doc_id, sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * m.m)))::BIGINT AS score
+      FROM i JOIN t ON t.term = i.term JOIN w ON w.term = i.term JOIN m ON m.rid = t.rid GROUP BY 1, 2, 3)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For the others SQL lacks the tokenizer, the models or the index; tests/llm holds them against brute force, round trips or held-out labels."""
-    return {"op1_mix_sources": MIX_SQL, "op4_minhash_near_dedup": NEAR_SQL, "op5_chat_format": CHAT_SQL, "op10_radix_substrings": RADIX_SQL, "op11_source_audit": AUDIT_SQL}
+    return {"op1_mix_sources": MIX_SQL, "op4_minhash_near_dedup": NEAR_SQL, "op5_chat_format": CHAT_SQL, "op10_radix_substrings": RADIX_SQL, "op11_source_audit": AUDIT_SQL, "op13_lexical_search": SEARCH_SQL}
