@@ -16,14 +16,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.core import chi2_sf_even, ratio, rolling
+from ..functions.linear import eliminate, gram, interpolate, lag_gram, lag_sums, nested_residuals, normal_cdf, polynomial
 from ..schemas import DAYS
 from .performance import by_date, with_returns
 
 #: Returns that stationarity tests, order grids and forecasts need.
 LEAST_TEST, LEAST_GRID, LEAST_FORECAST = 30, 60, 100
-#: Critical values of the augmented Dickey-Fuller test with a constant and of the KPSS test for a level, by significance.
-ADF_CRITICAL = ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10))
-KPSS_CRITICAL = ((0.739, 0.01), (0.574, 0.025), (0.463, 0.05), (0.347, 0.10))
+#: The response surface of the Dickey-Fuller distribution with a constant (normal quantiles as polynomials of the statistic,
+#: highest power first, up to and above a border, and where p is 0 and 1), and the KPSS test's critical values with their significance.
+ADF_SMALL, ADF_LARGE = (0.038269, 1.4412, 2.1659), (-0.010368, -0.12745, 0.93202, 1.7339)
+ADF_BORDER, ADF_LEAST, ADF_MOST = -1.61, -18.83, 2.74
+KPSS_POINTS = ((0.347, 0.10), (0.463, 0.05), (0.574, 0.025), (0.739, 0.01))
+#: Values before a row that an ARMA order is fitted from: innovations come from a long autoregression of ``INNOVATION_LAGS``.
+INNOVATION_LAGS, MOST_ORDER = 12, 3
 
 
 def log_returns(bars: DataFrame, price: str = "close") -> DataFrame:
@@ -85,51 +90,135 @@ def _lagged(x: np.ndarray, p: int, start: int) -> np.ndarray:
 
 
 def arch_lm(df: DataFrame, value: str = "ret", lags: int = 10, by: str = "ticker", time: str = "date") -> DataFrame:
-    """Engle's test: n R² of the squares on their lags, chi-square with ``lags`` (even) degrees of freedom."""
+    """Engle's test: n R² of the squares on their lags, chi-square with ``lags`` (even) degrees of freedom; null up to 3 ``lags`` values.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(time)[value].to_numpy() ** 2
-        stat = None
-        if len(x) > 3 * lags:
-            y = x[lags:]
-            _, e = _ols(np.column_stack([np.ones(len(y)), _lagged(x, lags, lags)]), y)
-            total = ((y - y.mean()) ** 2).sum()
-            stat = float(len(y) * (1 - (e @ e) / total)) if total > 0 else None
-        return pd.DataFrame({by: [pdf[by].iat[0]], "arch_lm": [stat]}).astype({"arch_lm": float})
+    The sums of products are one aggregate, the regression an elimination in its columns.
+    """
+    w = W.partitionBy(by).orderBy(time)
+    square = F.pow(F.col(value).cast("double"), 2)
+    rows = df.where(F.col(value).isNotNull()).select(by, square.alias("y"), *[F.lag(square, k).over(w).alias(f"l{k}") for k in range(1, lags + 1)])
+    used = rows.where(F.col(f"l{lags}").isNotNull())
+    size = lags + 2
+    sums = used.groupBy(by).agg(F.count("*").alias("m"), gram(F.lit(1.0), *[F.col(f"l{k}") for k in range(1, lags + 1)], F.col("y")).alias("g"))
+    left = lambda pivots: F.element_at(eliminate(F.col("g"), size, pivots), size * size)
+    stat = F.when(F.col("m") > 2 * lags, F.col("m") * (1 - ratio(F.col("around_plane"), F.nullif(F.col("around_mean"), F.lit(0.0)))))
+    found = sums.select(by, "m", left(1).alias("around_mean"), left(lags + 1).alias("around_plane")).select(by, stat.alias("arch_lm"))
+    out = df.where(F.col(value).isNotNull()).select(by).distinct().join(found, by, "left")
+    return out.select(by, "arch_lm", chi2_sf_even(F.col("arch_lm"), lags).alias("arch_lm_p"))
+
+
+def kpss(df: DataFrame, value: str = "ret", by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, n, kpss, kpss_lags, kpss_p``: the KPSS test of a level with the automatic bandwidth of Hobijn and others; needs more than 30
+    values. p lies between 0.01 and 0.1, as its table does.
+
+    The long-run variance under Bartlett weights of L lags is the mean square of the sums of L + 1 values in a row over L + 1, so any
+    bandwidth takes one join of the running sums with themselves instead of a pass for each lag.
+    """
+    w, all_ = W.partitionBy(by).orderBy(time), W.partitionBy(by)
+    x = F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull()).select(by, time, (x - F.avg(x).over(all_)).alias("e"), F.count("*").over(all_).alias("n")).where(F.col("n") > LEAST_TEST)
+    rows = rows.withColumns({"i": F.row_number().over(w), "run": F.sum("e").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))})
+    longest = rows.agg(F.max("n")).first()[0] or 0
+    steps = range(1, int(longest ** (2 / 9) + 1e-9) + 1)
+    lagged = rows.select("*", *[F.lag("e", k).over(w).alias(f"_l{k}") for k in steps])
+    near = lambda k, c: F.when(F.lit(k) <= F.floor(F.pow("n", F.lit(2 / 9))), c).otherwise(0.0)
+    products = lambda weight: sum((near(k, weight(k) * F.coalesce(F.col(f"_c{k}"), F.lit(0.0))) for k in steps), F.lit(0.0))
+    sums = lagged.groupBy(by).agg(F.max("n").alias("n"), F.sum(F.col("e") * F.col("e")).alias("ss"), F.sum(F.col("run") * F.col("run")).alias("area"), *[F.sum(F.col("e") * F.col(f"_l{k}")).alias(f"_c{k}") for k in steps])
+    ratio_ = ratio(products(lambda k: 2.0 * k), F.nullif(F.col("ss") + products(lambda k: 2.0), F.lit(0.0)))
+    bandwidth = F.least(F.floor(1.1447 * F.pow(ratio_ * ratio_, 1 / 3) * F.pow(F.col("n"), 1 / 3)), F.col("n") - 1)
+    found = sums.select(by, "n", "ss", "area", F.coalesce(bandwidth, F.lit(0)).cast("long").alias("band"))
+
+    runs = rows.select(by, "i", "n", "run").join(found.select(by, "band"), by)
+    before = runs.select(by, (F.col("i") + F.col("band") + 1).alias("i"), F.col("run").alias("past"))
+    # sums of band + 1 values that end in the series, then those that begin in it and end behind it, where the running sum is 0
+    spans = runs.join(before, [by, "i"], "left").select(by, F.pow(F.col("run") - F.coalesce("past", F.lit(0.0)), 2).alias("q"), F.when(F.col("i") >= F.col("n") - F.col("band"), F.pow("run", 2)).otherwise(0.0).alias("rest"))
+    squares = spans.groupBy(by).agg((F.sum("q") + F.sum("rest")).alias("q"))
+    n = F.col("n")
+    stat = ratio(F.col("area") / (n * n), F.nullif(F.col("q") / (n * (F.col("band") + 1)), F.lit(0.0)))
+    out = found.join(squares, by).select(by, "n", F.when(F.col("ss") > 0, stat).alias("kpss"), F.col("band").alias("kpss_lags"))
+    return out.withColumn("kpss_p", interpolate(F.col("kpss"), KPSS_POINTS))
+
+
+def adf(df: DataFrame, value: str = "ret", by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, adf, adf_lags, adf_p``: the augmented Dickey-Fuller test with a constant, its lags by AIC among up to 12 (n / 100)^(1/4) of
+    them on one sample, the statistic from all rows that the chosen lags leave; needs more than 30 values.
+
+    Spark sums the lagged products; one Cholesky factor of a ticker's matrix has the residuals of all lags.
+    """
+    w = W.partitionBy(by).orderBy(time)
+    x = F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull()).select(by, time, x.alias("level"), F.count("*").over(W.partitionBy(by)).alias("n")).where(F.col("n") > LEAST_TEST)
+    longest = rows.agg(F.max("n")).first()[0] or 0
+    lags = _most_lags(longest)
+    steps = rows.select(by, time, (F.col("level") - F.lag("level").over(w)).alias("d"), F.lag("level").over(w).alias("y")).where("d is not null")
+    sums = lag_sums(steps, "d", lags, [by], time).join(_level_sums(steps, lags, by, time), by)
 
-    out = df.where(F.col(value).isNotNull()).select(by, time, value).groupBy(by).applyInPandas(run, f"{by} string, arch_lm double")
-    stat = F.nanvl("arch_lm", F.lit(None).cast("double"))
-    return out.select(by, stat.alias("arch_lm"), chi2_sf_even(stat, lags).alias("arch_lm_p"))
+    @F.pandas_udf("adf double, adf_lags long")
+    def test(n: pd.Series, total: pd.Series, products: pd.Series, head: pd.Series, tail: pd.Series, level: pd.Series, first_levels: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_dickey_fuller(*row) for row in zip(n, total, products, head, tail, level, first_levels)], columns=["adf", "adf_lags"])
 
+    found = sums.select(by, test("n", "total", "products", "head", "tail", "level", "first_levels").alias("t")).select(by, "t.adf", "t.adf_lags")
+    stat = F.nanvl("adf", F.lit(None).cast("double"))
+    p = F.when(stat <= ADF_LEAST, 0.0).when(stat > ADF_MOST, 1.0).when(stat <= ADF_BORDER, normal_cdf(polynomial(stat, ADF_SMALL))).otherwise(normal_cdf(polynomial(stat, ADF_LARGE)))
+    return found.select(by, stat.alias("adf"), F.when(stat.isNotNull(), F.col("adf_lags")).alias("adf_lags"), F.when(stat.isNotNull(), p).alias("adf_p"))
 
-def stationarity(df: DataFrame, value: str = "ret", by: str = "ticker", time: str = "date") -> DataFrame:
-    """Augmented Dickey-Fuller (constant, lags by AIC) and KPSS (level) statistics, each with the smallest tabled significance at which its
-    null is rejected (null: none). Needs more than 30 values."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(time)[value].to_numpy(float)
-        n, adf, lag, kpss = len(x), None, None, None
-        if n > LEAST_TEST and x.std() > 0:
-            d, most = np.diff(x), min(int(12 * (n / 100) ** 0.25), n // 3)
-            best = math.inf
-            for p in range(most + 1):
-                start = most
-                z = np.column_stack([x[start:-1], np.ones(len(d) - start), _lagged(d, p, start)])
-                beta, e = _ols(z, d[start:])
-                m, s2 = len(e), e @ e / max(len(e) - z.shape[1], 1)
-                aic = m * math.log(max(e @ e / m, 1e-300)) + 2 * z.shape[1]
-                if aic < best:
-                    best, lag = aic, p
-                    adf = float(beta[0] / math.sqrt(max(s2 * np.linalg.pinv(z.T @ z)[0, 0], 1e-300)))
-            e = x - x.mean()
-            width = int(12 * (n / 100) ** 0.25)
-            long_run = e @ e / n + 2 * sum((1 - k / (width + 1)) * (e[k:] @ e[:-k]) / n for k in range(1, width + 1))
-            kpss = float((np.cumsum(e) ** 2).sum() / n**2 / long_run) if long_run > 0 else None
-        reject_adf = next((p for c, p in ADF_CRITICAL if adf is not None and adf < c), None)
-        reject_kpss = next((p for c, p in KPSS_CRITICAL if kpss is not None and kpss > c), None)
-        return pd.DataFrame([[pdf[by].iat[0], n, adf, lag, reject_adf, kpss, reject_kpss]], columns=[by, "n", "adf", "adf_lags", "adf_reject", "kpss", "kpss_reject"])
-
-    return df.where(F.col(value).isNotNull()).select(by, time, value).groupBy(by).applyInPandas(run, f"{by} string, n long, adf double, adf_lags double, adf_reject double, kpss double, kpss_reject double")
+def _most_lags(n: int) -> int:
+    return max(min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2), 0)
+
+
+def _level_sums(steps: DataFrame, lags: int, by: str, time: str) -> DataFrame:
+    """``by, level, first_levels``: sums of the level before each step, of its square, and of its products with the step k before; and the
+    first levels."""
+    w = W.partitionBy(by).orderBy(time)
+    rows = steps.select(by, "y", "d", F.row_number().over(w).alias("i"), *[F.lag("d", k).over(w).alias(f"l{k}") for k in range(1, lags + 1)])
+    cross = [F.coalesce(F.sum(F.col("y") * F.col(f"l{k}")), F.lit(0.0)) for k in range(1, lags + 1)]
+    first = F.transform(F.array_sort(F.collect_list(F.when(F.col("i") <= lags, F.struct("i", "y")))), lambda s: s["y"])
+    return rows.groupBy(by).agg(F.array(F.sum("y"), F.sum(F.col("y") * F.col("y")), F.sum(F.col("y") * F.col("d")), *cross).alias("level"), first.alias("first_levels"))
+
+
+def _dickey_fuller(n: int, total: float, products: np.ndarray, head: np.ndarray, tail: np.ndarray, level: np.ndarray, first_levels: np.ndarray) -> tuple[float, int]:
+    """The statistic and its number of lags from the sums over the ``n`` steps of one series."""
+    if not products[0] > 0:
+        return math.nan, 0
+
+    def matrix(lags: int, first: int) -> np.ndarray:
+        """Of (1, level, steps 1 to ``lags`` before, step) over the steps behind ``first``."""
+        g = lag_gram(n, total, products, head, tail, lags, first)
+        y = first_levels[:first]
+        with_level = np.array([level[0] - y.sum(), *[level[2 + k] - y[k:] @ head[: first - k] for k in range(lags + 1)]])
+        full = np.empty((lags + 3, lags + 3))
+        order = [0, *range(2, lags + 2), 1]  # 1, lags, step
+        at = [0, *range(2, lags + 3)]
+        full[np.ix_(at, at)] = g[np.ix_(order, order)]
+        full[1, 1] = level[1] - y @ y
+        full[1, at] = full[at, 1] = np.array([with_level[0], *with_level[2:], with_level[1]])
+        return full
+
+    most = _most_lags(n + 1)
+    try:
+        m = n - most
+        rss = nested_residuals(matrix(most, most))[1:]  # with the constant and the level, then one lag more each
+        aic = m * np.log(np.maximum(rss / m, 1e-300)) + 2 * (np.arange(len(rss)) + 2)
+        lags = int(aic.argmin())
+        # the level last: what is left of it and of its product with the step gives the coefficient and its error
+        g = matrix(lags, lags)
+        order = [0, *range(2, lags + 2), 1, lags + 2]
+        g = g[np.ix_(order, order)]
+        k = lags + 1
+        left = g[k:, k:] - g[k:, :k] @ np.linalg.solve(g[:k, :k], g[:k, k:])
+        beta = left[0, 1] / left[0, 0]
+        s2 = (left[1, 1] - beta * left[0, 1]) / (n - lags - (lags + 2))
+        return float(beta / math.sqrt(s2 / left[0, 0])), lags
+    except (np.linalg.LinAlgError, ValueError, ZeroDivisionError):  # a singular matrix: no test
+        return math.nan, 0
+
+
+def stationarity(df: DataFrame, value: str = "ret", by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, n``, statistic, lags and p-value of the augmented Dickey-Fuller test, whose null is a unit root, and of the KPSS test, whose null
+    is a stationary level. A series of up to 30 values has nulls."""
+    n = df.where(F.col(value).isNotNull()).groupBy(by).agg(F.count("*").alias("n"))
+    return n.join(adf(df, value, by, time), by, "left").join(kpss(df, value, by, time).drop("n"), by, "left").select(by, "n", "adf", "adf_lags", "adf_p", "kpss", "kpss_lags", "kpss_p")
 
 
 def hannan_rissanen(x: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,22 +233,60 @@ def hannan_rissanen(x: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarr
     return _ols(np.column_stack([np.ones(len(x) - start), _lagged(x, p, start), _lagged(e, q, start)]), x[start:])
 
 
-def arma_grid(returns: DataFrame, most: int = 3, differences: tuple[int, ...] = (0, 1), by: str = "ticker", time: str = "date") -> DataFrame:
-    """``by, p, d, q, aic, bic, rank``: orders up to ``most`` of the series differenced ``d`` times, one grouped map for each (ticker, order);
-    approximate. (0, d, 0) is left out."""
-    orders = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q")) for p in range(most + 1) for d in differences for q in range(most + 1) if p + q]))
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(time)["ret"].to_numpy(float)
-        p, d, q = (int(k) for k in key[1:4])
-        if len(x) <= LEAST_GRID:
-            return pd.DataFrame([], columns=[by, "p", "d", "q", "aic", "bic"])
-        _, e = hannan_rissanen(np.diff(x, d), p, q)
-        ll = len(e) * math.log(max(e @ e / len(e), 1e-300))
-        return pd.DataFrame([[key[0], p, d, q, ll + 2 * (p + q + 1), ll + math.log(len(e)) * (p + q + 1)]], columns=[by, "p", "d", "q", "aic", "bic"])
+def arma_grid(returns: DataFrame, most: int = MOST_ORDER, differences: tuple[int, ...] = (0, 1), by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, p, d, q, aic, bic, rank``: orders up to ``most`` of the series differenced ``d`` times; approximate; (0, d, 0) is left out.
 
-    out = returns.select(by, time, "ret", orders.alias("o")).select(by, time, "ret", "o.*").groupBy(by, "p", "d", "q").applyInPandas(run, f"{by} string, p int, d int, q int, aic double, bic double")
-    return out.withColumn("rank", F.row_number().over(W.partitionBy(by).orderBy("aic", "p", "d", "q")))
+    Innovations are the residuals of an autoregression of ``INNOVATION_LAGS``, hence combinations of lagged values. So one matrix of lagged
+    products, summed in one pass after one shuffle, holds the regressions of all orders, on the same rows.
+    """
+    lags = INNOVATION_LAGS + most
+    w = W.partitionBy(by).orderBy(time)
+    rows = returns.where("ret is not null").select(by, time, F.col("ret").cast("double").alias("x0"))
+    for d in range(1, max(differences) + 1):
+        rows = rows.withColumn(f"x{d}", F.col(f"x{d - 1}") - F.lag(f"x{d - 1}").over(w))
+    rows = rows.withColumn("have", F.count("*").over(W.partitionBy(by))).where(F.col("have") > LEAST_GRID)
+    dealt = rows.select(by, time, F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"x{d}").alias("x")) for d in differences])).alias("s")).select(by, time, "s.d", "s.x")
+    sums = lag_sums(dealt, "x", lags, [by, "d"], time)
+
+    @F.pandas_udf("array<struct<p:int,q:int,aic:double,bic:double>>")
+    def orders(n: pd.Series, total: pd.Series, products: pd.Series, head: pd.Series, tail: pd.Series) -> pd.Series:
+        return pd.Series([_orders(lag_gram(*row, lags, lags), most) for row in zip(n, total, products, head, tail)])
+
+    found = sums.select(by, "d", F.explode(orders("n", "total", "products", "head", "tail")).alias("o")).select(by, "o.p", "d", "o.q", "o.aic", "o.bic")
+    return found.withColumn("rank", F.row_number().over(W.partitionBy(by).orderBy("aic", "p", "d", "q")))
+
+
+def innovations(g: np.ndarray, long: int) -> np.ndarray:
+    """Coefficients (constant, lags) of the autoregression of order ``long`` from a matrix of lagged products."""
+    own = [0, *range(2, long + 2)]
+    return np.linalg.lstsq(g[np.ix_(own, own)], g[own, 1], rcond=None)[0]
+
+
+def with_innovations(width: int, beta: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Rows that make (1, x_t, x's ``p`` lags, ``q`` lags of the innovations) of (1, x_t, x_{t-1}, ...): an innovation is its value less what
+    the autoregression ``beta`` says of it."""
+    rows = np.zeros((2 + p + q, width))
+    rows[np.arange(2 + p), np.arange(2 + p)] = 1.0
+    for j in range(1, q + 1):
+        rows[1 + p + j, 1 + j] += 1.0
+        rows[1 + p + j, 0] -= beta[0]
+        rows[1 + p + j, 2 + j : 2 + j + len(beta) - 1] -= beta[1:]
+    return rows
+
+
+def _orders(g: np.ndarray, most: int) -> list[dict]:
+    beta, n, out = innovations(g, INNOVATION_LAGS), g[0, 0], []
+    for p in range(most + 1):
+        for q in range(most + 1):
+            if p + q:
+                t = with_innovations(len(g), beta, p, q)
+                m = t @ g @ t.T
+                own = [0, *range(2, len(m))]
+                coefficients = np.linalg.lstsq(m[np.ix_(own, own)], m[own, 1], rcond=None)[0]
+                rss = m[1, 1] - coefficients @ m[own, 1]
+                ll = n * math.log(max(rss / n, 1e-300))
+                out.append({"p": p, "q": q, "aic": float(ll + 2 * (p + q + 1)), "bic": float(ll + math.log(n) * (p + q + 1))})
+    return out
 
 
 def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", time: str = "date") -> DataFrame:

@@ -832,14 +832,43 @@ def _(spark, d):
     return ts.portmanteau(ts.acf(_lret(spark, d))).select("ticker", *big("lags"), *r6s("ljung_box", "ljung_box_p", "box_pierce", "box_pierce_p"))
 
 
-@query("k65_arch_lm")
+def _lagged_sql(rows: str, kept: int, least: int) -> str:
+    """Parts ``l`` to ``e``: the values x of ``rows`` (g, date, x) with a value ``least`` before them, their Gram matrix with ``kept`` lags in
+    front, and the matrix after each step of an elimination."""
+    size = kept + 2
+    z = ["1.0", *[f"l{k}" for k in range(1, kept + 1)], "x"]
+    sums = ", ".join(f"sum({z[i]} * {z[j]})" for i in range(size) for j in range(size))
+    step = f"list_transform(range({size * size}), lambda p: m[p + 1] - m[(p // {size}) * {size} + k + 1] * m[k * {size} + p % {size} + 1] / m[k * {size} + k + 1])"
+    return f"""l AS (SELECT g, x, {', '.join(f'lag(x, {k}) OVER w AS l{k}' for k in sorted({*range(1, kept + 1), least}))} FROM ({rows}) WINDOW w AS (PARTITION BY g ORDER BY date)),
+      s AS (SELECT g, count(*) AS n, [{sums}] AS m FROM l WHERE l{least} IS NOT NULL GROUP BY 1),
+      e AS (SELECT g, n, 0 AS k, m FROM s UNION ALL SELECT g, n, k + 1, {step} FROM e WHERE k < {kept + 1})"""
+
+
+@query("k65_arch_lm", f"""WITH RECURSIVE {_lagged_sql("SELECT ticker AS g, date, ret * ret AS x FROM lret", 10, 10)},
+       f AS (SELECT g, n * (1 - max(CASE WHEN k = 11 THEN m[144] END) / max(CASE WHEN k = 1 THEN m[144] END)) AS lm FROM e WHERE n > 20 GROUP BY g, n)
+       SELECT t.ticker, {R('lm')} AS arch_lm, {R(_tail('lm', 10))} AS arch_lm_p FROM (SELECT DISTINCT ticker FROM lret) t LEFT JOIN f ON f.g = t.ticker""")
 def _(spark, d):
     return ts.arch_lm(_lret(spark, d)).select("ticker", *r6s("arch_lm", "arch_lm_p"))
 
 
 @query("k62_stationarity")
 def _(spark, d):
-    return ts.stationarity(_lret(spark, d)).select("ticker", "n", *r6s("adf"), "adf_lags", "adf_reject", *r6s("kpss"), "kpss_reject")
+    return ts.stationarity(_lret(spark, d)).select("ticker", "n", r6("adf", "adf"), "adf_lags", r6("adf_p", "adf_p"), r6("kpss", "kpss"), "kpss_lags", r6("kpss_p", "kpss_p"))
+
+
+@query("k62_kpss", f"""WITH RECURSIVE x AS (SELECT ticker, row_number() OVER w AS i, ret - avg(ret) OVER (PARTITION BY ticker) AS e, count(*) OVER (PARTITION BY ticker) AS n FROM lret WINDOW w AS (PARTITION BY ticker ORDER BY date)),
+       c AS (SELECT a.ticker, a.i - b.i AS k, sum(a.e * b.e) AS c FROM x a JOIN x b ON b.ticker = a.ticker AND b.i BETWEEN a.i - 12 AND a.i WHERE a.i - b.i <= floor(pow(a.n, 2.0 / 9)) GROUP BY 1, 2),
+       l AS (SELECT x.ticker, n, least(floor(1.1447 * pow(pow(s, 2), 1.0 / 3) * pow(n, 1.0 / 3)), n - 1)::BIGINT AS band FROM (SELECT DISTINCT ticker, n FROM x WHERE n > 30) x
+             JOIN (SELECT ticker, sum(2.0 * k * c) / sum(CASE WHEN k = 0 THEN c ELSE 2.0 * c END) AS s FROM c GROUP BY 1) c ON c.ticker = x.ticker),
+       v AS (SELECT a.ticker, sum(CASE WHEN a.i = b.i THEN 1.0 ELSE 2 * (1 - (a.i - b.i) / (l.band + 1.0)) END * a.e * b.e) AS v FROM x a JOIN l ON l.ticker = a.ticker JOIN x b ON b.ticker = a.ticker AND b.i BETWEEN a.i - l.band AND a.i GROUP BY 1),
+       y AS (SELECT ticker, sum(r * r) AS area FROM (SELECT ticker, sum(e) OVER (PARTITION BY ticker ORDER BY i) AS r FROM x) GROUP BY 1),
+       k AS (SELECT l.ticker, l.n, band, area / l.n / v AS kpss FROM l JOIN v ON v.ticker = l.ticker JOIN y ON y.ticker = l.ticker)
+       SELECT ticker, CAST(n AS BIGINT) AS n, {R('kpss')} AS kpss, band AS kpss_lags, {R('CASE WHEN kpss <= 0.347 THEN 0.1 WHEN kpss <= 0.463 THEN 0.1 + (kpss - 0.347) * ((0.05 - 0.1) / (0.463 - 0.347)) WHEN kpss <= 0.574 THEN 0.05 + (kpss - 0.463) * ((0.025 - 0.05) / (0.574 - 0.463)) WHEN kpss <= 0.739 THEN 0.025 + (kpss - 0.574) * ((0.01 - 0.025) / (0.739 - 0.574)) ELSE 0.01 END')} AS kpss_p FROM k""")
+def _(spark, d):
+    return ts.kpss(_lret(spark, d)).select("ticker", "n", r6("kpss", "kpss"), "kpss_lags", r6("kpss_p", "kpss_p"))
+
+
+_STEPS = "SELECT ticker || '|0' AS g, date, ret AS x FROM lret WHERE ticker IN (SELECT ticker FROM lret GROUP BY 1 HAVING count(*) > 60) UNION ALL SELECT ticker || '|1', date, ret - lag(ret) OVER (PARTITION BY ticker ORDER BY date) FROM lret WHERE ticker IN (SELECT ticker FROM lret GROUP BY 1 HAVING count(*) > 60)"
 
 
 @query("k66_arma_orders")
@@ -847,6 +876,12 @@ def _(spark, d):
     return ts.arma_grid(_lret(spark, d)).select("ticker", *big("p", "d", "q"), *r6s("aic", "bic"), *big("rank"))
 
 
+@query("k66_ar_orders", f"""WITH RECURSIVE {_lagged_sql(f"SELECT * FROM ({_STEPS}) WHERE x IS NOT NULL", 3, 15)}
+       SELECT split_part(g, '|', 1) AS ticker, CAST(k - 1 AS BIGINT) AS p, CAST(split_part(g, '|', 2) AS BIGINT) AS d, {R('n * ln(m[25] / n) + 2 * k')} AS aic, {R('n * ln(m[25] / n) + ln(n) * k')} AS bic FROM e WHERE k > 1""")
+def _(spark, d):
+    return ts.arma_grid(_lret(spark, d)).where("q = 0").select("ticker", *big("p", "d"), *r6s("aic", "bic"))
+
+
 @query("k67_garch")
 def _(spark, d):
     return ts.residual_diagnostics(_lret(spark, d)).select("ticker", "date", "alpha", "beta", *r6s("cond_vol", "std_resid"))
