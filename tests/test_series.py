@@ -122,3 +122,69 @@ def test_orders_against_least_squares(rows, series):
         _, u = residuals(z, x[first:])
         ll = len(u) * math.log(u @ u / len(u))
         assert aic == pytest.approx(ll + 2 * (p + q + 1), rel=1e-7, abs=1e-5) and bic == pytest.approx(ll + math.log(len(u)) * (p + q + 1), rel=1e-7, abs=1e-5)
+
+
+def refits(x, p, q, train, refit):
+    """Forecasts from least squares on the whole past at every refit."""
+    first, out, beta, e = int(len(x) * train), [], None, None
+    for i in range(first, len(x)):
+        if (i - first) % refit == 0:
+            beta, res = ts.hannan_rissanen(x[:i], p, q)
+            e = list(res)
+        guess = beta[0] + sum(beta[1 + k] * x[i - 1 - k] for k in range(p)) + sum(beta[1 + p + k] * e[-1 - k] for k in range(q))
+        out.append(guess)
+        e.append(x[i] - guess)
+    return out
+
+
+@pytest.mark.parametrize(("p", "q", "refit"), [(1, 1, 20), (3, 2, 7), (2, 0, 1), (0, 1, 50)])
+def test_forecasts_equal_refits(rows, series, p, q, refit):
+    got = {}
+    for r in ts.walk_forward_forecast(rows, p, q, refit=refit).orderBy("date").collect():
+        got.setdefault(r.ticker, []).append((r.actual, r.forecast, r.error))
+    assert set(got) == {k for k, x in series.items() if len(x) >= 100}
+    for k, own in got.items():
+        want = refits(series[k], p, q, 0.8, refit)
+        assert [f for _, f, _ in own] == pytest.approx(want, rel=1e-7, abs=1e-8)
+        assert [a for a, _, _ in own] == pytest.approx(series[k][int(len(series[k]) * 0.8) :])
+        assert all(e == pytest.approx(a - f) for a, f, e in own)
+
+
+def test_fit_recovers_known_coefficients():
+    r = np.random.default_rng(2)
+    e, x = r.normal(0, 1, 20_000), np.zeros(20_000)
+    for t in range(1, len(x)):
+        x[t] = 0.5 + 0.6 * x[t - 1] + e[t] + 0.3 * e[t - 1]
+    beta, last = ts.GrowingArma(x, 1, 1).advance(len(x))
+    assert beta == pytest.approx([0.5, 0.6, 0.3], abs=0.05) and last == pytest.approx([e[-1]], abs=0.1)
+
+
+def test_long_or_cash_and_errors(spark):
+    data = [("A", DAY + dt.timedelta(days=i), a, f, a - f) for i, (a, f) in enumerate([(0.1, 0.05), (-0.2, 0.01), (0.3, -0.1), (0.05, 0.0), (0.02, 0.2)])]
+    forecasts = spark.createDataFrame(data, "ticker string, date date, actual double, forecast double, error double")
+    r = ts.long_cash(forecasts).first()
+    own = np.array([0.1, -0.2, 0.0, 0.0, 0.02])
+    assert r.total_pct == pytest.approx((math.exp(-0.08) - 1) * 100) and r.hold_pct == pytest.approx((math.exp(0.27) - 1) * 100)
+    assert r.sharpe == pytest.approx(own.mean() / own.std(ddof=1) * math.sqrt(252)) and r.long_pct == pytest.approx(60)
+    e = np.array([x[-1] for x in data])
+    errors = ts.forecast_errors(forecasts).first()
+    assert (errors.n, errors.rmse, errors.mae) == (5, pytest.approx(math.sqrt((e**2).mean())), pytest.approx(abs(e).mean()))
+    # five forecasts: the last one each
+    assert [x.rmse for x in ts.rolling_rmse(forecasts).orderBy("date").collect()] == pytest.approx(list(abs(e)))
+
+
+def test_forward_path_of_steps(spark):
+    bars = spark.createDataFrame([("A", dt.date(2024, 5, 30), 90.0), ("A", dt.date(2024, 5, 31), 100.0)], "ticker string, date date, close double")
+    steps = spark.createDataFrame([("A", 1, 0.01, 0.02), ("A", 2, -0.02, 0.02)], "ticker string, step int, forecast double, half_width double")
+    got = [tuple(r)[1:] for r in ts.forward_path(bars, steps).orderBy("date").collect()]
+    assert got == [(dt.date(2024, 6, 3), *map(pytest.approx, (100 * math.exp(0.01), 100 * math.exp(-0.01), 100 * math.exp(0.03)))), (dt.date(2024, 6, 4), *map(pytest.approx, (100 * math.exp(-0.01), 100 * math.exp(-0.05), 100 * math.exp(0.03))))]
+
+
+def test_steps_of_a_known_process(rows, series):
+    got = [r.forecast for r in ts.forecast_steps(rows.where("ticker = 'ar'"), 5, 1, 0).orderBy("step").collect()]
+    x = series["ar"]
+    beta, _ = residuals(np.column_stack([np.ones(len(x) - 1), x[:-1]]), x[1:])
+    want, v = [], x[-1]
+    for _ in range(5):
+        want.append(v := beta[0] + beta[1] * v)
+    assert got == pytest.approx(want)

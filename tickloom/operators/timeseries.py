@@ -321,29 +321,88 @@ def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", t
     return returns.select(by, time, "ret").groupBy(by).applyInPandas(run, f"{by} string, {time} date, alpha double, beta double, cond_vol double, std_resid double")
 
 
+class GrowingArma:
+    """Hannan-Rissanen fits of a growing past. ``advance`` adds the rows that are new to two matrices of lagged products and solves them, so that
+    a refit costs as much as its new rows and not as the past; the coefficients are those of a fit to all of it."""
+
+    def __init__(self, x: np.ndarray, p: int, q: int) -> None:
+        self.x, self.p, self.q = x, p, q
+        self.long = max(10, 2 * (p + q)) if q else 0
+        self.width, self.first = max(p, self.long + q), self.long + max(p, q)
+        self.done = {self.long: self.long, self.first: self.first}  # rows that are in, by the first of them
+        size = self.width + 2
+        self.of_long, self.of_all = np.zeros((self.long + 2, self.long + 2)), np.zeros((size, size))
+
+    def _add(self, matrix: np.ndarray, key: int, until: int) -> None:
+        at = self.done[key]
+        if until > at:
+            z = np.column_stack([np.ones(until - at), *[self.x[at - k : until - k] for k in range(len(matrix) - 1)]])
+            matrix += z.T @ z
+            self.done[key] = until
+
+    def advance(self, until: int) -> tuple[np.ndarray, np.ndarray]:
+        """Coefficients (constant, AR, MA) from the values before ``until``, and the last ``q`` residuals."""
+        self._add(self.of_all, self.first, until)
+        beta = np.zeros(1)
+        if self.q:
+            if self.long != self.first:
+                self._add(self.of_long, self.long, until)
+            beta = _solve(self.of_long)
+        t = with_innovations(self.width + 2, beta, self.p, self.q)
+        coefficients = _solve(t @ self.of_all @ t.T)
+        return coefficients, self._residuals(t, coefficients, until)
+
+    def _residuals(self, t: np.ndarray, coefficients: np.ndarray, until: int) -> np.ndarray:
+        if not self.q:
+            return np.empty(0)
+        z = np.array([[1.0, *self.x[i - self.width : i + 1][::-1]] for i in range(until - self.q, until)]) @ t.T
+        return z[:, 1] - np.delete(z, 1, axis=1) @ coefficients
+
+
+def _solve(matrix: np.ndarray) -> np.ndarray:
+    """Coefficients of the second variable of a Gram matrix on all others."""
+    scale = np.sqrt(np.maximum(np.diag(matrix), 1e-300))
+    m = matrix / np.outer(scale, scale)
+    own = [0, *range(2, len(m))]
+    a, b = m[np.ix_(own, own)], m[own, 1]
+    try:
+        found = np.linalg.solve(a, b)
+    except np.linalg.LinAlgError:
+        found = np.linalg.lstsq(a, b, rcond=None)[0]
+    return found * scale[1] / scale[own]
+
+
 def walk_forward_forecast(returns: DataFrame, p: int = 1, q: int = 1, train: float = 0.8, refit: int = 20, legacy_alignment: bool = False, by: str = "ticker", time: str = "date") -> DataFrame:
-    """``by, date, actual, forecast, error``: one step ahead after the first ``train`` share, refitted every ``refit`` steps; needs 100 values.
+    """``by, date, actual, forecast, error``: one step ahead after the first ``train`` share, refitted every ``refit`` steps; needs 100 values
+    and at most 10 coefficients. The time of a ticker grows with its number of values, not of refits times values.
 
     The forecast from values before i is compared with value i; ``legacy_alignment`` compares it with i + 1.
     """
+    if p + q > 10:
+        raise ValueError("p + q is above 10")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(time).reset_index(drop=True)
         x, rows = pdf["ret"].to_numpy(float), []
         if len(x) >= LEAST_FORECAST:
-            first = int(len(x) * train)
-            beta, e = None, None
+            first, fit = int(len(x) * train), GrowingArma(x, p, q)
             for i in range(first, len(x) - int(legacy_alignment)):
-                if beta is None or (i - first) % refit == 0:
-                    beta, res = hannan_rissanen(x[:i], p, q)
-                    e = np.concatenate([np.zeros(i - len(res)), res])
-                guess = float(beta[0] + beta[1 : p + 1] @ x[i - p : i][::-1] + beta[p + 1 :] @ e[len(e) - q :][::-1])
+                if (i - first) % refit == 0:
+                    beta, e = fit.advance(i)
+                guess = float(beta[0] + beta[1 : p + 1] @ x[i - p : i][::-1] + beta[p + 1 :] @ e[::-1])
                 at = i + int(legacy_alignment)
                 rows.append((pdf[by].iat[0], pdf[time].iat[at], x[at], guess, x[at] - guess))
-                e = np.append(e, x[i] - guess)
+                if q:
+                    e = np.append(e[1:], x[i] - guess)
         return pd.DataFrame(rows, columns=[by, time, "actual", "forecast", "error"])
 
-    return returns.select(by, time, "ret").groupBy(by).applyInPandas(run, f"{by} string, {time} date, actual double, forecast double, error double")
+    return returns.where("ret is not null").select(by, time, "ret").groupBy(by).applyInPandas(run, f"{by} string, {time} date, actual double, forecast double, error double")
+
+
+def persistence_forecast(returns: DataFrame, by: str = "ticker", time: str = "date") -> DataFrame:
+    """``by, date, actual, forecast, error``: tomorrow as today, the forecast that others are held against."""
+    before = F.lag("ret").over(W.partitionBy(by).orderBy(time))
+    return returns.where("ret is not null").select(by, time, F.col("ret").alias("actual"), before.alias("forecast"), (F.col("ret") - before).alias("error")).where("forecast is not null")
 
 
 def forecast_errors(forecasts: DataFrame, by: str = "ticker") -> DataFrame:
@@ -351,14 +410,12 @@ def forecast_errors(forecasts: DataFrame, by: str = "ticker") -> DataFrame:
 
 
 def rolling_rmse(forecasts: DataFrame, by: str = "ticker", time: str = "date", most: int = 20) -> DataFrame:
-    """RMSE over the last min(``most``, n // 3) forecasts of each ticker."""
-    n = F.count("*").over(W.partitionBy(by))
-    w = W.partitionBy(by).orderBy(time)
-    width = F.greatest(F.least(F.lit(most), F.floor(n / 3)), F.lit(1))
-    rows = forecasts.withColumn("_i", F.row_number().over(w)).withColumn("_w", width).withColumn("_ss", F.sum(F.pow("error", 2)).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    past = rows.select(F.col(by).alias("_b"), (F.col("_i")).alias("_j"), F.col("_ss").alias("_before"))
-    met = rows.join(past, (F.col(by) == F.col("_b")) & (F.col("_j") == F.col("_i") - F.col("_w")), "left")
-    return met.select(by, time, F.when(F.col("_i") >= F.col("_w"), F.sqrt(F.greatest((F.col("_ss") - F.coalesce("_before", F.lit(0.0))) / F.col("_w"), F.lit(0.0)))).alias("rmse"))
+    """RMSE over the last min(``most``, n // 3) forecasts of each ticker; null before there are so many."""
+    w = W.partitionBy(by).orderBy(time).rowsBetween(-(most - 1), W.currentRow)
+    width = F.greatest(F.least(F.lit(most), F.floor(F.count("*").over(W.partitionBy(by)) / 3)), F.lit(1)).cast("int")
+    rows = forecasts.select(by, time, width.alias("_w"), F.collect_list(F.pow("error", 2)).over(w).alias("_s"))
+    last = F.aggregate(F.slice("_s", -F.col("_w"), F.col("_w")), F.lit(0.0), lambda acc, x: acc + x)
+    return rows.select(by, time, F.when(F.size("_s") >= F.col("_w"), F.sqrt(last / F.col("_w"))).alias("rmse"))
 
 
 def long_cash(forecasts: DataFrame, by: str = "ticker", time: str = "date") -> DataFrame:
@@ -403,6 +460,12 @@ def forecast_steps(returns: DataFrame, horizon: int = 10, p: int = 1, q: int = 1
     return returns.select(by, time, "ret").groupBy(by).applyInPandas(run, f"{by} string, step int, forecast double, half_width double")
 
 
+def steady_steps(returns: DataFrame, horizon: int = 10, z: float = 1.96, by: str = "ticker") -> DataFrame:
+    """``by, step, forecast, half_width``: the next log returns as the mean of the past, within ``z`` of its deviations."""
+    sums = returns.groupBy(by).agg(F.avg("ret").alias("forecast"), (z * F.stddev_samp("ret")).alias("half_width")).where("half_width is not null")
+    return sums.select(by, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), "forecast", "half_width")
+
+
 def residual_diagnostics(returns: DataFrame, p: int = 1, q: int = 1) -> DataFrame:
     """GARCH residuals with the squares whose autocorrelation tells whether clustering is left, and their rolling deviation."""
     g = garch_grid(returns, p, q)

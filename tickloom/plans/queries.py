@@ -897,6 +897,36 @@ def _(spark, d):
     return ts.acf(ts.residual_diagnostics(_lret(spark, d)), "squared").select("ticker", *big("lag"), r6("acf", "acf"))
 
 
+_NAIVE = "naive AS (SELECT ticker, date, ret AS actual, p AS forecast, ret - p AS error FROM (SELECT *, lag(ret) OVER (PARTITION BY ticker ORDER BY date) AS p FROM lret) WHERE p IS NOT NULL)"
+
+
+@query("d17_forecast_errors", f"WITH RECURSIVE {_NAIVE} SELECT ticker, count(*) AS n, {R('sqrt(avg(error * error))')} AS rmse, {R('avg(abs(error))')} AS mae FROM naive GROUP BY 1")
+def _(spark, d):
+    return ts.forecast_errors(ts.persistence_forecast(_lret(spark, d))).select("ticker", "n", *r6s("rmse", "mae"))
+
+
+@query("e6_rolling_rmse", f"""WITH RECURSIVE {_NAIVE}, n AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, greatest(least(20, count(*) OVER (PARTITION BY ticker) // 3), 1) AS w FROM naive),
+       s AS (SELECT a.ticker, a.date, a.i, a.w, sum(b.error * b.error) AS ss FROM n a JOIN n b ON b.ticker = a.ticker AND b.i > a.i - a.w AND b.i <= a.i GROUP BY 1, 2, 3, 4)
+       SELECT ticker, date, {R('CASE WHEN i >= w THEN sqrt(ss / w) END')} AS rmse FROM s""")
+def _(spark, d):
+    return ts.rolling_rmse(ts.persistence_forecast(_lret(spark, d))).select("ticker", "date", r6("rmse", "rmse"))
+
+
+@query("k69_persistence", f"""WITH RECURSIVE {_NAIVE}, r AS (SELECT ticker, actual, forecast, CASE WHEN forecast > 0 THEN actual ELSE 0.0 END AS r FROM naive)
+       SELECT ticker, {R('(exp(sum(r)) - 1) * 100')} AS total_pct, {R('(exp(sum(actual)) - 1) * 100')} AS hold_pct, {R('avg(r) / nullif(stddev_samp(r), 0) * sqrt(252.0)')} AS sharpe, {R('100 * avg(CASE WHEN forecast > 0 THEN 1 ELSE 0 END)')} AS long_pct FROM r GROUP BY 1""")
+def _(spark, d):
+    return ts.long_cash(ts.persistence_forecast(_lret(spark, d))).select("ticker", *r6s("total_pct", "hold_pct", "sharpe", "long_pct"))
+
+
+@query("k70_steady_path", f"""WITH RECURSIVE f AS (SELECT ticker, avg(ret) AS f, 1.96 * stddev_samp(ret) AS h FROM lret GROUP BY 1),
+       b AS (SELECT ticker, max(date) AS last, arg_max(close, date) AS px FROM bars GROUP BY 1),
+       c AS (SELECT b.ticker, CAST(last + CAST(k AS INTEGER) AS DATE) AS date, px, f, h, row_number() OVER (PARTITION BY b.ticker ORDER BY k) AS step FROM b JOIN f ON f.ticker = b.ticker, (SELECT unnest(generate_series(1, 24)) AS k) WHERE h IS NOT NULL AND isodow(last + CAST(k AS INTEGER)) < 6)
+       SELECT ticker, date, {R('px * exp(step * f)')} AS price, {R('px * exp(step * (f - h))')} AS low, {R('px * exp(step * (f + h))')} AS high FROM c WHERE step <= 10""")
+def _(spark, d):
+    bars = sy.bars(spark, d)
+    return ts.forward_path(bars, ts.steady_steps(ts.log_returns(bars))).select("ticker", "date", *r6s("price", "low", "high"))
+
+
 def _forecasts(spark, d):
     return ts.walk_forward_forecast(_lret(spark, d))
 
