@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.functions import core
+from tickloom.functions import core, series
 from tickloom.operators import backtest as bt
 from tickloom.operators import bonds as bd
 from tickloom.operators import corporate_actions as ca
@@ -232,7 +232,7 @@ def test_ewma_matches_pandas(spark, bars):
     import pandas as pd
 
     xs = [1, 4, 2, 8, 5, 7]
-    out = core.ewma(bars(xs), "close", (3,))
+    out = series.ewma(bars(xs), "close", (3,))
     assert column(out, "ewma_3") == pytest.approx(list(pd.Series(xs).ewm(span=3, adjust=False).mean()))
     assert bars(xs).agg(core.ewma_last(F.col("close"), F.col("date"), 3)).first()[0] == pytest.approx(pd.Series(xs).ewm(span=3, adjust=False).mean().iloc[-1])
 

@@ -80,24 +80,6 @@ def kurtosis_adjusted(value: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6))
 
 
-def ewma(df: DataFrame, value: str, spans: Sequence[int], by: str = "ticker", time: str = "date") -> DataFrame:
-    """Adds ``ewma_<span>`` (adjust=False, nulls skipped) per key in time order: a grouped map, as each value needs the one before.
-
-    A group is one security's history, a few thousand rows.
-    """
-    names = [f"ewma_{s}" for s in spans]
-
-    def run(pdf):  # noqa: ANN001, ANN202
-        pdf = pdf.sort_values(time)
-        for s, name in zip(spans, names, strict=True):
-            pdf[name] = pdf[value].ewm(span=s, adjust=False, ignore_na=True).mean()
-        return pdf[[by, time, *names]]
-
-    kinds = dict(df.dtypes)
-    out = df.where(F.col(value).isNotNull()).select(by, time, value).groupBy(by).applyInPandas(run, f"{by} {kinds[by]}, {time} {kinds[time]}, " + ", ".join(f"{n} double" for n in names))
-    return df.join(out, [by, time], "left")
-
-
 def ewma_last(value: Column, time: Column, span: int) -> Column:
     """The last exponentially weighted mean of a group, as an aggregate."""
     a = 2.0 / (span + 1)

@@ -13,7 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from ..functions.core import dense_grid, drawdown, ewma, growth, pct_rank_avg, ratio, rolling
+from ..functions.core import dense_grid, drawdown, growth, pct_rank_avg, ratio, rolling
+from ..functions.series import ewma
 from ..schemas import DAYS, MONTHS
 from ..scratch import durable
 from .performance import by_date, dense_closes, with_returns

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.core import drawdown, first_value, kurtosis_adjusted, ratio, rolling, skew_adjusted
+from ..functions.series import rolling_columns
 from ..schemas import DAYS, YEAR_DAYS
 from .performance import by_date, with_returns
 
@@ -62,24 +63,30 @@ def relative_strength(bars: DataFrame, benchmark: DataFrame) -> DataFrame:
     return both.select("ticker", "date", (100 * F.col("q") / first_value(F.col("q"), W.partitionBy("ticker").orderBy("date"))).alias("rs"))
 
 
-def rolling_beta_corr(bars: DataFrame, benchmark: DataFrame, n: int = 126) -> DataFrame:
-    """Rolling beta and correlation over ``n`` common returns."""
+def rolling_beta_corr(bars: DataFrame, benchmark: DataFrame, n: int = 126, split: str | None = None) -> DataFrame:
+    """Rolling beta and correlation over ``n`` common returns. ``split``, a unit of time, cuts histories too long for one task each."""
     idx = benchmark.select("date", F.col("close").alias("idx")).dropna()
     both = bars.select("ticker", "date", "close").dropna().join(F.broadcast(idx), "date")
-    rets = both.withColumn("r", ratio(F.col("close"), F.lag("close").over(by_date())) - 1).withColumn("m", ratio(F.col("idx"), F.lag("idx").over(by_date())) - 1)
-    w = by_date().rowsBetween(-(n - 1), W.currentRow)
-    full = F.count("r").over(w) >= n
-    return rets.select("ticker", "date", F.when(full, ratio(F.covar_samp("r", "m").over(w), F.nullif(F.var_samp("m").over(w), F.lit(0.0)))).alias("beta"), F.when(full, F.corr("r", "m").over(w)).alias("corr"))
-
-
-def rolling_vol(bars: DataFrame, windows: tuple[int, ...] = (30, 90, 252)) -> DataFrame:
-    """Yearly volatility over each window; null while a ticker has fewer returns than that."""
-    rets = with_returns(bars.select("ticker", "date", "close"), "close")
-    return rets.select("ticker", "date", *[(rolling(F.stddev_samp, "ret", n, by_date()) * DAYS**0.5 * 100).alias(f"vol_{n}") for n in windows])
-
-
-def turnover_mean(bars: DataFrame, n: int = 20) -> DataFrame:
-    return bars.select("ticker", "date", rolling(F.avg, "value_rub", n, by_date()).alias(f"turnover_ma{n}"))
+    frame = lambda w: w.rowsBetween(-(n - 1), W.currentRow)
+    full = lambda w: F.count("r").over(frame(w)) >= n
+    columns = {
+        "r": lambda w: ratio(F.col("close"), F.lag("close").over(w)) - 1,
+        "m": lambda w: ratio(F.col("idx"), F.lag("idx").over(w)) - 1,
+        "beta": lambda w: F.when(full(w), ratio(F.covar_samp("r", "m").over(frame(w)), F.nullif(F.var_samp("m").over(frame(w)), F.lit(0.0)))),
+        "corr": lambda w: F.when(full(w), F.corr("r", "m").over(frame(w))),
+    }
+    return rolling_columns(both, columns, n + 1, split).select("ticker", "date", "beta", "corr")
+
+
+def rolling_vol(bars: DataFrame, windows: tuple[int, ...] = (30, 90, 252), split: str | None = None) -> DataFrame:
+    """Yearly volatility over each window; null while a ticker has fewer returns than that. ``split`` as in ``rolling_beta_corr``."""
+    columns = {"ret": lambda w: ratio(F.col("close"), F.lag("close").over(w)) - 1}
+    columns |= {f"vol_{n}": lambda w, n=n: rolling(F.stddev_samp, "ret", n, w) * DAYS**0.5 * 100 for n in windows}
+    return rolling_columns(bars.select("ticker", "date", "close"), columns, max(windows) + 1, split).drop("close", "ret")
+
+
+def turnover_mean(bars: DataFrame, n: int = 20, split: str | None = None) -> DataFrame:
+    return rolling_columns(bars.select("ticker", "date", "value_rub"), {f"turnover_ma{n}": lambda w: rolling(F.avg, "value_rub", n, w)}, n, split).drop("value_rub")
 
 
 def drawdowns(bars: DataFrame, price: str = "close") -> DataFrame:

@@ -11,13 +11,15 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.core import chi2_sf_even, ratio, rolling
+from ..functions.series import recurrences
 from ..functions.linear import eliminate, gram, interpolate, lag_gram, lag_sums, nested_residuals, normal_cdf, polynomial
 from ..schemas import DAYS
+from ..scratch import durable
 from .performance import by_date, with_returns
 
 #: Returns that stationarity tests, order grids and forecasts need.
@@ -289,14 +291,49 @@ def _orders(g: np.ndarray, most: int) -> list[dict]:
     return out
 
 
+#: The grid of sums of the coefficients of squares and of variances.
+GARCH_ALPHAS, GARCH_BETAS = (0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.3), (0.3, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.94)
+GARCH_GRID = tuple((a, b) for a in GARCH_ALPHAS for b in GARCH_BETAS if a + b < 0.999)
+
+
 def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", time: str = "date") -> DataFrame:
     """``by, date, alpha, beta, cond_vol, std_resid``: the GARCH(p, q) of the best likelihood among a grid of parameters, its variance
-    targeted to the sample's; one pass over time for all candidates at once; approximate.
+    targeted to the sample's; approximate. (1, 1) is native; other orders go through time once for all candidates, ticker by ticker.
 
     ``alpha`` and ``beta`` are the sums over the ``p`` lags of squares and the ``q`` of variances; each lag has half the weight of the one
     before. Needs more than 60 values.
     """
-    grid = np.array([(a, b) for a in (0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.3) for b in (0.3, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.94) if a + b < 0.999])
+    if p == q == 1:
+        return _garch_1_1(returns, by, time)
+    return _garch_by_ticker(returns, p, q, by, time)
+
+
+def _garch_1_1(returns: DataFrame, by: str, time: str) -> DataFrame:
+    """All variances of a parameter pair are its part of the mean, of the first variance, and ``alpha`` times a running sum of squares that
+    ``beta`` forgets: one recurrence for each ``beta`` serves all pairs, and a history splits over tasks."""
+    have = returns.where("ret is not null").select(by, time, F.col("ret").cast("double").alias("ret"))
+    stats = have.groupBy(by).agg(F.count("*").alias("_n"), F.avg("ret").alias("_mean"), F.greatest(F.var_pop("ret") * 1e4, F.lit(1e-12)).alias("_v")).where(F.col("_n") > LEAST_GRID)
+    rows = have.join(stats, by).select(by, time, ((F.col("ret") - F.col("_mean")) * 100).alias("e"), "_v")
+    before = lambda w: F.coalesce(F.lag(F.col("e") * F.col("e")).over(w), F.lit(0.0))
+    columns = {f"s{k}": (before, b) for k, b in enumerate(GARCH_BETAS)} | {"t": (lambda _: F.col("_i"), 0.0)}
+    rows = durable(recurrences(rows, columns, [by], time, look_back=1), "variances")
+
+    def variance(a: Column, b: Column, squares: Column) -> Column:
+        kept = F.pow(b, F.col("t"))
+        return F.col("_v") * kept + F.col("_v") * (1 - a - b) * (1 - kept) / (1 - b) + a * squares
+
+    of = lambda a, b: variance(F.lit(a), F.lit(b), F.col(f"s{GARCH_BETAS.index(b)}"))
+    likelihood = lambda a, b: -0.5 * F.sum(F.log(of(a, b)) + F.col("e") * F.col("e") / of(a, b))
+    scores = rows.groupBy(by).agg(F.array(*[likelihood(a, b) for a, b in GARCH_GRID]).alias("ll"))
+    at = F.array_position("ll", F.array_max("ll")).cast("int")
+    best = scores.select(by, F.element_at(F.array(*[F.lit(a) for a, _ in GARCH_GRID]), at).alias("alpha"), F.element_at(F.array(*[F.lit(b) for _, b in GARCH_GRID]), at).alias("beta"))
+    squares = F.element_at(F.array(*[F.col(f"s{k}") for k in range(len(GARCH_BETAS))]), F.array_position(F.array(*[F.lit(b) for b in GARCH_BETAS]), F.col("beta")).cast("int"))
+    sd = F.sqrt(variance(F.col("alpha"), F.col("beta"), squares))
+    return rows.join(best, by).select(by, time, "alpha", "beta", sd.alias("cond_vol"), (F.col("e") / sd).alias("std_resid"))
+
+
+def _garch_by_ticker(returns: DataFrame, p: int, q: int, by: str, time: str) -> DataFrame:
+    grid = np.array(GARCH_GRID)
     halves = lambda n: 0.5 ** np.arange(n) / (0.5 ** np.arange(n)).sum()
     on_squares, on_variances = halves(p), halves(q)
 

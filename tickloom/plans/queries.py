@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import core
+from ..functions import core, series
 from ..operators import backtest as bt
 from ..operators import bonds as bd
 from ..operators import corporate_actions as ca
@@ -309,6 +309,32 @@ def _(spark, d):
     return pf.dense_closes(sy.bars(spark, d)).select("ticker", "date", r6(core.rolling(F.avg, "px", 50, pf.by_date()), "ma50"))
 
 
+_TAPE = "tape AS (SELECT event_id, value, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS i FROM events)"
+
+
+def _tape(spark, d):
+    """All trades as one series, which grows with the tables."""
+    return sy.events(spark, d).select(F.lit("all").alias("ticker"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+
+
+@query("e2_tape_rolling", f"""WITH RECURSIVE {_TAPE}, r AS (SELECT *, value - lag(value) OVER (ORDER BY i) AS step FROM tape)
+       SELECT event_id, {R('CASE WHEN count(value) OVER (ORDER BY i ROWS 199 PRECEDING) >= 200 THEN avg(value) OVER (ORDER BY i ROWS 199 PRECEDING) END')} AS mean_200,
+              {R('CASE WHEN count(step) OVER (ORDER BY i ROWS 49 PRECEDING) >= 25 THEN stddev_samp(step) OVER (ORDER BY i ROWS 49 PRECEDING) END')} AS sd_50 FROM r""")
+def _(spark, d):
+    columns = {"step": lambda w: F.col("value") - F.lag("value").over(w), "mean_200": lambda w: core.rolling(F.avg, "value", 200, w), "sd_50": lambda w: core.rolling(F.stddev_samp, "step", 50, w, 25)}
+    return series.rolling_blocks(_tape(spark, d), columns, 200, time="ts", then=["event_id"], chunk="hour", block=2_000).select("event_id", *r6s("mean_200", "sd_50"))
+
+
+def _forgetting(span: int) -> str:
+    return f"SELECT a.event_id, sum(b.value * CASE WHEN b.i = 0 THEN 1 ELSE 2.0 / {span + 1} END * pow(1 - 2.0 / {span + 1}, a.i - b.i)) AS ewma_{span} FROM tape a JOIN tape b ON b.i BETWEEN a.i - {21 * span} AND a.i GROUP BY 1"
+
+
+@query("e7_tape_ewma", f"WITH RECURSIVE {_TAPE} SELECT event_id, {R('ewma_16')} AS ewma_16, {R('ewma_64')} AS ewma_64 FROM ({_forgetting(16)}) JOIN ({_forgetting(64)}) USING (event_id)")
+def _(spark, d):
+    out = series.ewma(_tape(spark, d), "value", (16, 64), time="ts", then=["event_id"], chunk="hour", block=8_000)
+    return out.select("event_id", *r6s("ewma_16", "ewma_64"))
+
+
 @query("e7_ewma", "SELECT ticker, " + ", ".join(f"{R(f'list_reduce(list(close ORDER BY date), lambda acc, x: acc * (1 - 2.0 / {s + 1}) + x * (2.0 / {s + 1}))')} AS ewma_{s}" for s in (16, 64)) + " FROM bars GROUP BY 1")
 def _(spark, d):
     return sy.bars(spark, d).groupBy("ticker").agg(*[r6(core.ewma_last(F.col("close"), F.col("date"), s), f"ewma_{s}") for s in (16, 64)])
