@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tickloom.sources import synthetic as sy
-from tickloom.sources.market import resample_candles, upsert
+from tickloom.sources.market import read_bars, resample_candles, upsert, upsert_table
 from tickloom.streaming.market import stream_candles, stream_upsert
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +36,17 @@ def test_streamed_upserts_keep_the_correction(spark, tmp_path):
         df.coalesce(1).write.mode("append").parquet(landed)
         stream = spark.readStream.schema(schema).parquet(landed)
         stream_upsert(stream, out, str(tmp_path / "cp"), schema).awaitTermination()
-        assert spark.read.schema(schema).parquet(f"{out}/table").count() == (4, 5)[i]
-    rows = {str(r.date): r.close for r in spark.read.schema(schema).parquet(f"{out}/table").collect()}
+        assert read_bars(spark, out, schema=schema).count() == (4, 5)[i]
+    rows = {str(r.date): r.close for r in read_bars(spark, out, schema=schema).collect()}
     assert rows["2024-01-03"] == 999.0
     assert len(upsert(first, fix).collect()) == 5
+
+
+def test_a_batch_that_runs_again_is_in_once(spark, tmp_path):
+    schema, out = "ticker string, date date, close double", str(tmp_path / "out")
+    bars = lambda day, x: spark.sql(f"select 'A' ticker, date'{day}' date, {x}d close")
+    assert upsert_table(spark, out, bars("2024-01-01", 1), schema, batch=("s", 0)) == ["2024-01"]
+    upsert_table(spark, out, bars("2024-02-01", 2), schema, batch=("s", 1))
+    assert upsert_table(spark, out, bars("2024-01-01", 99), schema, batch=("s", 1)) == []
+    assert upsert_table(spark, out, bars("2024-01-02", 3), schema, batch=("other", 0)) == ["2024-01"]
+    assert sorted(r.close for r in read_bars(spark, out, schema=schema).collect()) == [1, 2, 3]

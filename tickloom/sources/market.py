@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.core import keep_last
-from ..scratch import exists, remove
+from ..scratch import durable, exists, remove
+from . import versions
 
-#: The file that names a table's version in use. Spark's scans skip it.
-POINTER = "_current"
 #: Candle widths by frequency code: minutes, or the unit that a date is cut to.
 FREQUENCIES = {1: "1 minute", 10: "10 minutes", 60: "1 hour", 24: "day", 7: "week", 31: "month", 4: "quarter"}
 #: Days around an explicit split within which an imported one is the same event.
@@ -30,27 +29,15 @@ def check_dates(start: str, end: str) -> tuple[dt.date, dt.date]:
     return a, b
 
 
-def _folder(spark: SparkSession, path: str):  # noqa: ANN202
-    """A path of the store, and the store."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def current(spark: SparkSession, path: str) -> str:
-    """Where the rows of the table at ``path`` are: in the version that its pointer names; in ``path`` itself if it has none."""
-    pointer, store = _folder(spark, f"{path}/{POINTER}")
-    if not store.exists(pointer):
-        return path
-    with_name = store.open(pointer)
-    try:
-        return f"{path}/{spark._jvm.org.apache.commons.io.IOUtils.toString(with_name, 'UTF-8')}"
-    finally:
-        with_name.close()
+def read_table(spark: SparkSession, path: str, schema: str, start: str | None = None, end: str | None = None, **options: str) -> DataFrame:
+    """The stored rows of the version in use; of a table in months only those that hold the dates from ``start`` to ``end``."""
+    found = versions.folders(path, versions.latest(spark, path), start, end)
+    return spark.read.schema(schema).options(**options).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
 def read_bars(spark: SparkSession, path: str, tickers: Sequence[str] | None = None, start: str | None = None, end: str | None = None, schema: str = schemas.BARS) -> DataFrame:
     """Stored bars. Ticker and date limits are predicates that Parquet files are skipped by."""
-    df = spark.read.schema(schema).parquet(current(spark, path))
+    df = read_table(spark, path, schema, start, end)
     if tickers:
         df = df.where(F.col("ticker").isin([t.strip() for t in tickers] + [t.strip().upper() for t in tickers]))
     if start:
@@ -60,7 +47,7 @@ def read_bars(spark: SparkSession, path: str, tickers: Sequence[str] | None = No
 
 def read_one(spark: SparkSession, path: str, key: str, value: str, schema: str) -> DataFrame:
     """The stored rows of one index or bond; FileNotFoundError if there are none, or no table."""
-    df = spark.read.schema(schema).parquet(current(spark, path)).where(F.col(key) == value) if exists(spark, path) else None
+    df = read_table(spark, path, schema).where(F.col(key) == value) if exists(spark, path) else None
     if df is None or df.isEmpty():
         raise FileNotFoundError(f"no rows for {value} in {path}")
     return df
@@ -68,7 +55,7 @@ def read_one(spark: SparkSession, path: str, key: str, value: str, schema: str)
 
 def read_all(spark: SparkSession, path: str, renames: DataFrame | None = None, schema: str = schemas.BARS) -> DataFrame:
     """All securities in one scan; ValueError if nothing is stored. Unreadable files are skipped; Spark logs a warning for each."""
-    df = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(current(spark, path))
+    df = read_table(spark, path, schema, ignoreCorruptFiles="true")
     if df.isEmpty():
         raise ValueError(f"no bars in {path}")
     if renames is None:
@@ -209,39 +196,92 @@ def update_all(stored: DataFrame, landed: DataFrame, *, rebuild: bool = False) -
     ``landed`` has the stored columns as text. A security fails if any of its rows has no date or a value that is no number; it keeps its
     stored rows, and the others are updated, or with ``rebuild`` replaced by what landed.
     """
+    good, failed = split_failures(stored, landed)
+    before = stored.join(good.select("ticker").distinct(), "ticker", "left_anti") if rebuild else stored
+    return upsert(before, good), failed
+
+
+def split_failures(stored: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``landed`` the rows of securities without a failure, in the types of ``stored``, and ``ticker, failures, first_date`` of the others."""
     kinds = dict(stored.dtypes)
     own = [c for c in stored.columns if c in landed.columns]
     typed = landed.select(*[F.expr(f"try_cast(`{c}` as {kinds[c]})").alias(c) for c in own], F.exists(F.array(*[F.col(f"`{c}`").isNotNull() & F.expr(f"try_cast(`{c}` as {kinds[c]}) is null") for c in own]), lambda bad: bad).alias("_bad"))
     failed = typed.where(F.col("_bad") | F.col("date").isNull()).groupBy("ticker").agg(F.count("*").alias("failures"), F.min("date").alias("first_date"))
-    good = typed.drop("_bad").join(failed.select("ticker"), "ticker", "left_anti").select(*own)
-    before = stored.join(good.select("ticker").distinct(), "ticker", "left_anti") if rebuild else stored
-    return upsert(before, good), failed
+    return typed.drop("_bad").join(failed.select("ticker"), "ticker", "left_anti").select(*own), failed
+
+
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, schema: str, keys: Sequence[str] = ("ticker", "date"), date: str = "date", batch: tuple[str, int] | None = None) -> list[str]:
+    """Upserts ``new`` into the table at ``path`` and returns the months that it rewrote, of which the table then has a folder each.
+
+    Only the months that ``new`` has rows of are read, shuffled and written; then one manifest publishes all of them, so that a reader sees
+    none of the change or all of it. If another writer has published meanwhile, the months that both changed are done again on the other's
+    rows. ``batch`` names a stream and its batch: one that is in already changes nothing. A table that isn't in months is cut into months
+    by its first upsert.
+    """
+    if date not in keys:
+        raise ValueError(f"{date} is not among the keys: a row could move to another month")
+    month = F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(versions.NO_MONTH)).alias("month")
+    landed = durable(new.select(*new.columns, month), "landed")
+    touched = sorted(r.month for r in landed.select("month").distinct().collect())  # a calendar's months
+    written: dict[str, str] = {}
+    seen: versions.Version | None = None
+    while True:
+        base = versions.latest(spark, path)
+        if batch and base.batches.get(batch[0], -1) >= batch[1]:
+            break
+        whole = versions.WHOLE in base.parts
+        changed = [m for m in touched if seen is None or base.parts.get(m) != seen.parts.get(m)]
+        if whole or changed:
+            before = read_table(spark, path, schema) if whole else _months(spark, path, schema, base, changed)
+            rows = upsert(before.select("*", month), landed if whole else landed.where(F.col("month").isin(changed)), keys)
+            change = f"v-{uuid.uuid4().hex}"
+            # partitions of a month or of a part of it, as large as Spark wants them
+            rows.hint("rebalance", "month").sortWithinPartitions("month", *keys).write.partitionBy("month").parquet(f"{path}/{change}")
+            written = (written if not whole else {}) | {m: f"{change}/month={m}" for m in (_written_months(spark, f"{path}/{change}") if whole else changed)}
+        seen = base
+        try:
+            kept = {} if whole else base.parts
+            versions.publish(spark, path, base, kept | written, base.batches | ({batch[0]: batch[1]} if batch else {}))
+            break
+        except versions.Conflict:
+            continue
+    remove(spark, *{f.rsplit("/", 1)[0] for f in landed.inputFiles()})
+    return sorted(written)
+
+
+def _months(spark: SparkSession, path: str, schema: str, version: versions.Version, months: Sequence[str]) -> DataFrame:
+    found = [f"{path}/{version.parts[m]}" for m in months if m in version.parts]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def _written_months(spark: SparkSession, folder: str) -> list[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    return [n.removeprefix("month=") for n in names if n.startswith("month=")]
+
+
+def update_table(spark: SparkSession, path: str, landed: DataFrame, schema: str) -> DataFrame:
+    """``update_all`` on the table at ``path``: upserts the securities without a failure, month by month, and returns the failed ones."""
+    good, failed = split_failures(spark.createDataFrame([], schema), landed)
+    failed = durable(failed, "failed")
+    upsert_table(spark, path, good, schema)
+    return failed
 
 
 def write_bars(df: DataFrame, path: str, key: str = "ticker", date: str = "date", files: int | None = None) -> bool:
-    """Replaces the table at ``path``, sorted within files by key and date so that scans skip row groups. Nothing is written if ``df`` is empty.
+    """Replaces the table at ``path``, sorted within files by key and date so that scans skip row groups. Nothing changes if ``df`` is empty.
 
-    The rows go to a version of their own; then the pointer is renamed over the old one, in one step: a reader sees the old table or the
-    new one whole, and a job that fails changes nothing. So ``df`` may read ``path`` itself. The version before stays for readers that have begun.
+    The rows go to a folder of their own, which one manifest then makes the table: a reader sees the old table or the new one whole, and a
+    job that fails changes nothing. So ``df`` may read ``path`` itself; ``versions.Conflict`` if another writer changed it meanwhile.
     """
-    if df.isEmpty():
-        return False
     spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
+    base, version = versions.latest(spark, path), f"v-{uuid.uuid4().hex}"
     dealt = df.repartitionByRange(files, key, date) if files else df.repartitionByRange(key, date)
     dealt.sortWithinPartitions(key, date).write.parquet(f"{path}/{version}")
-    before = current(spark, path)
-    pointer, store = _folder(spark, f"{path}/{POINTER}")
-    draft, _ = _folder(spark, f"{path}/.{version}")
-    out = store.create(draft, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
-    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(draft, pointer, options)
-    kept = {version, before.rsplit("/", 1)[-1]}
-    remove(spark, *[f.getPath().toString() for f in store.listStatus(pointer.getParent()) if f.getPath().getName().startswith("v-") and f.getPath().getName() not in kept])
+    if spark.read.schema(df.schema).parquet(f"{path}/{version}").isEmpty():
+        remove(spark, f"{path}/{version}")
+        return False
+    versions.publish(spark, path, base, {versions.WHOLE: version}, base.batches)
     return True
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..scratch import exists, remove
-from ..sources.market import upsert
+from ..sources.market import upsert_table
 
 
 def stream_candles(trades: DataFrame, width: str = "10 minutes", late: str = "1 hour", key: str = "ticker", ts: str = "ts", price: str = "price", order: str | None = None) -> DataFrame:
@@ -21,33 +20,13 @@ def stream_candles(trades: DataFrame, width: str = "10 minutes", late: str = "1
 
 
 def stream_upsert(landed: DataFrame, path: str, checkpoint: str, schema: str, keys: tuple[str, ...] = ("ticker", "date"), date: str = "date") -> StreamingQuery:
-    """Upserts each batch of landed bars into the table at ``path/table``, one folder a month: only the months that a batch touches are
-    read and written. A correction of a stored day wins as the newer arrival.
+    """Upserts each batch of landed bars into the table at ``path``, as ``upsert_table`` does: only the months that a batch touches are read and
+    written, and all of them are published at once. A correction of a stored day wins as the newer arrival.
 
-    A batch first writes its months to ``path/staged`` and then replaces them in the table. If it runs again after that, it replaces them
-    from what is staged; before that, the table is as it was. Either way the result is the same.
+    The manifest that publishes a batch names it, so a batch that runs again after a failure is in once.
     """
 
-    def months(df: DataFrame) -> DataFrame:
-        return df.withColumn("month", F.date_format(date, "yyyy-MM"))
-
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        table, staged = f"{path}/table", f"{path}/staged/batch={batch_id}"
-        if not exists(spark, f"{staged}/_SUCCESS"):
-            new = months(batch)
-            touched = [r.month for r in new.select("month").distinct().collect()]  # a calendar's months
-            before = stored_months(spark, table, schema).where(F.col("month").isin(touched))
-            months(upsert(before.drop("month"), batch, keys)).write.mode("overwrite").partitionBy("month").parquet(staged)
-        rows = spark.read.schema(f"{schema}, month string").parquet(staged)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(table)
-        remove(spark, f"{path}/staged/batch={batch_id - 1}")
+        upsert_table(batch.sparkSession, path, batch, schema, keys, date, (checkpoint, batch_id))
 
     return landed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def stored_months(spark: SparkSession, table: str, schema: str) -> DataFrame:
-    """The stored rows with their ``month``, by which folders are skipped; none before the first batch."""
-    if exists(spark, table):
-        return spark.read.schema(f"{schema}, month string").parquet(table)
-    return spark.createDataFrame([], f"{schema}, month string")
