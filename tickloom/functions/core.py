@@ -24,9 +24,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     """Adds to each row of ``left`` the ``cols`` of the last row of ``right`` not after it (before it, unless ``inclusive``).
 
     ``right`` becomes validity intervals by one window over its keys, and the join is an equi-join on ``by`` with a range condition.
-    ``backfill`` opens the first interval to the past. Without ``by`` the right side must be a small registry.
+    ``backfill`` opens the first interval to the past. Without ``by`` rows meet by stretches of time.
     """
-    order = W.partitionBy(*[F.col(c) for c in by]).orderBy(right_on) if by else W.orderBy(right_on)
+    if not by:
+        from .intervals import asof_in_stretches
+
+        return asof_in_stretches(left, right, by, left_on, right_on, cols, inclusive=inclusive, backfill=backfill)
+    order = W.partitionBy(*[F.col(c) for c in by]).orderBy(right_on)
     iv = right.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(right_on).alias("_from"), F.lead(right_on).over(order).alias("_to"), F.row_number().over(order).alias("_first"), *cols)
     since = F.col(left_on) >= F.col("_from") if inclusive else F.col(left_on) > F.col("_from")
     until = F.col(left_on) < F.col("_to") if inclusive else F.col(left_on) <= F.col("_to")

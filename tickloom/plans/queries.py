@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import core, series
+from ..functions import core, intervals, series
 from ..operators import backtest as bt
 from ..operators import bonds as bd
 from ..operators import corporate_actions as ca
@@ -19,6 +19,7 @@ from ..schemas import BOND_BARS, INDEX_BARS, MONTHS, RENAMES, SECTORS
 from ..scratch import durable, scratch_path
 from ..sources import market as mk
 from ..sources import synthetic as sy
+from ..streaming import market as sm
 from .oracle import r6 as R
 from .oracle import sql
 
@@ -241,6 +242,55 @@ def _(spark, d):
     return mk.upsert(*_stored_and_landed(spark, d)).select("ticker", "date", r6("close", "close"))
 
 
+_CLOSES = "ticker string, date date, close double"
+
+
+@query("a18_upsert_table", f"SELECT ticker, date, {R('close')} AS close FROM ({_UPSERT})")
+def _(spark, d):
+    stored, landed = _stored_and_landed(spark, d)
+    path = scratch_path(spark, "table")
+    mk.upsert_table(spark, path, stored.select("ticker", "date", "close"), _CLOSES)
+    mk.upsert_table(spark, path, landed.select("ticker", "date", "close"), _CLOSES)
+    return mk.read_bars(spark, path, schema=_CLOSES).select("ticker", "date", r6("close", "close"))
+
+
+@query("a19_update_table", f"SELECT ticker, date, {R('close')} AS close FROM ({_UPSERT}) WHERE ticker <> 'Brand#13' UNION ALL SELECT ticker, date, {R('close')} FROM bars WHERE ticker = 'Brand#13' AND date <= DATE '2000-12-31'")
+def _(spark, d):
+    stored, landed = _stored_and_landed(spark, d)
+    path = scratch_path(spark, "table")
+    mk.upsert_table(spark, path, stored.select("ticker", "date", "close"), _CLOSES)
+    broken = (F.col("ticker") == "Brand#13") & (F.dayofmonth("date") == 5)
+    mk.update_table(spark, path, landed.select("ticker", F.col("date").cast("string").alias("date"), F.when(broken, "n/a").otherwise(F.col("close").cast("string")).alias("close")), _CLOSES)
+    return mk.read_bars(spark, path, schema=_CLOSES).select("ticker", "date", r6("close", "close"))
+
+
+@query("i2_streamed_upsert", f"SELECT ticker, date, {R('close')} AS close FROM ({_UPSERT})")
+def _(spark, d):
+    """Stored bars and corrections land as files and are streamed into one table, a batch each."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "table")
+    for k, df in enumerate(_stored_and_landed(spark, d)):
+        df.select("ticker", "date", "close").write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(_CLOSES).parquet(landing)
+        sm.stream_upsert(stream, path, f"{path}-checkpoint", _CLOSES).awaitTermination()
+    return mk.read_bars(spark, path, schema=_CLOSES).select("ticker", "date", r6("close", "close"))
+
+
+@query("i1_streamed_candles", f"""SELECT user_id AS ticker, time_bucket(INTERVAL 10 MINUTE, ts) AS begin, {R('arg_min(value, (ts, event_id))')} AS open, {R('max(value)')} AS high, {R('min(value)')} AS low, {R('arg_max(value, (ts, event_id))')} AS close, CAST(count(value) AS BIGINT) AS n FROM events GROUP BY 1, 2""")
+def _(spark, d):
+    """Candles of a stream of trades, written as their windows close; a last row far ahead moves the watermark past all others."""
+    trades = sy.events(spark, d).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value", "event_id")
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "candles")
+    trades.write.parquet(landing)
+    stream = spark.readStream.schema(trades.schema).parquet(landing)
+    for _ in range(2):
+        candles = sm.stream_candles(stream, late="3650 days", key="user_id", price="value", order="event_id")
+        candles.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+        ahead = trades.groupBy().agg(F.lit(-1).cast("long").alias("user_id"), F.timestamp_add("YEAR", F.lit(20), F.max("ts")).alias("ts"), F.lit(0.0).alias("value"), F.lit(-1).cast("long").alias("event_id"))
+        ahead.write.mode("append").parquet(landing)
+    rows = spark.read.parquet(out).where("user_id >= 0")
+    return rows.select(F.col("user_id").alias("ticker"), F.col("begin").cast("timestamp_ntz").alias("begin"), *r6s("open", "high", "low", "close"), "n")
+
+
 @query("a18_fetch_from", "SELECT ticker, CAST(max(date) + 1 AS DATE) AS since FROM bars WHERE date <= DATE '2000-12-31' GROUP BY 1")
 def _(spark, d):
     return mk.last_dates(_stored_and_landed(spark, d)[0], next_day=True)
@@ -294,6 +344,22 @@ def _(spark, d):
     return core.asof_by_union(sy.bars(spark, d).select("ticker", "date"), sy.shares(spark, d), ["ticker"], "date", "date", ["shares"])
 
 
+@query("c4_asof_tape", """SELECT e.event_id, r.event_id AS before_id, r.value AS before_value FROM (SELECT event_id, ts FROM events WHERE event_id % 2 = 0) e
+       ASOF LEFT JOIN (SELECT ts, arg_max(event_id, (value, event_id)) AS event_id, max(value) AS value FROM events WHERE event_id % 2 = 1 GROUP BY 1) r ON e.ts > r.ts""")
+def _(spark, d):
+    """Each trade of one side of the tape with the last of the other before it: two long sides without a key."""
+    tape = sy.events(spark, d).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    odd = tape.where("event_id % 2 = 1").select("ts", F.col("value").alias("before_value"), F.col("event_id").alias("before_id"))
+    out = intervals.asof_in_stretches(tape.where("event_id % 2 = 0"), odd, [], "ts", "ts", ["before_value", "before_id"], inclusive=False, stretch="hour")
+    return out.select("event_id", "before_id", "before_value")
+
+
+@query("c6_splits_near_dividends", "SELECT s.ticker, s.date, d.closing_date, d.dividend_value FROM splits s JOIN dividends d ON d.ticker = s.ticker AND abs(date_diff('day', s.date, d.closing_date)) <= 90")
+def _(spark, d):
+    near = intervals.near_join(sy.splits(spark), sy.dividends(spark, d), ["ticker"], "date", "closing_date", 90)
+    return near.select("ticker", "date", "closing_date", "dividend_value")
+
+
 @query("d15_describe", "SELECT 'close' AS \"column\", CAST(count(close) AS BIGINT) AS count, " + ", ".join(f"{R(x)} AS {n}" for x, n in (("avg(close)", "mean"), ("stddev_samp(close)", "std"), ("min(close)", "min"), ("quantile_cont(close, 0.25)", "p25"), ("quantile_cont(close, 0.5)", "p50"), ("quantile_cont(close, 0.75)", "p75"), ("max(close)", "max"))) + " FROM bars")
 def _(spark, d):
     return rk.describe(sy.bars(spark, d), "close").select("column", "count", *r6s("mean", "std", "min", "p25", "p50", "p75", "max"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.core import keep_last
+from ..functions.intervals import near_join
 from ..scratch import durable, exists, remove
 from . import versions
 
@@ -92,8 +93,7 @@ def load_splits(explicit: DataFrame, payloads: DataFrame | None = None) -> DataF
     kind = "map<string,array<struct<date:string,ratio:double,kind:string>>>"
     events = payloads.select(F.explode(F.from_json("payload", kind)).alias("ticker", "events")).select("ticker", F.explode("events").alias("e"))
     events = events.select("ticker", F.to_date("e.date").alias("date"), F.when(F.col("e.kind") == "reverse", 1 / F.col("e.ratio")).otherwise(F.col("e.ratio")).alias("ratio"), F.lit("auto").alias("kind"))
-    near = own.select(F.col("ticker").alias("t"), F.col("date").alias("d"))
-    events = events.join(near, (F.col("ticker") == F.col("t")) & (F.abs(F.datediff("date", "d")) <= SAME_EVENT_DAYS), "left_anti")
+    events = near_join(events, own.select("ticker", "date"), ["ticker"], "date", "date", SAME_EVENT_DAYS, "left_anti")
     return own.select("ticker", "date", "ratio", "kind").unionByName(events)
 
 
