@@ -974,7 +974,17 @@ def _(spark, d):
     return ts.arma_grid(_lret(spark, d)).where("q = 0").select("ticker", *big("p", "d"), *r6s("aic", "bic"))
 
 
-@query("k67_garch")
+_GARCH = f"""gx AS (SELECT ticker, date, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i, (ret - avg(ret) OVER (PARTITION BY ticker)) * 100 AS e, greatest(var_pop(ret) OVER (PARTITION BY ticker) * 1e4, 1e-12) AS v
+         FROM lret WHERE ticker IN (SELECT ticker FROM lret GROUP BY 1 HAVING count(*) > 60)),
+       gs AS (SELECT DISTINCT ticker, beta, 0::BIGINT AS i, 0.0::DOUBLE AS s FROM gx, (SELECT unnest([{', '.join(f'{b}::DOUBLE' for b in ts.GARCH_BETAS)}]) AS beta)
+         UNION ALL SELECT gs.ticker, beta, gs.i + 1, beta * s + e * e FROM gs JOIN gx ON gx.ticker = gs.ticker AND gx.i = gs.i),
+       gh AS (SELECT gx.ticker, date, gx.i, e, alpha, beta, v * pow(beta, gx.i) + v * (1 - alpha - beta) * (1 - pow(beta, gx.i)) / (1 - beta) + alpha * s AS h FROM gx JOIN gs ON gs.ticker = gx.ticker AND gs.i = gx.i,
+         (SELECT unnest([{', '.join(f'{a}::DOUBLE' for a in ts.GARCH_ALPHAS)}]) AS alpha) WHERE alpha + beta < 0.999),
+       gb AS (SELECT ticker, arg_max(alpha, ll) AS alpha, arg_max(beta, ll) AS beta FROM (SELECT ticker, alpha, beta, sum(-0.5 * (ln(h) + e * e / h)) AS ll FROM gh GROUP BY 1, 2, 3) GROUP BY 1),
+       garch AS (SELECT ticker, date, i, alpha, beta, sqrt(h) AS cond_vol, e / sqrt(h) AS std_resid FROM gh JOIN gb USING (ticker, alpha, beta))"""
+
+
+@query("k67_garch", f"WITH RECURSIVE {_GARCH} SELECT ticker, date, alpha, beta, {Rs('cond_vol', 'std_resid')} FROM garch")
 def _(spark, d):
     return ts.residual_diagnostics(_lret(spark, d)).select("ticker", "date", "alpha", "beta", *r6s("cond_vol", "std_resid"))
 
@@ -984,7 +994,9 @@ def _(spark, d):
     return ts.residual_diagnostics(_lret(spark, d), 2, 2).select("ticker", "date", "alpha", "beta", *r6s("cond_vol", "std_resid"))
 
 
-@query("k71_residual_acf")
+@query("k71_residual_acf", f"""WITH RECURSIVE {_GARCH}, q AS (SELECT ticker, i, pow(std_resid, 2) - avg(pow(std_resid, 2)) OVER (PARTITION BY ticker) AS x FROM garch),
+       ss AS (SELECT ticker, sum(x * x) AS ss FROM q GROUP BY 1)
+       SELECT a.ticker, CAST(a.i - b.i AS BIGINT) AS lag, {R('sum(a.x * b.x) / any_value(ss)')} AS acf FROM q a JOIN q b ON b.ticker = a.ticker AND b.i BETWEEN a.i - 25 AND a.i - 1 JOIN ss ON ss.ticker = a.ticker GROUP BY 1, 2""")
 def _(spark, d):
     return ts.acf(ts.residual_diagnostics(_lret(spark, d)), "squared").select("ticker", *big("lag"), r6("acf", "acf"))
 
