@@ -39,7 +39,7 @@ def pair_sums(returns: DataFrame, block: int = BLOCK, days: int = CHUNK) -> Data
     Tickers are dealt to blocks and dates to chunks; two blocks meet in each chunk as two matrices, whose products are the sums. No pair of
     returns becomes a row: a ticker's returns are sent once to each block.
     """
-    own = returns.where("ret is not null").select("ticker", "date", (F.col("ret") - F.avg("ret").over(W.partitionBy("ticker"))).alias("ret"))
+    own = durable(returns.where("ret is not null").select("ticker", "date", (F.col("ret") - F.avg("ret").over(W.partitionBy("ticker"))).alias("ret")), "centred-returns")
     blocks = max(-(-own.select("ticker").distinct().count() // block), 1)
     day = F.datediff("date", F.lit("1970-01-01").cast("date"))
     cells = own.select("ticker", "ret", F.pmod(F.xxhash64("ticker"), F.lit(blocks)).alias("block"), F.floor(day / days).alias("chunk"), F.pmod(day, F.lit(days)).alias("day"))

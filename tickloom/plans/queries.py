@@ -482,8 +482,9 @@ def _(spark, d):
 
 
 def _bars(spark, d):
-    """Bars that a query reads more than once: derived from the lines once."""
-    return durable(sy.bars(spark, d), "bars")
+    """Bars that a query reads more than once: derived from the lines once, held by the executors in memory or on disk, derived again where
+    one is lost."""
+    return sy.bars(spark, d).persist()
 
 
 def _capped(spark, d):
