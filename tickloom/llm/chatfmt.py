@@ -17,6 +17,12 @@ START, MIDDLE, END = "<|turn|>", "<|text|>", "<|end|>\n"
 #: Characters and what stands for them in texts; the first is undone last.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;"))
 TURNS = "array<struct<role:string,text:string>>"
+#: Else a record with a string of more than 20 million characters is none for the JSON reader.
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+
+
+def _json(text: Column, schema: str) -> Column:
+    return F.from_json(text, schema, _ANY_LENGTH)
 
 
 def escape(text: Column) -> Column:
@@ -61,11 +67,29 @@ class Mapping:
             out = F.filter(present, lambda t: t["text"].isNotNull() & ((t["role"] != "system") | (t["text"] != "")))
         return out.cast(TURNS)
 
+    def of_long_record(self, record: Column) -> Column:
+        """The same from the JSON string of a record that is too long to be parsed to a variant, by schemas of just what the mapping reads."""
+        if self.turns:
+            top, role, text = self.turns
+            items = _json(record, f"struct<`{top}`:array<map<string,string>>>")[top]
+            parts = _json(record, f"struct<`{top}`:array<struct<`{text}`:array<struct<text:string>>>>>")[top]
+            names = F.create_map(*[F.lit(x) for pair in self.roles or (("", ""),) for x in pair])
+            own = lambda t: F.coalesce(F.try_element_at(names, F.lower(t[role])), t[role], F.lit(""))
+            return F.transform(items, lambda t, i: F.struct(own(t).alias("role"), F.coalesce(_joined(F.get(parts, i)[text]), t[text], F.lit("")).alias("text"))).cast(TURNS)
+        values = _json(record, "map<string,string>")
+        whole = lambda f: F.coalesce(_joined(_json(record, f"struct<`{f}`:array<struct<text:string>>>")[f]), values[f])
+        present = F.array(*[F.struct(F.lit(role).alias("role"), whole(f).alias("text")) for f, role in self.fields])
+        return F.when(values.isNotNull(), F.filter(present, lambda t: t["text"].isNotNull() & ((t["role"] != "system") | (t["text"] != "")))).cast(TURNS)
+
+
+def _joined(parts: Column) -> Column:
+    """The texts of a list of parts put together; null if there are none."""
+    whole = F.exists(parts, lambda p: p["text"].isNotNull())
+    return F.when(whole, F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+
 
 def _text(record: Column, field: str) -> Column:
-    parts = F.try_variant_get(record, f"$.{field}", "array<struct<text:string>>")
-    whole = F.exists(parts, lambda p: p["text"].isNotNull())
-    return F.when(whole, F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "")).otherwise(F.try_variant_get(record, f"$.{field}", "string"))
+    return F.coalesce(_joined(F.try_variant_get(record, f"$.{field}", "array<struct<text:string>>")), F.try_variant_get(record, f"$.{field}", "string"))
 
 
 #: The layouts known so far.
@@ -87,11 +111,11 @@ AS_THEY_STAND = tuple(replace(m, roles=()) for m in MAPPINGS)
 
 def field_paths(record: Column) -> Column:
     """Sorted field paths of a JSON record to the depth at which mappings find turns; the fields of a list are those of any of its items."""
-    top = F.from_json(record, "map<string,string>")
+    top = _json(record, "map<string,string>")
 
     def inner(pair: Column) -> Column:
         value = F.trim(pair["value"])
-        items = F.when(value.startswith("["), F.from_json(value, "array<map<string,string>>")).when(value.startswith("{"), F.array(F.from_json(value, "map<string,string>")))
+        items = F.when(value.startswith("["), _json(value, "array<map<string,string>>")).when(value.startswith("{"), F.array(_json(value, "map<string,string>")))
         keys = F.array_distinct(F.flatten(F.transform(F.filter(items, lambda m: m.isNotNull()), lambda m: F.map_keys(m))))
         return F.concat(F.array(pair["key"]), F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.concat(pair["key"], F.lit("."), k)))
 
@@ -111,7 +135,8 @@ def selector(paths: Column) -> Column:
 
 def canonical_turns(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Adds ``fingerprint``, ``layout`` and ``turns``, in place of columns of these names. Null, broken and unknown records: layout null
-    and no turns. Fields that no mapping knows don't matter."""
+    and no turns. Fields that no mapping knows don't matter. A record of a known layout that can't be read is an error, whatever its length;
+    one that is too long for a variant has no fingerprint."""
     added = ("fingerprint", "layout", "turns")
     known = F.array(*[F.lit(p) for p in sorted({p for m in mappings for p in m.paths})])
     rows = records.select(F.struct(*[records[c] for c in records.columns if c not in added]).alias("row"), records[record].alias("record"), F.try_parse_json(records[record]).alias("parsed"))
@@ -127,7 +152,9 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: tuple[
     turns = None
     for m in mappings:
         own = F.col("layout") == m.name
-        turns = F.when(own, m.expression(F.col("parsed"))) if turns is None else turns.when(own, m.expression(F.col("parsed")))
+        lost = F.raise_error(F.concat(F.lit(f"no turns in a record of layout {m.name}, of characters: "), F.char_length("record").cast("string"))).cast(TURNS)
+        found = F.when(F.col("parsed").isNotNull(), m.expression(F.col("parsed"))).otherwise(F.coalesce(m.of_long_record(F.col("record")), lost))
+        turns = F.when(own, found) if turns is None else turns.when(own, found)
     return rows.select("row.*", fingerprint(F.col("record")).alias("fingerprint"), "layout", F.coalesce(turns, F.array().cast(TURNS)).alias("turns"))
 
 

@@ -31,7 +31,9 @@ READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 SWAP, REPEAT, DROP = -1.0, -0.5, -2.0
 _EDGE = ".,;:!?\"'()[]{}<>#$%&*|/\\-_=+~`"
 _LETTERS = re.compile(r"[^\W\d_]+$")
-_DISGUISED = re.compile(r"[^\W\d_].*[\d@$!|+*#€.\-_=]|[\d@$!|+*#€].*[^\W\d_]|([^\W\d_])\1\1")
+_LETTER, _TRIPLE = re.compile(r"[^\W\d_]"), re.compile(r"([^\W\d_])\1\1")
+#: Signs that may stand for letters, and those that count only behind a letter.
+_SIGN, _SIGN_BEHIND = re.compile(r"[\d@$!|+*#€]"), re.compile(r"[.\-_=]")
 _SPACED = re.compile(r"(?:(?<=\s)|^)(?:[^\W_][ .\-_*]){2,}[^\W_](?=[\s.,;:!?]|$)")
 
 
@@ -86,34 +88,49 @@ def readings(token: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(token: str, model: CharModel, breaks: bool = False) -> str:
-    """The likeliest reading of a token by a Viterbi search over the last two letters; with ``breaks``, as words with a space between them."""
-    paths: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+    """The likeliest reading of a token by a Viterbi search over the last two letters; with ``breaks``, as words with a space between them.
+
+    A path is its last piece and the path before, so that a step costs the same at any place of a token.
+    """
+    paths: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
     for arcs in readings(token):
-        step: dict[str, tuple[float, str]] = {}
-        for two, (p, word) in paths.items():
+        step: dict[str, tuple[float, tuple | None]] = {}
+        for two, (p, path) in paths.items():
             for text, cost in arcs:
                 state, q = two, p + cost
                 for c in text:
                     q += model.log(state, c)
                     state = state[1] + c
                 if state not in step or q > step[state][0]:
-                    step[state] = (q, word + text)
+                    step[state] = (q, (text, path) if text else path)
         if breaks:
-            q, word = max((p + model.log(two, "$"), word) for two, (p, word) in step.items())
+            q, path = max(((p + model.log(two, "$"), path) for two, (p, path) in step.items()), key=lambda x: x[0])
             if "^^" not in step or q > step["^^"][0]:
-                step["^^"] = (q, word + " ")
+                step["^^"] = (q, (" ", path))
         paths = step
-    return max(((p + model.log(two, "$"), word) for two, (p, word) in paths.items()), default=(0, token))[1]
+    path = max(((p + model.log(two, "$"), path) for two, (p, path) in paths.items()), key=lambda x: x[0])[1]
+    pieces = []
+    while path is not None:
+        pieces.append(path[0])
+        path = path[1]
+    return "".join(reversed(pieces))
+
+
+def disguised(token: str) -> bool:
+    """Whether a token has a letter and a sign, or one letter three times in a row: each asked once, in time that grows with its length."""
+    if (letter := _LETTER.search(token)) is None:
+        return False
+    return bool(_SIGN.search(token) or _SIGN_BEHIND.search(token, letter.end()) or _TRIPLE.search(token))
 
 
 def restored(token: str, model: CharModel) -> str:
     """A white-space-delimited token as a plain lower-case word; only tokens that look disguised are decoded."""
     token = token.lower()
     bare = token.strip(_EDGE)
-    if _LETTERS.match(bare) and not _DISGUISED.search(bare):
+    if _LETTERS.match(bare) and not disguised(bare):
         return bare
     inner = token.strip(".,;:?\"'()[]{}<>")
-    if not _DISGUISED.search(inner):
+    if not disguised(inner):
         return bare
     return decode(inner, model)
 
