@@ -7,8 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.core import drawdown, first_value, kurtosis_adjusted, ratio, rolling, skew_adjusted
+from ..functions.quantiles import exact_percentiles
 from ..functions.series import rolling_columns
 from ..schemas import DAYS, YEAR_DAYS
+from ..scratch import durable
 from .performance import by_date, with_returns
 
 #: Common returns that beta, correlation and alpha need.
@@ -179,6 +181,10 @@ def index_yearly(index_bars: DataFrame, days: int = 250) -> DataFrame:
 
 
 def describe(df: DataFrame, *cols: str) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of numeric columns, a row for each."""
+    """Count, mean, deviation, extremes and exact quartiles of numeric columns, a row for each. No task holds a column's values."""
+    quartiles = (0.25, 0.5, 0.75)
     own = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")).select("s.column", "s.v")
-    return own.groupBy("column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), *[F.percentile("v", q).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)], F.max("v").alias("max"))
+    own = durable(own, "described")
+    sums = own.groupBy("column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    at = exact_percentiles(own, "v", quartiles, ["column"])
+    return sums.join(at, "column", "left").select("column", "count", "mean", "std", "min", *[F.get("percentiles", F.lit(i)).alias(f"p{int(q * 100)}") for i, q in enumerate(quartiles)], "max")

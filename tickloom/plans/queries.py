@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import core, intervals, series
+from ..functions import core, intervals, quantiles, series
 from ..operators import backtest as bt
 from ..operators import bonds as bd
 from ..operators import corporate_actions as ca
@@ -365,6 +365,19 @@ def _(spark, d):
     return rk.describe(sy.bars(spark, d), "close").select("column", "count", *r6s("mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
+@query("d7_price_percentiles", "SELECT ticker, " + ", ".join(f"{R(f'quantile_cont(close, {p})')} AS p{int(p * 100)}" for p in (0.05, 0.5, 0.95)) + " FROM bars GROUP BY 1")
+def _(spark, d):
+    found = quantiles.exact_percentiles(_bars(spark, d), "close", (0.05, 0.5, 0.95), ["ticker"])
+    return found.select("ticker", *[r6(F.get("percentiles", F.lit(i)), n) for i, n in enumerate(("p5", "p50", "p95"))])
+
+
+@query("d7_line_percentiles", "SELECT l_returnflag, " + ", ".join(f"{R(f'quantile_cont(l_extendedprice, {p})')} AS p{int(p * 100)}" for p in (0.01, 0.25, 0.5, 0.99)) + " FROM lineitem GROUP BY 1")
+def _(spark, d):
+    """Three groups that hold all lines: more values than a task sorts."""
+    found = quantiles.exact_percentiles(sy.read(spark, d, "lineitem"), "l_extendedprice", (0.01, 0.25, 0.5, 0.99), ["l_returnflag"])
+    return found.select("l_returnflag", *[r6(F.get("percentiles", F.lit(i)), n) for i, n in enumerate(("p1", "p25", "p50", "p99"))])
+
+
 @query("d18_histogram", f"""SELECT ticker, CAST(bin AS BIGINT) AS bin, CAST(count(*) AS BIGINT) AS n FROM (SELECT l.ticker, least(floor((ret - lo) / ((hi - lo) / 60)), 59) AS bin FROM lret l JOIN (SELECT ticker, min(ret) AS lo, max(ret) AS hi, stddev_samp(ret) AS sd FROM lret GROUP BY 1) m ON l.ticker = m.ticker WHERE hi > lo AND sd > 0) GROUP BY 1, 2""")
 def _(spark, d):
     return rk.histogram(ts.log_returns(sy.bars(spark, d)), "ret").select("ticker", *big("bin"), "n")
