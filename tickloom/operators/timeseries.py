@@ -49,23 +49,19 @@ def acf(df: DataFrame, value: str = "ret", lags: int = 25, by: str = "ticker", t
 
 
 def pacf(autocorrelations: DataFrame, by: str = "ticker") -> DataFrame:
-    """``by, lag, pacf`` from ``acf`` by the Durbin-Levinson recursion."""
-
-    @F.pandas_udf("array<double>")
-    def levinson(rhos: pd.Series) -> pd.Series:
-        def one(rho: np.ndarray) -> list[float]:
-            out, phi = [], np.empty(0)
-            for k in range(len(rho)):
-                den = 1.0 - phi @ rho[:k]
-                last = (rho[k] - phi @ rho[:k][::-1]) / den if den else 0.0
-                phi = np.append(phi - last * phi[::-1], last)
-                out.append(float(last))
-            return out
-
-        return rhos.map(lambda r: one(np.asarray(r, float)))
-
-    arrays = autocorrelations.where("acf is not null").groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda s: s["acf"]).alias("rho"))
-    return arrays.select(by, F.posexplode(levinson("rho")).alias("_p", "pacf")).select(by, (F.col("_p") + 1).alias("lag"), "pacf")
+    """``by, lag, pacf`` from ``acf`` by the Durbin-Levinson recursion, over an array of a series' few autocorrelations."""
+    rho = F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda s: s["acf"])
+    arrays = autocorrelations.where("acf is not null").groupBy(by).agg(rho.alias("rho"))
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    empty = F.array().cast("array<double>")
+
+    def step(acc: Column, k: Column) -> Column:
+        phi, known = acc["phi"], F.slice("rho", 1, k)
+        last = F.coalesce(ratio(F.get("rho", k) - dot(phi, F.reverse(known)), F.nullif(1 - dot(phi, known), F.lit(0.0))), F.lit(0.0))
+        return F.struct(F.concat(F.zip_with(phi, F.reverse(phi), lambda a, b: a - last * b), F.array(last)).alias("phi"), F.concat(acc["out"], F.array(last)).alias("out"))
+
+    found = F.aggregate(F.sequence(F.lit(0), F.size("rho") - 1), F.struct(empty.alias("phi"), empty.alias("out")), step)["out"]
+    return arrays.select(by, F.posexplode(found).alias("_p", "pacf")).select(by, (F.col("_p") + 1).alias("lag"), "pacf")
 
 
 def portmanteau(autocorrelations: DataFrame, lags: tuple[int, ...] = (10, 20), by: str = "ticker") -> DataFrame:

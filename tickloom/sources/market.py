@@ -100,7 +100,7 @@ def load_splits(explicit: DataFrame, payloads: DataFrame | None = None) -> DataF
 def load_dividends(spark: SparkSession, folder: str) -> DataFrame:
     """Dividends from one CSV for each ticker, named after it; positive values with a date."""
     rows = spark.read.schema("closing_date date, dividend_value double").csv(folder, header=True).select("*", "_metadata.file_name")
-    return positive_dividends(rows.select(F.regexp_extract("file_name", r"^([^.]+)\.csv", 1).alias("ticker"), "closing_date", "dividend_value"))
+    return positive_dividends(rows.select(F.regexp_extract("file_name", r"^(.+)\.csv$", 1).alias("ticker"), "closing_date", "dividend_value"))
 
 
 def positive_dividends(rows: DataFrame) -> DataFrame:
@@ -310,8 +310,3 @@ def refresh(stored: DataFrame, landed: DataFrame, splits: DataFrame, dividends:
     out = landed if rebuild else upsert(stored, landed)
     out = adjusted_close(out, dividends, splits) if adj_close else out
     return market_cap(out, shares, splits) if cap else out
-
-
-def calendar(df: DataFrame, date: str = "date") -> DataFrame:
-    """``date, ord``: the dates that occur, counted from 1."""
-    return df.select(date).distinct().withColumn("ord", F.row_number().over(W.orderBy(date)))
