@@ -46,17 +46,18 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     return per.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(F.col("at") * F.col("weight")).alias("target"))
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from 52 bits of a hash of the id (null: as an empty id)."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from 52 bits of a hash of the id and the text (null: as an empty one)."""
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
     """One row for each document: ``(row, doc_id, size, source_size, target, copies)``; ``row`` holds all input columns.
 
-    Null text: size 0. Null source: a source of its own. Null or repeated ids: rows with equal ids share their draw. Sources without
-    words get target 0 and their documents no copies, as do all in an all-empty table. Column names can't clash: they are in ``row``.
+    Null text: size 0. Null source: a source of its own. Rows with null or repeated ids are drawn by their texts; only rows equal in both
+    share a draw. Sources without words get target 0 and their documents no copies, as do all in an all-empty table. Column names can't
+    clash: they are in ``row``.
     Targets have a row for each source and are sent to all tasks; where sources are too many for that, the join is by source and AQE
     splits the frequent ones.
     """
@@ -65,13 +66,14 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
         col(docs, "doc_id", "long").alias("doc_id"),
         col(docs, "source", "string").alias("source"),
         word_count(col(docs, "text", "string")).alias("size"),
+        draw(col(docs, "doc_id", "long"), col(docs, "text", "string"), seed).alias("drawn"),
     )
     targets = durable(source_targets(sized.select("source", "size"), weights, share, cap).withColumnRenamed("source", "of"), "targets")
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     whole = F.floor(rate)
     return (
         sized.join(small(targets), F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("copies", (whole + (draw(F.col("doc_id"), seed) < rate - whole).cast("long")).cast("long"))
+        .withColumn("copies", (whole + (F.col("drawn") < rate - whole).cast("long")).cast("long"))
         .select("row", "doc_id", "size", "source_size", "target", "copies")
     )
 

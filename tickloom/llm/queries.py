@@ -87,7 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 MIX_SQL = rf"""
-WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS BIGINT) AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS h, CAST(coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS BIGINT) AS size FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS t FROM sized GROUP BY source),
 w AS (SELECT *, CAST([3, 1, 2][t % 3 + 1] AS DOUBLE) AS weight, source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS budget FROM per),
 l AS (SELECT *, (budget - coalesce(sum(cap) OVER above, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER above, 0)) AS level
@@ -95,7 +95,7 @@ l AS (SELECT *, (budget - coalesce(sum(cap) OVER above, 0)) / (sum(weight) OVER
 t AS (SELECT source, source_size, CASE WHEN cap <= level * weight THEN cap
       ELSE weight * first_value(CASE WHEN cap > level * weight THEN level END IGNORE NULLS) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END AS target FROM l),
 r AS (SELECT s.doc_id, s.size, t.source_size, t.target, coalesce(t.target / nullif(t.source_size, 0), 0) AS rate,
-      CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u FROM sized s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
+      CAST('0x' || substr(h, 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u FROM sized s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
 
