@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import core, intervals, quantiles, series
+from ..functions import core, intervals, quantiles, ranks, series
 from ..operators import backtest as bt
 from ..operators import bonds as bd
 from ..operators import corporate_actions as ca
@@ -378,6 +378,25 @@ def _(spark, d):
     return found.select("l_returnflag", *[r6(F.get("percentiles", F.lit(i)), n) for i, n in enumerate(("p1", "p25", "p50", "p99"))])
 
 
+_PARTS = "parts AS (SELECT 'P' || l_partkey AS ticker, last_day(CAST(l_shipdate AS DATE)) AS month, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS turnover FROM lineitem GROUP BY 1, 2)"
+
+
+def _part_months(spark, d):
+    """Monthly turnover with a security for each part: a universe that grows with the tables."""
+    turnover = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("turnover")
+    return sy.read(spark, d, "lineitem").groupBy(F.concat(F.lit("P"), F.col("l_partkey")).alias("ticker"), F.last_day(F.col("l_shipdate").cast("date")).alias("month")).agg(turnover)
+
+
+@query("e9_wide_ranks", f"""WITH RECURSIVE {_PARTS} SELECT ticker, month, {R('(rank() OVER (PARTITION BY month ORDER BY turnover) + (count(*) OVER (PARTITION BY month, turnover) - 1) / 2.0) / count(*) OVER (PARTITION BY month)')} AS pct FROM parts""")
+def _(spark, d):
+    return ranks.large_pct_ranks(durable(_part_months(spark, d), "part-months"), "turnover", ["month"], "pct").select("ticker", "month", r6("pct", "pct"))
+
+
+@query("e10_wide_top", f"""WITH RECURSIVE {_PARTS} SELECT ticker, month, {R('turnover')} AS turnover FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY turnover DESC, ticker) AS i, greatest(1, floor(count(*) OVER (PARTITION BY month) * 0.1)) AS k FROM parts) WHERE i <= k""")
+def _(spark, d):
+    return ranks.large_top(durable(_part_months(spark, d), "part-months"), "turnover", ["month"], share=0.1).select("ticker", "month", r6("turnover", "turnover"))
+
+
 @query("d18_histogram", f"""SELECT ticker, CAST(bin AS BIGINT) AS bin, CAST(count(*) AS BIGINT) AS n FROM (SELECT l.ticker, least(floor((ret - lo) / ((hi - lo) / 60)), 59) AS bin FROM lret l JOIN (SELECT ticker, min(ret) AS lo, max(ret) AS hi, stddev_samp(ret) AS sd FROM lret GROUP BY 1) m ON l.ticker = m.ticker WHERE hi > lo AND sd > 0) GROUP BY 1, 2""")
 def _(spark, d):
     return rk.histogram(ts.log_returns(sy.bars(spark, d)), "ret").select("ticker", *big("bin"), "n")
