@@ -64,9 +64,9 @@ def test_a_series_takes_many_tasks(minutes):
     assert "Python" not in plan and "Pandas" not in plan
 
 
-@pytest.mark.parametrize("block", [300, None])
-def test_ewma_of_whole_series(minutes, block):
-    out = series.ewma(minutes, "close", (1, 2, 5, 16), time="date", then=["id"], chunk="day", block=block)
+@pytest.mark.parametrize(("chunk", "block"), [("day", 300), ("day", None), (None, None)])
+def test_ewma_of_whole_series(minutes, chunk, block):
+    out = series.ewma(minutes, "close", (1, 2, 5, 16), time="date", then=["id"], chunk=chunk, block=block)
     assert "Python" not in out._jdf.queryExecution().toString()
     got, want = whole(out), whole(minutes)
     for span in (1, 2, 5, 16):
@@ -97,8 +97,9 @@ def test_native_garch_equals_the_plain_recursion(spark):
             e = r.normal() * h**0.5
             rows.append((ticker, dt.date(2015, 1, 1) + dt.timedelta(days=i), float(e / 100)))
     returns = spark.createDataFrame(rows, "ticker string, date date, ret double")
-    got, want = (f.toPandas().sort_values(["ticker", "date"]).reset_index(drop=True) for f in (ts.garch_grid(returns), ts._garch_by_ticker(returns, 1, 1, "ticker", "date")))
+    got, cut, want = (f.toPandas().sort_values(["ticker", "date"]).reset_index(drop=True) for f in (ts.garch_grid(returns), ts.garch_grid(returns, split="month"), ts._garch_by_ticker(returns, 1, 1, "ticker", "date")))
     pd.testing.assert_frame_equal(got[want.columns], want, rtol=1e-9, check_dtype=False)
+    pd.testing.assert_frame_equal(cut[want.columns], want, rtol=1e-9, check_dtype=False)
     assert set(got["ticker"]) == {"A", "B"}
     assert ts._garch_by_ticker(returns, 2, 2, "ticker", "date").count() == 1100
 

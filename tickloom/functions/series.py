@@ -77,16 +77,20 @@ def forgets_after(factor: float) -> int:
     return 1 if factor <= 0 else math.ceil(FORGOTTEN / -math.log(factor))
 
 
-def recurrences(df: DataFrame, columns: dict[str, tuple[Callable[[WindowSpec], Column], float]], by: Sequence[str] = ("ticker",), time: str = "date", then: Sequence[str] = (), chunk: str = "year", block: int | None = None, look_back: int = 0) -> DataFrame:
+def recurrences(df: DataFrame, columns: dict[str, tuple[Callable[[WindowSpec], Column], float]], by: Sequence[str] = ("ticker",), time: str = "date", then: Sequence[str] = (), chunk: str | None = None, block: int | None = None, look_back: int = 0) -> DataFrame:
     """``df`` with ``columns``: y_t = factor y_{t-1} + input_t from y_{-1} = 0, for a factor from 0 to below 1; name: (input, factor).
 
     An input is made from a window of the series, looking at most ``look_back`` rows back, in which ``_i`` is a row's place. Two stretches of
     a recurrence combine to one: the second's own sum, and the first's times the factor to the second's length. Stretches are as long as the
     factor's memory, so that a row needs its own stretch, a running sum of inputs that are weighted by powers of the factor, and the end of
-    the one before; what lies further back is below a double's precision.
+    the one before; what lies further back is below a double's precision. ``chunk`` cuts series that are too long for a task each into
+    blocks; without it a series is one block, which takes one shuffle.
     """
     stretch = {name: forgets_after(factor) for name, (_, factor) in columns.items()}
-    rows = in_blocks(numbered(df, by, time, *then, chunk=chunk), by, 2 * max(stretch.values(), default=1) + look_back, block)
+    if chunk:
+        rows = in_blocks(numbered(df, by, time, *then, chunk=chunk), by, 2 * max(stretch.values(), default=1) + look_back, block)
+    else:
+        rows = df.withColumn("_i", F.row_number().over(W.partitionBy(*by).orderBy(time, *then)) - 1).withColumns({"_block": F.lit(0), "_own": F.lit(True)})
     w = W.partitionBy(*by, "_block").orderBy("_i")
     so_far = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.select("*", *[made(w).alias(f"_u_{name}") for name, (made, _) in columns.items()])
@@ -103,12 +107,15 @@ def recurrences(df: DataFrame, columns: dict[str, tuple[Callable[[WindowSpec], C
     return rows.where("_own").select(*df.columns, *columns)
 
 
-def ewma(df: DataFrame, value: str, spans: Sequence[int], by: str = "ticker", time: str = "date", then: Sequence[str] = (), chunk: str = "year", block: int | None = None) -> DataFrame:
-    """Adds ``ewma_<span>`` (adjust=False, nulls skipped) to each row with a value, in time order; null where there is none."""
+def ewma(df: DataFrame, value: str, spans: Sequence[int], by: str = "ticker", time: str = "date", then: Sequence[str] = (), chunk: str | None = None, block: int | None = None) -> DataFrame:
+    """Adds ``ewma_<span>`` (adjust=False, nulls skipped) to each row with a value, in time order; null where there is none. ``chunk`` as in
+    ``recurrences``."""
 
     def weighted(span: int) -> Callable[[WindowSpec], Column]:
         return lambda _: F.col(value).cast("double") * F.when(F.col("_i") == 0, 1.0).otherwise(2.0 / (span + 1))
 
-    have = F.col(value).isNotNull()
-    with_values = recurrences(df.where(have), {f"ewma_{s}": (weighted(s), 1 - 2.0 / (s + 1)) for s in spans}, [by], time, then, chunk, block)
-    return with_values.unionByName(df.where(~have), allowMissingColumns=True)
+    have, columns = F.col(value).isNotNull(), {f"ewma_{s}": (weighted(s), 1 - 2.0 / (s + 1)) for s in spans}
+    if not chunk:  # rows without a value come behind all others, where nothing looks back at them
+        out = recurrences(df.withColumn("_last", ~have), columns, [by], "_last", [time, *then])
+        return out.select(*df.columns, *[F.when(have, F.col(c)).alias(c) for c in columns])
+    return recurrences(df.where(have), columns, [by], time, then, chunk, block).unionByName(df.where(~have), allowMissingColumns=True)

@@ -292,7 +292,7 @@ GARCH_ALPHAS, GARCH_BETAS = (0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.3), (0.3, 0.5,
 GARCH_GRID = tuple((a, b) for a in GARCH_ALPHAS for b in GARCH_BETAS if a + b < 0.999)
 
 
-def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", time: str = "date") -> DataFrame:
+def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", time: str = "date", split: str | None = None) -> DataFrame:
     """``by, date, alpha, beta, cond_vol, std_resid``: the GARCH(p, q) of the best likelihood among a grid of parameters, its variance
     targeted to the sample's; approximate. (1, 1) is native; other orders go through time once for all candidates, ticker by ticker.
 
@@ -300,19 +300,19 @@ def garch_grid(returns: DataFrame, p: int = 1, q: int = 1, by: str = "ticker", t
     before. Needs more than 60 values.
     """
     if p == q == 1:
-        return _garch_1_1(returns, by, time)
+        return _garch_1_1(returns, by, time, split)
     return _garch_by_ticker(returns, p, q, by, time)
 
 
-def _garch_1_1(returns: DataFrame, by: str, time: str) -> DataFrame:
+def _garch_1_1(returns: DataFrame, by: str, time: str, split: str | None) -> DataFrame:
     """All variances of a parameter pair are its part of the mean, of the first variance, and ``alpha`` times a running sum of squares that
-    ``beta`` forgets: one recurrence for each ``beta`` serves all pairs, and a history splits over tasks."""
+    ``beta`` forgets: one recurrence for each ``beta`` serves all pairs; ``split``, a unit of time, cuts histories that are too long for a task each."""
     have = returns.where("ret is not null").select(by, time, F.col("ret").cast("double").alias("ret"))
     stats = have.groupBy(by).agg(F.count("*").alias("_n"), F.avg("ret").alias("_mean"), F.greatest(F.var_pop("ret") * 1e4, F.lit(1e-12)).alias("_v")).where(F.col("_n") > LEAST_GRID)
     rows = have.join(stats, by).select(by, time, ((F.col("ret") - F.col("_mean")) * 100).alias("e"), "_v")
     before = lambda w: F.coalesce(F.lag(F.col("e") * F.col("e")).over(w), F.lit(0.0))
     columns = {f"s{k}": (before, b) for k, b in enumerate(GARCH_BETAS)} | {"t": (lambda _: F.col("_i"), 0.0)}
-    rows = durable(recurrences(rows, columns, [by], time, look_back=1), "variances")
+    rows = durable(recurrences(rows, columns, [by], time, chunk=split, look_back=1), "variances")
 
     def variance(a: Column, b: Column, squares: Column) -> Column:
         kept = F.pow(b, F.col("t"))
