@@ -31,7 +31,7 @@ def result(spark, name, *cols):
 @pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op")])
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel, df = con.sql(entry.oracle_sql()[name]), entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
