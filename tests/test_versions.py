@@ -29,7 +29,7 @@ def table(spark, bars, tmp_path):
     return path
 
 
-def test_reference_overlap(spark, bars, tmp_path):
+def test_overlapping_days(spark, bars, tmp_path):
     """Stored 100, 101, 102 and new 999, 103, 104 that overlap on the third day: five rows, the third day new."""
     path = str(tmp_path / "t")
     mk.upsert_table(spark, path, bars(("A", "2024-01-01", 100), ("A", "2024-01-02", 101), ("A", "2024-01-03", 102)), SCHEMA)
