@@ -1,7 +1,10 @@
-"""Benchmark decontamination: every training passage queries a BM25 index of the test items by block-max WAND; hits are verified.
+"""Benchmark decontamination: every training text queries a BM25 index of the test items by block-max WAND; hits are verified.
 
-The index holds the test items, not the corpus. An item of more words than a passage is indexed by overlapping pieces, each of which lies
-wholly in a passage wherever it begins; it is verified as a whole. Document frequencies and the mean length are counted over all pieces;
+A query has the distinct terms of all passages of a text, so an item is met in however many places its parts stand. Each piece of an item
+has a threshold of its own: what is left of its score when the terms that weigh most are gone, as many as an item can lack whose question
+and answer still overlap enough. So whatever verification would accept is retrieved.
+
+The index holds the test items, not the corpus. A long item is indexed by overlapping pieces and verified as a whole. Document frequencies and the mean length are counted over all pieces;
 the index itself is built in parts by Spark, each from a bounded number of pieces, and lies in the shared folder as one file a part. A
 task looks at all parts for each batch of its rows, so the corpus is read once however many parts there are. No item passes the driver.
 """
@@ -22,17 +25,18 @@ from pyspark.sql import functions as F
 
 from .common import SHINGLE, WordHashes, col, durable, runs, scratch_path, shared_store, word_hashes, words_of
 
-#: Words of a passage; passages start every half of it. Words of a longer item's pieces, which start every half of it.
-PASSAGE, PIECE = 64, 32
-#: A passage is retrieved from this share of an item's (or piece's) own BM25 score on; a hit is contaminated if of the item's question and of its
-#: answer this share of 5-word shingles is in the document.
-RETRIEVE, OVERLAP = 0.5, 0.75
+#: Words of an item that is indexed as one piece, at most. Words of a longer item's pieces, which start every half of it.
+WHOLE, PIECE = 64, 32
+#: A hit is contaminated if of the item's question and of its answer this share of 5-word shingles is in the document.
+OVERLAP = 0.75
 K1, B = 1.2, 0.75
 BLOCK = 8
 #: Pieces of an index part, on average, and of one item in a row of a part, at most.
 PART_PIECES = 4_096
-#: Bytes of index files that a worker keeps in memory; characters of texts whose words it holds; passages that are bounded at once.
-HELD, HELD_TEXT, AT_ONCE = 200 << 20, 1 << 20, 4_096
+#: Bytes of index files that a worker keeps in memory; characters of texts whose words it holds.
+HELD, HELD_TEXT = 200 << 20, 1 << 20
+#: What sums of impacts may be off by.
+ROUNDING = 1e-9
 _SENTENCE = re.compile(rb"(?<=[.!?])\s+")
 #: Signs at a word's ends, which may come from its surroundings in either text.
 _EDGE = b".,;:!?*#$%&|<>()[]{}\"'"
@@ -52,17 +56,31 @@ def split_item(text: str) -> tuple[list[bytes], int]:
 
 def pieces(n: int) -> list[tuple[int, int]]:
     """What an item of ``n`` words is indexed by: all of it, or ``PIECE`` words every half of it."""
-    if n <= PASSAGE:
+    if n <= WHOLE:
         return [(0, n)]
     return [(at, at + PIECE) for at in [*range(0, n - PIECE, PIECE // 2), n - PIECE]]
 
 
+def may_lack(sides: tuple[np.ndarray, np.ndarray], n: int, overlap: float) -> int:
+    """How many words of one of its pieces an item of ``n`` words can lack, if ``overlap`` of the distinct shingles on each of its sides are there.
+
+    A word is lacking only if all shingles over it are. Left of a shingle that is there, the one that begins at a lacking word is lacking, right of
+    it the one that ends there: no more words are lacking than shingles, counted with repeats. Of pieces side by side, one lacks no more than the mean.
+    """
+    lacking = 0
+    for h in sides:
+        repeats = np.sort(np.unique(h, return_counts=True)[1])[::-1]
+        lacking += int(repeats[: int((1 - overlap) * len(repeats) + ROUNDING)].sum())
+    return lacking if n <= WHOLE else lacking // (n // PIECE)
+
+
 class ItemIndex:
     """Postings by term with BM25 impacts divided by the piece's own score, so that a piece scores 1 on itself; pieces lie in blocks of
     ``BLOCK``, and each term knows its largest impact in each block where it occurs. An item is ``(id, text)``, or ``(id, text, i, j)`` for its
-    pieces i to j - 1. ``df``, ``n`` and ``mean`` are the counts over all parts; default: over this one."""
+    pieces i to j - 1. ``df``, ``n`` and ``mean`` are the counts over all parts; default: over this one. ``least`` is the score of each piece
+    from which on its item can overlap by ``overlap``."""
 
-    def __init__(self, items: list[tuple], df: dict[bytes, int] | None = None, n: int | None = None, mean: float | None = None) -> None:
+    def __init__(self, items: list[tuple], df: dict[bytes, int] | None = None, n: int | None = None, mean: float | None = None, overlap: float = OVERLAP) -> None:
         parsed = sorted(((i, *split_item(t or ""), cut) for i, t, *cut in items), key=lambda x: (sorted(set(x[1]))[-3:], x[1], str(x[0]), x[3]))
         parsed = [p for p in parsed if p[1]]
         self.ids = [p[0] for p in parsed]
@@ -71,15 +89,26 @@ class ItemIndex:
         self.item_of = [at for at, _ in indexed]
         if df is None:
             df, n, mean = piece_counts([ws for _, ws in indexed])
+        seen = WordHashes()
+        self.parts, lacking = [], []
+        for _, ws, answer, _ in parsed:
+            h = runs(word_hashes(ws, seen), SHINGLE)
+            ends = np.arange(len(h)) + min(SHINGLE, len(ws))
+            sides = h[ends <= answer], h[ends > answer]
+            lacking.append(may_lack(sides, len(ws), overlap))
+            self.parts.append((*map(np.unique, sides), min(SHINGLE, len(ws))))
         found: dict[bytes, list[tuple[int, float]]] = {}
-        for at, (_, ws) in enumerate(indexed):
+        self.least = np.empty(len(indexed))
+        for at, (item, ws) in enumerate(indexed):
             own = {w: np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean)) for w, c in Counter(ws).items()}
             total = sum(own.values())
+            self.least[at] = max(1 - sum(sorted(own.values(), reverse=True)[: lacking[item]]) / total, ROUNDING) - ROUNDING / 2
             for w, v in own.items():
                 found.setdefault(w, []).append((at, v / total))
         self.terms = {w: k for k, w in enumerate(found)}
         self.postings = list(found.values())
         self.blocks = -(-len(indexed) // BLOCK)
+        self.block_least = np.minimum.reduceat(self.least, np.arange(0, len(indexed), BLOCK)) if indexed else self.least
         # by term: the blocks that it occurs in, and its largest impact in each
         most = [{} for _ in found]
         for own, p in zip(most, self.postings, strict=True):
@@ -89,19 +118,13 @@ class ItemIndex:
         self.block_of = np.fromiter((b for x in most for b in x), np.int64, int(self.block_at[-1]))
         self.block_max = np.fromiter((v for x in most for v in x.values()), np.float64, int(self.block_at[-1]))
         self.most = most
-        seen = WordHashes()
-        self.parts = []
-        for _, ws, answer, _ in parsed:
-            h = runs(word_hashes(ws, seen), SHINGLE)
-            ends = np.arange(len(h)) + min(SHINGLE, len(ws))
-            self.parts.append((np.unique(h[ends <= answer]), np.unique(h[ends > answer]), min(SHINGLE, len(ws))))
 
-    def wand(self, terms: list[int], blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
-        """Pieces that score ``least`` or more on the distinct ``terms``, in document-at-a-time order; only ``blocks`` can hold them."""
+    def wand(self, terms: list[int], blocks: np.ndarray) -> list[tuple[int, float]]:
+        """Pieces that reach their thresholds on the distinct ``terms``, in document-at-a-time order; only ``blocks`` can hold them."""
         cursors = [[self.postings[t], 0, self.most[t]] for t in terms]
         out = []
         for block in blocks.tolist():
-            low, high = block * BLOCK, block * BLOCK + BLOCK
+            low, high, least = block * BLOCK, block * BLOCK + BLOCK, self.block_least[block]
             live = []
             for c in cursors:
                 if block in c[2]:
@@ -129,7 +152,7 @@ class ItemIndex:
                             break
                         score += v
                         c[1] += 1
-                    if score >= least:
+                    if score >= self.least[pivot]:
                         out.append((pivot, score))
                 else:
                     for c in live:
@@ -140,31 +163,23 @@ class ItemIndex:
                 live = [c for c in live if c[1] < len(c[0]) and c[0][c[1]][0] < high]
         return out
 
-    def retrieve(self, words: list[bytes], least: float = RETRIEVE, passage: int = PASSAGE) -> dict[int, float]:
-        """Best score by item of its pieces over all passages of a text. Passages are bounded by block maxima first: one without a block
-        that can reach ``least`` is never scored."""
-        get, v, half = self.terms.get, len(self.terms), passage // 2
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        pos = np.flatnonzero(ids >= 0)
+    def retrieve(self, words: list[bytes]) -> dict[int, float]:
+        """Best score by item of its pieces that reach their thresholds on the terms of a text. Blocks are bounded by their maxima first: one
+        that stays below the least threshold in it is never scored."""
+        get = self.terms.get
+        terms = np.array(sorted(t for w in set(words) if (t := get(w)) is not None), np.int64)
         found: dict[int, float] = {}
-        if not len(pos):
+        if not len(terms):
+            return found
+        n = self.block_at[terms + 1] - self.block_at[terms]
+        entry = np.repeat(self.block_at[terms] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        bounds = np.bincount(self.block_of[entry], self.block_max[entry], self.blocks)
+        blocks = np.flatnonzero(bounds >= self.block_least - ROUNDING)
+        if not len(blocks):
             return found
-        keys = np.unique(pos // half * v + ids[pos])
-        halves, terms = keys // v, keys % v
-        # a run of halves at a time, each with the one after it; the last half of a text is part of the passage before, unless it is the only one
-        for first in range(int(halves[0]), int(halves[-1]) + 1, AT_ONCE):
-            a, b = np.searchsorted(halves, [first, first + AT_ONCE + 1])
-            h, t = halves[a:b] - first, terms[a:b]
-            n = self.block_at[t + 1] - self.block_at[t]
-            entry = np.repeat(self.block_at[t] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            rows = min(AT_ONCE, int(halves[-1]) - first + 1) + 1
-            bounds = np.bincount(np.repeat(h, n) * self.blocks + self.block_of[entry], self.block_max[entry], rows * self.blocks).reshape(-1, self.blocks)[:rows]
-            both = bounds[:-1] + bounds[1:]
-            for at in np.flatnonzero((both >= least - 1e-6).any(axis=1)).tolist():
-                own = np.unique(t[(h == at) | (h == at + 1)])
-                for piece, score in self.wand(own.tolist(), np.flatnonzero(both[at] >= least - 1e-6), least - 1e-9):
-                    item = self.item_of[piece]
-                    found[item] = max(found.get(item, 0.0), score)
+        for piece, score in self.wand(terms.tolist(), blocks):
+            item = self.item_of[piece]
+            found[item] = max(found.get(item, 0.0), score)
         return found
 
     def verify(self, words: list[bytes], items: dict[int, float], seen: WordHashes) -> list[tuple[int | None, float, float, float]]:
@@ -174,17 +189,23 @@ class ItemIndex:
             question, answer, n = self.parts[at]
             if n not in sets:
                 sets[n] = np.unique(runs(hashes, n)) if len(words) >= n else np.empty(0, np.uint64)
-            share = lambda x: float(np.isin(x, sets[n]).mean()) if len(x) else 1.0  # noqa: B023, E731
+            share = lambda x: float(np.mean(held(sets[n], x))) if len(x) else 1.0  # noqa: B023, E731
             out.append((self.ids[at], score, share(question), share(answer)))
         return out
 
 
+def held(values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are among the sorted ``values``."""
+    at = np.searchsorted(values, x)
+    return (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == x) if len(values) else np.zeros(len(x), bool)
+
+
 def piece_counts(found: list[list[bytes]]) -> tuple[Counter, int, float]:
     """In how many pieces each word occurs, how many pieces there are, and their mean length."""
     return Counter(w for ws in found for w in set(ws)), max(len(found), 1), sum(map(len, found)) / max(len(found), 1) or 1.0
 
 
-def build_index(benchmark: DataFrame) -> tuple[str, int]:
+def build_index(benchmark: DataFrame, overlap: float = OVERLAP) -> tuple[str, int]:
     """Writes the index of ``benchmark`` (item_id, text) to a folder of the shared store; returns it and the number of parts.
 
     Rows of at most PART_PIECES pieces of one item are dealt to parts by hash; with each part go the document frequencies of its words.
@@ -224,7 +245,7 @@ def build_index(benchmark: DataFrame) -> tuple[str, int]:
     def build(key: tuple, own: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         files, base = shared_store(folder)
         files.create_dir(base, recursive=True)
-        index = ItemIndex([(None if i is None else int(i), t, int(a), int(b)) for i, t, a, b in zip(own["item_id"], own["text"], own["a"], own["b"], strict=True)], dict(zip(words["word"], words["df"], strict=True)), n, mean)
+        index = ItemIndex([(None if i is None else int(i), t, int(a), int(b)) for i, t, a, b in zip(own["item_id"], own["text"], own["a"], own["b"], strict=True)], dict(zip(words["word"], words["df"], strict=True)), n, mean, overlap)
         target = part_file(base, int(key[0]))
         temp = f"{target}.{uuid.uuid4().hex}"
         with files.open_output_stream(temp) as out:
@@ -262,7 +283,7 @@ def load_part(folder: str, part: int) -> ItemIndex | None:
     return _LOADED[path][0]
 
 
-def hits(texts: list[str | None], folder: str, parts: int, retrieve: float, overlap: float, seen: WordHashes) -> Iterator[tuple[int, tuple]]:
+def hits(texts: list[str | None], folder: str, parts: int, overlap: float, seen: WordHashes) -> Iterator[tuple[int, tuple]]:
     """``(place of the text, (item_id, score, question overlap, answer overlap))`` of all verified hits of a batch."""
     first = 0
     while first < len(texts):
@@ -276,24 +297,24 @@ def hits(texts: list[str | None], folder: str, parts: int, retrieve: float, over
             if (index := load_part(folder, part)) is None:
                 continue
             for i, own in enumerate(words, first):
-                if found := index.retrieve(own, retrieve):
+                if found := index.retrieve(own):
                     yield from ((i, hit) for hit in index.verify(own, found, seen) if min(hit[2:]) >= overlap)
         first += len(words)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` for each document and test item found in it; the score is that of the
     item's best piece.
 
     Null and empty texts and items match nothing; repeated rows give repeated results; empty tables give an empty result.
     """
     texts = docs.select(col(docs, "doc_id", "long").alias("doc_id"), col(docs, "text", "string").alias("text"))
-    folder, parts = build_index(benchmark)
+    folder, parts = build_index(benchmark, overlap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
         for batch in batches:
-            found = list(hits(batch.column("text").to_pylist(), folder, parts, retrieve, overlap, seen))
+            found = list(hits(batch.column("text").to_pylist(), folder, parts, overlap, seen))
             if found:
                 a = list(zip(*(hit for _, hit in found), strict=True))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array([i for i, _ in found])), pa.array(a[0], pa.int64()), *(pa.array(x, pa.float64()) for x in a[1:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
@@ -302,14 +323,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIE
     return found.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no test item. Texts aren't shuffled: each task judges its own rows."""
-    folder, parts = build_index(benchmark)
+    folder, parts = build_index(benchmark, overlap)
 
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
         out = np.ones(len(texts), bool)
-        for i, _ in hits(texts.tolist(), folder, parts, retrieve, overlap, WordHashes()):
+        for i, _ in hits(texts.tolist(), folder, parts, overlap, WordHashes()):
             out[i] = False
         return pd.Series(out)
 
