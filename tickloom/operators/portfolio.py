@@ -121,15 +121,115 @@ def candidate_portfolios(tickers: DataFrame, n: int = 2_000, cap: float = 0.3, s
     return w.select("portfolio", "ticker", capped.alias("w"))
 
 
+def variances(portfolios: DataFrame, cov: DataFrame, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
+    """``portfolio, var`` from weights (portfolio, ticker, w) and covariances (a <= b); pairs without a covariance count as 0.
+
+    Tickers are dealt to blocks and portfolios to chunks: a block of covariances meets a chunk's weights on either side as matrices, so no pair
+    of holdings becomes a row, and a weight is sent once to each block.
+    """
+    own = durable(portfolios.select("portfolio", "ticker", F.col("w").cast("double").alias("w")), "weights")
+    sizes = own.agg(F.count_distinct("ticker").alias("tickers"), F.count_distinct("portfolio").alias("portfolios")).first()
+    deal = lambda c, n, most: F.pmod(F.xxhash64(c), F.lit(max(-(-n // most), 1)))
+    at = lambda c: deal(c, sizes.tickers, block)
+    cells = own.withColumn("block", at("ticker")).withColumn("chunk", deal("portfolio", sizes.portfolios, chunk))
+    side = lambda x: cells.groupBy("chunk", F.col("block").alias(f"block_{x}")).agg(*[F.collect_list(c).alias(f"{c}_{x}") for c in ("portfolio", "ticker", "w")])
+    pairs = cov.where("cov is not null").groupBy(at("a").alias("block_a"), at("b").alias("block_b")).agg(*[F.collect_list(c).alias(c) for c in ("a", "b", "cov")])
+    met = pairs.join(side("a"), "block_a").join(side("b"), ["chunk", "block_b"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                names = pd.Index(np.intersect1d(r.portfolio_a, r.portfolio_b))
+                a, b = pd.Index(r.a).unique(), pd.Index(r.b).unique()
+                c, known = np.zeros((len(a), len(b))), np.zeros((len(a), len(b)))
+                i, j = a.get_indexer(r.a), b.get_indexer(r.b)
+                c[i, j], known[i, j] = np.where(np.asarray(r.a) == np.asarray(r.b), 1.0, 2.0) * r.cov, 1.0
+
+                def matrix(portfolio: np.ndarray, ticker: np.ndarray, w: np.ndarray, columns: pd.Index) -> tuple[np.ndarray, np.ndarray]:
+                    row, col = names.get_indexer(portfolio), columns.get_indexer(ticker)  # noqa: B023
+                    held = (row >= 0) & (col >= 0)
+                    x, there = np.zeros((len(names), len(columns))), np.zeros((len(names), len(columns)))  # noqa: B023
+                    x[row[held], col[held]], there[row[held], col[held]] = np.asarray(w)[held], 1.0
+                    return x, there
+
+                x, has_x = matrix(r.portfolio_a, r.ticker_a, r.w_a, a)
+                y, has_y = matrix(r.portfolio_b, r.ticker_b, r.w_b, b)
+                met = ((has_x @ known) * has_y).sum(axis=1) > 0
+                yield pd.DataFrame({"portfolio": names[met], "var": ((x @ c) * y).sum(axis=1)[met]})
+
+    kind = own.schema["portfolio"].dataType.simpleString()
+    return met.mapInPandas(run, f"portfolio {kind}, var double").groupBy("portfolio").agg(F.sum("var").alias("var"))
+
+
 def evaluate(portfolios: DataFrame, mu: DataFrame, cov: DataFrame, rf: float = 0.0) -> DataFrame:
-    """``portfolio, ret, vol, sharpe``: sums over holdings and over pairs of holdings, joined through the covariance table."""
+    """``portfolio, ret, vol, sharpe``: sums over holdings and over pairs of holdings."""
     ret = portfolios.join(mu, "ticker").groupBy("portfolio").agg(F.sum(F.col("w") * F.col("mu")).alias("ret"))
-    a = portfolios.select("portfolio", F.col("ticker").alias("a"), F.col("w").alias("wa"))
-    b = portfolios.select("portfolio", F.col("ticker").alias("b"), F.col("w").alias("wb"))
-    twice = F.when(F.col("a") == F.col("b"), 1.0).otherwise(2.0)
-    var = a.join(cov, "a").join(b, ["portfolio", "b"]).groupBy("portfolio").agg(F.sum(twice * F.col("wa") * F.col("wb") * F.col("cov")).alias("var"))
     vol = F.sqrt(F.greatest("var", F.lit(0.0)))
-    return ret.join(var, "portfolio").select("portfolio", "ret", vol.alias("vol"), ratio(F.col("ret") - rf, F.nullif(vol, F.lit(0.0))).alias("sharpe"))
+    return ret.join(variances(portfolios, cov), "portfolio").select("portfolio", "ret", vol.alias("vol"), ratio(F.col("ret") - rf, F.nullif(vol, F.lit(0.0))).alias("sharpe"))
+
+
+def _mix(corners: pd.DataFrame) -> pd.DataFrame:
+    """Shares of one portfolio's corners that minimise variance / 2 - gain: weight goes from the corner of the steepest slope to that of the least."""
+    k = int(corners["corner"].max()) + 1
+    c, gain = np.zeros((k, k)), np.zeros(k)
+    c[corners["corner"], corners["other"]] = corners["c"]
+    gain[corners["corner"]] = corners["gain"]
+    c = (c + c.T) / 2
+    share = np.full(k, 1.0 / k)
+    for _ in range(1_000 * k):
+        slope = c @ share - gain
+        low, high = int(slope.argmin()), int(np.where(share > 0, slope, -np.inf).argmax())
+        if slope[high] - slope[low] <= 1e-10 * max(float(np.abs(c).max()), 1e-300):
+            break
+        bend = c[low, low] + c[high, high] - 2 * c[low, high]
+        step = min(share[high], (slope[high] - slope[low]) / bend) if bend > 0 else share[high]
+        share[low] += step
+        share[high] = max(share[high] - step, 0.0)
+    var = float(share @ c @ share)
+    return pd.DataFrame({"portfolio": corners["portfolio"].iloc[0], "corner": np.arange(k), "share": share, "var": var, "slope": var - float(share @ gain)})
+
+
+def efficient_portfolios(mu: DataFrame, cov: DataFrame, tolerances: tuple[float, ...] = (0.0,), cap: float = 0.3, rounds: int = 40, gap: float = 0.01) -> DataFrame:
+    """``portfolio, ticker, w``: for the i-th of ``tolerances`` t, the long-only weights of at most ``cap`` that minimise variance / 2 - t * return.
+
+    Frank-Wolfe steps, fully corrected: a portfolio's new corner holds at their caps the tickers along which the objective falls fastest; the
+    covariances are joined with the few holdings of new corners only, and all corners so far are mixed by their own small matrix. It ends
+    when no portfolio can gain more than ``gap`` of its variance, which for t = 0 bounds the error of its volatility by that share, or
+    after ``rounds``. With fewer tickers than 1 / cap, all are held alike.
+    """
+    tickers = mu.select("ticker").distinct().count()
+    if not tickers:
+        return mu.select(F.lit(0).alias("portfolio"), "ticker", F.lit(0.0).alias("w"))
+    cap = max(cap, 1.0 / tickers)
+    holdings = int(np.ceil(1 / cap - 1e-9))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("portfolio"), F.lit(float(t)).alias("t")) for i, t in enumerate(tolerances)]))
+    base = durable(mu.select("ticker", (F.coalesce("mu", F.lit(0.0))).alias("mu"), wanted.alias("p")).select("p.portfolio", "ticker", (F.col("p.t") * F.col("mu")).alias("gain")), "gains")
+    known = cov.where("cov is not null")
+    full = durable(known.select(F.col("a").alias("ticker"), F.col("b").alias("held"), "cov").unionByName(known.where("a <> b").select(F.col("b").alias("ticker"), F.col("a").alias("held"), "cov")), "covariances")
+
+    def corner(slopes: DataFrame, at: int) -> DataFrame:
+        place = F.row_number().over(W.partitionBy("portfolio").orderBy("slope", "ticker"))
+        v = F.least(F.lit(cap), F.greatest(1 - (F.col("place") - 1) * cap, F.lit(0.0)))
+        return durable(slopes.withColumn("place", place).where(F.col("place") <= holdings).select("portfolio", F.lit(at).alias("corner"), "ticker", v.alias("v"), "slope"), "corner")
+
+    new = corner(base.join(full.where("ticker = held").select("ticker", "cov"), "ticker").select("portfolio", "ticker", (F.col("cov") - F.col("gain")).alias("slope")), 0)
+    held = pulled = None
+    for at in range(rounds):
+        # a row for each holding of each portfolio's new corner: bounded by the parameters
+        few = F.broadcast(new.select("portfolio", "corner", F.col("ticker").alias("held"), "v"))
+        pull = durable(full.join(few, "held").groupBy("portfolio", "corner", "ticker").agg(F.sum(F.col("cov") * F.col("v")).alias("pull")), "pull")
+        own = new.select("portfolio", "corner", "ticker", "v")
+        held, pulled = (own, pull) if held is None else (held.unionByName(own), pulled.unionByName(pull))
+        gains = held.join(base, ["portfolio", "ticker"]).groupBy("portfolio", "corner").agg(F.sum(F.col("v") * F.col("gain")).alias("gain"))
+        cells = held.join(pulled.withColumnRenamed("corner", "other"), ["portfolio", "ticker"]).groupBy("portfolio", "corner", "other").agg(F.sum(F.col("v") * F.col("pull")).alias("c"))
+        shares = durable(cells.join(gains, ["portfolio", "corner"]).groupBy("portfolio").applyInPandas(_mix, "portfolio int, corner int, share double, var double, slope double"), "shares")
+        slopes = pulled.join(shares.select("portfolio", "corner", "share"), ["portfolio", "corner"]).select("portfolio", "ticker", (F.col("share") * F.col("pull")).alias("slope"))
+        slopes = slopes.unionByName(base.select("portfolio", "ticker", (-F.col("gain")).alias("slope"))).groupBy("portfolio", "ticker").agg(F.sum("slope").alias("slope"))
+        new = corner(slopes, at + 1)
+        ahead = new.groupBy("portfolio").agg(F.sum(F.col("v") * F.col("slope")).alias("least"))
+        if shares.select("portfolio", "var", "slope").distinct().join(ahead, "portfolio").where(F.col("slope") - F.col("least") > gap * F.col("var")).isEmpty():
+            break
+    return held.join(shares, ["portfolio", "corner"]).groupBy("portfolio", "ticker").agg(F.sum(F.col("v") * F.col("share")).alias("w")).where("w > 0")
 
 
 def frontier_scan(evaluated: DataFrame, buckets: int = 20) -> DataFrame:
