@@ -1,7 +1,10 @@
 """Sources on files as they land."""
 
 import datetime as dt
+import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import portfolio as po
@@ -29,3 +32,18 @@ def test_complete_days_of_a_daily_panel(spark):
     returns = po.panel_returns(got).where("ticker = 'A'").orderBy("date").select(F.round("ret", 9)).collect()
     prices = [10.0 + i for i, d in enumerate(days) if d in want]
     assert [r[0] for r in returns] == [round(b / a - 1, 9) for a, b in zip(prices, prices[1:])]
+
+
+@pytest.mark.parametrize("shape", ["object", "lists", "dicts"])
+def test_a_long_table_is_parsed_once(spark, shape):
+    """3,000 rows in one document: parsed again for each row, they take minutes."""
+    heads = ["SECID", "SHORTNAME", "BOARDID", "FACEVALUE", "COUPONPERCENT", "MATDATE"]
+    data = [[f"b{i}", f"bond {i}", "TQCB" if i % 3 else "TQOB", "1000", str(i % 13), "2030-01-31"] for i in range(3000)]
+    table = {"object": {"columns": heads, "data": data}, "lists": [heads, *data], "dicts": [dict(zip(heads, r)) for r in data]}[shape]
+    payloads = spark.createDataFrame([(json.dumps({"securities": table}),), (None,), ("{}",), ('{"securities": {"columns": ["SECID"], "data": null}}',)], "payload string")
+    start = time.perf_counter()
+    rows = mk.parse_tables(payloads, "securities", ["SECID", "MATDATE", "ABSENT"]).collect()
+    assert sorted((r.row_pos, r.secid, r.matdate, r.absent) for r in rows) == [(i, f"b{i}", "2030-01-31", None) for i in range(3000)]
+    assert {(r.secid, r.couponpercent) for r in mk.bond_params(payloads).collect()} == {(f"b{i}", float(i % 13)) for i in range(3000)}
+    assert mk.bond_list(payloads).count() == 2000
+    assert time.perf_counter() - start < 60

@@ -112,16 +112,21 @@ def parse_tables(docs: DataFrame, table: str, columns: Sequence[str], keep: Sequ
 
     Three shapes: an object with ``columns`` and ``data``, a list of lists that begins with the header, a list of objects.
     """
-    body = F.get_json_object("payload", f"$.{table}")
-    obj = F.from_json(body, "struct<columns:array<string>,data:array<array<string>>>")
-    lists = F.from_json(body, "array<array<string>>")
-    dicts = F.from_json(body, "array<map<string,string>>")
-    is_object, is_list = body.startswith("{"), body.rlike(r"^\[\s*\[")
-    heads = F.when(is_object, obj["columns"]).when(is_list, F.try_element_at(lists, F.lit(1)))
-    cells = F.when(is_object, obj["data"]).when(is_list, F.slice(lists, 2, F.greatest(F.size(lists) - 1, F.lit(0))))
-    by_name = F.transform(cells, lambda r: F.map_from_arrays(heads, F.slice(r, 1, F.size(heads))))
-    rows = F.coalesce(by_name, F.when(~is_object & ~is_list, dicts))
-    out = docs.select(*keep, F.posexplode(rows).alias("row_pos", "_r"))
+    body = docs.select(*keep, F.get_json_object("payload", f"$.{table}").alias("_body"))
+    is_object, is_list = F.col("_body").startswith("{"), F.col("_body").rlike(r"^\[\s*\[")
+    obj = F.when(is_object, F.from_json("_body", "struct<columns:array<string>,data:array<array<string>>>"))
+    lists = F.when(is_list, F.from_json("_body", "array<array<string>>"))
+    dicts = F.when(~is_object & ~is_list, F.from_json("_body", "array<map<string,string>>"))
+    parsed = body.select(*keep, obj.alias("_obj"), lists.alias("_lists"), dicts.alias("_dicts"))
+    heads = F.coalesce(F.col("_obj.columns"), F.try_element_at("_lists", F.lit(1))).alias("_heads")
+    cells = F.coalesce(F.col("_obj.data"), F.slice("_lists", 2, F.greatest(F.size("_lists") - 1, F.lit(0))))
+    # a document is parsed once, before its rows are told apart; a row only meets the names of its columns
+    cell = lambda cells, by_name: F.struct(cells.alias("cells"), by_name.alias("by_name"))
+    no_cells, no_names = F.lit(None).cast("array<string>"), F.lit(None).cast("map<string,string>")
+    listed = F.coalesce(F.transform(cells, lambda r: cell(r, no_names)), F.transform("_dicts", lambda r: cell(no_cells, r)))
+    rows = parsed.select(*keep, heads, F.posexplode(listed).alias("row_pos", "_row"))
+    named = F.coalesce(F.map_from_arrays("_heads", F.slice("_row.cells", 1, F.size("_heads"))), F.col("_row.by_name"))
+    out = rows.select(*keep, "row_pos", named.alias("_r"))
     return out.select(*keep, "row_pos", *[F.try_element_at("_r", F.lit(c)).alias(c.lower()) for c in columns])
 
 
