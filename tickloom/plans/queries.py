@@ -28,6 +28,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 #: The trailing period and the anchor of the market queries; the parts of the SQL hold the same.
 PERIOD, ANCHOR = "3m", "1999-12-30"
+#: Numbers of bonds to a page of the bond table.
+PAGE_BONDS = 500
 
 
 def query(name: str, oracle: str | None = None, **parts: str) -> Callable[[Query], Query]:
@@ -129,11 +131,11 @@ def _(spark, d):
 
 
 def _bond_payloads(spark, d):
-    """The bond table as the exchange sends it, a document for each group of bonds."""
-    names = sy.read(spark, d, "part").select(F.concat(F.lit("B"), F.col("p_partkey")).alias("secid"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 3 == 0, "TQCB").otherwise("TQOB").alias("board"))
-    text = sy.bond_params(spark, d).join(names, "secid").select("secid", F.array("secid", "name", "board", F.col("facevalue").cast("string"), F.col("couponpercent").cast("string"), F.col("matdate").cast("string")).alias("r"))
+    """The bond table as the exchange sends it, in pages: documents don't grow with the table."""
+    names = sy.read(spark, d, "part").select(F.floor(F.col("p_partkey") / PAGE_BONDS).alias("page"), F.concat(F.lit("B"), F.col("p_partkey")).alias("secid"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 3 == 0, "TQCB").otherwise("TQOB").alias("board"))
+    text = sy.bond_params(spark, d).join(names, "secid").select("page", F.array("secid", "name", "board", F.col("facevalue").cast("string"), F.col("couponpercent").cast("string"), F.col("matdate").cast("string")).alias("r"))
     heads = F.array(*[F.lit(c) for c in ("SECID", "SHORTNAME", "BOARDID", "FACEVALUE", "COUPONPERCENT", "MATDATE")])
-    docs = text.groupBy(F.pmod(F.hash("secid"), F.lit(16))).agg(F.struct(heads.alias("columns"), F.collect_list("r").alias("data")).alias("securities"))
+    docs = text.groupBy("page").agg(F.struct(heads.alias("columns"), F.collect_list("r").alias("data")).alias("securities"))
     return docs.select(F.to_json(F.struct("securities")).alias("payload"))
 
 
