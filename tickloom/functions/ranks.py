@@ -2,7 +2,8 @@
 
 A window over a group sorts it in one task. Here equal values are counted first; the different values are dealt to bins of about equal size
 by approximate quantiles, sorted bin by bin, and a bin's ranks begin behind the counts of the bins before. Only counts of bins meet in a
-task for each group.
+task for each group. Any quantiles give the same ranks if all parts of the plan deal by the same ones; an approximate quantile depends on
+the order in which tasks' results arrive, so they are worked out once and written.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..scratch import durable
+
 #: Bins of a group.
 BINS = 64
 
@@ -22,6 +25,7 @@ def _ranked_values(df: DataFrame, value: str, by: Sequence[str], bins: int) -> D
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
     places = [i / bins for i in range(1, bins)]
     edges = counts.groupBy(*by).agg(F.percentile_approx(value, places, F.lit(100 * bins)).alias("_edges"))
+    edges = durable(edges, "edges")
     bin_ = F.aggregate("_edges", F.lit(0), lambda n, e: n + (e < F.col(value)).cast("int"))
     binned = counts.join(edges, list(by)).withColumn("_bin", bin_).drop("_edges")
     sizes = binned.groupBy(*by, "_bin").agg(F.sum("_c").alias("_size"))
