@@ -47,3 +47,13 @@ def test_a_long_table_is_parsed_once(spark, shape):
     assert {(r.secid, r.couponpercent) for r in mk.bond_params(payloads).collect()} == {(f"b{i}", float(i % 13)) for i in range(3000)}
     assert mk.bond_list(payloads).count() == 2000
     assert time.perf_counter() - start < 60
+
+
+def test_a_long_history_keeps_its_security(spark):
+    """The columns kept beside a document of 3,000 rows, as a bond's history has them."""
+    data = [[str(dt.date(2010, 1, 1) + dt.timedelta(days=i)), str(100 + i / 8)] for i in range(3000)]
+    docs = spark.createDataFrame([(s, json.dumps({"history": {"columns": ["TRADEDATE", "CLOSE"], "data": data}})) for s in ("B1", "B2")], "secid string, payload string")
+    start = time.perf_counter()
+    rows = mk.parse_tables(docs, "history", ["TRADEDATE", "CLOSE"], keep=["secid"]).groupBy("secid").agg(F.count("tradedate").alias("n"), F.sum("close").alias("total")).collect()
+    assert sorted((r.secid, r.n, r.total) for r in rows) == [(s, 3000, sum(100 + i / 8 for i in range(3000))) for s in ("B1", "B2")]
+    assert time.perf_counter() - start < 60
