@@ -304,3 +304,27 @@ def test_empty_tables(spark, bars):
     assert ca.adjust_for_splits(none, splits(spark)).count() == 0
     assert pf.period_performance(none, "1m").count() == 0
     assert rk.return_stats(none).count() == 0
+
+
+def test_yields_are_compiled(spark):
+    """No method of the generated code is longer than the 8,000 bytes that the virtual machine compiles; odd prices and terms."""
+    import contextlib
+    import io
+    import re
+
+    prices = spark.createDataFrame([("a", dt.date(2000, 1, 1), p) for p in (None, -5.0, 0.0, 90.0)] + [(s, dt.date(2000, 1, 1), 90.0) for s in "bcd"], "secid string, tradedate date, close double")
+    params = spark.createDataFrame([("a", 1000.0, 8.0, dt.date(2005, 1, 1)), ("b", None, None, dt.date(2005, 1, 1)), ("c", 1000.0, 8.0, None)], "secid string, facevalue double, couponpercent double, matdate date")
+    out = bd.bond_metrics(prices, params)
+    got = [(r.secid, r.close, *(x if x is None else round(x, 3) for x in (r.ytm, r.duration))) for r in out.orderBy("secid", "close").collect()]
+    assert [g[:3] for g in got[:3]] == [("a", None, None), ("a", -5.0, 500.0), ("a", 0.0, 500.0)] and got[0][3] is None
+    rate = 1 + got[3][2] / 200
+    assert sum(40 / rate**t for t in range(1, 11)) + 1000 / rate**10 == pytest.approx(900, abs=0.1)
+    assert 1000 / (1 + got[4][2] / 200) ** 10 == pytest.approx(900, abs=0.1) and [g[2:] for g in got[5:]] == [(None, None)] * 2
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as text:
+            bd.bond_metrics(prices, params).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,15 +53,34 @@ def ytm(price: Column, face: Column, coupon_rate: Column, years: Column, freq: i
 
 
 def with_yield(df: DataFrame, price: str, face: str, coupon_rate: str, years: str, freq: int = 2) -> DataFrame:
-    """Adds ``ytm`` as the function does, each of Newton's steps a projection of its own, so that all of them are compiled."""
+    """Adds ``ytm`` as the function does, Newton's steps on batches of rows: unrolled into columns they make a method of more bytes than
+    the virtual machine compiles."""
+    least, most = math.log(1 + LOW / freq), math.log(1 + HIGH / freq)
+
+    def solve(price: pd.Series, face: pd.Series, coupon: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(newton(*(x.to_numpy("float64") for x in (price, face, coupon, n)), least, most))
+
     cols = df.columns
     p, f, n, c = F.col(price), F.col(face), F.col("_n"), F.col("_c")
-    df = df.withColumns({"_n": F.floor(F.col(years) * freq), "_c": f * F.col(coupon_rate) / 100 / freq, "_u": F.lit(0.0)})
-    for _ in range(STEPS):
-        df = df.withColumn("_u", _newton(F.col("_u"), p, f, c, n, freq))
+    df = df.withColumns({"_n": F.floor(F.col(years) * freq), "_c": f * F.col(coupon_rate) / 100 / freq})
+    df = df.withColumn("_u", F.pandas_udf(solve, "double")(p, f, c, n.cast("double")))
     return df.select(*cols, _solved(F.col("_u"), p, f, c, n, freq).alias("ytm"))
 
 
+def newton(price: np.ndarray, face: np.ndarray, coupon: np.ndarray, n: np.ndarray, least: float, most: float) -> np.ndarray:
+    """The logarithm of 1 + a period's rate at which payments are worth ``price``, by the steps of ``_newton``; missing numbers are NaN."""
+    u = np.zeros(len(price))
+    with np.errstate(all="ignore"):
+        for _ in range(STEPS):
+            r, disc = np.expm1(u), np.exp(-n * u)
+            paid = np.where(np.abs(u) < 1e-12, n, -np.expm1(-n * u) / r)
+            value = coupon * paid + face * disc
+            coupons = np.where(np.abs(u) < 1e-6, n * (n + 1) / 2, ((1 + r) * paid - n * disc) / r)
+            weighted = coupon * coupons + face * n * disc
+            u = np.minimum(np.fmax(u + np.log(value / price) * value / weighted, least), most)
+    return u
+
+
 def modified_duration(face: Column, coupon_rate: Column, years: Column, ytm_pct: Column, freq: int = 2) -> Column:
     """Macaulay duration over (1 + y / freq), in years; no periods left: 0."""
     n = F.floor(years * freq)
