@@ -17,7 +17,7 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +57,18 @@ def unframe(data: bytes, at: int = 0) -> tuple[bytes, int]:
     return payload, at + 16 + n
 
 
+class _Pieces(dict[str, bytes]):
+    """Remembered pieces: one that is missing is encoded as it is looked up, so that a text with new pieces takes one pass too."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self[piece] = self.encode(piece)
+        return found
+
+
 class PieceEncoder:
     """Encodes a text with a ``tokenizers`` file to the bytes of its ids.
 
@@ -71,11 +83,13 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         self.tokenizer, self.by_piece, self.kind = Tokenizer.from_file(path), by_piece, kind
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        ids = np.arange(max(self.tokenizer.get_vocab().values()) + 1).astype(kind)
+        self.id_bytes = [i.tobytes() for i in ids]
+        self.pieces = _Pieces(self.piece)
         self.words: dict[str, bytes] = {}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return b"".join([self.id_bytes[i] for i in ids])
 
     def whole(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -87,7 +101,7 @@ class PieceEncoder:
         low = word.lower()
         if (ids := self.words.get(low)) is None:
             mapped = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
-            ids = self.words[low] = self.packed([t.id for t in self.model.tokenize(mapped)])
+            ids = self.words[low] = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(mapped)])
         return ids + self.known(piece[len(word) :]) if len(word) < len(piece) else ids
 
     def known(self, signs: str) -> bytes:
@@ -100,18 +114,11 @@ class PieceEncoder:
             return self.whole(text)
         if "\n" in text or "\t" in text:
             text = text.replace("\n", " ").replace("\t", " ")
-        pieces, seen = text.split(" "), self.pieces
-        try:
-            return b"".join([seen[p] for p in pieces])
-        except KeyError:
-            pass
-        if len(seen) > CACHED or len(self.words) > CACHED:
-            seen.clear()
+        if len(self.pieces) > CACHED:
+            self.pieces.clear()
+        if len(self.words) > CACHED:
             self.words.clear()
-        for p in pieces:
-            if p not in seen:
-                seen[p] = self.piece(p)
-        return b"".join([seen[p] for p in pieces])
+        return b"".join(map(self.pieces.__getitem__, text.split(" ")))
 
 
 def byte_letters() -> list[str]:
