@@ -61,5 +61,27 @@ def test_counts_are_handed_on_early():
     assert {b.column("level")[0].as_py() for b in held.hand_on()} == {*range(14), sourceaudit.OCCURRENCES} and not held.nodes
 
 
+def test_interleaved_sources_are_counted_together(spark, monkeypatch):
+    """Eight tasks read documents of all eight sources: without dealing them by source, each hands on every source's terms."""
+    word = lambda s, i: "".join(chr(97 + int(x)) for x in f"{s}{i:03}")
+    rows = [(i, " ".join(word(i % 8, (i + j) % 100) for j in range(60)), "en", f"s{i % 8}", 1) for i in range(640)]
+    docs, handed_on, durable = spark.createDataFrame(rows, DOCS).repartition(8), [], sourceaudit.durable
+
+    def counted(df, name):
+        out = durable(df, name)
+        if name == "prefix-counts":
+            handed_on.append(out.where(f"level = {sourceaudit.OCCURRENCES}").count())
+        return out
+
+    monkeypatch.setattr(sourceaudit, "durable", counted)
+    assert result(sourceaudit.audit_sources(docs, 3)) == brute(rows, 3, 50)
+    assert 800 <= handed_on[0] <= 2 * 800, handed_on  # a row for each source and term, twice for a source that two tasks share
+
+
+def test_levels_of_whole_terms():
+    for n in range(1, 70):
+        assert sourceaudit.whole_level(b"x" * n) == next(k for k in range(9) if sourceaudit.prefix_bytes(k) >= n)
+
+
 def test_empty_table(spark):
     assert sourceaudit.audit_sources(awkward(spark).limit(0)).count() == 0

@@ -1,6 +1,7 @@
 """Source divergence audit: which terms, and which other sources, a language's sources differ in; terms by iceberg prefix refinement.
 
-One pass over the texts counts, for each task, the documents that hold each byte prefix of 2, 4, 8, ... bytes and each whole term, and the
+Documents are dealt by language and source, so that a task meets the same terms again and again; a source larger than a task goes to several.
+One pass over the texts then counts, for each task, the documents that hold each byte prefix of 2, 4, 8, ... bytes and each whole term, and the
 occurrences of each term by source: a document lies in one task, so its prefixes are told apart there and the tasks' counts add up. These
 partial counts, as large as the tasks' vocabularies and not as the texts, are written once. Refinement then goes level by level over them:
 a prefix or term is counted only if the prefix above it is still in, and stays in if enough documents hold it, until no prefix is left to
@@ -9,7 +10,7 @@ extend. What remains are the terms that enough documents of their language hold;
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,43 +46,58 @@ def prefix_bytes(level: int) -> int:
     return 2 << level
 
 
+def whole_level(term: bytes) -> int:
+    """The level of a whole term: the first whose prefixes are not shorter."""
+    return max(0, (len(term) - 1).bit_length() - 1)
+
+
 class _Held:
     """Counts that a task has not handed on yet."""
 
     def __init__(self) -> None:
-        self.nodes: dict[tuple[int, str, bool], Counter] = {}
-        self.terms: dict[tuple[str, str], Counter] = {}
+        self.nodes: dict[tuple[int, str], Counter] = defaultdict(Counter)
+        self.whole: dict[str, Counter] = defaultdict(Counter)
+        self.terms: dict[tuple[str, str], Counter] = defaultdict(Counter)
 
     def add(self, lang: str, source: str, words: list[bytes]) -> bool:
         """Counts a document; True if it is time to hand on."""
-        self.terms.setdefault((lang, source), Counter()).update(words)
-        level, left = 0, set(words)
-        while left:
-            size = prefix_bytes(level)
-            longer = {w for w in left if len(w) > size}
-            for whole, found in ((True, left - longer), (False, {w[:size] for w in longer})):
-                if found:
-                    self.nodes.setdefault((level, lang, whole), Counter()).update(found)
-            level, left = level + 1, longer
-        return prefix_bytes(level) > LONG or sum(map(len, self.nodes.values())) + sum(map(len, self.terms.values())) > HELD
+        self.terms[lang, source].update(words)
+        found = set(words)
+        self.whole[lang].update(found)
+        level, size = 0, prefix_bytes(0)
+        while longer := [w for w in found if len(w) > size]:
+            self.nodes[level, lang].update({w[:size] for w in longer})
+            level, size, found = level + 1, prefix_bytes(level + 1), longer
+        return 2 * size > LONG or sum(len(c) for held in (self.nodes, self.whole, self.terms) for c in held.values()) > HELD
 
     def hand_on(self) -> Iterator[pa.RecordBatch]:
-        for (level, lang, whole), counts in self.nodes.items():
-            yield _batch(level, lang, None, whole, counts)
+        for (level, lang), counts in self.nodes.items():
+            yield _batch(level, lang, None, False, counts)
+        for lang, counts in self.whole.items():
+            levels: dict[int, dict[bytes, int]] = defaultdict(dict)
+            for term, n in counts.items():
+                levels[whole_level(term)][term] = n
+            for level, found in levels.items():
+                yield _batch(level, lang, None, True, found)
         for (lang, source), counts in self.terms.items():
             if counts:
                 yield _batch(OCCURRENCES, lang, source, True, counts)
-        self.nodes.clear()
-        self.terms.clear()
+        for held in (self.nodes, self.whole, self.terms):
+            held.clear()
 
 
-def _batch(level: int, lang: str, source: str | None, whole: bool, counts: Counter) -> pa.RecordBatch:
+def _batch(level: int, lang: str, source: str | None, whole: bool, counts: dict[bytes, int]) -> pa.RecordBatch:
     n = len(counts)
     same = lambda x, kind: pa.repeat(pa.scalar(x, kind), n)
     arrays = [same(level, pa.int32()), same(lang, pa.string()), same(source, pa.string()), pa.array(counts.keys(), pa.binary()), same(whole, pa.bool_()), pa.array(counts.values(), pa.int64())]
     return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _COUNTS.split(", ")])
 
 
+def side_by_side(docs: DataFrame) -> DataFrame:
+    """``docs`` dealt so that a task has documents of few sources, whose terms repeat; a large source, or one of copies, is cut into several tasks."""
+    return docs.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange("lang", "source", "_at").drop("_at")
+
+
 def partial_counts(docs: DataFrame) -> DataFrame:
     """``level, lang, source, node, whole, n`` of tasks: documents by prefix (or whole term) and language, occurrences by term and source."""
 
@@ -133,7 +149,7 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS
     an empty result.
     """
     own = docs.select(*[F.coalesce(col(docs, c, "string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = durable(partial_counts(own), "prefix-counts")
+    counts = durable(partial_counts(side_by_side(own)), "prefix-counts")
     kept = durable(kept_terms(counts, least), "kept-terms")
     occurrences = counts.where(F.col("level") == OCCURRENCES).select("lang", "source", F.col("node").cast("string").alias("term"), "n")
     by_source = durable(occurrences.join(small(kept, SENT_ROWS), ["lang", "term"], "left_semi").groupBy("lang", "source", "term").agg(F.sum("n").alias("count")), "kept-counts")
